@@ -1,0 +1,72 @@
+"""Join helpers: size-checked broadcast and the staff interval joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest dimension (rows) that is ever broadcast. Dimension rows here are
+# under ~200 bytes, so the bound keeps a broadcast under ~200 MB per executor.
+# Override with the session setting ``lakemart.broadcast.maxRows``.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_max_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get("lakemart.broadcast.maxRows", str(DEFAULT_BROADCAST_MAX_ROWS)))
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast hint for ``dim`` only when it provably has at most ``max_rows`` rows.
+
+    The check is a bounded action (``limit(max_rows + 1).count()``), so it
+    reads at most ``max_rows + 1`` rows of the (pruned) dimension. Beyond
+    the bound the plain DataFrame is returned and Spark plans a shuffle
+    join; AQE still converts it to a broadcast at runtime if the measured
+    size turns out small, and splits skewed partitions otherwise.
+    """
+    if max_rows is None:
+        max_rows = broadcast_max_rows(dim.sparkSession)
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
+
+
+def active_staff_at(events: DataFrame, staff: DataFrame, ts_col: str,
+                    hire_col: str = "hire_date", exit_col: str = "exit_date",
+                    exit_inclusive: bool = False, max_rows: int | None = None) -> DataFrame:
+    """Interval join: each event row paired with every staff member employed at ``ts_col``.
+
+    Active means ``hire <= ts AND (exit IS NULL OR exit > ts)`` (exit exclusive,
+    the order assignment rule) or ``exit >= ts`` with ``exit_inclusive`` (the
+    payroll rule).
+
+    Plan: when the staff side is provably small it is broadcast and Spark runs
+    a broadcast nested-loop join with the range predicate (no shuffle of the
+    event side). Otherwise the staff intervals are exploded into the calendar
+    months they touch, equi-joined to the event's month (a shuffle hash/sort
+    merge join on the month key) and re-filtered with the exact predicate, so
+    no all-pairs product is ever formed.
+    """
+    ev_ts = F.col(ts_col)
+    hire = F.col(hire_col)
+    exit_ = F.col(exit_col)
+    if max_rows is None:
+        max_rows = broadcast_max_rows(events.sparkSession)
+    n = staff.limit(max_rows + 1).count()
+    exit_ok = (exit_ >= ev_ts) if exit_inclusive else (exit_ > ev_ts)
+    if n <= max_rows:
+        cond = (hire <= ev_ts) & (exit_.isNull() | exit_ok)
+        return events.join(F.broadcast(staff), cond, "inner")
+    # Month-bucketed equi-join for large staff tables. Open-ended (NULL or
+    # sentinel) exits are clipped to the event span, read as one scalar row.
+    span = events.agg(F.min(F.trunc(ev_ts, "MM")).alias("lo"),
+                      F.max(F.trunc(ev_ts, "MM")).alias("hi")).first()
+    if span is None or span["lo"] is None:
+        return events.join(staff, F.lit(False), "inner")
+    lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
+    start = F.greatest(F.trunc(hire, "MM"), lo)
+    end = F.least(F.trunc(F.coalesce(exit_.cast("date"), hi), "MM"), hi)
+    months = (staff.filter(start <= end)
+              .withColumn("_bucket", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH")))))
+    ev = events.withColumn("_bucket", F.trunc(ev_ts, "MM"))
+    joined = ev.join(months, "_bucket", "inner")
+    return joined.filter((hire <= ev_ts) & (exit_.isNull() | exit_ok)).drop("_bucket")
