@@ -25,10 +25,7 @@ DIM_DATE_START = _dt.date(2021, 1, 1)
 DIM_DATE_DAYS = 4000
 
 
-def dim_date(spark: SparkSession, start: _dt.date = DIM_DATE_START,
-             days: int = DIM_DATE_DAYS) -> DataFrame:
-    """Calendar spine: one row per day from ``start`` for ``days`` days."""
-    spine = spark.range(0, days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date_day"))
+def _date_attributes(spine: DataFrame) -> DataFrame:
     d = F.col("date_day")
     return spine.select(
         d,
@@ -42,6 +39,23 @@ def dim_date(spark: SparkSession, start: _dt.date = DIM_DATE_START,
     )
 
 
+def dim_date(spark: SparkSession, start: _dt.date = DIM_DATE_START,
+             days: int = DIM_DATE_DAYS) -> DataFrame:
+    """Calendar spine: one row per day from ``start`` for ``days`` days."""
+    spine = spark.range(0, days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date_day"))
+    return _date_attributes(spine)
+
+
+def dim_date_span(facts: DataFrame, ts_col: str) -> DataFrame:
+    """Calendar spine covering every day from the first to the last ``ts_col``
+    of ``facts`` (the two bounds are one aggregate row; the days are exploded)."""
+    span = facts.agg(F.min(F.col(ts_col).cast("date")).alias("_lo"),
+                     F.max(F.col(ts_col).cast("date")).alias("_hi"))
+    spine = span.filter(F.col("_lo").isNotNull()).select(
+        F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias("date_day"))
+    return _date_attributes(spine)
+
+
 def dim_employees_gold(stg_employees: DataFrame) -> DataFrame:
     return stg_employees.select("employee_id", "employee_name", "gender", "current_age",
                                 "hire_date", "exit_date")

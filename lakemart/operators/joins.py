@@ -32,7 +32,8 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 def active_staff_at(events: DataFrame, staff: DataFrame, ts_col: str,
                     hire_col: str = "hire_date", exit_col: str = "exit_date",
-                    exit_inclusive: bool = False, max_rows: int | None = None) -> DataFrame:
+                    exit_inclusive: bool = False, max_rows: int | None = None,
+                    how: str = "inner") -> DataFrame:
     """Interval join: each event row paired with every staff member employed at ``ts_col``.
 
     Active means ``hire <= ts AND (exit IS NULL OR exit > ts)`` (exit exclusive,
@@ -53,20 +54,22 @@ def active_staff_at(events: DataFrame, staff: DataFrame, ts_col: str,
         max_rows = broadcast_max_rows(events.sparkSession)
     n = staff.limit(max_rows + 1).count()
     exit_ok = (exit_ >= ev_ts) if exit_inclusive else (exit_ > ev_ts)
+    cond = (hire <= ev_ts) & (exit_.isNull() | exit_ok)
     if n <= max_rows:
-        cond = (hire <= ev_ts) & (exit_.isNull() | exit_ok)
-        return events.join(F.broadcast(staff), cond, "inner")
+        return events.join(F.broadcast(staff), cond, how)
     # Month-bucketed equi-join for large staff tables. Open-ended (NULL or
     # sentinel) exits are clipped to the event span, read as one scalar row.
     span = events.agg(F.min(F.trunc(ev_ts, "MM")).alias("lo"),
                       F.max(F.trunc(ev_ts, "MM")).alias("hi")).first()
     if span is None or span["lo"] is None:
-        return events.join(staff, F.lit(False), "inner")
+        return events.join(staff, F.lit(False), how)
     lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
     start = F.greatest(F.trunc(hire, "MM"), lo)
     end = F.least(F.trunc(F.coalesce(exit_.cast("date"), hi), "MM"), hi)
     months = (staff.filter(start <= end)
               .withColumn("_bucket", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH")))))
-    ev = events.withColumn("_bucket", F.trunc(ev_ts, "MM"))
-    joined = ev.join(months, "_bucket", "inner")
-    return joined.filter((hire <= ev_ts) & (exit_.isNull() | exit_ok)).drop("_bucket")
+    ev = events.withColumn("_ev_bucket", F.trunc(ev_ts, "MM"))
+    # Equi key on the month plus the exact range test inside the join
+    # condition, so a left join keeps events that match nobody.
+    joined = ev.join(months, (F.col("_ev_bucket") == F.col("_bucket")) & cond, how)
+    return joined.drop("_bucket", "_ev_bucket")

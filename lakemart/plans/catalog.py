@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.plans import oracle as O
 from lakemart.plans.models import Models
@@ -41,10 +42,156 @@ for _name in ("stg_products", "stg_employees", "stg_payroll", "stg_orders"):
 register("stg_traffic", O.model_sql("stg_traffic_events"))(_model("stg_traffic", traffic="raw_traffic"))
 
 # -- gold --------------------------------------------------------------------
-register("dim_date", O.DIM_DATE_SQL)(_model("dim_date"))
+register("dim_date", O.with_models("SELECT * FROM dim_date_span"))(_model("dim_date"))
 for _name in ("dim_employees_gold", "dim_payroll_gold", "fact_orders_gold", "dim_products_gold",
               "mart_monthly_product_sales", "mart_traffic_conversion_by_product",
               "mart_city_sales", "mart_product_reviews", "mart_employee_addon_performance"):
     register(_name, O.model_sql(_name))(_model(_name))
 register("mart_hourly_traffic_conversion", O.model_sql("mart_hourly_traffic_conversion"))(
     _model("mart_hourly_traffic_conversion", traffic="raw_traffic"))
+
+
+# -- incremental runs ----------------------------------------------------------
+from lakemart.plans import runs as R  # noqa: E402
+
+register("inc_fact_append", O.model_sql("fact_orders_gold"))(R.inc_fact_append)
+register("inc_hourly_merge", O.model_sql("mart_hourly_traffic_conversion"))(R.inc_hourly_merge)
+register("inc_monthly_merge", O.model_sql("mart_monthly_product_sales"))(R.inc_monthly_merge)
+register("inc_city_merge", O.model_sql("mart_city_sales"))(R.inc_city_merge)
+register("inc_traffic_product_merge", O.model_sql("mart_traffic_conversion_by_product"))(R.inc_traffic_product_merge)
+register("inc_addon_merge", O.model_sql("mart_employee_addon_performance"))(R.inc_addon_merge)
+register("inc_reviews_merge", O.model_sql("mart_product_reviews"))(R.inc_reviews_merge)
+register("inc_strict_reviews", O.with_models(O.STRICT_REVIEWS_SQL, O.STRICT_REVIEWS_CTES))(R.inc_strict_reviews)
+register("inc_dim_date", O.with_models("SELECT * FROM dim_date_span"))(R.inc_dim_date)
+register("inc_id_watermark", O.with_models(O.INC_ID_SQL))(R.inc_id_watermark)
+register("inc_next_period", O.with_models(O.NEXT_PERIOD_SQL))(R.inc_next_period)
+
+# -- HR and order operators ----------------------------------------------------
+from lakemart.operators import hr as H, ml as ML, orders as OR, quality as Q, reports as RP  # noqa: E402
+
+
+@register("payroll_expand", O.with_models(O.PAYROLL_EXPAND_SQL))
+def payroll_expand(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    as_of = H.last_activity_month(m.stg_orders)
+    return H.payroll_expand(m.stg_employees, H.first_hire_month(m.stg_employees), as_of, as_of)
+
+
+@register("age_at_hire", O.with_models(O.AGE_SQL))
+def age_at_hire(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    as_of = H.last_activity_month(m.stg_orders)
+    return H.with_age_at_hire(m.stg_employees, as_of).select(
+        "employee_id", "hire_date", "current_age", "age_at_hire")
+
+
+@register("order_candidates", O.with_models(O.ORDER_CANDIDATES_SQL))
+def order_candidates(spark, sf_dir):
+    m = Models(spark, sf_dir, traffic="raw_traffic")
+    return OR.order_candidates(m.raw.raw_traffic, None)
+
+
+@register("active_staff_per_order", O.with_models(O.ACTIVE_STAFF_SQL))
+def active_staff_per_order(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return OR.active_staff_per_order(m.stg_orders, m.stg_employees)
+
+
+@register("addon_eligibility", O.with_models(O.ADDON_SQL))
+def addon_eligibility(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return OR.addon_eligibility(m.fact_orders_gold, m.stg_products, m.stg_employees)
+
+
+@register("price_tiers", O.with_models(O.PRICE_TIERS_SQL))
+def price_tiers(spark, sf_dir):
+    return OR.price_tiers(Models(spark, sf_dir).stg_products)
+
+
+# -- ML --------------------------------------------------------------------------
+
+@register("anomaly_flags", O.with_models(f"SELECT * FROM ({O.ANOMALY_SQL.strip()})"))
+def anomaly_flags(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    series = ML.anomaly_inputs(m.mart_traffic_conversion_by_product, m.mart_employee_addon_performance)
+    return ML.anomaly_flags(series)
+
+
+@register("revenue_forecast", O.with_models(f"SELECT * FROM ({O.REVENUE_FORECAST_SQL.strip()})"))
+def revenue_forecast(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    sales = m.mart_monthly_product_sales
+    as_of = sales.agg(F.max("sales_month")).scalar()
+    return ML.revenue_forecast(sales, as_of)
+
+
+@register("traffic_forecast", O.with_models(f"SELECT * FROM ({O.TRAFFIC_FORECAST_SQL.strip()})"))
+def traffic_forecast(spark, sf_dir):
+    hourly = Models(spark, sf_dir, traffic="raw_traffic_hist").mart_hourly_traffic_conversion
+    as_of = hourly.agg(F.max("event_date")).scalar()
+    return ML.traffic_forecast(hourly, as_of)
+
+
+@register("hour_weekday_ridge", O.with_models(f"SELECT * FROM ({O.RIDGE_SQL.strip()})"))
+def hour_weekday_ridge(spark, sf_dir):
+    return ML.hour_weekday_ridge(Models(spark, sf_dir, traffic="raw_traffic").mart_hourly_traffic_conversion)
+
+
+@register("daily_visits", O.with_models(O.DAILY_VISITS_SQL))
+def daily_visits(spark, sf_dir):
+    return ML.daily_visits(Models(spark, sf_dir, traffic="raw_traffic_hist").mart_hourly_traffic_conversion)
+
+
+@register("category_month_revenue", O.with_models(O.CATEGORY_MONTH_REVENUE_SQL))
+def category_month_revenue(spark, sf_dir):
+    return ML.category_month_revenue(Models(spark, sf_dir).mart_monthly_product_sales)
+
+
+# -- reports -------------------------------------------------------------------
+
+@register("rpt_city_kpi", O.with_models(O.RPT_CITY_KPI_SQL))
+def rpt_city_kpi(spark, sf_dir):
+    return RP.city_kpi(Models(spark, sf_dir).mart_city_sales)
+
+
+@register("rpt_mom_yoy", O.with_models(f"SELECT * FROM ({O.RPT_MOM_YOY_SQL.strip()})"))
+def rpt_mom_yoy(spark, sf_dir):
+    return RP.mom_yoy(Models(spark, sf_dir).mart_city_sales)
+
+
+@register("rpt_category_margin", O.with_models(O.RPT_CATEGORY_MARGIN_SQL))
+def rpt_category_margin(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return RP.category_margin(m.mart_monthly_product_sales, m.dim_products_gold)
+
+
+@register("rpt_funnel", O.with_models(O.RPT_FUNNEL_SQL))
+def rpt_funnel(spark, sf_dir):
+    return RP.funnel(Models(spark, sf_dir).mart_traffic_conversion_by_product)
+
+
+@register("rpt_review_distribution", O.with_models(O.RPT_REVIEW_DIST_SQL))
+def rpt_review_distribution(spark, sf_dir):
+    return RP.review_distribution(Models(spark, sf_dir).fact_orders_gold)
+
+
+# -- data quality --------------------------------------------------------------
+
+def _dq_tables(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    hourly = Models(spark, sf_dir, traffic="raw_traffic").mart_hourly_traffic_conversion
+    out = {}
+    for t, k in O.DQ_TABLES:
+        df = hourly if t == "mart_hourly_traffic_conversion" else m.get(t)
+        out[t] = (df, k)
+    return out
+
+
+@register("dq_unique_keys", O.with_models(O.dq_unique_sql()))
+def dq_unique_keys(spark, sf_dir):
+    return Q.run_checks(Q.unique_key_check, _dq_tables(spark, sf_dir))
+
+
+@register("dq_not_null", O.with_models(O.dq_not_null_sql()))
+def dq_not_null(spark, sf_dir):
+    return Q.run_checks(Q.not_null_check, _dq_tables(spark, sf_dir))

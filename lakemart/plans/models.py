@@ -52,7 +52,8 @@ class Models:
     # -- gold --------------------------------------------------------------
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(self.spark)
+        """Calendar over the span of the order history."""
+        return gold.dim_date_span(self.stg_orders, "order_timestamp")
 
     @cached_property
     def dim_employees_gold(self) -> DataFrame:

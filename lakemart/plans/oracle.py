@@ -225,10 +225,283 @@ _CTE_ORDER = list(ADAPTERS.items()) + list(SILVER.items()) + [
 
 def with_models(final_sql: str, extra_ctes: list[tuple[str, str]] | None = None) -> str:
     """Prefix ``final_sql`` with every adapter/silver/gold model as a CTE."""
-    ctes = _CTE_ORDER + list(extra_ctes or [])
+    ctes = _CTE_ORDER + [("dim_date_span", DIM_DATE_SPAN_SQL), ASOF_CTE] + list(extra_ctes or [])
     body = ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in ctes)
     return f"WITH {body}\n{final_sql.strip()}"
 
 
 def model_sql(name: str) -> str:
     return with_models(f"SELECT * FROM {name}")
+
+
+# --------------------------------------------------------------------------
+# Incremental runs (equal to a full rebuild, except the strict legacy rule)
+# --------------------------------------------------------------------------
+ORDERS_CUT_SQL = "TIMESTAMP '1998-06-15 12:00:00'"
+TRAFFIC_CUT_SQL = "TIMESTAMP '2024-01-15 12:30:00'"
+
+DIM_DATE_SPAN_SQL = """
+SELECT date_day,
+       CAST(year(date_day) AS INTEGER) AS year, CAST(quarter(date_day) AS INTEGER) AS quarter,
+       CAST(month(date_day) AS INTEGER) AS month, CAST(day(date_day) AS INTEGER) AS day,
+       strftime(date_day, '%Y') || '-Q' || CAST(quarter(date_day) AS VARCHAR) AS year_quarter,
+       strftime(date_day, '%Y-%m') AS year_month,
+       strftime(date_day, '%b') AS month_name
+FROM (SELECT CAST(unnest(generate_series(CAST(min(CAST(order_timestamp AS DATE)) AS TIMESTAMP),
+                                         CAST(max(CAST(order_timestamp AS DATE)) AS TIMESTAMP),
+                                         INTERVAL 1 DAY)) AS DATE) AS date_day
+      FROM stg_orders)"""
+
+STRICT_REVIEWS_SQL = f"""
+SELECT * FROM hist_r h
+WHERE NOT EXISTS (SELECT 1 FROM delta_r d WHERE d.month_prod_id IS NOT DISTINCT FROM h.month_prod_id)
+UNION ALL
+SELECT * FROM delta_r"""
+
+
+def _reviews_over(source: str) -> str:
+    """The review mart SQL over another fact relation."""
+    return GOLD["mart_product_reviews"].replace("FROM fact_orders_gold o", f"FROM {source} o")
+
+
+STRICT_REVIEWS_CTES = [
+    ("fact_hist", f"SELECT * FROM fact_orders_gold WHERE order_timestamp <= {ORDERS_CUT_SQL}"),
+    ("hist_r", _reviews_over("fact_hist")),
+    ("fact_delta", "SELECT * FROM fact_orders_gold WHERE order_timestamp > "
+                   "(SELECT CAST(max(review_month) AS TIMESTAMP) FROM hist_r)"),
+    ("delta_r", _reviews_over("fact_delta")),
+]
+
+# --------------------------------------------------------------------------
+# HR and order operators
+# --------------------------------------------------------------------------
+ASOF_CTE = ("run_asof", "SELECT CAST(date_trunc('month', max(order_timestamp)) AS DATE) AS a FROM stg_orders")
+
+
+def salary_sql(age: str, hire: str, month: str) -> str:
+    n = f"(year({month}) - 2021)"
+    lo = f"(28000 * pow(1.04, {n}))"
+    hi = f"(33000 * pow(1.04, {n}))"
+    e = f"floor(date_diff('day', {hire}, {month}) / 365)"
+    base = f"(CASE WHEN {age} < 20 THEN {lo} WHEN {age} <= 25 THEN {lo} + ({age} - 20) * (({hi} - {lo}) / 5) ELSE {hi} END)"
+    adj = f"(CASE WHEN {e} >= 1 THEN greatest({base} * pow(1.04, {e}), {hi}) ELSE {base} * pow(1.04, {e}) END)"
+    return (f"CAST(round_even(CASE WHEN {e} >= 3 THEN {hi} * pow(1.05, 3) ELSE {adj} * pow(1.05, {e}) END, 0) "
+            f"AS BIGINT)")
+
+
+AGE_AT_HIRE_SQL = "CAST(greatest(18, e.current_age - floor(date_diff('day', e.hire_date, ao.a) / 365)) AS BIGINT)"
+
+
+def payroll_sql(start_sql: str) -> str:
+    return f"""
+SELECT e.employee_id, {salary_sql('ah', 'e.hire_date', 'mm.m')} AS monthly_salary, mm.m AS payroll_month
+FROM (SELECT e.*, {AGE_AT_HIRE_SQL} AS ah FROM stg_employees e, run_asof ao) e
+JOIN (SELECT CAST(unnest(generate_series(CAST(({start_sql}) AS TIMESTAMP), CAST(ao.a AS TIMESTAMP),
+                                         INTERVAL 1 MONTH)) AS DATE) AS m FROM run_asof ao) mm
+  ON e.hire_date <= mm.m AND (e.exit_date IS NULL OR e.exit_date >= mm.m)"""
+
+
+PAYROLL_EXPAND_SQL = payroll_sql("SELECT CAST(date_trunc('month', min(hire_date)) AS DATE) FROM stg_employees")
+NEXT_PERIOD_SQL = payroll_sql("SELECT CAST(date_trunc('month', max(payroll_month)) + INTERVAL 1 MONTH AS DATE) "
+                              "FROM stg_payroll")
+
+AGE_SQL = f"""
+SELECT e.employee_id, e.hire_date, e.current_age, {AGE_AT_HIRE_SQL} AS age_at_hire
+FROM stg_employees e, run_asof ao"""
+
+ORDER_CANDIDATES_SQL = ("SELECT CAST(order_id AS BIGINT) AS order_id, product_id, event_time AS order_time "
+                        "FROM raw_traffic WHERE order_id IS NOT NULL")
+INC_ID_SQL = (ORDER_CANDIDATES_SQL + " AND order_id > (SELECT COALESCE(max(order_id), 0) FROM raw_traffic "
+              f"WHERE order_id IS NOT NULL AND event_time <= {TRAFFIC_CUT_SQL})")
+
+ACTIVE_STAFF_SQL = """
+SELECT o.order_id, o.order_timestamp, COUNT(e.employee_id) AS active_staff_count
+FROM stg_orders o LEFT JOIN stg_employees e
+  ON e.hire_date <= o.order_timestamp AND (e.exit_date IS NULL OR e.exit_date > o.order_timestamp)
+GROUP BY 1, 2"""
+
+ADDON_SQL = """
+SELECT order_id, employee_id, product_id, category, CAST(yrs AS BIGINT) AS tenure_years,
+       CASE WHEN hire_date IS NOT NULL THEN CASE WHEN yrs >= 3 THEN CAST(0.35 AS DOUBLE)
+            WHEN yrs >= 1 THEN CAST(0.20 AS DOUBLE) ELSE CAST(0.10 AS DOUBLE) END END AS addon_chance,
+       COALESCE(category IN ('Mobile', 'Laptops', 'Gaming', 'Consumer Electronics', 'Home Appliances'), false)
+         AS addon_eligible,
+       CAST(round_even(base_price * CAST(0.12 AS DOUBLE), 0) AS BIGINT) AS addon_price
+FROM (SELECT f.order_id, f.employee_id, f.product_id, p.category, p.base_price, e.hire_date,
+             floor(date_diff('day', e.hire_date, CAST(f.order_timestamp AS DATE)) / 365) AS yrs
+      FROM fact_orders_gold f LEFT JOIN stg_products p ON f.product_id = p.product_id
+      LEFT JOIN stg_employees e ON f.employee_id = e.employee_id)"""
+
+PRICE_TIERS_SQL = """
+SELECT product_id, base_price,
+       CASE WHEN base_price < 5000 THEN 5 WHEN base_price < 20000 THEN 3 ELSE 1 END AS traffic_weight
+FROM stg_products"""
+
+# --------------------------------------------------------------------------
+# ML
+# --------------------------------------------------------------------------
+ANOMALY_SQL = """
+WITH inp AS (
+    SELECT 'PRODUCT' AS entity_type, CAST(product_id AS VARCHAR) AS entity_id, product_name AS entity_name,
+           'CONVERSION_RATE_PCT' AS metric_name, traffic_month AS period, CAST(conversion_rate_pct AS DOUBLE) AS metric_value
+    FROM mart_traffic_conversion_by_product WHERE conversion_rate_pct IS NOT NULL
+    UNION ALL
+    SELECT 'EMPLOYEE', CAST(employee_id AS VARCHAR), employee_name, 'ADDON_ATTACH_RATE_PCT', performance_month,
+           CAST(addon_attach_rate_pct AS DOUBLE)
+    FROM mart_employee_addon_performance WHERE addon_attach_rate_pct IS NOT NULL),
+scored AS (
+    SELECT *, COUNT(metric_value) OVER w AS n, AVG(metric_value) OVER w AS mean,
+           STDDEV_SAMP(metric_value) OVER w AS sd, MIN(metric_value) OVER w AS mn, MAX(metric_value) OVER w AS mx
+    FROM inp WHERE entity_id IS NOT NULL
+    WINDOW w AS (PARTITION BY entity_type, entity_id))
+SELECT md5(concat_ws('|', entity_type, entity_id, metric_name, CAST(period AS VARCHAR))) AS anomaly_id,
+       entity_type, entity_id, entity_name, metric_name, period, metric_value,
+       ROUND(mean, 6) AS baseline_mean, ROUND(sd, 6) AS baseline_std,
+       ROUND((metric_value - mean) / sd, 4) AS z_score,
+       abs((metric_value - mean) / sd) > 2.0 AS is_anomaly,
+       CASE WHEN (metric_value - mean) / sd > 0 THEN 'HIGH' ELSE 'LOW' END AS anomaly_direction
+FROM scored WHERE n >= 3 AND mx <> mn"""
+
+REVENUE_FORECAST_SQL = """
+WITH y AS (SELECT sales_month AS ds, category, CAST(SUM(total_revenue) AS DOUBLE) AS y
+           FROM mart_monthly_product_sales GROUP BY 1, 2),
+span AS (SELECT category, MIN(ds) AS f, MAX(ds) AS l, COUNT(y) AS n FROM y GROUP BY 1 HAVING COUNT(y) >= 12),
+d AS (SELECT y.ds, y.category, y.y, s.f,
+             CAST((year(y.ds) - year(s.f)) * 12 + month(y.ds) - month(s.f) AS DOUBLE) AS t, month(y.ds) AS moy
+      FROM y JOIN span s ON y.category = s.category),
+fit AS (SELECT category, regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM d GROUP BY 1),
+d2 AS (SELECT d.*, greatest(fit.a + fit.b * d.t, 1.0) AS tr FROM d JOIN fit ON d.category = fit.category),
+idx AS (SELECT category, moy, AVG(y / tr) AS raw FROM d2 GROUP BY 1, 2),
+seas AS (SELECT category, moy, raw / AVG(raw) OVER (PARTITION BY category) AS s FROM idx),
+sig AS (SELECT d2.category, STDDEV_SAMP(d2.y / (d2.tr * seas.s) - 1) AS sigma
+        FROM d2 JOIN seas ON d2.category = seas.category AND d2.moy = seas.moy GROUP BY 1),
+fc_asof AS (SELECT max(sales_month) AS a FROM mart_monthly_product_sales),
+fut AS (SELECT category, f, CAST(unnest(generate_series(CAST(l AS TIMESTAMP) + INTERVAL 1 MONTH,
+                                                        CAST(l AS TIMESTAMP) + INTERVAL 24 MONTH,
+                                                        INTERVAL 1 MONTH)) AS DATE) AS forecast_date FROM span),
+pred AS (SELECT fut.forecast_date, fut.category,
+                greatest(fit.a + fit.b * CAST((year(fut.forecast_date) - year(fut.f)) * 12
+                                              + month(fut.forecast_date) - month(fut.f) AS DOUBLE), 1.0)
+                  * COALESCE(seas.s, 1.0) AS yhat,
+                COALESCE(sig.sigma, 0.0) * 1.96 AS band
+         FROM fut JOIN fit ON fut.category = fit.category JOIN sig ON fut.category = sig.category
+         LEFT JOIN seas ON fut.category = seas.category AND month(fut.forecast_date) = seas.moy
+         CROSS JOIN fc_asof
+         WHERE fut.forecast_date <= make_date(CAST(year(fc_asof.a) + 1 AS BIGINT), 12, 31))
+SELECT md5(category || '|' || CAST(forecast_date AS VARCHAR)) AS forecast_id, forecast_date, category,
+       ROUND(greatest(yhat, 0.0), 2) AS revenue_forecast,
+       ROUND(greatest(yhat * (1 - band), 0.0), 2) AS revenue_lower,
+       ROUND(greatest(yhat * (1 + band), 0.0), 2) AS revenue_upper
+FROM pred"""
+
+DAILY_VISITS_SQL = """
+SELECT event_date, CAST(SUM(total_visits) AS BIGINT) AS total_visits
+FROM mart_hourly_traffic_hist WHERE total_visits IS NOT NULL GROUP BY 1"""
+
+TRAFFIC_FORECAST_SQL = f"""
+WITH y AS (SELECT event_date AS ds, CAST(total_visits AS DOUBLE) AS y FROM ({DAILY_VISITS_SQL.strip()})),
+g AS (SELECT MIN(ds) AS f, MAX(ds) AS l FROM y),
+d AS (SELECT y.ds, y.y, CAST(date_diff('day', g.f, y.ds) AS DOUBLE) AS t, month(y.ds) AS moy,
+             dayofweek(y.ds) AS dow FROM y, g),
+fit AS (SELECT regr_intercept(y, t) AS a, regr_slope(y, t) AS b FROM d),
+d2 AS (SELECT d.*, greatest(fit.a + fit.b * d.t, 1.0) AS tr FROM d, fit),
+im AS (SELECT moy, AVG(y / tr) AS raw FROM d2 GROUP BY 1),
+sm AS (SELECT moy, raw / (SELECT AVG(raw) FROM im) AS s_m FROM im),
+d3 AS (SELECT d2.*, sm.s_m FROM d2 JOIN sm ON d2.moy = sm.moy),
+iw AS (SELECT dow, AVG(y / (tr * s_m)) AS raw FROM d3 GROUP BY 1),
+sw AS (SELECT dow, raw / (SELECT AVG(raw) FROM iw) AS s_w FROM iw),
+sig AS (SELECT STDDEV_SAMP(d3.y / (d3.tr * d3.s_m * sw.s_w) - 1) AS sigma FROM d3 JOIN sw ON d3.dow = sw.dow),
+fut AS (SELECT CAST(unnest(generate_series(CAST(date_trunc('month', l) AS TIMESTAMP) + INTERVAL 1 MONTH,
+                                           CAST(date_trunc('month', l) AS TIMESTAMP) + INTERVAL 24 MONTH,
+                                           INTERVAL 1 MONTH)) AS DATE) AS prediction_date FROM g),
+pred AS (SELECT fut.prediction_date,
+                greatest(fit.a + fit.b * CAST(date_diff('day', g.f, fut.prediction_date) AS DOUBLE), 1.0)
+                  * COALESCE(sm.s_m, 1.0) * COALESCE(sw.s_w, 1.0) AS yhat,
+                COALESCE(sig.sigma, 0.0) * 1.96 AS band
+         FROM fut CROSS JOIN g CROSS JOIN fit CROSS JOIN sig
+         LEFT JOIN sm ON month(fut.prediction_date) = sm.moy
+         LEFT JOIN sw ON dayofweek(fut.prediction_date) = sw.dow
+         WHERE fut.prediction_date > g.l AND fut.prediction_date <= make_date(CAST(year(g.l) + 1 AS BIGINT), 12, 31))
+SELECT prediction_date, ROUND(greatest(yhat, 0.0), 0) AS predicted_visits,
+       ROUND(greatest(yhat * (1 - band), 0.0), 0) AS visits_lower,
+       ROUND(greatest(yhat * (1 + band), 0.0), 0) AS visits_upper
+FROM pred"""
+
+RIDGE_SQL = """
+WITH h AS (SELECT CAST(hour_of_day AS INTEGER) AS hour_of_day, CAST(dayofweek(event_date) + 1 AS INTEGER) AS weekday,
+                  CAST(total_visits AS DOUBLE) AS v FROM mart_hourly_traffic_conversion),
+cells AS (SELECT hour_of_day, weekday, COUNT(v) AS n_obs, AVG(v) AS cell_mean FROM h GROUP BY 1, 2),
+m AS (SELECT AVG(v) AS m FROM h),
+grid AS (SELECT CAST(i % 24 AS INTEGER) AS hour_of_day, CAST(i // 24 + 1 AS INTEGER) AS weekday FROM range(168) t(i))
+SELECT g.hour_of_day, g.weekday, COALESCE(c.n_obs, 0) AS n_obs, ROUND(c.cell_mean, 4) AS cell_mean,
+       ROUND(m.m + CAST(COALESCE(c.n_obs, 0) AS DOUBLE) / (CAST(COALESCE(c.n_obs, 0) AS DOUBLE) + CAST(3.0 AS DOUBLE))
+             * (COALESCE(c.cell_mean, m.m) - m.m), 4) AS predicted_visits
+FROM grid g LEFT JOIN cells c ON g.hour_of_day = c.hour_of_day AND g.weekday = c.weekday CROSS JOIN m"""
+
+CATEGORY_MONTH_REVENUE_SQL = """
+SELECT sales_month, category, CAST(SUM(total_revenue) AS BIGINT) AS total_revenue
+FROM mart_monthly_product_sales GROUP BY 1, 2"""
+
+# --------------------------------------------------------------------------
+# Reports and data quality
+# --------------------------------------------------------------------------
+RPT_CITY_KPI_SQL = """
+SELECT city, region, CAST(SUM(total_revenue) AS BIGINT) AS total_revenue, CAST(SUM(total_orders) AS BIGINT) AS total_orders,
+       CAST(SUM(total_qty) AS BIGINT) AS total_qty, CAST(SUM(total_margin) AS BIGINT) AS total_margin,
+       COUNT(sales_day) AS selling_days,
+       ROUND(SUM(total_revenue) / NULLIF(SUM(total_orders), 0), 2) AS avg_order_value
+FROM mart_city_sales GROUP BY 1, 2"""
+
+RPT_MOM_YOY_SQL = """
+WITH m AS (SELECT city, sales_month, CAST(SUM(total_revenue) AS BIGINT) AS revenue FROM mart_city_sales GROUP BY 1, 2)
+SELECT a.city, a.sales_month, a.revenue, pm.revenue AS prev_month_revenue,
+       ROUND((a.revenue - pm.revenue) / NULLIF(pm.revenue, 0) * 100, 2) AS mom_pct,
+       py.revenue AS prev_year_revenue,
+       ROUND((a.revenue - py.revenue) / NULLIF(py.revenue, 0) * 100, 2) AS yoy_pct
+FROM m a
+LEFT JOIN m pm ON pm.city IS NOT DISTINCT FROM a.city AND CAST(pm.sales_month + INTERVAL 1 MONTH AS DATE) = a.sales_month
+LEFT JOIN m py ON py.city IS NOT DISTINCT FROM a.city AND CAST(py.sales_month + INTERVAL 12 MONTH AS DATE) = a.sales_month"""
+
+RPT_CATEGORY_MARGIN_SQL = """
+SELECT s.category, s.product_id, s.product_name, CAST(SUM(s.total_revenue) AS BIGINT) AS total_revenue,
+       CAST(SUM(s.product_margin) AS BIGINT) AS product_margin,
+       ROUND(SUM(s.product_margin) / NULLIF(SUM(s.product_revenue), 0) * 100, 2) AS margin_pct,
+       d.avg_review_score
+FROM mart_monthly_product_sales s LEFT JOIN dim_products_gold d ON s.product_id = d.product_id
+GROUP BY s.category, s.product_id, s.product_name, d.avg_review_score"""
+
+RPT_FUNNEL_SQL = """
+SELECT traffic_month, category, CAST(SUM(total_views) AS BIGINT) AS views, CAST(SUM(total_carts) AS BIGINT) AS carts,
+       CAST(SUM(total_orders) AS BIGINT) AS orders,
+       ROUND(SUM(total_carts) / NULLIF(SUM(total_views), 0) * 100, 2) AS cart_rate_pct,
+       ROUND(SUM(total_orders) / NULLIF(SUM(total_views), 0) * 100, 2) AS conversion_rate_pct
+FROM mart_traffic_conversion_by_product GROUP BY 1, 2"""
+
+RPT_REVIEW_DIST_SQL = "SELECT review, COUNT(*) AS orders FROM fact_orders_gold GROUP BY 1"
+
+DQ_TABLES = [
+    ("fact_orders_gold", "order_id"), ("dim_products_gold", "product_id"),
+    ("dim_employees_gold", "employee_id"), ("dim_date", "date_day"),
+    ("mart_monthly_product_sales", "month_prod_id"), ("mart_hourly_traffic_conversion", "event_hour"),
+    ("mart_traffic_conversion_by_product", "month_product_id"), ("mart_city_sales", "city_day_id"),
+    ("mart_product_reviews", "month_prod_id"), ("mart_employee_addon_performance", "month_employee_id"),
+]
+
+
+def dq_unique_sql() -> str:
+    parts = []
+    for t, k in DQ_TABLES:
+        src = "dim_date_span" if t == "dim_date" else t
+        parts.append(f"SELECT '{t}' AS table_name, '{k}' AS key_column, CAST(COALESCE(SUM(c), 0) AS BIGINT) AS row_count, "
+                     f"COUNT(*) AS distinct_keys, COUNT(CASE WHEN c > 1 THEN 1 END) AS duplicate_keys "
+                     f"FROM (SELECT {k}, COUNT(*) AS c FROM {src} GROUP BY {k})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def dq_not_null_sql() -> str:
+    parts = []
+    for t, k in DQ_TABLES:
+        src = "dim_date_span" if t == "dim_date" else t
+        parts.append(f"SELECT '{t}' AS table_name, '{k}' AS column_name, COUNT(*) AS row_count, "
+                     f"COUNT(CASE WHEN {k} IS NULL THEN 1 END) AS null_count FROM {src}")
+    return "\nUNION ALL\n".join(parts)
