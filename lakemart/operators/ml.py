@@ -13,10 +13,11 @@ numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.exprs import col, month_diff
+from lakemart.session import materialize
 
 # Fixed model settings.
 Z_THRESHOLD = 2.0              # |z| above this flags an anomaly
@@ -110,21 +111,37 @@ def category_month_revenue(monthly_sales: DataFrame) -> DataFrame:
 def revenue_forecast(monthly_sales: DataFrame, as_of: Column, generated_at: Column | None = None,
                      min_months: int = MIN_MONTHS, steps: int = HORIZON_STEPS) -> DataFrame:
     """Per-category monthly revenue forecast for the month starts after the last
-    actual, up to 31 Dec of the year after ``as_of``; values clamped at 0."""
-    y = category_month_revenue(monthly_sales).withColumnRenamed("sales_month", "ds") \
-        .withColumn("y", F.col("total_revenue").cast("double")).drop("total_revenue")
-    span = (y.groupBy("category")
-            .agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"), F.count("y").alias("_n"))
-            .filter(F.col("_n") >= min_months))
-    d = y.join(span, "category").withColumn("t", month_diff("_first", "ds").cast("double")) \
-        .withColumn("moy", F.month("ds"))
-    fit = d.groupBy("category").agg(F.regr_intercept("y", "t").alias("_a"), F.regr_slope("y", "t").alias("_b"))
-    d = d.join(fit, "category").withColumn("_tr", _trend(F.col("_a"), F.col("_b"), F.col("t")))
-    season = _normalised_index(d, ["category"], "moy", F.col("y") / F.col("_tr"), "_s")
-    d = d.join(season, ["category", "moy"])
-    sigma = d.groupBy("category").agg(
-        F.stddev_samp(F.col("y") / (F.col("_tr") * F.col("_s")) - 1).alias("_sigma"))
-    model = span.join(fit, "category").join(sigma, "category")
+    actual, up to 31 Dec of the year after ``as_of``; values clamped at 0.
+
+    The fit runs as window aggregates partitioned by category over the
+    month x category series (one exchange; a category holds at most one row
+    per month, so no partition grows with the fact volume): linear trend by
+    ``regr_intercept``/``regr_slope`` on the month index, a month-of-year
+    index normalised over the months present, and the residual spread.
+    """
+    y = (category_month_revenue(monthly_sales)
+         .select("category", F.col("sales_month").alias("ds"), F.col("total_revenue").cast("double").alias("y")))
+    wc = Window.partitionBy("category")
+    wcm = Window.partitionBy("category", "moy")
+    d = (y.withColumn("_n", F.count("y").over(wc))
+         .filter(F.col("_n") >= min_months)
+         .withColumn("_first", F.min("ds").over(wc))
+         .withColumn("_last", F.max("ds").over(wc))
+         .withColumn("t", month_diff("_first", "ds").cast("double"))
+         .withColumn("moy", F.month("ds"))
+         .withColumn("_a", F.regr_intercept("y", "t").over(wc))
+         .withColumn("_b", F.regr_slope("y", "t").over(wc))
+         .withColumn("_tr", _trend(F.col("_a"), F.col("_b"), F.col("t")))
+         .withColumn("_raw", F.avg(F.col("y") / F.col("_tr")).over(wcm))
+         .withColumn("_n_m", F.count("y").over(wcm))
+         # mean of the per-month indices over the months present
+         .withColumn("_mean_raw", F.sum(F.col("_raw") / F.col("_n_m")).over(wc)
+                     / F.size(F.collect_set("moy").over(wc)))
+         .withColumn("_s", F.col("_raw") / F.col("_mean_raw"))
+         .withColumn("_sigma", F.stddev_samp(F.col("y") / (F.col("_tr") * F.col("_s")) - 1).over(wc)))
+    d = materialize(d.select("category", "moy", "_first", "_last", "_a", "_b", "_s", "_sigma"))
+    season = d.select("category", "moy", "_s").distinct()
+    model = d.select("category", "_first", "_last", "_a", "_b", "_sigma").distinct()
     fut = model.select(
         "category", "_first", "_a", "_b", "_sigma",
         F.explode(F.sequence(F.add_months("_last", 1), F.add_months("_last", steps),
@@ -168,8 +185,9 @@ def traffic_forecast(hourly: DataFrame, as_of: Column, generated_at: Column | No
     month-of-year index and a weekday index fitted on what the month index
     leaves over. The single series' fit values are scalar subqueries, so no
     step funnels the series through a constant join key."""
-    y = daily_visits(hourly).select(F.col("event_date").alias("ds"),
-                                    F.col("total_visits").cast("double").alias("y"))
+    # One row per day, read by every scalar fit below: materialised once.
+    y = materialize(daily_visits(hourly).select(F.col("event_date").alias("ds"),
+                                                F.col("total_visits").cast("double").alias("y")))
     first = y.agg(F.min("ds")).scalar()
     last = y.agg(F.max("ds")).scalar()
     d = (y.withColumn("t", F.datediff("ds", first).cast("double"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.functions.exprs import (ADDON_CATEGORIES, ADDON_PRICE_SHARE, addon_chance, price_tier,
                                       whole_years)
@@ -18,16 +19,53 @@ def order_candidates(raw_traffic: DataFrame, processed: DataFrame | None) -> Dat
     return d.select("order_id", "product_id", F.col("event_time").alias("order_time"))
 
 
+def active_staff_per_day(days: DataFrame, employees: DataFrame, day_col: str = "_d",
+                         exit_inclusive: bool = False) -> DataFrame:
+    """Staff employed on each day of ``days`` when hire/exit are calendar dates.
+
+    With day-granular bounds, ``hire <= ts AND (exit IS NULL OR exit > ts)``
+    depends only on the day of ``ts``. The count is a prefix sum over staff
+    change points: +1 on the hire day, -1 on the first day no longer
+    employed (the exit day, or the day after it when the exit day itself
+    still counts). The running sum is taken over (change days + asked days)
+    only — a set bounded by the calendar, not by the fact volume — so no
+    order x staff pairs are ever formed.
+    """
+    hire, exit_ = F.col("hire_date").cast("date"), F.col("exit_date").cast("date")
+    gone = F.greatest(hire, exit_)
+    if exit_inclusive:
+        gone = F.date_add(gone, 1)
+    changes = employees.select(hire.alias("_cd"), F.lit(1).alias("_delta")).unionByName(
+        employees.filter(hire.isNotNull() & exit_.isNotNull()).select(gone.alias("_cd"), F.lit(-1).alias("_delta")))
+    changes = changes.filter(F.col("_cd").isNotNull()).groupBy("_cd").agg(F.sum("_delta").alias("_delta"))
+    asked = days.select(F.col(day_col).alias("_cd")).distinct().withColumn("_delta", F.lit(0).cast("bigint"))
+    timeline = changes.unionByName(asked).groupBy("_cd").agg(F.sum("_delta").alias("_delta"))
+    # Calendar-bounded series (distinct days): one ordered window is cheap here.
+    w = Window.orderBy("_cd").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return timeline.select(F.col("_cd").alias(day_col), F.sum("_delta").over(w).alias("active_staff_count"))
+
+
 def active_staff_per_order(orders: DataFrame, employees: DataFrame, ts_col: str = "order_timestamp",
                            with_ids: bool = False) -> DataFrame:
     """Number of staff employed at each order's time (``hire <= ts < exit``).
 
-    Orders without any active staff keep a count of 0. The staff side is
-    broadcast when its size is proven small, otherwise the interval join is
-    bucketed by month (see ``joins.active_staff_at``).
+    Orders without any active staff get 0. When hire and exit are dates (the
+    silver schema) the count comes from a per-day prefix sum joined to the
+    orders on their day — linear in orders, no interval join. Timestamp
+    bounds, or ``with_ids`` (the list of active employee ids), fall back to
+    the interval join of ``joins.active_staff_at``.
     """
     o = orders.select("order_id", ts_col)
     staff = employees.select("employee_id", "hire_date", "exit_date")
+    date_bounds = all(isinstance(staff.schema[c].dataType, T.DateType) for c in ("hire_date", "exit_date"))
+    if date_bounds and not with_ids:
+        od = o.withColumn("_d", F.col(ts_col).cast("date"))
+        per_day = active_staff_per_day(od, staff)
+        # One row per calendar day: the DATE domain caps it at ~3.65M rows
+        # (~60 MB), and real spans are a few thousand days, so it is broadcast.
+        return (od.join(F.broadcast(per_day), "_d", "left")
+                .select("order_id", ts_col,
+                        F.coalesce(F.col("active_staff_count"), F.lit(0)).cast("bigint").alias("active_staff_count")))
     pairs = active_staff_at(o, staff, ts_col, exit_inclusive=False, how="left")
     return pairs.groupBy("order_id", ts_col).agg(
         F.count("employee_id").alias("active_staff_count"),

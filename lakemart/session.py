@@ -72,3 +72,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Eagerly write ``df`` to the shared checkpoint folder and cut its lineage.
+
+    Used for small intermediate results that later steps read many times
+    (e.g. a forecast's training series feeding several scalar fits), so the
+    upstream scan and aggregation run once. Reliable checkpoints survive the
+    loss of an executor, unlike cached or locally checkpointed blocks.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
