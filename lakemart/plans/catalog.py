@@ -195,3 +195,22 @@ def dq_unique_keys(spark, sf_dir):
 @register("dq_not_null", O.with_models(O.dq_not_null_sql()))
 def dq_not_null(spark, sf_dir):
     return Q.run_checks(Q.not_null_check, _dq_tables(spark, sf_dir))
+
+
+# -- streaming -------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from lakemart.session import checkpoint_dir  # noqa: E402
+from lakemart.sources.fixtures import stream_table, traffic_from_events  # noqa: E402
+from lakemart.streaming import hourly as ST  # noqa: E402
+
+
+@register("stream_hourly_traffic", O.model_sql("mart_hourly_traffic_conversion"))
+def stream_hourly_traffic(spark, sf_dir):
+    """Exact hourly mart built by Structured Streaming (availableNow) over the
+    events file; must equal the batch mart row for row."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lakemart-stream-{uuid.uuid4().hex}"
+    src = traffic_from_events(stream_table(spark, sf_dir, "events"))
+    q = ST.hourly_mart_stream(spark, src, f"{root}/silver", f"{root}/mart", f"{root}/_checkpoint")
+    q.awaitTermination()
+    return ST.read_hourly_mart(spark, f"{root}/mart")

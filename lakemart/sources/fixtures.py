@@ -29,6 +29,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """A driver table as a file stream (schema taken from the file, not inferred per batch)."""
+    schema = _read(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part")
     mult = F.lit(1) + F.col("p_partkey") % 40
@@ -96,7 +103,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month of second-level events: hourly and streaming work."""
-    e = _read(spark, sf_dir, "events")
+    return traffic_from_events(_read(spark, sf_dir, "events"))
+
+
+def traffic_from_events(e: DataFrame) -> DataFrame:
+    """The raw-traffic projection of an events frame (batch or streaming)."""
     eid = F.col("event_id")
     return e.select(
         F.col("ts").cast("timestamp_ntz").alias("event_time"),
