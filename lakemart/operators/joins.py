@@ -15,6 +15,26 @@ def broadcast_max_rows(spark: SparkSession) -> int:
     return int(spark.conf.get("lakemart.broadcast.maxRows", str(DEFAULT_BROADCAST_MAX_ROWS)))
 
 
+# Size checks already made in this process: (plan hash, input files, bound)
+# -> row count within the bound, or None when above it. Files of a lake table
+# are immutable (a rewrite produces new part files), so an identical plan
+# over an identical file list has an identical row count.
+_SIZE_CHECKS: dict = {}
+
+
+def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
+    """Rows of ``df`` if at most ``max_rows``, else None (reads <= max_rows + 1 rows)."""
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.semanticHash(), files, max_rows) if files else None
+    if key is not None and key in _SIZE_CHECKS:
+        return _SIZE_CHECKS[key]
+    n = df.limit(max_rows + 1).count()
+    result = n if n <= max_rows else None
+    if key is not None:
+        _SIZE_CHECKS[key] = result
+    return result
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint for ``dim`` only when it provably has at most ``max_rows`` rows.
 
@@ -26,8 +46,7 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
     """
     if max_rows is None:
         max_rows = broadcast_max_rows(dim.sparkSession)
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if bounded_row_count(dim, max_rows) is not None else dim
 
 
 def active_staff_at(events: DataFrame, staff: DataFrame, ts_col: str,
@@ -52,10 +71,10 @@ def active_staff_at(events: DataFrame, staff: DataFrame, ts_col: str,
     exit_ = F.col(exit_col)
     if max_rows is None:
         max_rows = broadcast_max_rows(events.sparkSession)
-    n = staff.limit(max_rows + 1).count()
+    small = bounded_row_count(staff, max_rows) is not None
     exit_ok = (exit_ >= ev_ts) if exit_inclusive else (exit_ > ev_ts)
     cond = (hire <= ev_ts) & (exit_.isNull() | exit_ok)
-    if n <= max_rows:
+    if small:
         return events.join(F.broadcast(staff), cond, how)
     # Month-bucketed equi-join for large staff tables. Open-ended (NULL or
     # sentinel) exits are clipped to the event span, read as one scalar row.
