@@ -214,3 +214,30 @@ def stream_hourly_traffic(spark, sf_dir):
     q = ST.hourly_mart_stream(spark, src, f"{root}/silver", f"{root}/mart", f"{root}/_checkpoint")
     q.awaitTermination()
     return ST.read_hourly_mart(spark, f"{root}/mart")
+
+
+# -- CSV landing round trip (sources) ----------------------------------------------
+from lakemart.sources.files import FLOAT_IDS, read_csv  # noqa: E402
+from lakemart.sources.fixtures import RawTables  # noqa: E402
+from lakemart.sources.sinks import write_csv  # noqa: E402
+
+
+def _landed(spark, sf_dir, table):
+    """Write a raw table the way the landing files carry it (nullable ids as
+    floats, timestamps as text, 'None' as a literal) and read it back."""
+    raw = getattr(RawTables(spark, sf_dir), table)
+    for c in FLOAT_IDS.get(table, ()):
+        raw = raw.withColumn(c, F.col(c).cast("double"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lakemart-landing-{uuid.uuid4().hex}/{table}"
+    write_csv(raw, path, mode="overwrite", timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return read_csv(spark, path, table)
+
+
+@register("csv_landing_orders", O.with_models("SELECT * FROM raw_orders"))
+def csv_landing_orders(spark, sf_dir):
+    return _landed(spark, sf_dir, "raw_orders")
+
+
+@register("csv_landing_traffic", O.with_models("SELECT * FROM raw_traffic"))
+def csv_landing_traffic(spark, sf_dir):
+    return _landed(spark, sf_dir, "raw_traffic")

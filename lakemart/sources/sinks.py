@@ -36,9 +36,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.save(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "append",
+              timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> None:
     """CSV landing write with a header in every part file."""
-    df.write.mode(mode).option("header", True).csv(path)
+    (df.write.mode(mode).option("header", True).option("timestampNTZFormat", timestamp_format)
+     .option("timestampFormat", timestamp_format).csv(path))
 
 
 def save_as_layer_table(spark: SparkSession, df: DataFrame, layer: str, name: str,
