@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.exprs import col
@@ -92,15 +92,26 @@ def bucket_delta(source: DataFrame, target: DataFrame | None, ts_col: str, bucke
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str] | None) -> DataFrame:
-    """One row per key: the greatest by ``order_cols`` (descending).
-
-    Without ``order_cols`` the delta must already be unique per key; the
-    window is still applied (ordered by the full row) so duplicates are
-    resolved deterministically rather than by arrival order.
+    """One row per key: the greatest by ``order_cols``, ties broken by the
+    remaining columns (deterministic, independent of arrival order).
+
+    Written as ``max(struct(order_cols..., other columns...))`` per key: an
+    aggregate with map-side partial aggregation, so a key with very many
+    versions is reduced inside every task before the shuffle instead of being
+    sorted whole in one task (as a ``row_number`` window would). In the
+    struct order a NULL field sorts below any value, so NULL order values
+    lose, as with ``desc_nulls_last``.
     """
-    order = [F.col(c).desc_nulls_last() for c in (order_cols or [c for c in df.columns if c not in keys])]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    order = [c for c in (order_cols or []) if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
+        return df.select(*keys).distinct()
+    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                      *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])
+    agg = df.groupBy(*keys).agg(F.max(packed).alias("_best"))
+    cols = {c: F.col(f"_best._o{i}") for i, c in enumerate(order)}
+    cols.update({c: F.col(f"_best._r{i}") for i, c in enumerate(rest)})
+    return agg.select(*[F.col(c) if c in keys else cols[c].alias(c) for c in df.columns])
 
 
 def upsert(target: DataFrame | None, delta: DataFrame, keys: list[str],
