@@ -109,7 +109,8 @@ def category_month_revenue(monthly_sales: DataFrame) -> DataFrame:
 
 
 def revenue_forecast(monthly_sales: DataFrame, as_of: Column, generated_at: Column | None = None,
-                     min_months: int = MIN_MONTHS, steps: int = HORIZON_STEPS) -> DataFrame:
+                     min_months: int = MIN_MONTHS, steps: int = HORIZON_STEPS,
+                     drop_partial_last: bool = False) -> DataFrame:
     """Per-category monthly revenue forecast for the month starts after the last
     actual, up to 31 Dec of the year after ``as_of``; values clamped at 0.
 
@@ -118,9 +119,14 @@ def revenue_forecast(monthly_sales: DataFrame, as_of: Column, generated_at: Colu
     per month, so no partition grows with the fact volume): linear trend by
     ``regr_intercept``/``regr_slope`` on the month index, a month-of-year
     index normalised over the months present, and the residual spread.
+
+    ``drop_partial_last`` leaves the month of ``as_of`` (still running) out
+    of the training data; by default it trains like a complete month.
     """
     y = (category_month_revenue(monthly_sales)
          .select("category", F.col("sales_month").alias("ds"), F.col("total_revenue").cast("double").alias("y")))
+    if drop_partial_last:
+        y = y.filter(F.col("ds") < F.trunc(col(as_of), "MM"))
     wc = Window.partitionBy("category")
     wcm = Window.partitionBy("category", "moy")
     d = (y.withColumn("_n", F.count("y").over(wc))

@@ -271,3 +271,12 @@ def test_dim_date_reference_spine(spark):
     assert last == D(2031, 12, 14)
     r = d.filter(F.col("date_day") == D(2021, 3, 5)).first()
     assert (r.year_quarter, r.year_month, r.month_name) == ("2021-Q1", "2021-03", "Mar")
+
+
+def test_forecast_drop_partial_last(spark):
+    rows = [(D(2023, m + 1, 1), "A", "p", 1000 + 10 * m) for m in range(12)] + [(D(2024, 1, 1), "A", "p", 5)]
+    sales = spark.createDataFrame(rows, "sales_month date, category string, product_name string, total_revenue long")
+    keep = ml.revenue_forecast(sales, F.lit(D(2024, 1, 20))).agg(F.min("forecast_date")).first()[0]
+    drop = ml.revenue_forecast(sales, F.lit(D(2024, 1, 20)), drop_partial_last=True) \
+        .agg(F.min("forecast_date")).first()[0]
+    assert keep == D(2024, 2, 1) and drop == D(2024, 1, 1)
