@@ -119,9 +119,24 @@ def safe_ratio(num, den) -> Column:
     return col(num) / F.nullif(col(den), F.lit(0))
 
 
+# Integer ratios and averages are fixed-point in the original models: the
+# quotient carries 6 fractional digits and is then rounded half-up. Rounding a
+# binary double directly would turn an exact tie such as 557.175 into 557.17.
+FIXED_SCALE = 6
+
+
+def fixed(x) -> Column:
+    return col(x).cast(f"decimal(38,{FIXED_SCALE})")
+
+
+def round_fixed(x, digits: int) -> Column:
+    """ROUND(x, digits) on the 6-digit fixed-point value, returned as double."""
+    return F.round(fixed(x), digits).cast("double")
+
+
 def pct(num, den, digits: int = 2) -> Column:
-    """ROUND(num / NULLIF(den, 0) * 100, digits)."""
-    return F.round(safe_ratio(num, den) * 100, digits)
+    """ROUND(num / NULLIF(den, 0) * 100, digits) with a fixed-point quotient."""
+    return F.round(fixed(safe_ratio(num, den)) * 100, digits).cast("double")
 
 
 def tenure_bracket(months) -> Column:

@@ -15,7 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.functions.exprs import (city_region, month_diff, pct, safe_ratio,
+from lakemart.functions.exprs import (city_region, month_diff, pct, round_fixed, safe_ratio,
                                       surrogate_key, tenure_bracket, trunc_date,
                                       trunc_ts)
 from lakemart.operators.joins import bounded_broadcast
@@ -91,7 +91,7 @@ def dim_products_gold(stg_products: DataFrame, fact_orders: DataFrame) -> DataFr
     """
     reviews = (fact_orders.filter(F.col("review").isNotNull())
                .groupBy("product_id")
-               .agg(F.round(F.avg("review"), 2).alias("_avg")))
+               .agg(round_fixed(F.avg("review"), 2).alias("_avg")))
     j = stg_products.join(reviews, "product_id", "left")
     return j.select("product_id", "product_name", "category", "subcategory", "brand",
                     "base_price", "unit_cost",
@@ -220,11 +220,11 @@ def mart_product_reviews(fact_orders: DataFrame, stg_products: DataFrame) -> Dat
         surrogate_key("review_month", "product_id").alias("month_prod_id"),
         "review_month", "product_id", "product_name", "category", "subcategory",
         "review_count",
-        F.round("_avg", 2).alias("avg_review"),
+        round_fixed("_avg", 2).alias("avg_review"),
         "min_review", "max_review",
         F.col("five_star_count").cast("bigint").alias("five_star_count"),
         F.col("one_star_count").cast("bigint").alias("one_star_count"),
-        (F.round(signed, 4) + F.lit(0.0)).alias("pct_positive"),
+        (round_fixed(signed, 4) + F.lit(0.0)).alias("pct_positive"),
         "total_revenue")
 
 
@@ -254,5 +254,5 @@ def mart_employee_addon_performance(fact_orders: DataFrame, dim_employees: DataF
         "total_orders", "addon_orders",
         pct("addon_orders", "total_orders").alias("addon_attach_rate_pct"),
         "total_addon_revenue",
-        F.round(safe_ratio("total_addon_revenue", "addon_orders"), 2).alias("avg_addon_value"),
+        round_fixed(safe_ratio("total_addon_revenue", "addon_orders"), 2).alias("avg_addon_value"),
     )

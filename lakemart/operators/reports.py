@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.exprs import pct, safe_ratio
+from lakemart.functions.exprs import pct, round_fixed, safe_ratio
 
 
 def city_kpi(city_sales: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def city_kpi(city_sales: DataFrame) -> DataFrame:
         F.sum("total_margin").alias("total_margin"),
         F.count("sales_day").alias("selling_days"),
     )
-    return agg.withColumn("avg_order_value", F.round(safe_ratio("total_revenue", "total_orders"), 2))
+    return agg.withColumn("avg_order_value", round_fixed(safe_ratio("total_revenue", "total_orders"), 2))
 
 
 def mom_yoy(city_sales: DataFrame) -> DataFrame:
@@ -39,11 +39,9 @@ def mom_yoy(city_sales: DataFrame) -> DataFrame:
                "left")
     return j.select(
         "city", "sales_month", "revenue", "prev_month_revenue",
-        F.round(safe_ratio(F.col("revenue") - F.col("prev_month_revenue"), "prev_month_revenue") * 100, 2)
-         .alias("mom_pct"),
+        pct(F.col("revenue") - F.col("prev_month_revenue"), "prev_month_revenue").alias("mom_pct"),
         "prev_year_revenue",
-        F.round(safe_ratio(F.col("revenue") - F.col("prev_year_revenue"), "prev_year_revenue") * 100, 2)
-         .alias("yoy_pct"))
+        pct(F.col("revenue") - F.col("prev_year_revenue"), "prev_year_revenue").alias("yoy_pct"))
 
 
 def category_margin(monthly_sales: DataFrame, dim_products: DataFrame) -> DataFrame:
