@@ -97,3 +97,16 @@ class Models:
 
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+    MODEL_NAMES = ("stg_products", "stg_employees", "stg_payroll", "stg_orders", "stg_traffic",
+                   "dim_date", "dim_employees_gold", "dim_payroll_gold", "fact_orders_gold",
+                   "dim_products_gold", "mart_monthly_product_sales", "mart_hourly_traffic_conversion",
+                   "mart_traffic_conversion_by_product", "mart_city_sales", "mart_product_reviews",
+                   "mart_employee_addon_performance")
+
+    def register_views(self) -> None:
+        """Expose the raw adapters and every silver/gold model as temp views,
+        so models can be queried with ``spark.sql`` (lazily; nothing runs)."""
+        self.raw.register()
+        for name in self.MODEL_NAMES:
+            self.get(name).createOrReplaceTempView(name)

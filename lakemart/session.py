@@ -68,6 +68,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
+                           "(HDFS/S3/ABFS); a machine-local folder would not survive executor loss")
     local = tempfile.mkdtemp(prefix="lakemart-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

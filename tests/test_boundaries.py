@@ -280,3 +280,12 @@ def test_forecast_drop_partial_last(spark):
     drop = ml.revenue_forecast(sales, F.lit(D(2024, 1, 20)), drop_partial_last=True) \
         .agg(F.min("forecast_date")).first()[0]
     assert keep == D(2024, 2, 1) and drop == D(2024, 1, 1)
+
+
+def test_models_as_sql_views(spark):
+    from conftest import SF001
+    from lakemart.plans.models import Models
+    Models(spark, SF001).register_views()
+    n = spark.sql("SELECT COUNT(*) FROM mart_city_sales WHERE region IS NULL").first()[0]
+    assert n > 0  # unmapped and NULL cities have no region
+    assert spark.sql("SELECT COUNT(*) FROM raw_orders").first()[0] == 1500
