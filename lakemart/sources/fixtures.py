@@ -11,6 +11,7 @@ equivalent SQL text lives in ``lakemart.plans.oracle``).
 from __future__ import annotations
 
 import datetime as _dt
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,23 @@ ADAPTER_PAYROLL_MONTHS = [_dt.date(1999, 1, 1), _dt.date(1999, 2, 1), _dt.date(1
 ADAPTER_HIRE_EPOCH = _dt.date(1995, 1, 1)
 
 
+# The driver's tables are read-only: a resolved DataFrame per (session, file,
+# file version) is reused instead of re-listing and re-reading the parquet
+# footer for every query plan.
+_READS: dict = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        st = os.stat(path)
+        version = (st.st_mtime_ns, st.st_size)
+    except OSError:  # not a local path: no memo
+        return spark.read.parquet(path)
+    key = (id(spark), path, version)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
