@@ -194,12 +194,14 @@ def traffic_forecast(hourly: DataFrame, as_of: Column, generated_at: Column | No
     # One row per day, read by every scalar fit below: materialised once.
     y = materialize(daily_visits(hourly).select(F.col("event_date").alias("ds"),
                                                 F.col("total_visits").cast("double").alias("y")))
-    first = y.agg(F.min("ds")).scalar()
-    last = y.agg(F.max("ds")).scalar()
+    # Related scalars are fetched together as one struct-valued subquery
+    # (identical subqueries are planned once), so each fit step is one job.
+    span = y.agg(F.struct(F.min("ds").alias("first"), F.max("ds").alias("last"))).scalar()
+    first = span.getField("first")
     d = (y.withColumn("t", F.datediff("ds", first).cast("double"))
          .withColumn("moy", F.month("ds")).withColumn("dow", F.dayofweek("ds")))
-    a = d.agg(F.regr_intercept("y", "t")).scalar()
-    b = d.agg(F.regr_slope("y", "t")).scalar()
+    fit = d.agg(F.struct(F.regr_intercept("y", "t").alias("a"), F.regr_slope("y", "t").alias("b"))).scalar()
+    a, b = fit.getField("a"), fit.getField("b")
     d = d.withColumn("_tr", _trend(a, b, F.col("t")))
     s_m = _global_index(d, "moy", F.col("y") / F.col("_tr"), "_sm")
     d = d.join(s_m, "moy")
