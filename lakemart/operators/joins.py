@@ -22,9 +22,13 @@ def broadcast_max_rows(spark: SparkSession) -> int:
 _SIZE_CHECKS: dict = {}
 
 
-def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
-    """Rows of ``df`` if at most ``max_rows``, else None (reads <= max_rows + 1 rows)."""
-    files = tuple(sorted(df.inputFiles()))
+def bounded_row_count(df: DataFrame, max_rows: int, memo: bool = True) -> int | None:
+    """Rows of ``df`` if at most ``max_rows``, else None (reads <= max_rows + 1 rows).
+
+    ``memo=False`` for plans whose size also depends on data outside their
+    own input files (e.g. a scalar subquery over another table).
+    """
+    files = tuple(sorted(df.inputFiles())) if memo else ()
     key = (df.semanticHash(), files, max_rows) if files else None
     if key is not None and key in _SIZE_CHECKS:
         return _SIZE_CHECKS[key]
@@ -35,7 +39,7 @@ def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
     return result
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
+def bounded_broadcast(dim: DataFrame, max_rows: int | None = None, memo: bool = True) -> DataFrame:
     """Broadcast hint for ``dim`` only when it provably has at most ``max_rows`` rows.
 
     The check is a bounded action (``limit(max_rows + 1).count()``), so it
@@ -46,7 +50,7 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
     """
     if max_rows is None:
         max_rows = broadcast_max_rows(dim.sparkSession)
-    return F.broadcast(dim) if bounded_row_count(dim, max_rows) is not None else dim
+    return F.broadcast(dim) if bounded_row_count(dim, max_rows, memo) is not None else dim
 
 
 def active_staff_at(events: DataFrame, staff: DataFrame, ts_col: str,
@@ -59,36 +63,30 @@ def active_staff_at(events: DataFrame, staff: DataFrame, ts_col: str,
     the order assignment rule) or ``exit >= ts`` with ``exit_inclusive`` (the
     payroll rule).
 
-    Plan: when the staff side is provably small it is broadcast and Spark runs
-    a broadcast nested-loop join with the range predicate (no shuffle of the
-    event side). Otherwise the staff intervals are exploded into the calendar
-    months they touch, equi-joined to the event's month (a shuffle hash/sort
-    merge join on the month key) and re-filtered with the exact predicate, so
-    no all-pairs product is ever formed.
+    Plan: the staff intervals are exploded into the calendar months they
+    touch (clipped to the events' span), equi-joined to each event's month
+    with the exact range test inside the join condition, so an event is only
+    compared with staff employed in its month — never with the whole staff
+    table (no nested-loop join, no all-pairs product). The exploded
+    staff x month table is broadcast when its size is proven under the bound,
+    otherwise both sides are shuffled on the month key.
     """
     ev_ts = F.col(ts_col)
     hire = F.col(hire_col)
     exit_ = F.col(exit_col)
-    if max_rows is None:
-        max_rows = broadcast_max_rows(events.sparkSession)
-    small = bounded_row_count(staff, max_rows) is not None
     exit_ok = (exit_ >= ev_ts) if exit_inclusive else (exit_ > ev_ts)
     cond = (hire <= ev_ts) & (exit_.isNull() | exit_ok)
-    if small:
-        return events.join(F.broadcast(staff), cond, how)
-    # Month-bucketed equi-join for large staff tables. Open-ended (NULL or
-    # sentinel) exits are clipped to the event span, read as one scalar row.
-    span = events.agg(F.min(F.trunc(ev_ts, "MM")).alias("lo"),
-                      F.max(F.trunc(ev_ts, "MM")).alias("hi")).first()
-    if span is None or span["lo"] is None:
-        return events.join(staff, F.lit(False), how)
-    lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
+    # Open-ended (NULL or sentinel) exits are clipped to the event span, a
+    # pair of lazy scalar subqueries; with no events no month row is made.
+    span = events.agg(F.struct(F.min(F.trunc(ev_ts, "MM")).alias("lo"),
+                               F.max(F.trunc(ev_ts, "MM")).alias("hi"))).scalar()
+    lo, hi = span.getField("lo"), span.getField("hi")
     start = F.greatest(F.trunc(hire, "MM"), lo)
     end = F.least(F.trunc(F.coalesce(exit_.cast("date"), hi), "MM"), hi)
-    months = (staff.filter(start <= end)
+    months = (staff.filter(lo.isNotNull() & (start <= end))
               .withColumn("_bucket", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH")))))
+    # Its size depends on the events' span (a subquery): checked fresh each time.
+    months = bounded_broadcast(months, max_rows, memo=False)
     ev = events.withColumn("_ev_bucket", F.trunc(ev_ts, "MM"))
-    # Equi key on the month plus the exact range test inside the join
-    # condition, so a left join keeps events that match nobody.
     joined = ev.join(months, (F.col("_ev_bucket") == F.col("_bucket")) & cond, how)
     return joined.drop("_bucket", "_ev_bucket")

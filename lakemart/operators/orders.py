@@ -52,8 +52,8 @@ def active_staff_per_order(orders: DataFrame, employees: DataFrame, ts_col: str
     Orders without any active staff get 0. When hire and exit are dates (the
     silver schema) the count comes from a per-day prefix sum joined to the
     orders on their day — linear in orders, no interval join. Timestamp
-    bounds, or ``with_ids`` (the list of active employee ids), fall back to
-    the interval join of ``joins.active_staff_at``.
+    bounds, or ``with_ids`` (the list of active employee ids), use the
+    month-bucketed interval join of ``joins.active_staff_at``.
     """
     o = orders.select("order_id", ts_col)
     staff = employees.select("employee_id", "hire_date", "exit_date")
