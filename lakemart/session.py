@@ -39,6 +39,8 @@ def get_session(master: str | None = None, app_name: str = "lakemart",
         # No web UI on local runs: it would open a port.
         builder = builder.config("spark.ui.enabled", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("LAKEMART_DRIVER_MEMORY", "8g"))
+    # Reliable checkpoint files are removed once their DataFrame is garbage-collected.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
