@@ -14,6 +14,8 @@ fact; the date dimension; finally the three ML outputs.
 
 from __future__ import annotations
 
+import contextlib
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +66,14 @@ class Pipeline:
         # Schema of every model written in this run: a partitioned write of
         # zero rows leaves no file to read a schema from.
         self._schemas: dict = {}
+        # Wall seconds per step of the last run (driver-side clock).
+        self.timings: dict[str, float] = {}
+
+    @contextlib.contextmanager
+    def _step(self, name: str):
+        t0 = time.perf_counter()
+        yield
+        self.timings[name] = round(time.perf_counter() - t0, 3)
 
     def path(self, name: str, layer: str = "gold") -> str:
         return f"{self.root}/{layer}/{name}"
@@ -100,7 +110,8 @@ class Pipeline:
             delta = delta.withColumn(c, expr())
         self._schemas[name] = delta.schema
         order = ["order_timestamp"] if "order_timestamp" in delta.columns else None
-        upsert_table(self.spark, self.path(name), delta, spec.keys, spec.partition, order_cols=order)
+        with self._step(name):
+            upsert_table(self.spark, self.path(name), delta, spec.keys, spec.partition, order_cols=order)
 
     def run(self, raw) -> dict[str, str]:
         """``raw`` exposes ``raw_products raw_employees raw_payroll raw_orders
@@ -118,8 +129,11 @@ class Pipeline:
             df.createOrReplaceTempView(n)
 
         # Dimensions that are replaced whole on every run.
-        write_table(gold.dim_employees_gold(s_employees), self.path("dim_employees_gold"))
-        write_table(gold.dim_payroll_gold(s_payroll), self.path("dim_payroll_gold"))
+        self.timings = {}
+        with self._step("dim_employees_gold"):
+            write_table(gold.dim_employees_gold(s_employees), self.path("dim_employees_gold"))
+        with self._step("dim_payroll_gold"):
+            write_table(gold.dim_payroll_gold(s_payroll), self.path("dim_payroll_gold"))
 
         # Order fact (row watermark), then the marts built straight from silver.
         self._merge("fact_orders_gold", lambda o: gold.fact_orders_gold(o, s_products), s_orders)
@@ -131,7 +145,8 @@ class Pipeline:
         # Models that read the stored fact.
         fact = self.gold("fact_orders_gold")
         dim_emp = self.gold("dim_employees_gold")
-        write_table(gold.dim_products_gold(s_products, fact), self.path("dim_products_gold"))
+        with self._step("dim_products_gold"):
+            write_table(gold.dim_products_gold(s_products, fact), self.path("dim_products_gold"))
         self._merge("mart_city_sales", lambda f: gold.mart_city_sales(f, s_products), fact)
         self._merge("mart_product_reviews", lambda f: gold.mart_product_reviews(f, s_products), fact)
         self._merge("mart_employee_addon_performance",
@@ -143,11 +158,14 @@ class Pipeline:
         hourly = self.gold("mart_hourly_traffic_conversion")
         series = ml.anomaly_inputs(self.gold("mart_traffic_conversion_by_product"),
                                    self.gold("mart_employee_addon_performance"))
-        write_table(ml.anomaly_flags(series), self.path("ml_anomaly_flags"))
-        write_table(ml.revenue_forecast(sales, sales.agg(F.max("sales_month")).scalar()),
-                    self.path("ml_revenue_forecast"))
-        write_table(ml.traffic_forecast(hourly, hourly.agg(F.max("event_date")).scalar()),
-                    self.path("ml_traffic_prediction"))
+        with self._step("ml_anomaly_flags"):
+            write_table(ml.anomaly_flags(series), self.path("ml_anomaly_flags"))
+        with self._step("ml_revenue_forecast"):
+            write_table(ml.revenue_forecast(sales, sales.agg(F.max("sales_month")).scalar()),
+                        self.path("ml_revenue_forecast"))
+        with self._step("ml_traffic_prediction"):
+            write_table(ml.traffic_forecast(hourly, hourly.agg(F.max("event_date")).scalar()),
+                        self.path("ml_traffic_prediction"))
         return {n: self.path(n) for n in list(SPECS) + ["dim_employees_gold", "dim_payroll_gold",
                                                         "dim_products_gold", "ml_anomaly_flags",
                                                         "ml_revenue_forecast", "ml_traffic_prediction"]}

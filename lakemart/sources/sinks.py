@@ -77,14 +77,22 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, keys: list[st
       partition overwrite — untouched partitions are not rewritten;
     * unpartitioned table: the whole table is merged and rewritten.
     """
+    # The de-duplicated delta is computed once and kept in the checkpoint
+    # folder (its size is the delta's, not the table's); an empty delta ends
+    # the step without reading or rewriting anything.
     delta = latest_per_key(delta, keys, order_cols)
     if not table_exists(spark, path):
         write_table(delta, path, "overwrite", [partition_col] if partition_col else None)
         return
+    delta = materialize(delta)
+    if delta.isEmpty():
+        return
     target = spark.read.parquet(path)
     if partition_col:
+        # Distinct partition values of the delta: one row per touched period,
+        # bounded by the calendar, so it is broadcast; the semi join on the
+        # partition column becomes dynamic partition pruning of the scan.
         touched = delta.select(partition_col).distinct()
-        # Semi join on the partition column -> dynamic partition pruning.
         target = target.join(F.broadcast(touched), partition_col, "left_semi")
     merged = materialize(upsert(target, delta.select(*target.columns), keys, dedupe=False))
     if partition_col:
