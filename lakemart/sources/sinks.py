@@ -27,10 +27,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                fmt: str = "parquet") -> None:
+                fmt: str = "parquet", dynamic: bool = False) -> None:
     """Full refresh (``overwrite``) or ``append``. An empty frame still leaves a
-    typed, empty table behind (a full refresh never deletes the table)."""
+    typed, empty table behind (a full refresh never deletes the table).
+    ``dynamic`` overwrites only the partitions present in ``df``."""
     w = df.write.mode(mode).format(fmt)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -96,7 +99,7 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, keys: list[st
         target = target.join(F.broadcast(touched), partition_col, "left_semi")
     merged = materialize(upsert(target, delta.select(*target.columns), keys, dedupe=False))
     if partition_col:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        merged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
     else:
         merged.write.mode("overwrite").parquet(path)

@@ -36,7 +36,8 @@ def _batch_to_silver(batch: DataFrame, batch_id: int, silver_path: str) -> DataF
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     # Overwrite only (event_day, batch_id) partitions of this batch: a retried
     # batch replaces its own earlier attempt instead of duplicating it.
-    rows.write.mode("overwrite").partitionBy("event_day", "batch_id").parquet(silver_path)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_day", "batch_id").parquet(silver_path))
     return rows
 
 
@@ -45,12 +46,12 @@ def hourly_mart_foreach_batch(silver_path: str, mart_path: str):
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         rows = _batch_to_silver(batch, batch_id, silver_path)
         days = rows.select("event_day").distinct()
         all_rows = spark.read.parquet(silver_path).join(F.broadcast(days), "event_day", "left_semi")
         mart = gold.mart_hourly_traffic_conversion(all_rows.drop("event_day", "batch_id"))
-        write_table(mart.withColumn("event_day", F.col("event_date")), mart_path, "overwrite", ["event_day"])
+        write_table(mart.withColumn("event_day", F.col("event_date")), mart_path, "overwrite", ["event_day"],
+                    dynamic=True)
 
     return run
 
