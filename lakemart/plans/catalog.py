@@ -67,7 +67,7 @@ register("inc_id_watermark", O.with_models(O.INC_ID_SQL))(R.inc_id_watermark)
 register("inc_next_period", O.with_models(O.NEXT_PERIOD_SQL))(R.inc_next_period)
 
 # -- HR and order operators ----------------------------------------------------
-from lakemart.operators import hr as H, ml as ML, orders as OR, quality as Q, reports as RP  # noqa: E402
+from lakemart.operators import gold, hr as H, ml as ML, orders as OR, quality as Q, reports as RP  # noqa: E402
 
 
 @register("payroll_expand", O.with_models(O.PAYROLL_EXPAND_SQL))
@@ -241,3 +241,31 @@ def csv_landing_orders(spark, sf_dir):
 @register("csv_landing_traffic", O.with_models("SELECT * FROM raw_traffic"))
 def csv_landing_traffic(spark, sf_dir):
     return _landed(spark, sf_dir, "raw_traffic")
+
+
+@register("stream_fact_orders", O.model_sql("fact_orders_gold"))
+def stream_fact_orders(spark, sf_dir):
+    """Order fact loaded by Structured Streaming (availableNow) with a per-batch
+    upsert by order_id; must equal the batch fact."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lakemart-stream-{uuid.uuid4().hex}"
+    m = Models(spark, sf_dir)
+    schema = m.raw.raw_orders.schema
+    orders_stream = stream_table(spark, sf_dir, "orders")
+    from lakemart.sources.fixtures import orders_from_driver  # noqa: E402
+    src = orders_from_driver(orders_stream).select(*schema.names)
+    q = ST.fact_upsert_stream(src, f"{root}/fact", m.stg_products, f"{root}/_checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/fact")
+
+
+@register("quarantine_late_orders", O.with_models(O.QUARANTINE_SQL))
+def quarantine_late_orders(spark, sf_dir):
+    """Re-delivered orders at or below the stored fact's high watermark go to a
+    quarantine table instead of vanishing (the first load held orders up to the cut)."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lakemart-quarantine-{uuid.uuid4().hex}"
+    m = Models(spark, sf_dir)
+    first = gold.fact_orders_gold(R._upto(m.stg_orders, "order_timestamp", R.ORDERS_CUT), m.stg_products)
+    first.write.parquet(f"{root}/fact")
+    ST.quarantine_late_rows(spark, m.stg_orders, f"{root}/fact", "order_timestamp", "order_timestamp",
+                            f"{root}/quarantine")
+    return spark.read.parquet(f"{root}/quarantine").drop("quarantined_batch_at")

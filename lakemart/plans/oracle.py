@@ -510,3 +510,8 @@ def dq_not_null_sql() -> str:
         parts.append(f"SELECT '{t}' AS table_name, '{k}' AS column_name, COUNT(*) AS row_count, "
                      f"COUNT(CASE WHEN {k} IS NULL THEN 1 END) AS null_count FROM {src}")
     return "\nUNION ALL\n".join(parts)
+
+
+QUARANTINE_SQL = f"""
+SELECT * FROM stg_orders
+WHERE order_timestamp <= (SELECT max(order_timestamp) FROM stg_orders WHERE order_timestamp <= {ORDERS_CUT_SQL})"""

@@ -93,7 +93,11 @@ def raw_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
+    return orders_from_driver(_read(spark, sf_dir, "orders"))
+
+
+def orders_from_driver(o: DataFrame) -> DataFrame:
+    """The raw-orders projection of a driver ``orders`` frame (batch or streaming)."""
     ok, ck, prio = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
     city = None
     for i, name in enumerate(ADAPTER_CITIES):

@@ -9,7 +9,8 @@ from conftest import SF001
 from lakemart.plans.catalog import QUERIES
 
 # Queries whose construction runs a job with side effects (a stream, a CSV landing write).
-SIDE_EFFECT_BUILDS = {"stream_hourly_traffic", "csv_landing_orders", "csv_landing_traffic"}
+SIDE_EFFECT_BUILDS = {"stream_hourly_traffic", "stream_fact_orders", "quarantine_late_orders",
+                      "csv_landing_orders", "csv_landing_traffic"}
 
 # Columns of the driver tables that no query needs: they must never be scanned.
 NEVER_READ = ["l_extendedprice", "l_discount", "l_tax", "l_quantity", "o_totalprice", "o_orderstatus",
