@@ -6,13 +6,26 @@ the adapter views and returns a DataFrame; nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.operators import gold
+from lakemart.operators import hr as H
+from lakemart.operators import ml as ML
+from lakemart.operators import orders as OR
+from lakemart.operators import quality as Q
+from lakemart.operators import reports as RP
 from lakemart.plans import oracle as O
+from lakemart.plans import runs as R
 from lakemart.plans.models import Models
+from lakemart.session import checkpoint_dir
+from lakemart.sources.files import FLOAT_IDS, read_csv
+from lakemart.sources.fixtures import RawTables, orders_from_driver, stream_table, traffic_from_events
+from lakemart.sources.sinks import write_csv
+from lakemart.streaming import hourly as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -52,7 +65,6 @@ register("mart_hourly_traffic_conversion", O.model_sql("mart_hourly_traffic_conv
 
 
 # -- incremental runs ----------------------------------------------------------
-from lakemart.plans import runs as R  # noqa: E402
 
 register("inc_fact_append", O.model_sql("fact_orders_gold"))(R.inc_fact_append)
 register("inc_hourly_merge", O.model_sql("mart_hourly_traffic_conversion"))(R.inc_hourly_merge)
@@ -67,7 +79,6 @@ register("inc_id_watermark", O.with_models(O.INC_ID_SQL))(R.inc_id_watermark)
 register("inc_next_period", O.with_models(O.NEXT_PERIOD_SQL))(R.inc_next_period)
 
 # -- HR and order operators ----------------------------------------------------
-from lakemart.operators import gold, hr as H, ml as ML, orders as OR, quality as Q, reports as RP  # noqa: E402
 
 
 @register("payroll_expand", O.with_models(O.PAYROLL_EXPAND_SQL))
@@ -198,11 +209,6 @@ def dq_not_null(spark, sf_dir):
 
 
 # -- streaming -------------------------------------------------------------------
-import uuid  # noqa: E402
-
-from lakemart.session import checkpoint_dir  # noqa: E402
-from lakemart.sources.fixtures import stream_table, traffic_from_events  # noqa: E402
-from lakemart.streaming import hourly as ST  # noqa: E402
 
 
 @register("stream_hourly_traffic", O.model_sql("mart_hourly_traffic_conversion"))
@@ -217,9 +223,6 @@ def stream_hourly_traffic(spark, sf_dir):
 
 
 # -- CSV landing round trip (sources) ----------------------------------------------
-from lakemart.sources.files import FLOAT_IDS, read_csv  # noqa: E402
-from lakemart.sources.fixtures import RawTables  # noqa: E402
-from lakemart.sources.sinks import write_csv  # noqa: E402
 
 
 def _landed(spark, sf_dir, table):
@@ -251,7 +254,6 @@ def stream_fact_orders(spark, sf_dir):
     m = Models(spark, sf_dir)
     schema = m.raw.raw_orders.schema
     orders_stream = stream_table(spark, sf_dir, "orders")
-    from lakemart.sources.fixtures import orders_from_driver  # noqa: E402
     src = orders_from_driver(orders_stream).select(*schema.names)
     q = ST.fact_upsert_stream(src, f"{root}/fact", m.stg_products, f"{root}/_checkpoint")
     q.awaitTermination()

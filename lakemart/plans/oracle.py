@@ -10,11 +10,12 @@ integers are BIGINT).
 
 from __future__ import annotations
 
+from lakemart.functions.exprs import CITY_REGION
+from lakemart.sources.fixtures import ADAPTER_CITIES, ADAPTER_OTHER_CITY
+
 # --------------------------------------------------------------------------
 # Adapter views (same text is valid in Spark SQL and DuckDB).
 # --------------------------------------------------------------------------
-from lakemart.functions.exprs import CITY_REGION  # noqa: E402
-from lakemart.sources.fixtures import ADAPTER_CITIES, ADAPTER_OTHER_CITY  # noqa: E402
 
 
 def _sql_str(v: str) -> str:
