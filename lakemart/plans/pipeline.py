@@ -37,11 +37,14 @@ class MartSpec:
     watermark: tuple[str, str] | None = None
     # Stored-only partition columns: name -> function returning the Column.
     extra_partition_expr: dict = field(default_factory=dict)
+    # False when a key's partition can change between versions (see upsert_table).
+    keys_fixed_to_partition: bool = True
 
 
 SPECS = {
     "fact_orders_gold": MartSpec(["order_id"], "order_month", watermark=("order_timestamp", "order_timestamp"),
-                                 extra_partition_expr={"order_month": lambda: F.trunc("order_date", "MM")}),
+                                 extra_partition_expr={"order_month": lambda: F.trunc("order_date", "MM")},
+                                 keys_fixed_to_partition=False),
     "mart_monthly_product_sales": MartSpec(["month_prod_id"], "sales_month",
                                            bucket=("order_timestamp", "sales_month", "month")),
     "mart_hourly_traffic_conversion": MartSpec(["event_hour"], "event_date",
@@ -122,7 +125,8 @@ class Pipeline:
         self._schemas[name] = delta.schema
         order = ["order_timestamp"] if "order_timestamp" in delta.columns else None
         with self._step(name):
-            upsert_table(self.spark, self.path(name), delta, spec.keys, spec.partition, order_cols=order)
+            upsert_table(self.spark, self.path(name), delta, spec.keys, spec.partition, order_cols=order,
+                         keys_fixed_to_partition=spec.keys_fixed_to_partition)
 
     def run(self, raw) -> dict[str, str]:
         """``raw`` exposes ``raw_products raw_employees raw_payroll raw_orders

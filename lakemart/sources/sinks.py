@@ -70,8 +70,20 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", proper
     w.save()
 
 
+def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
+    """Delete the ``col=value`` directories of a path-based partitioned table."""
+    if not values:
+        return
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        part = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{col}={v}")
+        part.getFileSystem(conf).delete(part, True)
+
+
 def upsert_table(spark: SparkSession, path: str, delta: DataFrame, keys: list[str],
-                 partition_col: str | None = None, order_cols: list[str] | None = None) -> None:
+                 partition_col: str | None = None, order_cols: list[str] | None = None,
+                 keys_fixed_to_partition: bool = True) -> None:
     """MERGE ``delta`` into the parquet table at ``path`` by ``keys``.
 
     * first run (no table): the de-duplicated delta is written;
@@ -79,6 +91,12 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, keys: list[st
       (pruned scan), merged with the delta and written back with dynamic
       partition overwrite — untouched partitions are not rewritten;
     * unpartitioned table: the whole table is merged and rewritten.
+
+    ``keys_fixed_to_partition=False`` is for keys that may move between
+    partitions (an order re-delivered with a timestamp in another month):
+    the partitions still holding an older version of a delta key are found
+    with a semi join over the key and partition columns only, and are merged
+    and rewritten too, so no stale copy survives in an untouched partition.
     """
     # The de-duplicated delta is computed once and kept in the checkpoint
     # folder (its size is the delta's, not the table's); an empty delta ends
@@ -96,10 +114,21 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, keys: list[st
         # bounded by the calendar, so it is broadcast; the semi join on the
         # partition column becomes dynamic partition pruning of the scan.
         touched = delta.select(partition_col).distinct()
+        if not keys_fixed_to_partition:
+            dk = delta.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+            cond = [target[k].eqNullSafe(dk[f"_k_{k}"]) for k in keys]
+            holding = target.select(*keys, partition_col).join(dk, cond, "left_semi").select(partition_col)
+            touched = materialize(touched.unionByName(holding).distinct())
         target = target.join(F.broadcast(touched), partition_col, "left_semi")
     merged = materialize(upsert(target, delta.select(*target.columns), keys, dedupe=False))
     if partition_col:
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
+        if not keys_fixed_to_partition:
+            # A partition whose only rows moved elsewhere is absent from the
+            # output, so dynamic overwrite leaves it: remove it explicitly.
+            # (The list holds at most the touched partitions.)
+            emptied = touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti")
+            _drop_partitions(spark, path, partition_col, [r[0] for r in emptied.collect()])
     else:
         merged.write.mode("overwrite").parquet(path)

@@ -47,3 +47,12 @@ def test_append_payroll_and_column_case(spark):
     up = normalise_column_case(old, upper=True)
     assert up.columns == ["EMPLOYEE_ID", "MONTHLY_SALARY", "PAYROLL_MONTH"]
     assert normalise_column_case(up).columns == old.columns
+
+
+def test_upsert_table_key_moving_between_partitions(spark, scratch):
+    base = spark.createDataFrame([(1, D(2024, 1, 1), 10), (2, D(2024, 2, 1), 20)], "k long, m date, v long")
+    upsert_table(spark, f"{scratch}/mv", base, ["k"], partition_col="m", keys_fixed_to_partition=False)
+    moved = spark.createDataFrame([(1, D(2024, 3, 1), 11)], "k long, m date, v long")  # key 1 moves month
+    upsert_table(spark, f"{scratch}/mv", moved, ["k"], partition_col="m", keys_fixed_to_partition=False)
+    got = sorted((r.k, str(r.m), r.v) for r in spark.read.parquet(f"{scratch}/mv").collect())
+    assert got == [(1, "2024-03-01", 11), (2, "2024-02-01", 20)]
