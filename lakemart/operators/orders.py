@@ -29,20 +29,37 @@ def active_staff_per_day(days: DataFrame, employees: DataFrame, day_col: str = "
     employed (the exit day, or the day after it when the exit day itself
     still counts). The running sum is taken over (change days + asked days)
     only — a set bounded by the calendar, not by the fact volume — so no
-    order x staff pairs are ever formed.
+    order x staff pairs are ever formed, and no step orders the whole
+    timeline in one task.
     """
     hire, exit_ = F.col("hire_date").cast("date"), F.col("exit_date").cast("date")
     gone = F.greatest(hire, exit_)
     if exit_inclusive:
         gone = F.date_add(gone, 1)
+    asked = days.select(F.col(day_col).alias("_cd")).distinct()
+    last_asked = asked.agg(F.max("_cd")).scalar()
     changes = employees.select(hire.alias("_cd"), F.lit(1).alias("_delta")).unionByName(
         employees.filter(hire.isNotNull() & exit_.isNotNull()).select(gone.alias("_cd"), F.lit(-1).alias("_delta")))
-    changes = changes.filter(F.col("_cd").isNotNull()).groupBy("_cd").agg(F.sum("_delta").alias("_delta"))
-    asked = days.select(F.col(day_col).alias("_cd")).distinct().withColumn("_delta", F.lit(0).cast("bigint"))
-    timeline = changes.unionByName(asked).groupBy("_cd").agg(F.sum("_delta").alias("_delta"))
-    # Calendar-bounded series (distinct days): one ordered window is cheap here.
-    w = Window.orderBy("_cd").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return timeline.select(F.col("_cd").alias(day_col), F.sum("_delta").over(w).alias("active_staff_count"))
+    # Change points after the last asked day cannot affect any answer.
+    changes = changes.filter(F.col("_cd").isNotNull() & (F.col("_cd") <= last_asked))
+    timeline = (changes.unionByName(asked.withColumn("_delta", F.lit(0)))
+                .groupBy("_cd").agg(F.sum("_delta").alias("_delta"))
+                .withColumn("_y", F.year("_cd")))
+    # Running sum in two levels, with no window over the whole timeline:
+    # within each year (a window partitioned by year, <= 366 rows) plus the
+    # carry of all earlier years, spread to later years by exploding each
+    # yearly total over the years after it (<= years^2 / 2 small rows).
+    yearly = timeline.groupBy("_y").agg(F.sum("_delta").alias("_ys"))
+    last_year = F.year(last_asked)
+    carry = (yearly.filter(F.col("_y") < last_year)
+             .select(F.explode(F.sequence(F.col("_y") + 1, last_year)).alias("_y"), "_ys")
+             .groupBy("_y").agg(F.sum("_ys").alias("_carry")))
+    w = Window.partitionBy("_y").orderBy("_cd").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = timeline.withColumn("_run", F.sum("_delta").over(w))
+    return (within.join(carry, "_y", "left")
+            .select(F.col("_cd").alias(day_col),
+                    (F.coalesce(F.col("_carry"), F.lit(0)) + F.col("_run")).cast("bigint")
+                    .alias("active_staff_count")))
 
 
 def active_staff_per_order(orders: DataFrame, employees: DataFrame, ts_col: str = "order_timestamp",
