@@ -58,6 +58,9 @@ SPECS = {
     "mart_employee_addon_performance": MartSpec(["month_employee_id"], "performance_month",
                                                 bucket=("order_timestamp", "performance_month", "month")),
     "dim_date": MartSpec(["date_day"], None, watermark=("date_day", "date_day")),
+    # Internal helper: review sums per (month, product) behind dim_products_gold.
+    "review_totals": MartSpec(["review_month", "product_id"], "review_month",
+                              bucket=("order_timestamp", "review_month", "month")),
 }
 
 
@@ -162,8 +165,10 @@ class Pipeline:
         fact = self.gold("fact_orders_gold")
         fact_m = self.spark.read.parquet(self.path("fact_orders_gold"))
         dim_emp = self.gold("dim_employees_gold")
+        self._merge("review_totals", gold.review_totals, fact_m, "order_month")
         with self._step("dim_products_gold"):
-            write_table(gold.dim_products_gold(s_products, fact), self.path("dim_products_gold"))
+            write_table(gold.dim_products_from_totals(s_products, self.gold("review_totals")),
+                        self.path("dim_products_gold"))
         self._merge("mart_city_sales", lambda f: gold.mart_city_sales(f, s_products), fact_m, "order_month")
         self._merge("mart_product_reviews", lambda f: gold.mart_product_reviews(f, s_products), fact_m,
                     "order_month")
