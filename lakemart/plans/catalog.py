@@ -271,3 +271,10 @@ def quarantine_late_orders(spark, sf_dir):
     ST.quarantine_late_rows(spark, m.stg_orders, f"{root}/fact", "order_timestamp", "order_timestamp",
                             f"{root}/quarantine")
     return spark.read.parquet(f"{root}/quarantine").drop("quarantined_batch_at")
+
+
+@register("dim_products_gold_via_totals", O.model_sql("dim_products_gold"))
+def dim_products_gold_via_totals(spark, sf_dir):
+    """The product dimension as the pipeline refreshes it: from per-month review totals."""
+    m = Models(spark, sf_dir)
+    return gold.dim_products_from_totals(m.stg_products, gold.review_totals(m.fact_orders_gold))
