@@ -116,8 +116,17 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, keys: list[st
         touched = delta.select(partition_col).distinct()
         if not keys_fixed_to_partition:
             dk = delta.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-            cond = [target[k].eqNullSafe(dk[f"_k_{k}"]) for k in keys]
-            holding = target.select(*keys, partition_col).join(dk, cond, "left_semi").select(partition_col)
+            probe = target.select(*keys, partition_col)
+            if len(keys) == 1:
+                # Two scalars of the (checkpointed) delta become literal range
+                # predicates, which reach the parquet reader: row groups whose
+                # key statistics lie outside the delta's key range are skipped.
+                lo, hi = delta.agg(F.min(keys[0]), F.max(keys[0])).first()
+                if lo is not None:
+                    k = F.col(keys[0])
+                    probe = probe.filter(k.between(lo, hi) | k.isNull())
+            cond = [probe[k].eqNullSafe(dk[f"_k_{k}"]) for k in keys]
+            holding = probe.join(dk, cond, "left_semi").select(partition_col)
             touched = materialize(touched.unionByName(holding).distinct())
         target = target.join(F.broadcast(touched), partition_col, "left_semi")
     merged = materialize(upsert(target, delta.select(*target.columns), keys, dedupe=False))
