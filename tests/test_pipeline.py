@@ -3,6 +3,7 @@
 import datetime as dt
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -96,3 +97,27 @@ def test_rebuild_months_repairs_damaged_partitions(spark, scratch):
     p.rebuild_months(raw, [month])
     for n in names:
         assert _rows(p.gold(n)) == before[n], n
+
+
+class _TinyRaw:
+    def __init__(self, spark, orders):
+        from lakemart import schemas as S
+        T = dt.datetime
+        self.raw_products = spark.createDataFrame([(1, "p", "c", "s", "b", 1000, 600)], S.RAW_PRODUCTS)
+        self.raw_employees = spark.createDataFrame([(5, "e", "F", 30, dt.date(2020, 1, 1), None)], S.RAW_EMPLOYEES)
+        self.raw_payroll = spark.createDataFrame([(5, 30000, dt.date(2024, 1, 1))], S.RAW_PAYROLL)
+        self.raw_orders = spark.createDataFrame(orders, S.RAW_ORDERS)
+        self.raw_traffic = spark.createDataFrame([(T(2024, 3, 1, 9), "T-1", "yes", 1, None)], S.RAW_TRAFFIC)
+
+
+@pytest.mark.parametrize("strict,expected", [(False, 3), (True, 2)])
+def test_pipeline_strict_boundary_rule(spark, scratch, strict, expected):
+    T = dt.datetime
+    rows = [(1, 1, 1, "None", 0, 5, T(2024, 3, 1, 0, 0, 0), "Brno", 5),   # exactly on the month start
+            (2, 1, 1, "None", 0, 5, T(2024, 3, 5, 10), "Brno", 3),
+            (3, 1, 1, "None", 0, 5, T(2024, 3, 20, 10), "Brno", 4)]
+    p = Pipeline(spark, f"{scratch}/wh", strict=strict)
+    p.run(_TinyRaw(spark, rows[:2]))
+    p.run(_TinyRaw(spark, rows))
+    got = p.gold("mart_product_reviews").filter(F.col("review_month") == F.lit(dt.date(2024, 3, 1))).collect()
+    assert [r.review_count for r in got] == [expected]
