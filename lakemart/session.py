@@ -77,8 +77,13 @@ def get_session(master: str | None = None, app_name: str = "lakemart",
 
 def _explicitly_set(spark: SparkSession, key: str) -> bool:
     """True when the launcher (spark-submit / builder) set ``key`` itself;
-    ``spark.conf.get`` would also return Spark's built-in default."""
-    return spark.sparkContext.getConf().contains(key)
+    ``spark.conf.get`` would also return Spark's built-in default. Without a
+    local SparkContext (Spark Connect) the launcher's choice cannot be seen,
+    so it is treated as set and left alone."""
+    try:
+        return spark.sparkContext.getConf().contains(key)
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return True
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
@@ -98,17 +103,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     lakemart never invents a machine-local folder there. Only when the setting
     is absent (local tests) a fresh scratch folder is created and registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpoints follow the server's configuration
+        return spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        sc.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
                            "(HDFS/S3/ABFS); a machine-local folder would not survive executor loss")
     local = tempfile.mkdtemp(prefix="lakemart-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 
