@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import packing
-from lakemart.llm.common import read, tokenizer_path
+from lakemart.llm import decontamination, packing, simhash, toxicity
+from lakemart.llm.common import crc_bucket, read, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +26,41 @@ def register(name: str, sql: str | None = None):
 @register("op4_best_fit_packing")
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@register("op6_simhash_gray")
+def op6_simhash_gray(spark, sf_dir):
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM documents
+  UNION ALL
+  SELECT 'i', item_id, trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')) FROM benchmark
+), words AS (SELECT kind, id, string_split(norm, ' ') AS w FROM texts WHERE norm <> ''),
+grams AS (
+  SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g FROM words
+), items AS (SELECT id AS item_id, g, count(*) OVER (PARTITION BY id) AS q FROM grams WHERE kind = 'i'),
+shared AS (
+  SELECT d.id AS doc_id, item_id, count(*) AS shared, q AS item_shingles
+  FROM grams d JOIN items i ON d.g = i.g WHERE d.kind = 'd' GROUP BY ALL
+)
+SELECT doc_id, item_id, shared, item_shingles, shared::DOUBLE / item_shingles AS containment
+FROM shared WHERE shared >= ceil(item_shingles * 0.8 - 1e-9)
+"""
+
+
+@register("op7_decontamination", OP7_SQL)
+def op7_decontamination(spark, sf_dir):
+    return decontamination.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("op8_toxicity_lexicon")
+def op8_toxicity_lexicon(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 5) == 0
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                              (F.col("score") >= 0.5).cast("int").alias("predicted"))
