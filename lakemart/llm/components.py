@@ -25,7 +25,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     edges = materialize(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     for _ in range(max_rounds):
-        both = edges.union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (both.join(_least(both.select("u", "v")), "u").filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
         small = large.join(_least(large), "u")
