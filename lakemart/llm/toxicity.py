@@ -37,6 +37,9 @@ LOOK_ALIKE = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y",
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
 SIGNS = {"@": "a", "$": "s"}
 
+#: Terms after which a toxic text counts as explained; new texts that a further term must explain.
+EXPLAINED, EXPLAINED_LEAST = 2, 3
+
 #: Phrases in which an insulting word is none.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "scum line", "moron test")
 
@@ -72,6 +75,14 @@ def folded(col: str):
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(text, r"[^\p{L}]+", " ")), F.lit(" "))
 
 
+def _least_pair(col: str):
+    """Least hash of two words in a row: near copies nearly always share it, and count once."""
+    words = F.split(F.trim(F.col(col)), " ")
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
+                        lambda i: F.xxhash64(F.array_join(F.slice(words, i, 2), " ")))
+    return F.array_min(pairs)
+
+
 class Matcher:
     def __init__(self, weights: dict[str, float], exceptions: list[str]):
         self.automaton = ahocorasick.Automaton()
@@ -126,7 +137,9 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
     order = F.xxhash64(F.col(id_col).cast("long"))
     chosen = [given.filter(F.col("label") == v).orderBy(order, id_col).limit(settings.sample) for v in (0, 1)]
     sample = stored(docs.select(id_col, text_col).join(chosen[0].union(chosen[1]), id_col)
-                    .select("label", folded(text_col).alias("folded")).distinct(), "toxicity-sample")
+                    .select("label", folded(text_col).alias("folded"))
+                    .groupBy("label", _least_pair("folded").alias("pair")).agg(F.min("folded").alias("folded"))
+                    .select("label", "folded"), "toxicity-sample")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Model()
@@ -153,7 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
     rows = (counted(terms_of).filter(F.col("toxic") >= max(5, settings.support * sizes[1])).withColumn("odds", odds)
             .filter(F.col("odds") >= settings.odds).orderBy(F.desc("toxic"), F.desc("odds"), "term")
             .limit(settings.terms).collect())
-    weights = {r["term"]: float(r["odds"]) for r in rows}
+    weights = _covering({r["term"]: float(r["odds"]) for r in rows}, sample.filter("label = 1"), terms_of)
 
     def phrases_of(text):
         words, out = text.split(), set()
@@ -176,6 +189,31 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
     return model
 
 
+def _covering(odds: dict[str, float], toxic: DataFrame, terms_of) -> dict[str, float]:
+    """The candidates that explain toxic texts which no better one does: terms that only come
+    along with insults, as the other words of a text that was copied often, are left out."""
+    def present(label, texts):
+        held = [sorted(terms_of(t) & odds.keys()) for t in texts.to_pylist()]
+        return [pa.array(held, pa.list_(pa.string()))]
+
+    texts = [r["terms"] for r in _map_texts(toxic, present, "terms array<string>").collect()]  # the bounded sample
+    holders: dict[str, set[int]] = {t: set() for t in odds}
+    for i, terms in enumerate(texts):
+        for t in terms:
+            holders[t].add(i)
+    chosen: dict[str, float] = {}
+    explained = Counter()
+    while True:
+        best = max(holders, key=lambda t: (len(holders[t]), odds[t], t), default=None)
+        if best is None or len(holders[best]) < EXPLAINED_LEAST:
+            return chosen
+        chosen[best], now = odds[best], holders.pop(best)
+        explained.update(now)
+        done = {i for i in now if explained[i] >= EXPLAINED}
+        for t in {t for i in done for t in texts[i]} & holders.keys():
+            holders[t] -= done
+
+
 def _totals(matcher: Matcher, texts: pa.Array) -> list[pa.Array]:
     total, words = [], []
     for t in texts:
