@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontamination, packing, simhash, toxicity
+from lakemart.llm import decontamination, packing, pii, simhash, toxicity
 from lakemart.llm.common import crc_bucket, read, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,11 @@ def op8_toxicity_lexicon(spark, sf_dir):
     model = toxicity.learn(docs, read(spark, sf_dir, "labels").filter(~held_out))
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
                                               (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op2_pii_disclosure")
+def op2_pii_disclosure(spark, sf_dir):
+    found = pii.find(read(spark, sf_dir, "documents"))
+    number = lambda k: F.size(F.filter("_base", lambda s: s["nth"] == k)).cast("long")
+    return found.select("doc_id", *(number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])),
+                        F.sha2(pii.spans_text("_base"), 256).alias("base_sha256"), pii.spans_text("_spans").alias("spans"))
