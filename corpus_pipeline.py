@@ -1,24 +1,49 @@
 """Corpus preparation: one operator after another, each over all that the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet
-in the shared folder and hands what it reads back to the next one.
+in the shared folder and hands what it reads back to the next one. All stages but the last
+return the columns of documents. Rows with a null text pass all filters: they have no words.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import packing
+from lakemart.llm import decontamination, packing, pii, simhash, toxicity
 from lakemart.llm.common import read, stored, tokenizer_path
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon, learned from this corpus and its labels, does not call toxic."""
+    return toxicity.drop_toxic(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of SimHash neighbours: four words, four bits."""
+    return simhash.drop_near_duplicates(docs, words_each=4, most=4)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data and the terms that disclose it replaced; n_chars follows."""
+    return pii.with_length(pii.sanitise(docs), "text", "n_chars")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their place in sequences of at most 2048 tokens."""
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
 STAGES = [
-    ("best_fit_packing", best_fit_packing),
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("pii", sanitise),
+    ("best_fit_packing", pack),
 ]
 
 #: SQL cannot express the learned scores, SimHash links or token ids of these stages.

@@ -215,3 +215,11 @@ def sanitise(docs: DataFrame, settings: Settings = Settings(), id_col: str = "do
     last = F.aggregate(spans, F.lit(0), lambda a, s: F.greatest(a, s["end"]))
     cleaned = F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text)))
     return found.withColumn(text_col, F.when(F.size("_spans") > 0, cleaned).otherwise(F.col(text_col))).select(*docs.columns)
+
+
+def with_length(docs: DataFrame, text_col: str, length_col: str) -> DataFrame:
+    """``docs`` with ``length_col``, if there is one, set to the code points of the text."""
+    if length_col not in docs.columns:
+        return docs
+    kind = docs.schema[length_col].dataType
+    return docs.withColumn(length_col, F.length(text_col).cast(kind)).select(*docs.columns)
