@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontamination, packing, pii, simhash, toxicity
-from lakemart.llm.common import crc_bucket, read, tokenizer_path
+from lakemart.llm import decontamination, packing, pii, simhash, token_store, toxicity
+from lakemart.llm.common import crc_bucket, read, tokenizer_path, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,12 @@ def op2_pii_disclosure(spark, sf_dir):
     number = lambda k: F.size(F.filter("_base", lambda s: s["nth"] == k)).cast("long")
     return found.select("doc_id", *(number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])),
                         F.sha2(pii.spans_text("_base"), 256).alias("base_sha256"), pii.spans_text("_spans").alias("spans"))
+
+
+@register("op10_token_store")
+def op10_token_store(spark, sf_dir):
+    folder = workspace(spark, "tokens")
+    token_store.write(read(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
+    found = token_store.with_crc(token_store.lookup(token_store.directory(spark, folder), folder))
+    return (found.join(token_store.bases(spark, folder), "shard")
+            .select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"))
