@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontamination, packing, pii, simhash, token_store, toxicity
+from lakemart.llm import decontamination, packing, pii, simhash, token_store, toxicity, warc
 from lakemart.llm.common import crc_bucket, read, tokenizer_path, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,11 @@ def op10_token_store(spark, sf_dir):
     found = token_store.with_crc(token_store.lookup(token_store.directory(spark, folder), folder))
     return (found.join(token_store.bases(spark, folder), "shard")
             .select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"))
+
+
+@register("op9_warc_index")
+def op9_warc_index(spark, sf_dir):
+    folder = workspace(spark, "warc")
+    written = warc.write(read(spark, sf_dir, "pages"), folder)
+    return warc.read(written, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

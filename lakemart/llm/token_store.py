@@ -166,7 +166,7 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 0, id_col: str
                 continue
             if out is None:
                 fs.create_dir(path, recursive=True)
-                out = fs.open_output_stream(f"{path}/{name}.ids")
+                out = fs.open_output_stream(f"{path}/{name}.ids", compression=None)
             ids = [x + end for x in enc.encode(b.column(1).to_pylist())]
             lengths += [len(x) // 4 for x in ids]
             keys.append(b.column(0).drop_null().to_numpy())
@@ -177,7 +177,7 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 0, id_col: str
         out.close()
         held = np.concatenate(keys).astype(np.int64)
         sizes = np.array(lengths, np.int64)
-        with fs.open_output_stream(f"{path}/{name}.mph") as index:
+        with fs.open_output_stream(f"{path}/{name}.mph", compression=None) as index:
             index.write(_index_bytes(held, sizes, nulls, width))
         distinct = np.unique(held)
         total, rows = int(sizes.sum()), len(distinct) + (nulls > 0)
