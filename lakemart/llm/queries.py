@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontamination, packing, pii, simhash, token_store, toxicity, warc
+from lakemart.llm import decontamination, language, licenses, packing, pii, simhash, token_store, toxicity, warc
 from lakemart.llm.common import crc_bucket, read, tokenizer_path, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,16 @@ def op9_warc_index(spark, sf_dir):
     written = warc.write(read(spark, sf_dir, "pages"), folder)
     return warc.read(written, folder, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op3_rank_order_language")
+def op3_rank_order_language(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 4) == 2
+    profiles = language.learn(docs.filter(~held_out))
+    return language.predict(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register("op5_license_digest", licenses.scan_sql())
+def op5_license_digest(spark, sf_dir):
+    return licenses.scan(read(spark, sf_dir, "documents"))
