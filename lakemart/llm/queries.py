@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontamination, language, licenses, packing, pii, simhash, token_store, toxicity, warc
+from lakemart.llm import ann, decontamination, language, licenses, packing, pii, simhash, token_store, toxicity, warc
 from lakemart.llm.common import crc_bucket, read, tokenizer_path, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,8 @@ def op3_rank_order_language(spark, sf_dir):
 @register("op5_license_digest", licenses.scan_sql())
 def op5_license_digest(spark, sf_dir):
     return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@register("op1_graph_neighbours")
+def op1_graph_neighbours(spark, sf_dir):
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
