@@ -116,17 +116,17 @@ def _spans_of(kind: str, text: Column) -> Column:
     return F.when(F.instr(text, F.lit(guard)) > 0, spans).otherwise(empty)
 
 
-def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_base``: all base spans by start, then kind."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumn("_base", F.array_sort(F.concat(*(_spans_of(k, text) for k in KINDS[:4]))))
+def base_spans(text: Column) -> Column:
+    """All base spans of a text by start, then kind."""
+    text = F.coalesce(text, F.lit(""))
+    return F.array_sort(F.concat(*(_spans_of(k, text) for k in KINDS[:4])))
 
 
 def _contexts(found: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, entity, term, start, end: the words near each mention. ``found``: doc_id, text, _base."""
+    """doc_id, entity, term, start, end: the words near each mention. ``found``: doc_id, text, base."""
     reach, window = settings.reach, settings.window
     word = r"[^\p{L}\p{N}]+"
-    mention = found.select("doc_id", "text", F.explode("_base").alias("s")).select(
+    mention = found.select("doc_id", "text", F.explode("base").alias("s")).select(
         "doc_id", F.concat(F.element_at(F.array(*map(F.lit, KINDS)), F.col("s.nth") + 1), F.lit(":"),
                            F.when(F.col("s.nth") <= 1, F.lower("s.value")).otherwise(_digits(F.col("s.value")))).alias("entity"),
         F.greatest(F.col("s.start") - reach, F.lit(0)).alias("from"), F.col("s.start").alias("start"), F.col("s.end").alias("end"),
@@ -171,12 +171,13 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, settings: Settings =
 
 
 def find(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``_base`` and ``_spans``: arrays of (start, nth kind, end, value)
-    by start, then kind; a term's value is what it becomes."""
+    """``row`` (all columns of ``docs``), ``base`` and ``spans``: arrays of (start, nth kind, end,
+    value) by start, then kind; a term's value is what it becomes."""
     apply_defaults(docs.sparkSession)
-    based = base_spans(docs, text_col)
-    mentioned = stored(based.filter((F.size("_base") > 0) & F.col(id_col).isNotNull())
-                       .select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), "_base"), "mentions")
+    based = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("id"),
+                        base_spans(F.col(text_col)).alias("base"))
+    mentioned = stored(based.filter((F.size("base") > 0) & F.col("id").isNotNull())
+                       .select(F.col("id").alias("doc_id"), F.col(f"row.{text_col}").alias("text"), "base"), "mentions")
     contexts = _contexts(mentioned, settings)
     shared = contexts.groupBy("entity").agg(F.countDistinct("doc_id").alias("n")).filter(F.col("n") >= settings.support)
     contexts = stored(contexts.join(shared.select("entity"), "entity", "left_semi"), "contexts")
@@ -186,12 +187,11 @@ def find(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
                     .groupBy("doc_id", "start", "end").agg(F.min(shape).alias("value"))
                     .groupBy("doc_id").agg(F.collect_list(F.struct(
                         F.col("start").cast("int").alias("start"), F.lit(KINDS.index("term")).alias("nth"),
-                        F.col("end").cast("int").alias("end"), F.col("value")))
-                        .alias("_terms")), "terms")
-    joined = based.join(marked.withColumnRenamed("doc_id", "_marked"), F.col(id_col) == F.col("_marked"), "left")
-    free = lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    terms_here = F.coalesce(F.filter("_terms", free), F.array().cast("array<struct<start:int,nth:int,end:int,value:string>>"))
-    return joined.withColumn("_spans", F.array_sort(F.concat("_base", terms_here))).drop("_marked", "_terms")
+                        F.col("end").cast("int").alias("end"), F.col("value"))).alias("terms")), "terms")
+    free = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+    terms_here = F.coalesce(F.filter("terms", free), F.array().cast("array<struct<start:int,nth:int,end:int,value:string>>"))
+    return (based.join(marked, based["id"] == marked["doc_id"], "left")
+            .select("row", "base", F.array_sort(F.concat("base", terms_here)).alias("spans")))
 
 
 def spans_text(spans: str) -> Column:
@@ -204,17 +204,17 @@ def sanitise(docs: DataFrame, settings: Settings = Settings(), id_col: str = "do
     """``docs`` with personal data replaced by its kind, and disclosing terms generalised or removed.
     Spans that overlap become one, named after the first."""
     found = find(docs, settings, id_col, text_col)
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text, spans = F.coalesce(F.col(f"row.{text_col}"), F.lit("")), F.col("spans")
     label = lambda s: F.when(s["nth"] == KINDS.index("term"), s["value"]).otherwise(F.concat(
         F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), s["nth"] + 1)), F.lit("]")))
-    spans = F.col("_spans")
     # Where the text before each span ends and continues: the furthest end of the spans before it.
     reached = F.transform(spans, lambda _, i: F.aggregate(F.slice(spans, F.lit(1), i), F.lit(0), lambda a, s: F.greatest(a, s["end"])))
     parts = F.zip_with(spans, reached, lambda s, r: F.when(s["start"] >= r, F.concat(
         F.substring(text, r + 1, s["start"] - r), label(s))).otherwise(""))
     last = F.aggregate(spans, F.lit(0), lambda a, s: F.greatest(a, s["end"]))
     cleaned = F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text)))
-    return found.withColumn(text_col, F.when(F.size("_spans") > 0, cleaned).otherwise(F.col(text_col))).select(*docs.columns)
+    kept = F.when(F.size("spans") > 0, cleaned).otherwise(F.col(f"row.{text_col}"))
+    return found.select(*(kept.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def with_length(docs: DataFrame, text_col: str, length_col: str) -> DataFrame:

@@ -69,9 +69,9 @@ def op8_toxicity_lexicon(spark, sf_dir):
 @register("op2_pii_disclosure")
 def op2_pii_disclosure(spark, sf_dir):
     found = pii.find(read(spark, sf_dir, "documents"))
-    number = lambda k: F.size(F.filter("_base", lambda s: s["nth"] == k)).cast("long")
-    return found.select("doc_id", *(number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])),
-                        F.sha2(pii.spans_text("_base"), 256).alias("base_sha256"), pii.spans_text("_spans").alias("spans"))
+    number = lambda k: F.size(F.filter("base", lambda s: s["nth"] == k)).cast("long")
+    return found.select("row.doc_id", *(number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])),
+                        F.sha2(pii.spans_text("base"), 256).alias("base_sha256"), pii.spans_text("spans").alias("spans"))
 
 
 @register("op10_token_store")
