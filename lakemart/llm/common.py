@@ -9,12 +9,12 @@ import zipfile
 from pathlib import Path
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.session import apply_defaults, checkpoint_dir, materialize
 
-__all__ = ["bounded_batches", "checkpoint_dir", "crc_bucket", "filesystem", "materialize", "read", "stored",
+__all__ = ["bounded_batches", "checkpoint_dir", "crc_bucket", "filesystem", "let", "materialize", "read", "stored",
            "tokenizer_path", "workspace"]
 
 #: Rows of an Arrow batch sent to Python. Texts may be very long, so a batch is kept
@@ -76,6 +76,12 @@ def crc_bucket(col, n: int):
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once. An expression that a lambda uses is
+    otherwise computed again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def tokenizer_path(name: str) -> str:
     """Where the installed public vocabulary ``name`` lies; never copied into this repository."""
     import public_tokenizers

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import apply_defaults, stored
+from lakemart.llm.common import apply_defaults, let, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -55,11 +55,6 @@ class Settings:
     remove: float = 0.97
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _digits(s: Column) -> Column:
     return F.regexp_replace(s, "[^0-9]", "")
 
@@ -109,7 +104,7 @@ def _spans_of(kind: str, text: Column) -> Column:
                 (e - F.length(m)).alias("start"), F.lit(nth).alias("nth"), e.alias("end"), m.alias("value"))),
             lambda s: _valid(kind, s["value"]))
 
-    spans = _let(F.regexp_extract_all(text, p, F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(empty))
+    spans = let(F.regexp_extract_all(text, p, F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(empty))
     if guard is None:
         # Few texts hold a run that long; most of the work is to say so.
         return F.when(text.rlike(r"[0-9](?:[\x20-]?[0-9]){13}"), spans).otherwise(empty)
@@ -139,7 +134,7 @@ def _contexts(found: DataFrame, settings: Settings) -> DataFrame:
     def words(side: Column, at: Column) -> Column:
         """(start, end, word) of the words in a short string that begins at ``at``."""
         found = F.regexp_extract_all(side, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-        return _let(found, lambda w: _let(F.split(side, r"[\p{L}\p{N}]+", -1), lambda gap: F.zip_with(
+        return let(found, lambda w: let(F.split(side, r"[\p{L}\p{N}]+", -1), lambda gap: F.zip_with(
             _running(F.zip_with(F.slice(gap, F.lit(1), F.size(w)), w, lambda g, x: F.length(g) + F.length(x))), w,
             lambda e, x: F.struct((at + e - F.length(x)).alias("start"), (at + e).alias("end"), x.alias("word")))))
 
@@ -156,11 +151,11 @@ def disclosing_terms(docs: DataFrame, contexts: DataFrame, settings: Settings =
     near = contexts.groupBy("entity", "term").agg(F.countDistinct("doc_id").alias("documents"),
                                                   F.countDistinct("doc_id", "start").alias("near"))
     near = near.filter(F.col("documents") >= settings.support)
-    wanted = near.select("term").distinct()
     words = F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+")
     every = docs.select(F.explode(words).alias("term")).filter("term <> ''")
     total = docs.select(F.sum(F.size(words)).alias("n"))
-    counts = every.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    # Counted before the join, so that no word is shuffled more than once for each task.
+    counts = every.groupBy("term").agg(F.count("*").alias("n_term"))
     by_entity = contexts.groupBy("entity").agg(F.countDistinct("doc_id", "start").alias("n_entity"))
     n = total.first()["n"] or 1
     p_entity = F.col("n_entity") / F.lit(n)
