@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import bounded_batches, stored
+from lakemart.llm.common import bounded_batches, let, stored
 
 WORDS, LEAST = 5, 0.8
 SEED = 42  # of Spark's xxhash64
@@ -43,10 +43,9 @@ def normal_text(col: str):
 
 def item_shingles(items: DataFrame, id_col: str, text_col: str, words_each: int, least: float) -> DataFrame:
     """item_id, shingle, h, q (distinct shingles of the item), need, nth (place of h among the item's)."""
-    words = F.split("norm", " ")
-    grams = F.when(F.size(words) <= words_each, F.array("norm")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size(words) - (words_each - 1)),
-                    lambda i: F.array_join(F.slice(words, i, words_each), " ")))
+    grams = let(F.split("norm", " "), lambda words: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(words) - (words_each - 1), F.lit(1))),
+        lambda i: F.array_join(F.slice(words, i, words_each), " ")))
     per_item = Window.partitionBy("item_id")
     return (items.select(F.col(id_col).alias("item_id"), normal_text(text_col).alias("norm")).filter("norm <> ''")
             .select("item_id", F.explode(F.array_distinct(grams)).alias("shingle")).distinct()

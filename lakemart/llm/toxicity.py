@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import bounded_batches, stored
+from lakemart.llm.common import bounded_batches, let, stored
 
 # Letters of other scripts that look like a Latin one, and digits used for one.
 LOOK_ALIKE = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j",
@@ -77,10 +77,9 @@ def folded(col: str):
 
 def _least_pair(col: str):
     """Least hash of two words in a row: near copies nearly always share it, and count once."""
-    words = F.split(F.trim(F.col(col)), " ")
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
-                        lambda i: F.xxhash64(F.array_join(F.slice(words, i, 2), " ")))
-    return F.array_min(pairs)
+    return let(F.split(F.trim(F.col(col)), " "), lambda words: F.array_min(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
+        lambda i: F.xxhash64(F.array_join(F.slice(words, i, 2), " ")))))
 
 
 class Matcher:
@@ -136,9 +135,9 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
         F.max(label_col).cast("int").alias("label"))
     order = F.xxhash64(F.col(id_col).cast("long"))
     chosen = [given.filter(F.col("label") == v).orderBy(order, id_col).limit(settings.sample) for v in (0, 1)]
-    sample = stored(docs.select(id_col, text_col).join(chosen[0].union(chosen[1]), id_col)
-                    .select("label", folded(text_col).alias("folded"))
-                    .groupBy("label", _least_pair("folded").alias("pair")).agg(F.min("folded").alias("folded"))
+    texts = stored(docs.select(id_col, text_col).join(chosen[0].union(chosen[1]), id_col)
+                   .select("label", folded(text_col).alias("folded")), "toxicity-texts")
+    sample = stored(texts.groupBy("label", _least_pair("folded").alias("pair")).agg(F.min("folded").alias("folded"))
                     .select("label", "folded"), "toxicity-sample")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
@@ -159,7 +158,11 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
     odds = (F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1)))
     lengths = settings.prefixes
 
+    given_exceptions = [f" {e} " for e in settings.exceptions]
+
     def terms_of(text):
+        for phrase in given_exceptions:
+            text = text.replace(phrase, "  ")
         words = set(text.split())
         return {f" {w} " for w in words} | {f" {w[:k]}" for w in words for k in lengths if len(w) >= k}
 
@@ -177,7 +180,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
 
     learned = (counted(phrases_of).filter(F.col("clean") >= max(5, settings.support * sizes[0])).filter(odds < -1.0)
                .orderBy(F.desc("clean"), "term").limit(settings.terms).collect()) if weights else []
-    exceptions = sorted({f" {e} " for e in settings.exceptions} | {r["term"] for r in learned})
+    exceptions = sorted({*given_exceptions, *(r["term"] for r in learned)})
     model = Model(weights, exceptions)
 
     def totals(label, texts):
