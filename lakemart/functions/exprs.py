@@ -51,14 +51,6 @@ OPEN_EXIT_DATE = _dt.date(9999, 12, 31)
 ADDON_CATEGORIES = ["Mobile", "Laptops", "Gaming", "Consumer Electronics", "Home Appliances"]
 ADDON_PRICE_SHARE = 0.12
 
-# Add-on probability by whole years of seller tenure.
-ADDON_CHANCE = [(3, 0.35), (1, 0.20)]
-ADDON_CHANCE_ELSE = 0.10
-
-# Traffic weight by base price: below 5000 -> 5, below 20000 -> 3, else 1.
-PRICE_TIERS = [(5000, 5), (20000, 3)]
-PRICE_TIER_ELSE = 1
-
 # Salary model: first salary year, band at that year, yearly band growth,
 # experience growth, seniority raise, cap of raise years, age band.
 SALARY_BASE_YEAR = 2021
@@ -156,27 +148,11 @@ def city_region(city) -> Column:
     return expr
 
 
-def price_tier(price) -> Column:
-    p = col(price)
-    expr = None
-    for bound, w in PRICE_TIERS:
-        expr = F.when(p < bound, w) if expr is None else expr.when(p < bound, w)
-    return expr.otherwise(PRICE_TIER_ELSE)
-
-
 def whole_years(start, end) -> Column:
     """floor(days(start -> end) / 365), floor toward minus infinity."""
     return F.floor(F.datediff(col(end), col(start)) / 365)
 
 
-def addon_chance(years) -> Column:
-    y = col(years)
-    expr = None
-    for bound, p in ADDON_CHANCE:
-        expr = F.when(y >= bound, p) if expr is None else expr.when(y >= bound, p)
-    return expr.otherwise(ADDON_CHANCE_ELSE)
-
-
 def age_at_hire(current_age, hire_date, as_of) -> Column:
     """max(18, current_age - whole years from hire to ``as_of``)."""
     return F.greatest(F.lit(MIN_HIRE_AGE).cast("bigint"),

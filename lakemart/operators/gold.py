@@ -4,8 +4,9 @@ Plans are declared so that the large fact side is aggregated map-side
 before it meets a dimension wherever the dimension only contributes
 per-key constants (price, cost, names): the shuffle then carries
 partial aggregates, not fact rows, and the dimension join runs on the
-small aggregate. Row-level joins (the fact itself, the city mart) use a
-size-checked broadcast with a shuffle-join fallback.
+small aggregate. The fact's own row-level join has no hint: AQE broadcasts
+the dimension when its measured bytes allow it, and otherwise shuffles and
+splits hot keys.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from lakemart.functions.exprs import (city_region, month_diff, pct, round_fixed, safe_ratio,
                                       surrogate_key, tenure_bracket, trunc_date,
                                       trunc_ts)
-from lakemart.operators.joins import bounded_broadcast
 
 # Fixed values of the date dimension: first day and number of days.
 DIM_DATE_START = _dt.date(2021, 1, 1)
@@ -67,7 +67,7 @@ def dim_payroll_gold(stg_payroll: DataFrame) -> DataFrame:
 
 def fact_orders_gold(stg_orders: DataFrame, stg_products: DataFrame) -> DataFrame:
     """Order grain. Orders with an unknown product keep NULL money columns."""
-    p = bounded_broadcast(stg_products.select("product_id", F.col("base_price").alias("_price")))
+    p = stg_products.select("product_id", F.col("base_price").alias("_price"))
     j = stg_orders.join(p, "product_id", "left")
     revenue = F.col("quantity") * F.col("_price")
     return j.select(
@@ -185,29 +185,30 @@ def mart_traffic_conversion_by_product(stg_traffic: DataFrame, stg_products: Dat
 
 
 def mart_city_sales(fact_orders: DataFrame, stg_products: DataFrame) -> DataFrame:
-    """City x day sales; the margin uses the current product price and cost."""
-    p = bounded_broadcast(stg_products.select(
-        "product_id", (F.col("base_price") - F.col("unit_cost")).alias("_unit_margin")))
-    j = fact_orders.join(p, "product_id", "inner")
-    g = j.select(
-        "city",
-        trunc_date("year", "order_timestamp").alias("sales_year"),
-        trunc_date("month", "order_timestamp").alias("sales_month"),
-        trunc_date("day", "order_timestamp").alias("sales_day"),
-        "order_id", "quantity", "product_revenue", "addon_revenue", "total_order_value",
-        (F.col("quantity") * F.col("_unit_margin")).alias("_margin"))
-    agg = g.groupBy("city", "sales_year", "sales_month", "sales_day").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.sum("quantity").alias("total_qty"),
-        F.sum("product_revenue").alias("product_revenue"),
-        F.sum("addon_revenue").alias("addon_revenue"),
-        F.sum("total_order_value").alias("total_revenue"),
-        F.sum("_margin").alias("total_margin"),
-    )
+    """City x day sales; the margin uses the current product price and cost.
+
+    The fact has one row per order, so orders are counted. Rows are reduced to
+    (city, day, product) before the join with products, and the small result is
+    rolled up; month and year follow from the day.
+    """
+    per_product = (fact_orders.select("city", trunc_date("day", "order_timestamp").alias("sales_day"), "product_id", "order_id",
+                                      "quantity", "product_revenue", "addon_revenue", "total_order_value")
+                   .groupBy("city", "sales_day", "product_id")
+                   .agg(F.count("order_id").alias("_orders"), F.sum("quantity").alias("_qty"),
+                        F.sum("product_revenue").alias("_goods"), F.sum("addon_revenue").alias("_addon"),
+                        F.sum("total_order_value").alias("_value")))
+    p = stg_products.select("product_id", (F.col("base_price") - F.col("unit_cost")).alias("_unit_margin"))
+    agg = (per_product.join(p, "product_id", "inner").groupBy("city", "sales_day").agg(
+        F.sum("_orders").alias("total_orders"),
+        F.sum("_qty").alias("total_qty"),
+        F.sum("_goods").alias("product_revenue"),
+        F.sum("_addon").alias("addon_revenue"),
+        F.sum("_value").alias("total_revenue"),
+        F.sum(F.col("_qty") * F.col("_unit_margin")).alias("total_margin")))
     return agg.select(
         surrogate_key("sales_day", "city").alias("city_day_id"),
         "city", city_region("city").alias("region"),
-        "sales_year", "sales_month", "sales_day",
+        F.trunc("sales_day", "YEAR").alias("sales_year"), F.trunc("sales_day", "MM").alias("sales_month"), "sales_day",
         "total_orders", "total_qty", "product_revenue", "addon_revenue", "total_revenue",
         "total_margin")
 

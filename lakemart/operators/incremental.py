@@ -1,16 +1,20 @@
 """Delta-load (incremental) operators and the key-based upsert.
 
-Watermarks are lazy scalar subqueries (``DataFrame.scalar()``): Catalyst
-plans them as ``ScalarSubquery`` and pushes the resulting predicate into the
-parquet scan of the source, so a delta run reads only new row groups /
-partitions. Nothing is collected to the driver.
+Watermarks are lazy scalar subqueries (``DataFrame.scalar()``) that never
+yield NULL: an empty target gives the least value, so the predicate stays a
+plain comparison of a column with a scalar, which Catalyst hands to the
+parquet scan. Row groups are skipped by DATE columns, not by
+``timestamp_ntz`` ones; where the source has a DATE column beside its
+timestamp (the stored fact's ``order_month``), pass it as ``date_col``.
 
 Boundary rules (see the README, "Incremental rules"):
 
-* row watermark (fact append): ``ts > MAX(target.ts)``; an empty target
-  (NULL watermark) loads everything instead of nothing.
+* row watermark: ``ts > MAX(target.ts)``; an empty target loads everything.
+  Rows that are late, tied with the watermark or without a timestamp are
+  not above it: ``unstored_rows`` finds them by key, ``late_rows`` sets them
+  aside.
 * bucketed marts: the latest stored bucket is recomputed whole,
-  ``trunc(ts) >= MAX(bucket)``; ``strict=True`` reproduces the legacy
+  ``ts >= MAX(bucket)``; ``strict=True`` reproduces the legacy
   ``ts > MAX(bucket_start)`` rule that loses rows exactly on the boundary.
 * upsert: newest row per key wins inside the delta; the delta replaces
   target rows with the same key (NULL-safe key match).
@@ -26,32 +30,63 @@ from pyspark.sql import functions as F
 from lakemart.functions.exprs import col
 
 
+# Below any stored time: the watermark of an empty target.
+LEAST_TIME = _dt.datetime(1, 1, 1)
+
+
 def watermark(target: DataFrame, column: str) -> Column:
     """``(SELECT MAX(column) FROM target)`` as a lazy scalar Column."""
     return target.agg(F.max(column).alias("_wm")).scalar()
 
 
+def _time_mark(target: DataFrame, column: str, kind: str, back: str | None = None, unit: str | None = None) -> Column:
+    """The watermark as one value of type ``kind``, never NULL; the subquery holds all of the arithmetic."""
+    top = F.max(column).cast("timestamp_ntz")
+    if back:
+        top = top - F.expr(f"INTERVAL {back}")
+    if unit:
+        top = F.trunc(top.cast("date"), unit)
+    return target.agg(F.coalesce(top.cast(kind), F.lit(LEAST_TIME).cast("timestamp_ntz").cast(kind)).alias("_wm")).scalar()
+
+
 def high_watermark_delta(source: DataFrame, target: DataFrame | None, ts_col: str,
-                         target_col: str | None = None, lookback: str | None = None) -> DataFrame:
+                         target_col: str | None = None, lookback: str | None = None,
+                         date_col: str | None = None) -> DataFrame:
     """Rows of ``source`` newer than the target's high watermark.
 
-    ``target is None`` (first run) or an empty target returns the whole
-    source. ``lookback`` (e.g. ``"2 hours"``) re-reads a trailing window so
-    late rows are not lost; combine it with :func:`upsert` to stay idempotent.
+    ``target is None`` (first run) or an empty target returns every row, those
+    without a time included. ``lookback`` (e.g. ``"2 hours"``) re-reads a trailing
+    window; combine it with :func:`upsert` to stay idempotent. ``date_col`` names a
+    DATE column that holds the month or day of ``ts_col``: its predicate skips files.
     """
     if target is None:
         return source
-    wm = watermark(target, target_col or ts_col)
-    if lookback:
-        wm = wm - F.expr(f"INTERVAL {lookback}")
-    return source.filter(wm.isNull() | (col(ts_col) > wm))
+    kind = source.schema[ts_col].dataType.simpleString()
+    mark = _time_mark(target, target_col or ts_col, kind, lookback)
+    out = source.filter(col(ts_col) > mark)
+    if date_col:
+        out = out.filter(col(date_col) >= _time_mark(target, target_col or ts_col, "date", lookback, "MM"))
+    return out
 
 
-def late_rows(source: DataFrame, target: DataFrame, ts_col: str,
+def unstored_rows(source: DataFrame, target: DataFrame, keys: list[str], ts_col: str) -> DataFrame:
+    """Rows whose key the target lacks, or holds in an older version only: what a run has to
+    load whenever it arrives. One join over the keys and times of both sides."""
+    held = target.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max(ts_col).alias("_held"))
+    cond = [source[k].eqNullSafe(held[f"_k_{k}"]) for k in keys]
+    marked = source.join(held.withColumn("_there", F.lit(True)), cond, "left")
+    newer = (col(ts_col) > F.col("_held")) | (F.col("_held").isNull() & col(ts_col).isNotNull())
+    return marked.filter(F.col("_there").isNull() | newer).select(*source.columns)
+
+
+def late_rows(source: DataFrame, target: DataFrame, ts_col: str, keys: list[str],
               target_col: str | None = None) -> DataFrame:
-    """Rows at or below the watermark that a strict delta would drop (quarantine)."""
-    wm = watermark(target, target_col or ts_col)
-    return source.filter(wm.isNotNull() & (col(ts_col) <= wm))
+    """Rows that a watermark delta would lose: at or below the watermark, or without a time,
+    and not stored. Rows the target holds already are not late."""
+    mark = _time_mark(target, target_col or ts_col, source.schema[ts_col].dataType.simpleString())
+    held = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    below = source.filter(col(ts_col).isNull() | (col(ts_col) <= mark))
+    return below.join(held, [below[k].eqNullSafe(held[f"_k_{k}"]) for k in keys], "left_anti")
 
 
 def id_watermark_delta(source: DataFrame, target: DataFrame | None, id_col: str,
@@ -73,22 +108,22 @@ def next_period_start(target: DataFrame | None, period_col: str, fallback: Colum
 
 
 def bucket_delta(source: DataFrame, target: DataFrame | None, ts_col: str, bucket_col: str,
-                 unit: str, strict: bool = False) -> DataFrame:
+                 strict: bool = False, date_col: str | None = None) -> DataFrame:
     """Source rows from the latest stored bucket on.
 
-    Default: ``date_trunc(unit, ts) >= MAX(target.bucket)`` — the latest
-    bucket is recomputed whole and replaces the stored partial aggregate.
+    Default: ``ts >= MAX(target.bucket)`` — the latest bucket is recomputed
+    whole and replaces the stored partial aggregate.
     ``strict=True``: the legacy ``ts > MAX(bucket)`` predicate, which drops
     rows that sit exactly on the bucket start.
     """
     if target is None:
         return source
-    wm = watermark(target, bucket_col)
-    if strict:
-        pred = col(ts_col) > wm.cast("timestamp_ntz")
-    else:
-        pred = F.date_trunc(unit, col(ts_col)).cast("timestamp_ntz") >= wm.cast("timestamp_ntz")
-    return source.filter(wm.isNull() | pred)
+    mark = _time_mark(target, bucket_col, source.schema[ts_col].dataType.simpleString())
+    # The watermark is a bucket's start, so comparing the time itself keeps the whole bucket.
+    out = source.filter(col(ts_col) > mark if strict else col(ts_col) >= mark)
+    if date_col:
+        out = out.filter(col(date_col) >= _time_mark(target, bucket_col, "date", unit="MM"))
+    return out
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str] | None) -> DataFrame:
@@ -129,9 +164,3 @@ def upsert(target: DataFrame | None, delta: DataFrame, keys: list[str],
     cond = [target[k].eqNullSafe(dk[f"_k_{k}"]) for k in keys]
     kept = target.join(dk, cond, "left_anti")
     return kept.unionByName(d.select(*target.columns))
-
-
-def split_at(df: DataFrame, ts_col: str, cut: _dt.datetime) -> tuple[DataFrame, DataFrame]:
-    """(rows up to and including ``cut``, all rows) — the history a first run saw and
-    the full source a later run sees."""
-    return df.filter(col(ts_col) <= F.lit(cut)), df

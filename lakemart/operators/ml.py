@@ -25,7 +25,7 @@ MIN_PERIODS = 3                # entities with fewer periods are not scored
 MIN_MONTHS = 12                # categories with less history get no forecast
 HORIZON_STEPS = 24             # future month starts generated
 INTERVAL_Z = 1.96              # 95 % band
-TREND_FLOOR = 1.0              # trend is floored here before dividing by it
+TREND_FLOOR = 100              # trend is floored at the series mean over this before dividing by it
 RIDGE_LAMBDA = 3.0             # default shrinkage of hour x weekday cells
 
 
@@ -58,27 +58,27 @@ def anomaly_flags(series: DataFrame, generated_at: Column | None = None,
                   threshold: float = Z_THRESHOLD, min_periods: int = MIN_PERIODS) -> DataFrame:
     """Z-score of every row against its entity's mean and sample std.
 
-    Baselines come from a grouped aggregate (map-side partial, so a hot
-    entity never lands whole in one task) joined back on the entity key,
-    instead of a window that would sort each entity inside one task.
-    Entities with < ``min_periods`` rows or a constant metric are skipped;
-    a NULL entity id is not an entity.
+    An entity has one row per period, so a window per entity is small and reads
+    the series once. The metrics are percentages with two decimals; sums of their
+    hundredths are exact whole numbers, so the statistics do not depend on the order
+    of rows, and the mean is rounded by whole-number division. Entities with
+    < ``min_periods`` rows or a constant metric are skipped; a NULL entity id is
+    not an entity.
     """
-    keys = ["entity_type", "entity_id"]
-    s = series.filter(F.col("entity_id").isNotNull())
-    v = F.col("metric_value")
-    stats = (s.groupBy(*keys)
-             .agg(F.count(v).alias("_n"), F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"),
-                  F.min(v).alias("_min"), F.max(v).alias("_max"))
-             .filter((F.col("_n") >= min_periods) & (F.col("_max") != F.col("_min"))))
-    j = s.join(stats, keys, "inner")
-    z = (v - F.col("_mean")) / F.col("_std")
+    w = Window.partitionBy("entity_type", "entity_id")
+    x, n, sx, sxx = (F.col(c) for c in ("_x", "_n", "_sx", "_sxx"))
+    spread = n * sxx - sx * sx  # n squared times the variance, in hundredths
+    j = (series.filter(F.col("entity_id").isNotNull())
+         .withColumn("_x", F.round(F.col("metric_value") * 100).cast("bigint"))
+         .withColumn("_n", F.count(x).over(w)).withColumn("_sx", F.sum(x).over(w)).withColumn("_sxx", F.sum(x * x).over(w))
+         .filter((n >= min_periods) & (spread != 0)))
+    z = (x * n - sx).cast("double") / F.sqrt(n.cast("double") * spread.cast("double") / (n - 1).cast("double"))
     out = j.select(
         F.md5(F.concat_ws("|", "entity_type", "entity_id", "metric_name",
                           F.col("period").cast("string"))).alias("anomaly_id"),
         "entity_type", "entity_id", "entity_name", "metric_name", "period", "metric_value",
-        F.round("_mean", 6).alias("baseline_mean"),
-        F.round("_std", 6).alias("baseline_std"),
+        (F.expr("(_sx * 20000 + _n) div (2 * _n)").cast("double") / F.lit(1e6)).alias("baseline_mean"),
+        F.round(F.sqrt(spread.cast("double") / (n * (n - 1)).cast("double")) / F.lit(100.0), 6).alias("baseline_std"),
         F.round(z, 4).alias("z_score"),
         (F.abs(z) > threshold).alias("is_anomaly"),
         F.when(z > 0, "HIGH").otherwise("LOW").alias("anomaly_direction"))
@@ -91,15 +91,8 @@ def anomaly_flags(series: DataFrame, generated_at: Column | None = None,
 # Seasonal trend model shared by ML-01 / ML-03
 # ---------------------------------------------------------------------------
 
-def _trend(a: Column, b: Column, t: Column) -> Column:
-    return F.greatest(a + b * t, F.lit(TREND_FLOOR))
-
-
-def _normalised_index(df: DataFrame, keys: list[str], season: str, ratio: Column, name: str) -> DataFrame:
-    """avg(ratio) per (keys, season), divided by its mean over the present seasons."""
-    idx = df.groupBy(*keys, season).agg(F.avg(ratio).alias("_raw"))
-    norm = idx.groupBy(*keys).agg(F.avg("_raw").alias("_mean_raw"))
-    return idx.join(norm, keys).select(*keys, season, (F.col("_raw") / F.col("_mean_raw")).alias(name))
+def _trend(a: Column, b: Column, t: Column, mean: Column) -> Column:
+    return F.greatest(a + b * t, F.abs(mean) / TREND_FLOOR)
 
 
 def category_month_revenue(monthly_sales: DataFrame) -> DataFrame:
@@ -123,7 +116,7 @@ def revenue_forecast(monthly_sales: DataFrame, as_of: Column, generated_at: Colu
     ``drop_partial_last`` leaves the month of ``as_of`` (still running) out
     of the training data; by default it trains like a complete month.
     """
-    y = (category_month_revenue(monthly_sales)
+    y = (category_month_revenue(monthly_sales.filter(F.col("sales_month").isNotNull()))
          .select("category", F.col("sales_month").alias("ds"), F.col("total_revenue").cast("double").alias("y")))
     if drop_partial_last:
         y = y.filter(F.col("ds") < F.trunc(col(as_of), "MM"))
@@ -137,7 +130,8 @@ def revenue_forecast(monthly_sales: DataFrame, as_of: Column, generated_at: Colu
          .withColumn("moy", F.month("ds"))
          .withColumn("_a", F.regr_intercept("y", "t").over(wc))
          .withColumn("_b", F.regr_slope("y", "t").over(wc))
-         .withColumn("_tr", _trend(F.col("_a"), F.col("_b"), F.col("t")))
+         .withColumn("_y", F.avg("y").over(wc))
+         .withColumn("_tr", _trend(F.col("_a"), F.col("_b"), F.col("t"), F.col("_y")))
          .withColumn("_raw", F.avg(F.col("y") / F.col("_tr")).over(wcm))
          .withColumn("_n_m", F.count("y").over(wcm))
          # mean of the per-month indices over the months present
@@ -145,18 +139,18 @@ def revenue_forecast(monthly_sales: DataFrame, as_of: Column, generated_at: Colu
                      / F.size(F.collect_set("moy").over(wc)))
          .withColumn("_s", F.col("_raw") / F.col("_mean_raw"))
          .withColumn("_sigma", F.stddev_samp(F.col("y") / (F.col("_tr") * F.col("_s")) - 1).over(wc)))
-    d = materialize(d.select("category", "moy", "_first", "_last", "_a", "_b", "_s", "_sigma"))
+    d = materialize(d.select("category", "moy", "_first", "_last", "_a", "_b", "_y", "_s", "_sigma"))
     season = d.select("category", "moy", "_s").distinct()
-    model = d.select("category", "_first", "_last", "_a", "_b", "_sigma").distinct()
+    model = d.select("category", "_first", "_last", "_a", "_b", "_y", "_sigma").distinct()
     fut = model.select(
-        "category", "_first", "_a", "_b", "_sigma",
+        "category", "_first", "_a", "_b", "_y", "_sigma",
         F.explode(F.sequence(F.add_months("_last", 1), F.add_months("_last", steps),
                              F.expr("INTERVAL 1 MONTH"))).alias("forecast_date"))
     cap = F.make_date(F.year(col(as_of)) + 1, F.lit(12), F.lit(31))
     fut = fut.filter(F.col("forecast_date") <= cap).withColumn("moy", F.month("forecast_date"))
     fut = fut.join(season, ["category", "moy"], "left")
     t = month_diff("_first", "forecast_date").cast("double")
-    yhat = _trend(F.col("_a"), F.col("_b"), t) * F.coalesce(F.col("_s"), F.lit(1.0))
+    yhat = _trend(F.col("_a"), F.col("_b"), t, F.col("_y")) * F.coalesce(F.col("_s"), F.lit(1.0))
     band = F.coalesce(F.col("_sigma"), F.lit(0.0)) * INTERVAL_Z
     out = fut.select(
         F.md5(F.concat_ws("|", "category", F.col("forecast_date").cast("string"))).alias("forecast_id"),
@@ -175,12 +169,11 @@ def daily_visits(hourly: DataFrame) -> DataFrame:
             .groupBy("event_date").agg(F.sum("total_visits").alias("total_visits")))
 
 
-def _global_index(df: DataFrame, season: str, ratio: Column, name: str) -> DataFrame:
-    """avg(ratio) per season over the single series, normalised by its mean.
-    At most 12 (month) or 7 (weekday) rows: a proven bound, so it is broadcast."""
-    idx = df.groupBy(season).agg(F.avg(ratio).alias("_raw"))
-    mean_raw = idx.agg(F.avg("_raw")).scalar()
-    return F.broadcast(idx.select(season, (F.col("_raw") / mean_raw).alias(name)))
+def _season(df: DataFrame, season: str, ratio: Column, name: str) -> DataFrame:
+    """avg(ratio) per season over the single series, normalised by its mean: at most 12
+    (month) or 7 (weekday) rows, kept, so that later steps do not repeat the steps before."""
+    idx = materialize(df.groupBy(season).agg(F.avg(ratio).alias("_raw")))
+    return F.broadcast(idx.select(season, (F.col("_raw") / idx.agg(F.avg("_raw")).scalar()).alias(name)))
 
 
 def traffic_forecast(hourly: DataFrame, as_of: Column, generated_at: Column | None = None,
@@ -189,25 +182,24 @@ def traffic_forecast(hourly: DataFrame, as_of: Column, generated_at: Column | No
     with traffic, capped at 31 Dec of the year after ``as_of``; rounded to
     whole visits and clamped at 0. Trend on the day index, multiplied by a
     month-of-year index and a weekday index fitted on what the month index
-    leaves over. The single series' fit values are scalar subqueries, so no
-    step funnels the series through a constant join key."""
-    # One row per day, read by every scalar fit below: materialised once.
-    y = materialize(daily_visits(hourly).select(F.col("event_date").alias("ds"),
-                                                F.col("total_visits").cast("double").alias("y")))
-    # Related scalars are fetched together as one struct-valued subquery
-    # (identical subqueries are planned once), so each fit step is one job.
-    span = y.agg(F.struct(F.min("ds").alias("first"), F.max("ds").alias("last"))).scalar()
-    first = span.getField("first")
+    leaves over. The series, its fit (one row) and both indices are each
+    checkpointed, so every step reads small stored results."""
+    # One row per day, read by every fit below.
+    y = materialize(daily_visits(hourly.filter(F.col("event_date").isNotNull())).select(
+        F.col("event_date").alias("ds"), F.col("total_visits").cast("double").alias("y")))
+    first = y.agg(F.min("ds")).scalar()
     d = (y.withColumn("t", F.datediff("ds", first).cast("double"))
          .withColumn("moy", F.month("ds")).withColumn("dow", F.dayofweek("ds")))
-    fit = d.agg(F.struct(F.regr_intercept("y", "t").alias("a"), F.regr_slope("y", "t").alias("b"))).scalar()
-    a, b = fit.getField("a"), fit.getField("b")
-    d = d.withColumn("_tr", _trend(a, b, F.col("t")))
-    s_m = _global_index(d, "moy", F.col("y") / F.col("_tr"), "_sm")
+    kept = materialize(d.agg(F.struct(F.regr_intercept("y", "t").alias("a"), F.regr_slope("y", "t").alias("b"),
+                                      F.avg("y").alias("mean"), F.min("ds").alias("first")).alias("fit")))
+    fit = kept.scalar()
+    a, b, mean, first = (fit.getField(n) for n in ("a", "b", "mean", "first"))
+    d = d.withColumn("_tr", _trend(a, b, F.col("t"), mean))
+    s_m = _season(d, "moy", F.col("y") / F.col("_tr"), "_sm")
     d = d.join(s_m, "moy")
-    s_w = _global_index(d, "dow", F.col("y") / (F.col("_tr") * F.col("_sm")), "_sw")
+    s_w = _season(d, "dow", F.col("y") / (F.col("_tr") * F.col("_sm")), "_sw")
     d = d.join(s_w, "dow")
-    sigma = d.agg(F.stddev_samp(F.col("y") / (F.col("_tr") * F.col("_sm") * F.col("_sw")) - 1)).scalar()
+    sigma = materialize(d.agg(F.stddev_samp(F.col("y") / (F.col("_tr") * F.col("_sm") * F.col("_sw")) - 1).alias("_sigma"))).scalar()
     # Future month starts: derived from the series' last day (one row, exploded).
     fut = y.agg(F.max("ds").alias("_last")).select(
         "_last", F.explode(F.sequence(F.add_months(F.trunc("_last", "MM"), 1),
@@ -218,7 +210,7 @@ def traffic_forecast(hourly: DataFrame, as_of: Column, generated_at: Column | No
            .withColumn("moy", F.month("prediction_date")).withColumn("dow", F.dayofweek("prediction_date"))
            .join(s_m, "moy", "left").join(s_w, "dow", "left"))
     t = F.datediff("prediction_date", first).cast("double")
-    yhat = (_trend(a, b, t) * F.coalesce(F.col("_sm"), F.lit(1.0))
+    yhat = (_trend(a, b, t, mean) * F.coalesce(F.col("_sm"), F.lit(1.0))
             * F.coalesce(F.col("_sw"), F.lit(1.0)))
     band = F.coalesce(sigma, F.lit(0.0)) * INTERVAL_Z
     out = fut.select(

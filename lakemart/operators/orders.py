@@ -1,15 +1,12 @@
-"""Order-side business operators: candidates, active staff, add-on rules, price tiers."""
+"""Order-side business operators: candidates, active staff, add-on rules."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lakemart.functions.exprs import (ADDON_CATEGORIES, ADDON_PRICE_SHARE, addon_chance, price_tier,
-                                      whole_years)
+from lakemart.functions.exprs import ADDON_CATEGORIES, ADDON_PRICE_SHARE, whole_years
 from lakemart.operators.incremental import id_watermark_delta
-from lakemart.operators.joins import active_staff_at, bounded_broadcast
 
 
 def order_candidates(raw_traffic: DataFrame, processed: DataFrame | None) -> DataFrame:
@@ -62,51 +59,32 @@ def active_staff_per_day(days: DataFrame, employees: DataFrame, day_col: str = "
                     .alias("active_staff_count")))
 
 
-def active_staff_per_order(orders: DataFrame, employees: DataFrame, ts_col: str = "order_timestamp",
-                           with_ids: bool = False) -> DataFrame:
-    """Number of staff employed at each order's time (``hire <= ts < exit``).
+def active_staff_per_order(orders: DataFrame, employees: DataFrame, ts_col: str = "order_timestamp") -> DataFrame:
+    """Number of staff employed on each order's day (``hire <= day < exit``, calendar dates).
 
-    Orders without any active staff get 0. When hire and exit are dates (the
-    silver schema) the count comes from a per-day prefix sum joined to the
-    orders on their day — linear in orders, no interval join. Timestamp
-    bounds, or ``with_ids`` (the list of active employee ids), use the
-    month-bucketed interval join of ``joins.active_staff_at``.
+    Orders without any active staff, or without a time, get 0. The count comes from a per-day
+    prefix sum joined to the orders on their day: linear in orders, no interval join.
     """
-    o = orders.select("order_id", ts_col)
-    staff = employees.select("employee_id", "hire_date", "exit_date")
-    date_bounds = all(isinstance(staff.schema[c].dataType, T.DateType) for c in ("hire_date", "exit_date"))
-    if date_bounds and not with_ids:
-        od = o.withColumn("_d", F.col(ts_col).cast("date"))
-        per_day = active_staff_per_day(od, staff)
-        # One row per calendar day: the DATE domain caps it at ~3.65M rows
-        # (~60 MB), and real spans are a few thousand days, so it is broadcast.
-        return (od.join(F.broadcast(per_day), "_d", "left")
-                .select("order_id", ts_col,
-                        F.coalesce(F.col("active_staff_count"), F.lit(0)).cast("bigint").alias("active_staff_count")))
-    pairs = active_staff_at(o, staff, ts_col, exit_inclusive=False, how="left")
-    return pairs.groupBy("order_id", ts_col).agg(
-        F.count("employee_id").alias("active_staff_count"),
-        *([F.array_sort(F.collect_list("employee_id")).alias("active_staff_ids")] if with_ids else []))
+    o = orders.select("order_id", ts_col).withColumn("_d", F.col(ts_col).cast("date"))
+    per_day = active_staff_per_day(o, employees.select("employee_id", "hire_date", "exit_date"))
+    # One row per calendar day: the DATE domain caps it at ~3.65M rows
+    # (~60 MB), and real spans are a few thousand days, so it is broadcast.
+    return (o.join(F.broadcast(per_day), "_d", "left")
+            .select("order_id", ts_col,
+                    F.coalesce(F.col("active_staff_count"), F.lit(0)).cast("bigint").alias("active_staff_count")))
 
 
 def addon_eligibility(fact_orders: DataFrame, products: DataFrame, employees: DataFrame) -> DataFrame:
-    """Per order: seller tenure in whole years, add-on probability band,
-    whether the product category may carry an add-on and its price
+    """Per order: seller tenure in whole years, whether the product category may carry an add-on and its price
     (12 % of the base price, rounded half-to-even)."""
-    p = bounded_broadcast(products.select("product_id", "category", "base_price"))
-    e = bounded_broadcast(employees.select("employee_id", "hire_date"))
+    p = products.select("product_id", "category", "base_price")
+    e = employees.select("employee_id", "hire_date")
     j = (fact_orders.select("order_id", "order_timestamp", "employee_id", "product_id")
          .join(p, "product_id", "left").join(e, "employee_id", "left"))
     years = whole_years("hire_date", F.col("order_timestamp").cast("date"))
     return j.select(
         "order_id", "employee_id", "product_id", "category",
         years.cast("bigint").alias("tenure_years"),
-        F.when(F.col("hire_date").isNotNull(), addon_chance(years)).alias("addon_chance"),
         F.coalesce(F.col("category").isin(*ADDON_CATEGORIES), F.lit(False)).alias("addon_eligible"),
         F.bround(F.col("base_price") * ADDON_PRICE_SHARE, 0).cast("bigint").alias("addon_price"),
     )
-
-
-def price_tiers(products: DataFrame) -> DataFrame:
-    """Traffic weight per product from its base price tier."""
-    return products.select("product_id", "base_price", price_tier("base_price").alias("traffic_weight"))

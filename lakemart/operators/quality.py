@@ -7,6 +7,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Gold tables and their keys.
+KEYS = {
+    "fact_orders_gold": "order_id",
+    "dim_products_gold": "product_id",
+    "dim_employees_gold": "employee_id",
+    "dim_date": "date_day",
+    "mart_monthly_product_sales": "month_prod_id",
+    "mart_hourly_traffic_conversion": "event_hour",
+    "mart_traffic_conversion_by_product": "month_product_id",
+    "mart_city_sales": "city_day_id",
+    "mart_product_reviews": "month_prod_id",
+    "mart_employee_addon_performance": "month_employee_id",
+}
+
 
 def unique_key_check(table_name: str, df: DataFrame, key: str) -> DataFrame:
     """rows, distinct keys (NULL counts as one key) and keys occurring more than once."""

@@ -6,7 +6,6 @@ the adapter views and returns a DataFrame; nothing is collected.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +20,8 @@ from lakemart.operators import reports as RP
 from lakemart.plans import oracle as O
 from lakemart.plans import runs as R
 from lakemart.plans.models import Models
-from lakemart.session import checkpoint_dir
 from lakemart.sources.files import FLOAT_IDS, read_csv
-from lakemart.sources.fixtures import RawTables, orders_from_driver, stream_table, traffic_from_events
+from lakemart.sources.fixtures import RawTables
 from lakemart.sources.sinks import write_csv
 from lakemart.streaming import hourly as ST
 
@@ -114,11 +112,6 @@ def addon_eligibility(spark, sf_dir):
     return OR.addon_eligibility(m.fact_orders_gold, m.stg_products, m.stg_employees)
 
 
-@register("price_tiers", O.with_models(O.PRICE_TIERS_SQL))
-def price_tiers(spark, sf_dir):
-    return OR.price_tiers(Models(spark, sf_dir).stg_products)
-
-
 # -- ML --------------------------------------------------------------------------
 
 @register("anomaly_flags", O.with_models(f"SELECT * FROM ({O.ANOMALY_SQL.strip()})"))
@@ -186,16 +179,32 @@ def rpt_review_distribution(spark, sf_dir):
     return RP.review_distribution(Models(spark, sf_dir).fact_orders_gold)
 
 
+# -- the stored pipeline -------------------------------------------------------
+
+def _stored(name: str) -> QueryFn:
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return R.stored_pipeline(spark, sf_dir).gold(name)
+    fn.__name__ = f"pipeline_late_{name}"
+    return fn
+
+
+for _name in ("fact_orders_gold", "dim_products_gold", "dim_employees_gold", "dim_payroll_gold", "dim_date",
+              "mart_monthly_product_sales", "mart_hourly_traffic_conversion", "mart_traffic_conversion_by_product",
+              "mart_city_sales", "mart_product_reviews", "mart_employee_addon_performance"):
+    register(f"pipeline_late_{_name}", O.with_models(f"SELECT * FROM {O.STORED_AS.get(_name, _name)}"))(_stored(_name))
+register("pipeline_late_ml_revenue_forecast", O.with_models(f"SELECT * FROM ({O.STORED_REVENUE_SQL.strip()})"))(
+    _stored("ml_revenue_forecast"))
+
+
+register("upsert_stored_orders", O.with_models(O.UPSERT_SQL))(R.upsert_stored)
+register("append_load_orders", O.with_models("SELECT * FROM raw_orders"))(R.append_load_orders)
+
+
 # -- data quality --------------------------------------------------------------
 
 def _dq_tables(spark, sf_dir):
-    m = Models(spark, sf_dir)
-    hourly = Models(spark, sf_dir, traffic="raw_traffic").mart_hourly_traffic_conversion
-    out = {}
-    for t, k in O.DQ_TABLES:
-        df = hourly if t == "mart_hourly_traffic_conversion" else m.get(t)
-        out[t] = (df, k)
-    return out
+    stored = R.stored_pipeline(spark, sf_dir)
+    return {t: (stored.gold(t), k) for t, k in Q.KEYS.items()}
 
 
 @register("dq_unique_keys", O.with_models(O.dq_unique_sql()))
@@ -210,13 +219,21 @@ def dq_not_null(spark, sf_dir):
 
 # -- streaming -------------------------------------------------------------------
 
+def _as_stream(df: DataFrame, folder: str, parts: list) -> DataFrame:
+    """The rows of ``df`` as a file stream: the parts (conditions) arrive one after another."""
+    for i, part in enumerate(parts):
+        df.filter(part).write.parquet(f"{folder}/{i}")
+    return (df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", True).parquet(folder))
+
 
 @register("stream_hourly_traffic", O.model_sql("mart_hourly_traffic_conversion"))
 def stream_hourly_traffic(spark, sf_dir):
     """Exact hourly mart built by Structured Streaming (availableNow) over the
-    events file; must equal the batch mart row for row."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/lakemart-stream-{uuid.uuid4().hex}"
-    src = traffic_from_events(stream_table(spark, sf_dir, "events"))
+    events in several micro-batches, the last of them late; must equal the batch mart."""
+    root = R.scratch(spark, "stream")
+    early, late = F.col("event_time") <= F.lit(R.TRAFFIC_CUT).cast("timestamp_ntz"), F.substring("traffic_id", -1, 1) == "7"
+    src = _as_stream(RawTables(spark, sf_dir).raw_traffic, f"{root}/in", [early & ~late, ~early & ~late, late])
     q = ST.hourly_mart_stream(spark, src, f"{root}/silver", f"{root}/mart", f"{root}/_checkpoint")
     q.awaitTermination()
     return ST.read_hourly_mart(spark, f"{root}/mart")
@@ -231,7 +248,7 @@ def _landed(spark, sf_dir, table):
     raw = getattr(RawTables(spark, sf_dir), table)
     for c in FLOAT_IDS.get(table, ()):
         raw = raw.withColumn(c, F.col(c).cast("double"))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/lakemart-landing-{uuid.uuid4().hex}/{table}"
+    path = f"{R.scratch(spark, 'landing')}/{table}"
     write_csv(raw, path, mode="overwrite", timestamp_format="yyyy-MM-dd HH:mm:ss.SSSSSS")
     return read_csv(spark, path, table)
 
@@ -246,31 +263,43 @@ def csv_landing_traffic(spark, sf_dir):
     return _landed(spark, sf_dir, "raw_traffic")
 
 
+@register("csv_landing_mixed_dates", O.with_models("SELECT * FROM raw_orders"))
+def csv_landing_mixed_dates(spark, sf_dir):
+    """Landing files whose dates come in several spellings, with fractions and zone offsets."""
+    ts, n = F.col("order_date"), F.col("order_id") % 5
+    text = (F.when(n == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+            .when(n == 1, F.concat(F.date_format(ts + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd HH:mm:ss"), F.lit("+02:00")))
+            .when(n == 2, F.date_format(ts, "d.M.yyyy H:mm:ss"))
+            .when(n == 3, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+            .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss")))
+    raw = RawTables(spark, sf_dir).raw_orders.withColumn("order_date", text)
+    path = f"{R.scratch(spark, 'landing')}/raw_orders"
+    write_csv(raw, path, mode="overwrite")
+    return read_csv(spark, path, "raw_orders")
+
+
 @register("stream_fact_orders", O.model_sql("fact_orders_gold"))
 def stream_fact_orders(spark, sf_dir):
-    """Order fact loaded by Structured Streaming (availableNow) with a per-batch
-    upsert by order_id; must equal the batch fact."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/lakemart-stream-{uuid.uuid4().hex}"
-    m = Models(spark, sf_dir)
-    schema = m.raw.raw_orders.schema
-    orders_stream = stream_table(spark, sf_dir, "orders")
-    src = orders_from_driver(orders_stream).select(*schema.names)
+    """Order fact loaded by Structured Streaming (availableNow) in several micro-batches, the last of
+    them late, with a per-batch upsert by order_id into month partitions; must equal the batch fact."""
+    root, m = R.scratch(spark, "stream"), Models(spark, sf_dir)
+    early = R._before("order_date", R.ORDERS_CUT)
+    src = _as_stream(m.raw.raw_orders, f"{root}/in", [early & ~R.late_order(), ~early & ~R.late_order(), R.late_order()])
     q = ST.fact_upsert_stream(src, f"{root}/fact", m.stg_products, f"{root}/_checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/fact")
+    return spark.read.parquet(f"{root}/fact").drop("order_month")
 
 
-@register("quarantine_late_orders", O.with_models(O.QUARANTINE_SQL))
+@register("quarantine_late_orders", O.with_models(f"SELECT * FROM ({O.QUARANTINE_SQL.strip()})"))
 def quarantine_late_orders(spark, sf_dir):
-    """Re-delivered orders at or below the stored fact's high watermark go to a
-    quarantine table instead of vanishing (the first load held orders up to the cut)."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/lakemart-quarantine-{uuid.uuid4().hex}"
-    m = Models(spark, sf_dir)
-    first = gold.fact_orders_gold(R._upto(m.stg_orders, "order_timestamp", R.ORDERS_CUT), m.stg_products)
-    first.write.parquet(f"{root}/fact")
-    ST.quarantine_late_rows(spark, m.stg_orders, f"{root}/fact", "order_timestamp", "order_timestamp",
-                            f"{root}/quarantine")
-    return spark.read.parquet(f"{root}/quarantine").drop("quarantined_batch_at")
+    """Orders that arrive at or below the stored fact's high watermark, or without a time, and that the
+    fact does not hold go to a quarantine table instead of vanishing; the batch is delivered twice."""
+    root, m = R.scratch(spark, "quarantine"), Models(spark, sf_dir)
+    loaded = m.stg_orders.filter(R._before("order_timestamp", R.ORDERS_CUT) & ~R.late_order())
+    gold.fact_orders_gold(loaded, m.stg_products).write.parquet(f"{root}/fact")
+    for _ in range(2):
+        ST.quarantine_late_rows(spark, m.stg_orders, f"{root}/fact", "order_timestamp", ["order_id"], f"{root}/quarantine", 1)
+    return spark.read.parquet(f"{root}/quarantine").drop("batch_id")
 
 
 @register("dim_products_gold_via_totals", O.model_sql("dim_products_gold"))

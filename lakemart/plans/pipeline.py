@@ -3,8 +3,13 @@
 Every gold table is written to ``<warehouse>/gold/<name>`` and read back by
 the steps after it, so each step's plan starts from stored files (lineage is
 cut at table boundaries; a lost executor only repeats its current step).
-Marts are partitioned by their period column; on a delta run only the
-periods the delta touches are read and rewritten (see ``sinks.upsert_table``).
+
+Orders are loaded by key, not by time alone: a run takes every order that the
+stored fact lacks or holds in an older version, so late orders, orders tied
+with the newest stored time and orders without a time arrive like any other.
+The months that these rows touch (and those they leave) are then rebuilt from
+the stored fact in every mart, so fact and marts always agree. Traffic has no
+key; a ledger of rows per day tells which days have changed.
 
 Build order follows the model references: silver views; employee and
 payroll dimensions; the order fact; month, hour and product-funnel marts;
@@ -16,59 +21,45 @@ from __future__ import annotations
 
 import contextlib
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import gold, ml, silver
-from lakemart.operators.incremental import bucket_delta, high_watermark_delta, watermark
-from lakemart.sources.sinks import table_exists, upsert_table, write_table
+from lakemart.operators.incremental import unstored_rows
+from lakemart.sources.sinks import (distinct_values, one_of, publish, replace_partitions, table_exists, upsert_table,
+                                    write_table)
 
 
 @dataclass
 class MartSpec:
-    """How a gold model is stored and refreshed."""
+    """How a gold table is stored: its key and the period column it is partitioned by."""
     keys: list[str]
     partition: str | None
-    # (source timestamp column, stored bucket column, truncation unit) for
-    # bucketed deltas; None for a row watermark or a full refresh.
-    bucket: tuple[str, str, str] | None = None
-    watermark: tuple[str, str] | None = None
-    # Stored-only partition columns: name -> function returning the Column.
-    extra_partition_expr: dict = field(default_factory=dict)
-    # False when a key's partition can change between versions (see upsert_table).
-    keys_fixed_to_partition: bool = True
 
 
 SPECS = {
-    "fact_orders_gold": MartSpec(["order_id"], "order_month", watermark=("order_timestamp", "order_timestamp"),
-                                 extra_partition_expr={"order_month": lambda: F.trunc("order_date", "MM")},
-                                 keys_fixed_to_partition=False),
-    "mart_monthly_product_sales": MartSpec(["month_prod_id"], "sales_month",
-                                           bucket=("order_timestamp", "sales_month", "month")),
-    "mart_hourly_traffic_conversion": MartSpec(["event_hour"], "event_date",
-                                               bucket=("event_timestamp", "event_hour", "hour")),
-    "mart_traffic_conversion_by_product": MartSpec(["month_product_id"], "traffic_month",
-                                                   bucket=("event_timestamp", "traffic_month", "month")),
-    "mart_city_sales": MartSpec(["city", "sales_day"], "sales_month",
-                                bucket=("order_timestamp", "sales_day", "day")),
-    "mart_product_reviews": MartSpec(["month_prod_id"], "review_month",
-                                     bucket=("order_timestamp", "review_month", "month")),
-    "mart_employee_addon_performance": MartSpec(["month_employee_id"], "performance_month",
-                                                bucket=("order_timestamp", "performance_month", "month")),
-    "dim_date": MartSpec(["date_day"], None, watermark=("date_day", "date_day")),
+    "fact_orders_gold": MartSpec(["order_id"], "order_month"),
+    "mart_monthly_product_sales": MartSpec(["month_prod_id"], "sales_month"),
+    "mart_hourly_traffic_conversion": MartSpec(["event_hour"], "event_date"),
+    "mart_traffic_conversion_by_product": MartSpec(["month_product_id"], "traffic_month"),
+    "mart_city_sales": MartSpec(["city", "sales_day"], "sales_month"),
+    "mart_product_reviews": MartSpec(["month_prod_id"], "review_month"),
+    "mart_employee_addon_performance": MartSpec(["month_employee_id"], "performance_month"),
+    "dim_date": MartSpec(["date_day"], None),
     # Internal helper: review sums per (month, product) behind dim_products_gold.
-    "review_totals": MartSpec(["review_month", "product_id"], "review_month",
-                              bucket=("order_timestamp", "review_month", "month")),
+    "review_totals": MartSpec(["review_month", "product_id"], "review_month"),
 }
+UNSPECIFIED = ("dim_employees_gold", "dim_payroll_gold", "dim_products_gold", "ml_anomaly_flags", "ml_revenue_forecast",
+               "ml_traffic_prediction")
 
 
 class Pipeline:
     """One warehouse folder; ``run(raw)`` performs a full or delta run."""
 
-    def __init__(self, spark: SparkSession, warehouse: str, strict: bool = False):
-        self.spark, self.root, self.strict = spark, warehouse.rstrip("/"), strict
+    def __init__(self, spark: SparkSession, warehouse: str):
+        self.spark, self.root = spark, warehouse.rstrip("/")
         # Schema of every model written in this run: a partitioned write of
         # zero rows leaves no file to read a schema from.
         self._schemas: dict = {}
@@ -84,146 +75,159 @@ class Pipeline:
     def path(self, name: str, layer: str = "gold") -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def _read(self, name: str) -> DataFrame:
+        if table_exists(self.spark, self.path(name)):
+            return self.spark.read.parquet(self.path(name))
+        if name not in self._schemas:
+            raise FileNotFoundError(self.path(name))
+        return self.spark.createDataFrame([], self._schemas[name])
+
     def gold(self, name: str) -> DataFrame:
-        if not table_exists(self.spark, self.path(name)):
-            if name not in self._schemas:
-                raise FileNotFoundError(self.path(name))
-            df = self.spark.createDataFrame([], self._schemas[name])
-        else:
-            df = self.spark.read.parquet(self.path(name))
-        spec = SPECS.get(name)
-        if spec and spec.extra_partition_expr:
-            df = df.drop(*spec.extra_partition_expr)
-        return df
-
-    def _stored(self, name: str) -> DataFrame | None:
-        return self.gold(name) if table_exists(self.spark, self.path(name)) else None
-
-    def _merge(self, name: str, build, source: DataFrame, source_month: str | None = None) -> None:
-        """Delta-build ``name`` from ``source`` with ``build(source_rows)`` and upsert it.
-
-        ``source_month`` names a month partition column of a stored source
-        (the fact's ``order_month``): the bucket predicate on the timestamp
-        implies ``month >= trunc(watermark)``, which is added so the scan
-        prunes to the recent partitions instead of reading the whole fact.
-        """
-        spec = SPECS[name]
-        target = self._stored(name)
-        if target is None:
-            delta_src = source
-        elif spec.bucket:
-            ts, bucket, unit = spec.bucket
-            delta_src = bucket_delta(source, target, ts, bucket, unit, strict=self.strict)
-            if source_month:
-                wm = watermark(target, bucket)
-                delta_src = delta_src.filter(wm.isNull() | (F.col(source_month) >= F.trunc(wm, "MM")))
-        else:
-            src_col, tgt_col = spec.watermark
-            delta_src = high_watermark_delta(source, target, src_col, tgt_col)
-        if source_month:
-            delta_src = delta_src.drop(source_month)
-        delta = build(delta_src)
-        for c, expr in spec.extra_partition_expr.items():
-            delta = delta.withColumn(c, expr())
-        self._schemas[name] = delta.schema
-        order = ["order_timestamp"] if "order_timestamp" in delta.columns else None
+        df = self._read(name)
+        return df.drop("order_month") if name == "fact_orders_gold" else df
+
+    def _put(self, name: str, df: DataFrame, values: list | None = None) -> None:
+        """Replace the table, or the partitions of the given period values."""
+        part = SPECS[name].partition if name in SPECS else None
+        self._schemas[name] = df.schema
         with self._step(name):
-            upsert_table(self.spark, self.path(name), delta, spec.keys, spec.partition, order_cols=order,
-                         keys_fixed_to_partition=spec.keys_fixed_to_partition)
+            if values is None or not table_exists(self.spark, self.path(name)):
+                write_table(df, self.path(name), partition_by=[part] if part else None)
+            else:
+                replace_partitions(df, self.path(name), part, values)
+
+    # -- orders ----------------------------------------------------------------
+    def _load_fact(self, s_orders: DataFrame, s_products: DataFrame) -> list | None:
+        """Load what the fact lacks; the touched months, None on a first run."""
+        path, first = self.path("fact_orders_gold"), not table_exists(self.spark, self.path("fact_orders_gold"))
+        new = s_orders if first else unstored_rows(s_orders, self.spark.read.parquet(path), ["order_id"], "order_timestamp")
+        fact = gold.fact_orders_gold(new, s_products).withColumn("order_month", F.trunc("order_date", "MM"))
+        self._schemas["fact_orders_gold"] = fact.schema
+        with self._step("fact_orders_gold"):
+            touched = upsert_table(self.spark, path, fact, ["order_id"], "order_month", ["order_timestamp"],
+                                   keys_fixed_to_partition=False)
+        return None if first else touched
+
+    def _order_marts(self, months: list | None, s_products: DataFrame) -> None:
+        """Rebuild the marts of the fact, for the given months or whole."""
+        fact = self._read("fact_orders_gold")
+        if months is not None:
+            fact = fact.filter(one_of("order_month", months))
+        fact, dim_emp = fact.drop("order_month"), self.gold("dim_employees_gold")
+        orders = fact.select("order_timestamp", "product_id", "quantity", F.col("addon_revenue").alias("service_price"))
+        self._put("mart_monthly_product_sales", gold.mart_monthly_product_sales(orders, s_products), months)
+        self._put("review_totals", gold.review_totals(fact), months)
+        self._put("mart_city_sales", gold.mart_city_sales(fact, s_products), months)
+        self._put("mart_product_reviews", gold.mart_product_reviews(fact, s_products), months)
+        self._put("mart_employee_addon_performance", gold.mart_employee_addon_performance(fact, dim_emp), months)
+        self._put("dim_products_gold", gold.dim_products_from_totals(s_products, self.gold("review_totals")))
+
+    def _date_dimension(self) -> None:
+        spine = gold.dim_date_span(self.gold("fact_orders_gold"), "order_timestamp")
+        self._schemas["dim_date"] = spine.schema
+        with self._step("dim_date"):
+            upsert_table(self.spark, self.path("dim_date"), spine, ["date_day"], dedupe=False)
+
+    # -- traffic ---------------------------------------------------------------
+    def _traffic_marts(self, s_traffic: DataFrame, s_products: DataFrame, days: list | None, months: list | None) -> None:
+        stamp = F.col("event_timestamp")
+        of_days = s_traffic if days is None else self._between(s_traffic, days, "day").filter(one_of("_day", days)).drop("_day")
+        of_months = s_traffic if months is None else self._between(s_traffic, months, "month").withColumn(
+            "_month", F.trunc(stamp.cast("date"), "MM")).filter(one_of("_month", months)).drop("_month", "_day")
+        self._put("mart_hourly_traffic_conversion", gold.mart_hourly_traffic_conversion(of_days), days)
+        self._put("mart_traffic_conversion_by_product", gold.mart_traffic_conversion_by_product(of_months, s_products), months)
+
+    @staticmethod
+    def _between(df: DataFrame, periods: list, unit: str) -> DataFrame:
+        """Rows from the first to the last of the periods (first days), by plain bounds on the time that
+        a scan can use; rows without a time only if asked for."""
+        stamp = F.col("event_timestamp")
+        given = [p for p in periods if p is not None]
+        keep = F.lit(False)
+        if given:
+            low = F.lit(min(given)).cast("timestamp_ntz")
+            high = F.add_months(F.lit(max(given)), 1) if unit == "month" else F.date_add(F.lit(max(given)), 1)
+            keep = (stamp >= low) & (stamp < high.cast("timestamp_ntz"))
+        if None in periods:
+            keep = keep | stamp.isNull()
+        return df.filter(keep).withColumn("_day", stamp.cast("date"))
+
+    def _changed_days(self, s_traffic: DataFrame) -> list | None:
+        """Days whose number of rows differs from the ledger of the last run; None on a first run.
+        The ledger is written after the marts, so a run that broke off is repeated."""
+        now = s_traffic.groupBy(F.col("event_timestamp").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+        self._ledger = now
+        if not table_exists(self.spark, self.path("traffic_ledger", "silver")):
+            return None
+        before = self.spark.read.parquet(self.path("traffic_ledger", "silver")).select(F.col("day").alias("_d"), F.col("n").alias("_n"))
+        both = now.join(before, now["day"].eqNullSafe(before["_d"]), "full")
+        return distinct_values(both.filter(~F.col("n").eqNullSafe(F.col("_n"))).select(F.coalesce("day", "_d").alias("day")), "day")
+
+    # -- runs ------------------------------------------------------------------
+    @staticmethod
+    def _table(raw, name: str) -> DataFrame:
+        return raw.table(name) if hasattr(raw, "table") else getattr(raw, name)
 
     def rebuild_months(self, raw, months: list) -> None:
-        """Recompute every month-partitioned mart for ``months`` (first days)
-        and replace exactly those partitions: the repair path for corrections
-        that land in months older than the latest stored bucket. Sources are
-        pruned to the months (the stored fact by its ``order_month``
-        partition), so the cost follows the months rebuilt, not the history.
-        """
-        def raw_table(name):
-            return raw.table(name) if hasattr(raw, "table") else getattr(raw, name)
-
-        def in_months(df, ts):
-            return df.filter(F.trunc(F.col(ts), "MM").isin(*months))
-
-        s_products = silver.stg_products(raw_table("raw_products"))
-        s_orders = in_months(silver.stg_orders(raw_table("raw_orders")), "order_timestamp")
-        s_traffic = in_months(silver.stg_traffic(raw_table("raw_traffic")), "event_timestamp")
-        fact_m = (self.spark.read.parquet(self.path("fact_orders_gold"))
-                  .filter(F.col("order_month").isin(*months)).drop("order_month"))
-        dim_emp = self.gold("dim_employees_gold")
-        jobs = [
-            ("mart_monthly_product_sales", gold.mart_monthly_product_sales(s_orders, s_products)),
-            ("mart_hourly_traffic_conversion", gold.mart_hourly_traffic_conversion(s_traffic)),
-            ("mart_traffic_conversion_by_product", gold.mart_traffic_conversion_by_product(s_traffic, s_products)),
-            ("mart_city_sales", gold.mart_city_sales(fact_m, s_products)),
-            ("mart_product_reviews", gold.mart_product_reviews(fact_m, s_products)),
-            ("mart_employee_addon_performance", gold.mart_employee_addon_performance(fact_m, dim_emp)),
-            ("review_totals", gold.review_totals(fact_m)),
-        ]
-        for name, df in jobs:
-            with self._step(f"rebuild:{name}"):
-                write_table(df, self.path(name), "overwrite", [SPECS[name].partition], dynamic=True)
-        with self._step("dim_products_gold"):
-            write_table(gold.dim_products_from_totals(s_products, self.gold("review_totals")),
-                        self.path("dim_products_gold"))
+        """Recompute the fact and every mart for ``months`` (first days, None for orders without a
+        time) from the raw tables and replace exactly those partitions; a month without rows loses
+        its partition. The repair path for corrections and deletions in the source."""
+        s_products = silver.stg_products(self._table(raw, "raw_products"))
+        s_orders = silver.stg_orders(self._table(raw, "raw_orders"))
+        s_traffic = silver.stg_traffic(self._table(raw, "raw_traffic"))
+        fact = (gold.fact_orders_gold(s_orders, s_products).withColumn("order_month", F.trunc("order_date", "MM"))
+                .filter(one_of("order_month", months)))
+        self._put("fact_orders_gold", fact, months)
+        self._order_marts(months, s_products)
+        of_months = self._between(s_traffic, months, "month")
+        stored = self._read("mart_hourly_traffic_conversion").select(F.col("event_date").alias("_day"))
+        month = F.trunc(F.col("_day"), "MM")
+        days = distinct_values(of_months.select("_day").union(stored).withColumn("_month", month).filter(one_of("_month", months)), "_day")
+        self._traffic_marts(s_traffic, s_products, days, months)
+        self._date_dimension()
 
     def run(self, raw) -> dict[str, str]:
         """``raw`` exposes ``raw_products raw_employees raw_payroll raw_orders
         raw_traffic`` DataFrames (e.g. ``RawTables`` or ``SourceCatalog``)."""
-        def raw_table(name):
-            return raw.table(name) if hasattr(raw, "table") else getattr(raw, name)
-
-        s_products = silver.stg_products(raw_table("raw_products"))
-        s_employees = silver.stg_employees(raw_table("raw_employees"))
-        s_payroll = silver.stg_payroll(raw_table("raw_payroll"))
-        s_orders = silver.stg_orders(raw_table("raw_orders"))
-        s_traffic = silver.stg_traffic(raw_table("raw_traffic"))
+        s_products = silver.stg_products(self._table(raw, "raw_products"))
+        s_employees = silver.stg_employees(self._table(raw, "raw_employees"))
+        s_payroll = silver.stg_payroll(self._table(raw, "raw_payroll"))
+        s_orders = silver.stg_orders(self._table(raw, "raw_orders"))
+        s_traffic = silver.stg_traffic(self._table(raw, "raw_traffic"))
         for n, df in [("stg_products", s_products), ("stg_employees", s_employees), ("stg_payroll", s_payroll),
                       ("stg_orders", s_orders), ("stg_traffic", s_traffic)]:
             df.createOrReplaceTempView(n)
 
         # Dimensions that are replaced whole on every run.
         self.timings = {}
-        with self._step("dim_employees_gold"):
-            write_table(gold.dim_employees_gold(s_employees), self.path("dim_employees_gold"))
-        with self._step("dim_payroll_gold"):
-            write_table(gold.dim_payroll_gold(s_payroll), self.path("dim_payroll_gold"))
-
-        # Order fact (row watermark), then the marts built straight from silver.
-        self._merge("fact_orders_gold", lambda o: gold.fact_orders_gold(o, s_products), s_orders)
-        self._merge("mart_monthly_product_sales", lambda o: gold.mart_monthly_product_sales(o, s_products), s_orders)
-        self._merge("mart_hourly_traffic_conversion", gold.mart_hourly_traffic_conversion, s_traffic)
-        self._merge("mart_traffic_conversion_by_product",
-                    lambda t: gold.mart_traffic_conversion_by_product(t, s_products), s_traffic)
-
-        # Models that read the stored fact. ``fact_m`` keeps the stored
-        # ``order_month`` partition column so delta reads are pruned.
-        fact = self.gold("fact_orders_gold")
-        fact_m = self.spark.read.parquet(self.path("fact_orders_gold"))
-        dim_emp = self.gold("dim_employees_gold")
-        self._merge("review_totals", gold.review_totals, fact_m, "order_month")
-        with self._step("dim_products_gold"):
-            write_table(gold.dim_products_from_totals(s_products, self.gold("review_totals")),
-                        self.path("dim_products_gold"))
-        self._merge("mart_city_sales", lambda f: gold.mart_city_sales(f, s_products), fact_m, "order_month")
-        self._merge("mart_product_reviews", lambda f: gold.mart_product_reviews(f, s_products), fact_m,
-                    "order_month")
-        self._merge("mart_employee_addon_performance",
-                    lambda f: gold.mart_employee_addon_performance(f, dim_emp), fact_m, "order_month")
-        self._merge("dim_date", lambda spine: spine, gold.dim_date_span(fact, "order_timestamp"))
-
-        # ML outputs, replaced on every run; ``as_of`` = the latest stored month.
+        self._put("dim_employees_gold", gold.dim_employees_gold(s_employees))
+        self._put("dim_payroll_gold", gold.dim_payroll_gold(s_payroll))
+
+        months = self._load_fact(s_orders, s_products)
+        if months is None or months:
+            self._order_marts(months, s_products)
+            self._date_dimension()
+        else:  # products may have changed without any order
+            self._put("dim_products_gold", gold.dim_products_from_totals(s_products, self.gold("review_totals")))
+
+        days = self._changed_days(s_traffic)
+        if days is None or days:
+            touched = None if days is None else sorted({d and d.replace(day=1) for d in days}, key=str)
+            self._traffic_marts(s_traffic, s_products, days, touched)
+            write_table(self._ledger, self.path("traffic_ledger", "silver"))
+
+        # ML outputs, replaced on every run; the data's own newest period stands for the time of the run.
         sales = self.gold("mart_monthly_product_sales")
         hourly = self.gold("mart_hourly_traffic_conversion")
-        series = ml.anomaly_inputs(self.gold("mart_traffic_conversion_by_product"),
-                                   self.gold("mart_employee_addon_performance"))
-        with self._step("ml_anomaly_flags"):
-            write_table(ml.anomaly_flags(series), self.path("ml_anomaly_flags"))
-        with self._step("ml_revenue_forecast"):
-            write_table(ml.revenue_forecast(sales, sales.agg(F.max("sales_month")).scalar()),
-                        self.path("ml_revenue_forecast"))
-        with self._step("ml_traffic_prediction"):
-            write_table(ml.traffic_forecast(hourly, hourly.agg(F.max("event_date")).scalar()),
-                        self.path("ml_traffic_prediction"))
-        return {n: self.path(n) for n in list(SPECS) + ["dim_employees_gold", "dim_payroll_gold",
-                                                        "dim_products_gold", "ml_anomaly_flags",
-                                                        "ml_revenue_forecast", "ml_traffic_prediction"]}
+        sales_as_of = sales.agg(F.max("sales_month")).scalar()
+        traffic_as_of = hourly.agg(F.max("event_date")).scalar()
+        series = ml.anomaly_inputs(self.gold("mart_traffic_conversion_by_product"), self.gold("mart_employee_addon_performance"))
+        self._put("ml_anomaly_flags", ml.anomaly_flags(series, generated_at=sales_as_of.cast("timestamp_ntz")))
+        self._put("ml_revenue_forecast", ml.revenue_forecast(sales, sales_as_of, generated_at=sales_as_of.cast("timestamp_ntz")))
+        self._put("ml_traffic_prediction", ml.traffic_forecast(hourly, traffic_as_of,
+                                                               generated_at=traffic_as_of.cast("timestamp_ntz")))
+        return {n: self.path(n) for n in [*SPECS, *UNSPECIFIED]}
+
+    def publish(self) -> list[str]:
+        """Make the stored tables catalog tables of the ``gold`` database."""
+        return [publish(self.spark, self.path(n), "gold", n) for n in [*SPECS, *UNSPECIFIED] if table_exists(self.spark, self.path(n))]

@@ -1,4 +1,4 @@
-"""Two-run incremental builds over whole driver tables.
+"""Incremental builds over whole driver tables, in memory and stored.
 
 Each function plays a first run on the rows up to a cut point and a second
 (delta) run on the whole source, exactly as a scheduled pipeline would see
@@ -6,19 +6,27 @@ the data grow, and returns the upserted gold table. In the default
 (correct) mode the result must equal a full rebuild; ``strict`` reproduces
 the legacy boundary rule. The cut points are run parameters; both runs
 together cover every row of the source.
+
+``stored_pipeline`` plays the whole pipeline in storage: a history run, a
+delta run, and a run in which the rows that were held back arrive late.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators import gold, hr, orders as ords
 from lakemart.operators.incremental import (bucket_delta, high_watermark_delta, id_watermark_delta,
                                             next_period_start, upsert)
 from lakemart.plans.models import Models
+from lakemart.plans.pipeline import Pipeline
+from lakemart.session import checkpoint_dir
+from lakemart.sources.fixtures import RawTables
+from lakemart.sources.sinks import append_load, upsert_table
 
 # Run parameters: where the first run stopped (mid-month, mid-day, so both a
 # partial month and a partial day/hour are re-processed by the second run).
@@ -28,7 +36,8 @@ TRAFFIC_HIST_CUT = _dt.datetime(1998, 6, 15, 0, 0, 0)
 
 
 def _upto(df: DataFrame, ts_col: str, cut: _dt.datetime) -> DataFrame:
-    return df.filter(F.col(ts_col) <= F.lit(cut).cast("timestamp_ntz"))
+    """What a first run at ``cut`` had: rows up to it, and those without a time."""
+    return df.filter((F.col(ts_col) <= F.lit(cut).cast("timestamp_ntz")) | F.col(ts_col).isNull())
 
 
 def inc_fact_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +53,7 @@ def inc_hourly_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly traffic mart: latest stored hour recomputed whole, merged on event_hour."""
     m = Models(spark, sf_dir, traffic="raw_traffic")
     first = gold.mart_hourly_traffic_conversion(_upto(m.stg_traffic, "event_timestamp", TRAFFIC_CUT))
-    delta_src = bucket_delta(m.stg_traffic, first, "event_timestamp", "event_hour", "hour")
+    delta_src = bucket_delta(m.stg_traffic, first, "event_timestamp", "event_hour")
     delta = gold.mart_hourly_traffic_conversion(delta_src)
     return upsert(first, delta, ["event_hour"])
 
@@ -53,7 +62,7 @@ def inc_monthly_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month x product sales: latest stored month recomputed whole, merged on month_prod_id."""
     m = Models(spark, sf_dir)
     first = gold.mart_monthly_product_sales(_upto(m.stg_orders, "order_timestamp", ORDERS_CUT), m.stg_products)
-    delta_src = bucket_delta(m.stg_orders, first, "order_timestamp", "sales_month", "month")
+    delta_src = bucket_delta(m.stg_orders, first, "order_timestamp", "sales_month")
     delta = gold.mart_monthly_product_sales(delta_src, m.stg_products)
     return upsert(first, delta, ["month_prod_id"])
 
@@ -68,7 +77,7 @@ def inc_city_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Models(spark, sf_dir)
     fact_first = _upto(m.fact_orders_gold, "order_timestamp", ORDERS_CUT)
     first = gold.mart_city_sales(fact_first, m.stg_products)
-    delta_src = bucket_delta(m.fact_orders_gold, first, "order_timestamp", "sales_day", "day")
+    delta_src = bucket_delta(m.fact_orders_gold, first, "order_timestamp", "sales_day")
     delta = gold.mart_city_sales(delta_src, m.stg_products)
     return upsert(first, delta, ["city", "sales_day"])
 
@@ -78,7 +87,7 @@ def inc_traffic_product_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Models(spark, sf_dir)
     first = gold.mart_traffic_conversion_by_product(
         _upto(m.stg_traffic, "event_timestamp", TRAFFIC_HIST_CUT), m.stg_products)
-    delta_src = bucket_delta(m.stg_traffic, first, "event_timestamp", "traffic_month", "month")
+    delta_src = bucket_delta(m.stg_traffic, first, "event_timestamp", "traffic_month")
     delta = gold.mart_traffic_conversion_by_product(delta_src, m.stg_products)
     return upsert(first, delta, ["month_product_id"])
 
@@ -88,7 +97,7 @@ def inc_addon_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Models(spark, sf_dir)
     first = gold.mart_employee_addon_performance(
         _upto(m.fact_orders_gold, "order_timestamp", ORDERS_CUT), m.dim_employees_gold)
-    delta_src = bucket_delta(m.fact_orders_gold, first, "order_timestamp", "performance_month", "month")
+    delta_src = bucket_delta(m.fact_orders_gold, first, "order_timestamp", "performance_month")
     delta = gold.mart_employee_addon_performance(delta_src, m.dim_employees_gold)
     return upsert(first, delta, ["month_employee_id"])
 
@@ -102,7 +111,7 @@ def inc_strict_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     m = Models(spark, sf_dir)
     first = gold.mart_product_reviews(_upto(m.fact_orders_gold, "order_timestamp", ORDERS_CUT), m.stg_products)
-    delta_src = bucket_delta(m.fact_orders_gold, first, "order_timestamp", "review_month", "month", strict=True)
+    delta_src = bucket_delta(m.fact_orders_gold, first, "order_timestamp", "review_month", strict=True)
     delta = gold.mart_product_reviews(delta_src, m.stg_products)
     return upsert(first, delta, ["month_prod_id"])
 
@@ -111,7 +120,7 @@ def inc_reviews_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review mart with the corrected rule (whole latest month recomputed)."""
     m = Models(spark, sf_dir)
     first = gold.mart_product_reviews(_upto(m.fact_orders_gold, "order_timestamp", ORDERS_CUT), m.stg_products)
-    delta_src = bucket_delta(m.fact_orders_gold, first, "order_timestamp", "review_month", "month")
+    delta_src = bucket_delta(m.fact_orders_gold, first, "order_timestamp", "review_month")
     delta = gold.mart_product_reviews(delta_src, m.stg_products)
     return upsert(first, delta, ["month_prod_id"])
 
@@ -138,3 +147,73 @@ def inc_next_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = next_period_start(existing, "payroll_month", hr.first_hire_month(m.stg_employees))
     as_of = hr.last_activity_month(m.stg_orders)
     return hr.payroll_expand(m.stg_employees, start, as_of, as_of)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder on the shared storage."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/lakemart-{name}-{uuid.uuid4().hex}"
+
+
+def late_order() -> Column:
+    """The orders that every stored scenario delivers last."""
+    return F.col("order_id") % 11 == 3
+
+
+class _Arrived:
+    """The raw tables as far as they had arrived: fact rows that pass the given conditions."""
+
+    def __init__(self, raw, **arrived):
+        self.raw, self.arrived = raw, arrived
+
+    def __getattr__(self, name: str) -> DataFrame:
+        df = getattr(self.raw, name)
+        return df.filter(self.arrived[name]) if name in self.arrived else df
+
+
+def _before(ts_col: str, cut: _dt.datetime) -> Column:
+    return F.col(ts_col).isNull() | (F.col(ts_col) <= F.lit(cut).cast("timestamp_ntz"))
+
+
+# Stored pipelines of this application: they are built once and read by several queries.
+_STORED: dict[tuple[str, str], Pipeline] = {}
+
+
+def stored_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """A warehouse after three runs: history up to the cuts, then newer rows, then the rows that had
+    been held back (late, tied with the newest stored time, without a time). It must equal a full run."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        raw = RawTables(spark, sf_dir)
+        late_event = (F.regexp_replace("traffic_id", "T-", "").cast("bigint") % 7) == 3
+        p = Pipeline(spark, scratch(spark, "pipeline"))
+        p.run(_Arrived(raw, raw_orders=_before("order_date", ORDERS_CUT) & ~late_order(),
+                       raw_traffic=_before("event_time", TRAFFIC_CUT) & ~late_event))
+        p.run(_Arrived(raw, raw_orders=~late_order(), raw_traffic=~late_event))
+        p.run(raw)
+        _STORED[key] = p
+    return _STORED[key]
+
+
+def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored by month, then merged with a delta whose keys move to other months, to no month
+    (their time is lost) and from none to one; read back."""
+    path = scratch(spark, "upsert") + "/orders"
+    month = F.trunc(F.col("order_timestamp").cast("date"), "MM")
+    base = Models(spark, sf_dir).stg_orders.select("order_id", "order_timestamp", "quantity")
+    moved = (F.when(F.col("order_id") % 13 == 1, None)
+             .when(F.col("order_timestamp").isNull(), F.lit(_dt.datetime(1999, 1, 15)).cast("timestamp_ntz"))
+             .otherwise(F.col("order_timestamp") + F.expr("INTERVAL 40 DAYS")))
+    delta = (base.filter((F.col("order_id") % 13 == 1) | (F.col("order_id") % 7 == 2) | F.col("order_timestamp").isNull())
+             .withColumn("order_timestamp", moved.cast("timestamp_ntz")).withColumn("quantity", F.col("quantity") + 100))
+    for rows in (base, delta):
+        upsert_table(spark, path, rows.withColumn("order_month", month), ["order_id"], "order_month", keys_fixed_to_partition=False)
+    return spark.read.parquet(path)
+
+
+def append_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders appended in two loads, the second with newer and late rows; read back."""
+    path = scratch(spark, "append") + "/raw_orders"
+    orders = RawTables(spark, sf_dir).raw_orders
+    for rows in (orders.filter(_before("order_date", ORDERS_CUT) & ~late_order()), orders):
+        append_load(rows, path, ["order_id"], "order_date")
+    return spark.read.parquet(path)

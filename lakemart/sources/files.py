@@ -21,17 +21,18 @@ from lakemart.schemas import RAW, csv_landing_schema
 # Name fragments that mark a column as a date/time column on load.
 DATETIME_NAME_PARTS = ("date", "month_year", "event_time")
 
-# Accepted text formats, tried in order (ISO first).
-DATETIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS",
-                    "yyyy-MM-dd", "d.M.yyyy", "M/d/yyyy")
+# Text formats besides ISO ones, tried in order.
+DATETIME_FORMATS = ("d.M.yyyy", "M/d/yyyy", "d.M.yyyy H:mm:ss", "M/d/yyyy H:mm:ss", "d.M.yyyy H:mm", "M/d/yyyy H:mm")
 
 # Nullable ids that a landed CSV carries as floats ("800001.0").
 FLOAT_IDS = {"raw_traffic": ("order_id",), "raw_orders": ("service_price", "review")}
 
 
 def parse_datetime(c: Column, formats=DATETIME_FORMATS) -> Column:
-    """First format that parses wins; text that matches none becomes NULL."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    """ISO text with any fraction and an optional zone offset (a time with an offset counts in
+    UTC), else the first format that parses; text that matches none becomes NULL."""
+    text = F.trim(c)
+    return F.coalesce(text.try_cast("timestamp"), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
 def coerce_datetime_columns(df: DataFrame, target: T.StructType | None = None) -> DataFrame:

@@ -4,16 +4,16 @@ The driver ships ``part supplier orders lineitem events ...`` parquet files.
 These functions derive ``raw_products raw_employees raw_payroll raw_orders
 raw_traffic raw_traffic_hist`` from them with plain DataFrame expressions,
 so every downstream query reads whole driver tables and its work grows with
-them. Integer arithmetic only, so Spark and DuckDB agree row for row (the
-equivalent SQL text lives in ``lakemart.plans.oracle``).
+them. Keys spread over the whole dimensions. Integer arithmetic only, so Spark
+and DuckDB agree row for row (the SQL text in ``lakemart.plans.oracle`` states
+its fixed values on its own).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.exprs import CITY_REGION
@@ -26,30 +26,13 @@ ADAPTER_PAYROLL_MONTHS = [_dt.date(1999, 1, 1), _dt.date(1999, 2, 1), _dt.date(1
 ADAPTER_HIRE_EPOCH = _dt.date(1995, 1, 1)
 
 
-# The driver's tables are read-only: a resolved DataFrame per (session, file,
-# file version) is reused instead of re-listing and re-reading the parquet
-# footer for every query plan.
-_READS: dict = {}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        st = os.stat(path)
-        version = (st.st_mtime_ns, st.st_size)
-    except OSError:  # not a local path: no memo
-        return spark.read.parquet(path)
-    key = (id(spark), path, version)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """A driver table as a file stream (schema taken from the file, not inferred per batch)."""
-    schema = _read(spark, sf_dir, name).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(sf_dir))
+def key_count(spark: SparkSession, sf_dir: str, table: str) -> Column:
+    """Number of rows of a dimension as a lazy scalar; its keys are 0 .. n - 1."""
+    return _read(spark, sf_dir, table).agg(F.count(F.lit(1))).scalar()
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +51,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _read(spark, sf_dir, "supplier").filter(F.col("s_suppkey") > 0)
-    k = F.col("s_suppkey")
+    s = _read(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey") + 1  # 0 stands for no employee
     hire_off = (k * 137) % 2000
     return s.select(
         k.alias("employee_id"),
@@ -83,21 +66,24 @@ def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _read(spark, sf_dir, "supplier").filter(F.col("s_suppkey") > 0)
+    s = _read(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey") + 1
     months = F.array(*[F.lit(m) for m in ADAPTER_PAYROLL_MONTHS])
     return s.select(
-        F.col("s_suppkey").alias("employee_id"),
-        (F.lit(28000) + (F.col("s_suppkey") * 97) % 5000).alias("monthly_salary"),
+        k.alias("employee_id"),
+        (F.lit(28000) + (k * 97) % 5000).alias("monthly_salary"),
         F.explode(months).alias("month_year"),
     )
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders_from_driver(_read(spark, sf_dir, "orders"))
+    return orders_from_driver(_read(spark, sf_dir, "orders"), key_count(spark, sf_dir, "part"),
+                              key_count(spark, sf_dir, "supplier"))
 
 
-def orders_from_driver(o: DataFrame) -> DataFrame:
-    """The raw-orders projection of a driver ``orders`` frame (batch or streaming)."""
+def orders_from_driver(o: DataFrame, products: Column, employees: Column) -> DataFrame:
+    """The raw-orders projection of a driver ``orders`` frame; keys spread over all
+    ``products`` and ``employees``, and one order in 509 has lost its time."""
     ok, ck, prio = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
     city = None
     for i, name in enumerate(ADAPTER_CITIES):
@@ -105,16 +91,16 @@ def orders_from_driver(o: DataFrame) -> DataFrame:
     city = city.otherwise(ADAPTER_OTHER_CITY)
     return o.select(
         ok.alias("order_id"),
-        F.when(ok % 97 == 0, F.lit(ADAPTER_UNKNOWN_PRODUCT).cast("bigint")).otherwise(ok % 50).alias("product_id"),
+        F.when(ok % 97 == 0, F.lit(ADAPTER_UNKNOWN_PRODUCT).cast("bigint")).otherwise(ok % products).alias("product_id"),
         (F.lit(1) + ok % 2).cast("int").alias("quantity"),
         F.when(prio == "1-URGENT", "Warranty+1").when(prio == "2-HIGH", "Insurance")
          .otherwise("None").alias("service_type"),
         F.when(prio.isin("1-URGENT", "2-HIGH"), F.lit(100) + (ok * 13) % 900)
          .when(prio == "5-LOW", F.lit(None).cast("bigint"))
          .otherwise(F.lit(0).cast("bigint")).alias("service_price"),
-        F.when(ck % 20 < 11, F.lit(0).cast("bigint")).otherwise(F.lit(1) + ck % 9).alias("employee_id"),
-        (F.col("o_orderdate").cast("timestamp_ntz")
-         + F.make_dt_interval(hours=(ok % 24).cast("int"))).alias("order_date"),
+        F.when(ck % 20 < 11, F.lit(0).cast("bigint")).otherwise(F.lit(1) + ck % employees).alias("employee_id"),
+        F.when(ok % 509 != 0, F.col("o_orderdate").cast("timestamp_ntz")
+               + F.make_dt_interval(hours=(ok % 24).cast("int"))).alias("order_date"),
         F.when(ok % 211 == 0, F.lit(None).cast("string")).otherwise(city).alias("city"),
         F.when(ok % 17 == 0, F.lit(None).cast("int"))
          .otherwise((F.lit(1) + (ok * ok) % 5).cast("int")).alias("review"),
@@ -123,17 +109,17 @@ def orders_from_driver(o: DataFrame) -> DataFrame:
 
 def raw_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month of second-level events: hourly and streaming work."""
-    return traffic_from_events(_read(spark, sf_dir, "events"))
+    return traffic_from_events(_read(spark, sf_dir, "events"), key_count(spark, sf_dir, "part"))
 
 
-def traffic_from_events(e: DataFrame) -> DataFrame:
-    """The raw-traffic projection of an events frame (batch or streaming)."""
+def traffic_from_events(e: DataFrame, products: Column) -> DataFrame:
+    """The raw-traffic projection of an events frame: a visitor has three events in a row."""
     eid = F.col("event_id")
     return e.select(
         F.col("ts").cast("timestamp_ntz").alias("event_time"),
-        F.concat(F.lit("T-"), (eid % 9973).cast("string")).alias("traffic_id"),
+        F.concat(F.lit("T-"), (eid - eid % 3).cast("string")).alias("traffic_id"),
         F.when(F.col("event_type").isin("click", "purchase"), "yes").otherwise("no").alias("item_in_cart"),
-        (eid % 50).alias("product_id"),
+        (eid % products).alias("product_id"),
         F.when(F.col("event_type") == "purchase", F.lit(800001) + eid).alias("order_id"),
     )
 
@@ -145,7 +131,7 @@ def raw_traffic_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp_ntz").alias("event_time"),
         F.concat(F.lit("T-"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")).alias("traffic_id"),
         F.when(F.col("l_returnflag") != "N", "yes").otherwise("no").alias("item_in_cart"),
-        (F.col("l_partkey") % 50).alias("product_id"),
+        F.col("l_partkey").alias("product_id"),
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
                F.col("l_orderkey")).alias("order_id"),
     )

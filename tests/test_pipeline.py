@@ -25,7 +25,7 @@ class HistoryRaw:
         if name not in self.cuts:
             return df
         ts, cut = self.cuts[name]
-        return df.filter(F.col(ts) <= F.lit(cut).cast("timestamp_ntz"))
+        return df.filter(F.col(ts).isNull() | (F.col(ts) <= F.lit(cut).cast("timestamp_ntz")))
 
 
 def _rows(df):
@@ -110,14 +110,61 @@ class _TinyRaw:
         self.raw_traffic = spark.createDataFrame([(T(2024, 3, 1, 9), "T-1", "yes", 1, None)], S.RAW_TRAFFIC)
 
 
-@pytest.mark.parametrize("strict,expected", [(False, 3), (True, 2)])
-def test_pipeline_strict_boundary_rule(spark, scratch, strict, expected):
-    T = dt.datetime
-    rows = [(1, 1, 1, "None", 0, 5, T(2024, 3, 1, 0, 0, 0), "Brno", 5),   # exactly on the month start
-            (2, 1, 1, "None", 0, 5, T(2024, 3, 5, 10), "Brno", 3),
-            (3, 1, 1, "None", 0, 5, T(2024, 3, 20, 10), "Brno", 4)]
-    p = Pipeline(spark, f"{scratch}/wh", strict=strict)
-    p.run(_TinyRaw(spark, rows[:2]))
-    p.run(_TinyRaw(spark, rows))
-    got = p.gold("mart_product_reviews").filter(F.col("review_month") == F.lit(dt.date(2024, 3, 1))).collect()
-    assert [r.review_count for r in got] == [expected]
+T = dt.datetime
+EARLY = [(1, 1, 1, "None", 0, 5, T(2024, 2, 1, 0, 0, 0), "Brno", 5), (2, 1, 1, "None", 0, 5, T(2024, 3, 5, 10), "Brno", 3)]
+LATE = [(3, 1, 1, "None", 0, 5, T(2024, 3, 2, 10), "Brno", 4),    # late within the month
+        (4, 1, 1, "None", 0, 5, T(2024, 2, 20, 10), "Brno", 4),   # late, in the month before
+        (5, 1, 1, "None", 0, 5, T(2024, 3, 5, 10), "Brno", 4),    # tied with the newest stored time
+        (6, 1, 1, "None", 0, 5, None, None, 4)]                   # no time
+
+
+def _agree(p, orders):
+    """Fact and marts hold exactly these orders."""
+    fact = p.gold("fact_orders_gold")
+    assert sorted(r.order_id for r in fact.collect()) == sorted(o[0] for o in orders)
+    month = lambda o: o[6] and o[6].date().replace(day=1)
+    want = Counter(month(o) for o in orders)
+    assert {r.review_month: r.review_count for r in p.gold("mart_product_reviews").collect()} == want
+    assert {r.sales_month: r.total_qty for r in p.gold("mart_monthly_product_sales").collect()} == want
+    assert Counter({r.performance_month: r.total_orders for r in p.gold("mart_employee_addon_performance").collect()}) == want
+    city = Counter()
+    for r in p.gold("mart_city_sales").collect():
+        city[r.sales_month] += r.total_orders
+    assert city == want
+
+
+def test_late_tied_and_untimed_orders_reach_fact_and_marts(spark, scratch):
+    p = Pipeline(spark, f"{scratch}/wh")
+    p.run(_TinyRaw(spark, EARLY))
+    _agree(p, EARLY)
+    for _ in range(2):
+        p.run(_TinyRaw(spark, EARLY + LATE))
+        _agree(p, EARLY + LATE)
+    moved = EARLY[:1] + [(2, 1, 1, "None", 0, 5, T(2024, 4, 1, 9), "Brno", 3)]  # a newer version in another month
+    p.run(_TinyRaw(spark, moved + LATE))
+    _agree(p, moved + LATE)
+
+
+def test_rebuild_months_removes_what_the_source_no_longer_has(spark, scratch):
+    p = Pipeline(spark, f"{scratch}/wh")
+    p.run(_TinyRaw(spark, EARLY + LATE))
+    rest = [o for o in EARLY + LATE if o[0] in (2, 3)]  # February and the order without a time are gone
+    p.rebuild_months(_TinyRaw(spark, rest), [dt.date(2024, 2, 1), dt.date(2024, 3, 1), None])
+    _agree(p, rest)
+
+
+def test_late_traffic_is_noticed_and_ml_tables_are_dated(spark, scratch):
+    raw = _TinyRaw(spark, EARLY)
+    p = Pipeline(spark, f"{scratch}/wh")
+    p.run(raw)
+    from lakemart import schemas as S
+    raw.raw_traffic = spark.createDataFrame([(T(2024, 3, 1, 9), "T-1", "yes", 1, None), (T(2024, 3, 1, 9), "T-2", "no", 1, 7),
+                                             (T(2024, 2, 1, 8), "T-3", "no", 1, None)], S.RAW_TRAFFIC)
+    p.run(raw)
+    assert sorted((str(r.event_hour), r.total_visits) for r in p.gold("mart_hourly_traffic_conversion").collect()) == [
+        ("2024-02-01 08:00:00", 1), ("2024-03-01 09:00:00", 2)]
+    assert {str(r.traffic_month): r.total_views for r in p.gold("mart_traffic_conversion_by_product").collect()} == {
+        "2024-02-01": 1, "2024-03-01": 2}
+    for name in ("ml_anomaly_flags", "ml_revenue_forecast", "ml_traffic_prediction"):
+        assert "generated_at" in p.gold(name).columns
+    assert "gold.fact_orders_gold" in p.publish() and spark.table("gold.fact_orders_gold").count() == 2

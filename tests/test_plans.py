@@ -10,7 +10,9 @@ from lakemart.plans.catalog import QUERIES
 
 # Queries whose construction runs a job with side effects (a stream, a CSV landing write).
 SIDE_EFFECT_BUILDS = {"stream_hourly_traffic", "stream_fact_orders", "quarantine_late_orders",
-                      "csv_landing_orders", "csv_landing_traffic"}
+                      "csv_landing_orders", "csv_landing_traffic", "csv_landing_mixed_dates", "append_load_orders",
+                      "upsert_stored_orders", "dq_unique_keys", "dq_not_null",
+                      *(n for n in QUERIES if n.startswith("pipeline_"))}
 
 # Columns of the driver tables that no query needs: they must never be scanned.
 NEVER_READ = ["l_extendedprice", "l_discount", "l_tax", "l_quantity", "o_totalprice", "o_orderstatus",
@@ -36,9 +38,48 @@ def test_plan_is_scale_safe(spark, name):
         assert not any(col in line for line in read_schemas), (name, col)
 
 
-def test_fact_join_is_broadcast_after_size_check(spark):
-    plan = _plan(QUERIES["fact_orders_gold"](spark, SF001))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def _count(plan: str, node: str) -> int:
+    return sum(line.strip().startswith(f"({i}) {node}") or f") {node}" in line for i, line in enumerate(plan.splitlines())
+               if line.startswith("("))
+
+
+# Upper bounds of scans and exchanges in the initial plans.
+BOUNDS = {
+    "mart_city_sales": {"Scan parquet": 4, "Exchange": 8},
+    "anomaly_flags": {"Scan parquet": 8, "Exchange": 20},
+    "traffic_forecast": {"Scan parquet": 2, "Exchange": 30},
+}
+
+
+@pytest.mark.parametrize("name", sorted(BOUNDS))
+def test_plan_size_is_bounded(spark, name):
+    plan = _plan(QUERIES[name](spark, SF001))
+    for node, most in BOUNDS[name].items():
+        assert _count(plan, node) <= most, (name, node, _count(plan, node))
+
+
+def test_a_delta_reads_only_new_files(spark, scratch):
+    """A one-day delta over data in many months reads the files of the last month only."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from lakemart.operators.incremental import bucket_delta, high_watermark_delta
+
+    days = spark.range(0, 400).select(F.date_add(F.lit(dt.date(2023, 1, 1)), F.col("id").cast("int")).alias("d"))
+    rows = days.select(F.col("d").cast("timestamp_ntz").alias("ts"), F.trunc("d", "MM").alias("month"))
+    rows.write.partitionBy("month").parquet(f"{scratch}/source")
+    source = spark.read.parquet(f"{scratch}/source")
+    stored = spark.createDataFrame([(dt.datetime(2024, 2, 2), dt.date(2024, 2, 1))], "ts timestamp_ntz, month date")
+    for delta, n in ((high_watermark_delta(source, stored, "ts", date_col="month"), 2),
+                     (bucket_delta(source, stored, "ts", "month", date_col="month"), 4)):
+        assert delta.count() == n
+        scan = delta._jdf.queryExecution().executedPlan()
+        delta.collect()
+        text = scan.toString()
+        assert "PartitionFilters" in text and "month" in text.split("PartitionFilters")[1].split("]")[0], text
+        files = {r[0].rsplit("/", 2)[1] for r in delta.select(F.input_file_name()).collect()}
+        assert files == {"month=2024-02-01"}
 
 
 def test_marts_aggregate_before_joining_products(spark):

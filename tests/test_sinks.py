@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import hr
 from lakemart.sources.files import normalise_column_case
-from lakemart.sources.sinks import save_as_layer_table, table_exists, upsert_table, write_table
+from lakemart.sources.sinks import (NULL_PARTITION, append_load, publish, recover, replace_partitions, save_as_layer_table,
+                                    table_exists, upsert_table, write_table)
 
 D = dt.date
 
@@ -56,3 +57,70 @@ def test_upsert_table_key_moving_between_partitions(spark, scratch):
     upsert_table(spark, f"{scratch}/mv", moved, ["k"], partition_col="m", keys_fixed_to_partition=False)
     got = sorted((r.k, str(r.m), r.v) for r in spark.read.parquet(f"{scratch}/mv").collect())
     assert got == [(1, "2024-03-01", 11), (2, "2024-02-01", 20)]
+
+
+def _stored(spark, path):
+    return sorted(((r.k, r.m and str(r.m), r.v) for r in spark.read.parquet(path).collect()), key=str)
+
+
+def test_upsert_keeps_rows_of_the_null_partition(spark, scratch):
+    schema = "k long, m date, v long"
+    for fixed in (True, False):
+        path = f"{scratch}/n{fixed}"
+        upsert_table(spark, path, spark.createDataFrame([(1, None, 10), (2, None, 20), (3, D(2024, 1, 1), 30)], schema), ["k"], "m",
+                     keys_fixed_to_partition=fixed)
+        upsert_table(spark, path, spark.createDataFrame([(4, None, 40)], schema), ["k"], "m", keys_fixed_to_partition=fixed)
+        assert _stored(spark, path) == [(1, None, 10), (2, None, 20), (3, "2024-01-01", 30), (4, None, 40)]
+
+
+def test_keys_move_from_and_to_the_null_partition(spark, scratch):
+    schema, path = "k long, m date, v long", f"{scratch}/mv"
+    upsert_table(spark, path, spark.createDataFrame([(1, None, 10), (2, D(2024, 2, 1), 20)], schema), ["k"], "m",
+                 keys_fixed_to_partition=False)
+    upsert_table(spark, path, spark.createDataFrame([(1, D(2024, 3, 1), 11), (2, None, 21)], schema), ["k"], "m",
+                 keys_fixed_to_partition=False)
+    assert _stored(spark, path) == [(1, "2024-03-01", 11), (2, None, 21)]
+    upsert_table(spark, path, spark.createDataFrame([(2, D(2024, 3, 1), 22)], schema), ["k"], "m", keys_fixed_to_partition=False)
+    assert _stored(spark, path) == [(1, "2024-03-01", 11), (2, "2024-03-01", 22)]
+    import os
+    assert f"m={NULL_PARTITION}" not in os.listdir(path)
+
+
+def test_replace_partitions_removes_what_is_empty_now(spark, scratch):
+    schema, path = "k long, m date, v long", f"{scratch}/r"
+    write_table(spark.createDataFrame([(1, D(2024, 1, 1), 1), (2, D(2024, 2, 1), 2), (3, None, 3)], schema), path, partition_by=["m"])
+    replace_partitions(spark.read.parquet(path).filter("k = 2").selectExpr("k", "m", "v + 1 AS v"), path, "m",
+                       [D(2024, 1, 1), D(2024, 2, 1), None])
+    assert _stored(spark, path) == [(2, "2024-02-01", 3)]
+
+
+def test_a_half_done_swap_is_completed(spark, scratch):
+    import json
+    import os
+
+    schema, path, staging = "k long, m date, v long", f"{scratch}/t", f"{scratch}/_staged-x"
+    write_table(spark.createDataFrame([(1, D(2024, 1, 1), 1), (2, D(2024, 2, 1), 2), (3, D(2024, 3, 1), 3)], schema), path, partition_by=["m"])
+    write_table(spark.createDataFrame([(1, D(2024, 1, 1), 10), (2, D(2024, 2, 1), 20)], schema), staging, partition_by=["m"])
+    with open(f"{scratch}/_swap-t.json", "w") as f:
+        json.dump({"staging": staging, "parts": ["m=2024-01-01", "m=2024-02-01"], "emptied": ["m=2024-03-01"]}, f)
+    os.rename(f"{path}/m=2024-01-01", f"{scratch}/gone")  # the driver was lost between the two steps of a move
+    assert table_exists(spark, path)
+    assert _stored(spark, path) == [(1, "2024-01-01", 10), (2, "2024-02-01", 20)]
+    recover(spark, path)
+    assert sorted(os.listdir(scratch)) == ["gone", "t"]
+
+
+def test_append_load_takes_late_tied_and_untimed_rows_once(spark, scratch):
+    schema, path = "id long, ts timestamp_ntz", f"{scratch}/a"
+    t = dt.datetime
+    first = spark.createDataFrame([(1, t(2024, 1, 2)), (2, None)], schema)
+    more = spark.createDataFrame([(1, t(2024, 1, 2)), (2, None), (3, t(2024, 1, 1)), (4, t(2024, 1, 2)), (5, None), (6, t(2024, 1, 3))], schema)
+    for rows in (first, more, more):
+        append_load(rows, path, ["id"], "ts")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_publish_makes_a_catalog_table_of_stored_files(spark, scratch):
+    path = f"{scratch}/pub"
+    write_table(spark.createDataFrame([(1, D(2024, 1, 1)), (2, None)], "k long, m date"), path, partition_by=["m"])
+    assert publish(spark, path, "gold", "t_pub") == "gold.t_pub" and spark.table("gold.t_pub").count() == 2

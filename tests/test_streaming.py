@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from lakemart.operators import gold, silver
 from lakemart.plans.models import Models
-from lakemart.sources.fixtures import traffic_from_events
+from lakemart.sources.fixtures import raw_traffic
 from lakemart.streaming import hourly as ST
 
 
-def _split_events(spark, scratch):
-    """Events as three files: two in time order, then a late file with old rows."""
-    ev = spark.read.parquet(f"{SF001}/events.parquet")
-    d = f"{scratch}/events_in"
-    parts = [ev.filter(F.col("ts") < "2024-01-12"),
-             ev.filter(F.col("ts") >= "2024-01-12").filter(F.col("event_id") % 5 != 0),
-             ev.filter(F.col("ts") >= "2024-01-12").filter(F.col("event_id") % 5 == 0)]
+def _split_traffic(spark, scratch):
+    """Traffic as three files: two in time order, then a late file with old rows."""
+    rows = raw_traffic(spark, SF001)
+    d, late = f"{scratch}/events_in", F.col("order_id") % 5 == 0
+    cut, t = F.lit("2024-01-12").cast("timestamp_ntz"), F.col("event_time")
+    parts = [rows.filter(t < cut), rows.filter((t >= cut) & ~F.coalesce(late, F.lit(False))), rows.filter((t >= cut) & late)]
     for i, p in enumerate(parts):
         p.coalesce(1).write.mode("overwrite").parquet(f"{d}/part{i}")
-    return ev.schema, d
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", True).parquet(d))
 
 
 def _rows(df):
@@ -28,9 +28,7 @@ def _rows(df):
 
 
 def test_stream_hourly_mart_equals_batch(spark, scratch):
-    schema, d = _split_events(spark, scratch)
-    src = traffic_from_events(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-                              .option("recursiveFileLookup", True).parquet(d))
+    src = _split_traffic(spark, scratch)
     q = ST.hourly_mart_stream(spark, src, f"{scratch}/silver", f"{scratch}/mart", f"{scratch}/ckpt")
     q.awaitTermination()
     assert len(q.recentProgress) >= 3
@@ -50,15 +48,13 @@ def test_stream_fact_upsert_equals_batch(spark, scratch):
         .option("recursiveFileLookup", True).parquet(d)
     q = ST.fact_upsert_stream(src, f"{scratch}/fact", m.stg_products, f"{scratch}/ckpt")
     q.awaitTermination()
-    got = spark.read.parquet(f"{scratch}/fact")
+    got = spark.read.parquet(f"{scratch}/fact").drop("order_month")
     assert _rows(got) == _rows(m.fact_orders_gold)
 
 
 def test_watermarked_visits_match_batch_on_closed_hours(spark, scratch):
-    schema, d = _split_events(spark, scratch)
-    src = traffic_from_events(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-                              .option("recursiveFileLookup", True).parquet(d))
-    q = (ST.hourly_visits_watermarked(src, delay="1 hour").writeStream.outputMode("append")
+    src = _split_traffic(spark, scratch)
+    q = (ST.hourly_visits_dropping_late(src, delay="1 hour").writeStream.outputMode("append")
          .format("parquet").option("path", f"{scratch}/visits").option("checkpointLocation", f"{scratch}/ck2")
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -73,12 +69,13 @@ def test_watermarked_visits_match_batch_on_closed_hours(spark, scratch):
     assert early and all(batch[h] == v for h, v in early.items())
 
 
-def test_quarantine_late_rows(spark, scratch):
-    tgt = spark.createDataFrame([(1, "2024-01-02 00:00:00")], "id long, ts string") \
-        .select("id", F.col("ts").cast("timestamp_ntz").alias("ts"))
-    tgt.write.parquet(f"{scratch}/t")
-    batch = spark.createDataFrame([(2, "2024-01-01 00:00:00"), (3, "2024-01-03 00:00:00")], "id long, ts string") \
-        .select("id", F.col("ts").cast("timestamp_ntz").alias("ts"))
-    keep = ST.quarantine_late_rows(spark, batch, f"{scratch}/t", "ts", "ts", f"{scratch}/q")
-    assert [r.id for r in keep.collect()] == [3]
-    assert [r.id for r in spark.read.parquet(f"{scratch}/q").collect()] == [2]
+def test_quarantine_takes_late_rows_that_are_not_stored_once(spark, scratch):
+    def frame(rows):
+        return spark.createDataFrame(rows, "id long, ts string").select("id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+    frame([(1, "2024-01-02 00:00:00"), (4, "2024-01-01 00:00:00")]).write.parquet(f"{scratch}/t")
+    batch = frame([(2, "2024-01-01 00:00:00"), (3, "2024-01-03 00:00:00"), (4, "2024-01-01 00:00:00"), (5, "2024-01-02 00:00:00"), (6, None)])
+    for _ in range(2):  # a repeated batch leaves its rows once
+        keep = ST.quarantine_late_rows(spark, batch, f"{scratch}/t", "ts", ["id"], f"{scratch}/q", batch_id=7)
+        assert [r.id for r in keep.collect()] == [3]
+    assert sorted(r.id for r in spark.read.parquet(f"{scratch}/q").collect()) == [2, 5, 6]
