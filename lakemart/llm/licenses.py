@@ -19,55 +19,58 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import apply_defaults
 from lakemart.llm.license_texts import KNOWN
 
-# Spellings that licence matching treats as one.
+# Spellings that licence matching treats as one, as parts of words between spaces. They
+# are few, since each is a pass over all texts; a rule may change other words as well, alike on both sides.
 SPELLINGS = {
-    "licence": "license", "licences": "licenses", "licenced": "licensed", "licencing": "licensing",
-    "sublicence": "sublicense", "sub license": "sublicense", "sub licence": "sublicense",
-    "acknowledgement": "acknowledgment", "analogue": "analog", "analyse": "analyze", "artefact": "artifact",
-    "authorisation": "authorization", "authorised": "authorized", "calibre": "caliber", "cancelled": "canceled",
-    "capitalisations": "capitalizations", "catalogue": "catalog", "categorise": "categorize", "centre": "center",
-    "copyright holder": "copyright owner", "copyright holders": "copyright owners", "emphasised": "emphasized",
-    "favour": "favor", "favourite": "favorite", "fulfil": "fulfill", "fulfilment": "fulfillment", "https": "http",
-    "initialise": "initialize", "judgement": "judgment", "labelling": "labeling", "labour": "labor", "merchantibility":
-    "merchantability", "modelling": "modeling", "noncommercial": "non commercial", "organisation": "organization",
-    "organise": "organize", "per cent": "percent", "practise": "practice", "programme": "program", "realise": "realize",
-    "recognise": "recognize", "signalling": "signaling", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
+    "licenc": "licens", " sub licens": " sublicens", "isation": "ization", "ised ": "ized ", "ise ": "ize ",
+    "dgement": "dgment", "avour": "avor", "elling ": "eling ", " https ": " http ", "copyright holder": "copyright owner",
+    "noncommercial": "non commercial", " whilst ": " while ",
 }
 _COPYRIGHT = r"^[ \t]*(copyright|\(c\)|©)[^\n]*"
 _OTHER = r"[^\p{L}\p{N}]+"
+_START = r"^[^\p{L}\p{N}]*[\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+)?"
 
 
 def canonical(text: Column) -> Column:
     lines = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "(?md)" + _COPYRIGHT, " ")
-    words = F.concat(F.lit(" "), F.regexp_replace(lines, _OTHER, " "), F.lit(" "))
-    spelled = words
+    out = F.concat(F.lit(" "), F.regexp_replace(lines, _OTHER, " "), F.lit(" "))
     for old, new in SPELLINGS.items():
-        spelled = F.replace(spelled, F.lit(f" {old} "), F.lit(f" {new} "))
-    some = "|".join(f" {old} " for old in SPELLINGS)
-    return F.trim(F.when(words.rlike(some), spelled).otherwise(words))
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return F.trim(out)
+
+
+def first_word(text: Column) -> Column:
+    """First word of a line's canonical form, from the line's first two words (no rule joins more)."""
+    return F.substring_index(canonical(F.regexp_extract(text, _START, 0)), " ", 1)
 
 
 def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+    return F.coalesce(F.sha2(canonical(text), 256), F.lit(""))
 
 
 def known_licenses(spark) -> DataFrame:
-    """license_id and digest of the default list."""
-    given = spark.createDataFrame(KNOWN, "license_id string, text string")
-    return given.select("license_id", digest(F.col("text")).alias("digest"))
+    """license_id and text of the default list."""
+    return spark.createDataFrame(KNOWN, "license_id string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, digest of the canonical whole text, text_license (of that digest, or null) and
-    line_licenses (ids of the licences that lines hold, sorted and comma-joined)."""
+    line_licenses (ids of the licences that lines hold, sorted and comma-joined). ``known`` has
+    license_id and text."""
     apply_defaults(docs.sparkSession)
-    known = (known_licenses(docs.sparkSession) if known is None else known).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    given = known_licenses(docs.sparkSession) if known is None else known
+    known = (given.select("license_id", digest(F.col("text")).alias("digest"),
+                          F.substring_index(canonical(F.col("text")), " ", 1).alias("first"))
+             .filter("first <> ''").groupBy("digest", "first").agg(F.min("license_id").alias("license_id")))
     whole = docs.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("digest"))
+    # Only a line that begins as a licence does can be one; the others are not hashed.
     lines = (docs.select(F.col(id_col).alias("doc_id"), F.explode(F.split(F.col(text_col), "\n")).alias("line"))
+             .withColumn("first", first_word(F.col("line")))
+             .join(known.select("first").distinct(), "first", "left_semi")
              .select("doc_id", digest(F.col("line")).alias("digest")))
-    held = (lines.join(known, "digest").groupBy("doc_id")
+    held = (lines.join(known.select("digest", "license_id"), "digest").groupBy("doc_id")
             .agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("line_licenses")))
-    return (whole.join(known.withColumnRenamed("license_id", "text_license"), "digest", "left")
+    return (whole.join(known.select("digest", F.col("license_id").alias("text_license")), "digest", "left")
             .join(held, whole["doc_id"].eqNullSafe(held["doc_id"]), "left")
             .select(whole["doc_id"], "digest", "text_license", F.coalesce("line_licenses", F.lit("")).alias("line_licenses")))
 
@@ -78,7 +81,7 @@ def scan_sql() -> str:
         lines = f"regexp_replace(lower(coalesce({text}, '')), '(?m){_COPYRIGHT}', ' ', 'g')"
         words = f"(' ' || regexp_replace({lines}, '{_OTHER}', ' ', 'g') || ' ')"
         for old, new in SPELLINGS.items():
-            words = f"replace({words}, ' {old} ', ' {new} ')"
+            words = f"replace({words}, '{old}', '{new}')"
         return f"sha256(trim({words}, ' '))"
 
     quoted = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in KNOWN)
