@@ -16,12 +16,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import apply_defaults
+from lakemart.llm.common import apply_defaults, let
 from lakemart.llm.license_texts import KNOWN
 
-# Spellings that licence matching treats as one, as parts of words between spaces. They
-# are few, since each is a pass over all texts; a rule may change other words as well, alike on both sides.
+# Spellings that licence matching treats as one, each on whole words.
 SPELLINGS = {
+    "licence": "license", "licences": "licenses", "licenced": "licensed", "licencing": "licensing",
+    "sublicence": "sublicense", "sub license": "sublicense", "sub licence": "sublicense",
+    "acknowledgement": "acknowledgment", "analogue": "analog", "analyse": "analyze", "artefact": "artifact",
+    "authorisation": "authorization", "authorised": "authorized", "calibre": "caliber", "cancelled": "canceled",
+    "capitalisations": "capitalizations", "catalogue": "catalog", "categorise": "categorize", "centre": "center",
+    "copyright holder": "copyright owner", "copyright holders": "copyright owners", "emphasised": "emphasized",
+    "favour": "favor", "favourite": "favorite", "fulfil": "fulfill", "fulfilment": "fulfillment", "https": "http",
+    "initialise": "initialize", "judgement": "judgment", "labelling": "labeling", "labour": "labor", "merchantibility":
+    "merchantability", "modelling": "modeling", "noncommercial": "non commercial", "organisation": "organization",
+    "organise": "organize", "per cent": "percent", "practise": "practice", "programme": "program", "realise": "realize",
+    "recognise": "recognize", "signalling": "signaling", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
+}
+# The SQL's own, fewer rules, on parts of words: alike for all texts that hold no spelling of either list.
+_SQL_SPELLINGS = {
     "licenc": "licens", " sub licens": " sublicens", "isation": "ization", "ised ": "ized ", "ise ": "ize ",
     "dgement": "dgment", "avour": "avor", "elling ": "eling ", " https ": " http ", "copyright holder": "copyright owner",
     "noncommercial": "non commercial", " whilst ": " while ",
@@ -31,17 +44,36 @@ _OTHER = r"[^\p{L}\p{N}]+"
 _START = r"^[^\p{L}\p{N}]*[\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+)?"
 
 
+def _any_spelling() -> str:
+    """One expression for a word or two of ``SPELLINGS``, told apart by their first letter."""
+    ends: dict[str, list[str]] = {}
+    for old in SPELLINGS:
+        ends.setdefault(old[0], []).append(old[1:].replace(" ", "  "))
+    return " (?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in ends.items()) + ") "
+
+
+def _spelled(text: Column) -> Column:
+    """The words of a lower-cased text, one space between them, in one spelling. Each rule is a pass
+    over the text, so only texts that hold one of them are rewritten."""
+    def rewritten(words):
+        out = words
+        for old, new in SPELLINGS.items():
+            out = F.replace(out, F.lit(f" {old} ".replace(" ", "  ")[1:-1]), F.lit(f" {new} ".replace(" ", "  ")[1:-1]))
+        return out
+
+    # Two spaces between words, so that neighbours do not share one.
+    words = F.concat(F.lit(" "), F.regexp_replace(text, _OTHER, "  "), F.lit(" "))
+    return let(words, lambda w: F.trim(F.replace(
+        F.when(w.rlike(_any_spelling()), rewritten(w)).otherwise(w), F.lit("  "), F.lit(" "))))
+
+
 def canonical(text: Column) -> Column:
-    lines = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "(?md)" + _COPYRIGHT, " ")
-    out = F.concat(F.lit(" "), F.regexp_replace(lines, _OTHER, " "), F.lit(" "))
-    for old, new in SPELLINGS.items():
-        out = F.replace(out, F.lit(old), F.lit(new))
-    return F.trim(out)
+    return _spelled(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "(?md)" + _COPYRIGHT, " "))
 
 
 def first_word(text: Column) -> Column:
     """First word of a line's canonical form, from the line's first two words (no rule joins more)."""
-    return F.substring_index(canonical(F.regexp_extract(text, _START, 0)), " ", 1)
+    return F.substring_index(_spelled(F.lower(F.regexp_extract(text, _START, 0))), " ", 1)
 
 
 def digest(text: Column) -> Column:
@@ -80,7 +112,7 @@ def scan_sql() -> str:
     def form(text: str) -> str:
         lines = f"regexp_replace(lower(coalesce({text}, '')), '(?m){_COPYRIGHT}', ' ', 'g')"
         words = f"(' ' || regexp_replace({lines}, '{_OTHER}', ' ', 'g') || ' ')"
-        for old, new in SPELLINGS.items():
+        for old, new in _SQL_SPELLINGS.items():
             words = f"replace({words}, '{old}', '{new}')"
         return f"sha256(trim({words}, ' '))"
 

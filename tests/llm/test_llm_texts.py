@@ -195,3 +195,27 @@ def test_toxicity_query(spark):
     clean = [r for r in got if labels.get(r["doc_id"]) == 0]
     assert len(got) == 1000 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
     assert sum(r["predicted"] for r in clean) <= 0.01 * len(clean)
+
+
+#: The spellings by hand, not from the module: old and new, on whole words.
+SPELLED = """licence license|licences licenses|licenced licensed|licencing licensing|sublicence sublicense|sub_license sublicense
+sub_licence sublicense|acknowledgement acknowledgment|analogue analog|analyse analyze|artefact artifact|authorisation authorization
+authorised authorized|calibre caliber|cancelled canceled|capitalisations capitalizations|catalogue catalog|categorise categorize
+centre center|copyright_holder copyright_owner|copyright_holders copyright_owners|emphasised emphasized|favour favor
+favourite favorite|fulfil fulfill|fulfilment fulfillment|https http|initialise initialize|judgement judgment|labelling labeling
+labour labor|merchantibility merchantability|modelling modeling|noncommercial non_commercial|organisation organization
+organise organize|per_cent percent|practise practice|programme program|realise realize|recognise recognize|signalling signaling
+utilisation utilization|whilst while|wilful willful"""
+
+
+def test_license_spellings_on_whole_words(spark):
+    pairs = [tuple(x.replace("_", " ") for x in p.split()) for p in re.split(r"[|\n]", SPELLED)]
+    assert len(pairs) == 45
+    rows = [(f"The {a} {a.upper()}, is {a}", f"the {b} {b} is {b}") for a, b in pairs]
+    rows += [(f"x{a}x", f"x{a}x") for a, _ in pairs]
+    rows += [("rise otherwise Telling", "rise otherwise telling"), ("licence\nper\ncent", "license percent")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for r in df.select("a", "b", licenses.canonical(F.col("a")).alias("c"), licenses.first_word(F.col("a")).alias("f")).collect():
+        assert (r["c"], r["f"]) == (r["b"], r["b"].split()[0]), r["a"]
+    text = MIT.replace("MERCHANTABILITY", "merchantibility")
+    assert [r["text_license"] for r in licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()] == ["MIT"]
