@@ -39,7 +39,23 @@ _SQL_SPELLINGS = {
     "dgement": "dgment", "avour": "avor", "elling ": "eling ", " https ": " http ", "copyright holder": "copyright owner",
     "noncommercial": "non commercial", " whilst ": " while ",
 }
-_COPYRIGHT = r"^[ \t]*(copyright|\(c\)|©)[^\n]*"
+_SQL_COPYRIGHT = r"^[ \t]*(copyright|\(c\)|©)[^\n]*"
+# A line (lower case) that is a copyright statement: the word or sign and then a year, another sign, a
+# placeholder or a name. Licence prose that a line break leaves behind the word is none; behind a
+# bare (c), which also numbers paragraphs, a name is two to four words to the end of the line.
+_PROSE = (r"(?:notices?|holders?|holder's|owners?|owner's|ownership|licen[cs]\w*|laws?|statements?|interests?|rights?|protection|"
+          r"permissions?|treaty|treaties|disclaimers?|claims?|infringement|status|terms?|conditions?|material|works?|year|date|"
+          r"line|information|management|law's|patents?|trademarks?|and|or|in|on|to|of|is|are|as|for|with|from|under|that|which|"
+          r"if|when|where|may|must|shall|will|can|does|do|not|applicable|relevant|assignments?|policy|doctrines?|"
+          r"(?:the|this|these|those|such|any|a|an|all|your|their|its)[ \t]+(?:software|library|program|works?|document\w*|"
+          r"code|source|above|following|licen[cs]\w*|notices?|copyright|terms?|conditions?|rights?|materials?|same))(?![\w-])")
+_YEAR = r"(?:19|20)[0-9]{2}(?![0-9])"
+_COPYRIGHT = (r"^[ \t]*(?:(?:copyright(?![\w-])|©|\(c\)(?=[ \t]*(?:copyright(?![\w-])|©)))"
+              r"(?:[ \t:,]*(?:\(c\)|©|copyright(?![\w-])))*"
+              rf"(?:(?<=\)|©)[ \t]*|[ \t:,]*(?=[0-9\[<{{(])|[ \t:]+(?:by[ \t]+)?)(?!{_PROSE})(?:[\p{{L}}0-9]|[\[<{{(\"'])[^\n]*|"
+              rf"\(c\)[ \t,:]*(?:{_YEAR}[^\n]*|[^\n]*?(?<![0-9]){_YEAR}[^\n]*|"
+              r"(?:[ \t]+(?!(?:you|the|a|an|any|if|in|to|of|for|or|and|all|that|this|it|must|may|no|not|by|is|are|such|each|your|with|under|from|on|at|as)\b)"
+              r"[^\s;:]+){2,4}(?:[ \t]+all rights reserved\.?)?[ \t]*$))")
 _OTHER = r"[^\p{L}\p{N}]+"
 _START = r"^[^\p{L}\p{N}]*[\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+)?"
 
@@ -110,7 +126,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
 def scan_sql() -> str:
     """The same for DuckDB."""
     def form(text: str) -> str:
-        lines = f"regexp_replace(lower(coalesce({text}, '')), '(?m){_COPYRIGHT}', ' ', 'g')"
+        lines = f"regexp_replace(lower(coalesce({text}, '')), '(?m){_SQL_COPYRIGHT}', ' ', 'g')"
         words = f"(' ' || regexp_replace({lines}, '{_OTHER}', ' ', 'g') || ' ')"
         for old, new in _SQL_SPELLINGS.items():
             words = f"replace({words}, '{old}', '{new}')"

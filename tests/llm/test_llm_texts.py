@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import language, licenses, pii, toxicity
 from lakemart.llm.common import crc_bucket
-from lakemart.llm.license_texts import MIT
+from lakemart.llm.license_texts import KNOWN, MIT
 from lakemart.llm.queries import QUERIES
 from llm_fixtures import LONG, awkward_docs, empty_docs, words
 
@@ -219,3 +219,21 @@ def test_license_spellings_on_whole_words(spark):
         assert (r["c"], r["f"]) == (r["b"], r["b"].split()[0]), r["a"]
     text = MIT.replace("MERCHANTABILITY", "merchantibility")
     assert [r["text_license"] for r in licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()] == ["MIT"]
+
+
+def test_only_copyright_statements_are_dropped_however_lines_break(spark):
+    from textwrap import fill
+    rows = [(i, text) for i, (_, text) in enumerate(KNOWN)]
+    wrapped = [(i, w) for i, t in rows for w in [" ".join(t.split()), *(fill(" ".join(t.split()), n, break_long_words=False) for n in range(14, 100, 5))]]
+    for head in ("Copyright (c) 2020 Some Body", "(c) 2020-2021 Some Body", "© Some Body", "Copyright The Example Authors", "Copyright: 1999, X",
+                 "COPYRIGHT 2001 by Some Body. All rights reserved.", "(C) Some Body", "Copyright © 2020 Some Body", "Copyright [yyyy] [name]",
+                 "  Copyright Some Body <a@example.com>", "(c) Copyright 2010 X", "Copyright (c) Some Body", "Copyright, 2020, Some Body"):
+        wrapped += [(i, f"{head}\n\n{t}") for i, t in rows[3:5]]
+    forms = lambda r: {(x["id"], x["c"]) for x in spark.createDataFrame(r, "id long, t string").select(
+        "id", licenses.canonical(F.col("t")).alias("c")).collect()}
+    assert forms(wrapped) == forms(rows)
+    prose = ["copyright notice and this permission notice appear in all copies.", "Copyright holders be liable for", "copyright owner or",
+             "copyright", "(c) You must retain, in the Source form", "copyright law: that is to say", "(c) the name of", "copyright the software, and",
+             "copyright-like laws", "Copyrights", "(c) Representations.", "copyrighted by the Free", "(c) under Patent Claims"]
+    got = spark.createDataFrame([(p,) for p in prose], "t string").select("t", licenses.canonical(F.col("t")).alias("c")).collect()
+    assert all(len(r["c"].split()) == len(re.findall(r"\w+", r["t"])) for r in got), got
