@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import apply_defaults, let
-from lakemart.llm.license_texts import KNOWN
+from lakemart.llm.license_texts import HEADERS, KNOWN, LONG
 
 # Spellings that licence matching treats as one, each on whole words.
 SPELLINGS = {
@@ -97,8 +97,8 @@ def digest(text: Column) -> Column:
 
 
 def known_licenses(spark) -> DataFrame:
-    """license_id and text of the default list."""
-    return spark.createDataFrame(KNOWN, "license_id string, text string")
+    """license_id and text of the default list, but for those in ``LONG``."""
+    return spark.createDataFrame(KNOWN + HEADERS, "license_id string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,9 +107,13 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     license_id and text."""
     apply_defaults(docs.sparkSession)
     given = known_licenses(docs.sparkSession) if known is None else known
+    long = docs.sparkSession.createDataFrame(LONG, "license_id string, first string, digest string") if known is None else None
     known = (given.select("license_id", digest(F.col("text")).alias("digest"),
                           F.substring_index(canonical(F.col("text")), " ", 1).alias("first"))
-             .filter("first <> ''").groupBy("digest", "first").agg(F.min("license_id").alias("license_id")))
+             .filter("first <> ''"))
+    if long is not None:
+        known = known.unionByName(long)
+    known = (known.groupBy("digest", "first").agg(F.min("license_id").alias("license_id")))
     whole = docs.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("digest"))
     # Only a line that begins as a licence does can be one; the others are not hashed.
     lines = (docs.select(F.col(id_col).alias("doc_id"), F.explode(F.split(F.col(text_col), "\n")).alias("line"))

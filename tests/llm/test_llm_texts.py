@@ -1,6 +1,7 @@
 """Personal data, language, licences and toxicity."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import language, licenses, pii, toxicity
 from lakemart.llm.common import crc_bucket
-from lakemart.llm.license_texts import KNOWN, MIT
+from lakemart.llm.license_texts import HEADERS, KNOWN, MIT
 from lakemart.llm.queries import QUERIES
 from llm_fixtures import LONG, awkward_docs, empty_docs, words
 
@@ -237,3 +238,18 @@ def test_only_copyright_statements_are_dropped_however_lines_break(spark):
              "copyright-like laws", "Copyrights", "(c) Representations.", "copyrighted by the Free", "(c) under Patent Claims"]
     got = spark.createDataFrame([(p,) for p in prose], "t string").select("t", licenses.canonical(F.col("t")).alias("c")).collect()
     assert all(len(r["c"].split()) == len(re.findall(r"\w+", r["t"])) for r in got), got
+
+
+def test_whole_long_licences_and_their_headers_are_known(spark):
+    folder = "/usr/share/common-licenses"
+    if not os.path.exists(f"{folder}/MPL-2.0"):
+        pytest.skip("no licence texts on this machine")
+    names = ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "CC0-1.0", "GFDL-1.3"]
+    texts = [open(f"{folder}/{n}", encoding="utf-8").read() for n in names]
+    texts += [texts[0].split("END OF TERMS")[0].upper(), " ".join(texts[5].split()), dict(HEADERS)["Apache-2.0"], texts[2] + " more"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["text_license"] or "")[:len(n)] for n, r in zip(names, licenses.scan(docs).orderBy("doc_id").collect())]
+    assert got == names
+    rest = {r["doc_id"]: r for r in licenses.scan(docs).collect() if r["doc_id"] >= 8}
+    assert [rest[i]["text_license"] for i in (8, 9, 10, 11)] == ["Apache-2.0", "MPL-2.0", "Apache-2.0", None]
+    assert rest[9]["line_licenses"] == "MPL-2.0"  # on one line
