@@ -1,17 +1,17 @@
 """Personal data: patterns, and terms that disclose whom it belongs to.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Their values are the
-protected entities. The corpus then tells how strongly a term near a mention reveals the
-entity: with P(e) the share of all word occurrences that stand near e, and P(e|t) the share
-of t's own occurrences that do, the term discloses PMI(t; e) = log2(P(e|t) / P(e)) of the
-entity's information IC(e) = -log2 P(e). A term whose share PMI / IC exceeds a threshold,
-in enough documents, is a span of kind ``term`` where it stands near the entity: sanitising
-generalises it to its shape, and removes it above a second threshold.
-
-Everything is expressions, joins and aggregates of Spark SQL. Only documents with an entity
-that several documents mention give candidates; their counts cover the words of all texts. A
-mention's context is a fixed number of words on either side, so contexts grow with the
-mentions and not with their square.
+protected entities. The corpus then tells how strongly a term reveals the entity: with P(e)
+the share of documents that mention e, and P(e|t) the share of t's documents that do, the term
+discloses PMI(t; e) = log2(P(e|t) / P(e)) of the entity's information IC(e) = -log2 P(e). P(e|t)
+is drawn to P(e) as by one more document. A term whose share PMI / IC exceeds a threshold, in
+enough documents, is a span of kind ``term`` wherever it stands in the documents that mention the
+entity: sanitising generalises it to its shape, and removes it above a second threshold. In
+documents without the entity the term stays.
+
+Everything is expressions, joins and aggregates of Spark SQL. Only documents with an entity give
+candidates; their counts cover all documents. A document's words are paired with each of its
+entities.
 
 Positions are code points, the end exclusive. A null text is empty; empty texts have no spans.
 Repeated rows are found each, and count as one document where they share an id; rows without
@@ -45,12 +45,14 @@ CHUNK = 256
 
 @dataclass(frozen=True)
 class Settings:
-    """``window``: words on either side of a mention. ``support``: documents that must show a term
-    near an entity, and that must mention the entity. ``generalise``, ``remove``: shares of the
-    entity's information that a term may disclose."""
+    """``window``: words on either side of a mention, at most ``reach`` characters away. ``support``:
+    documents that must hold both a term and an entity. ``prior``: documents that the entity's own
+    probability counts as in a term's. ``generalise``, ``remove``: shares of the entity's
+    information that a term may disclose."""
     window: int = 3
     reach: int = 64
     support: int = 4
+    prior: float = 1.0
     generalise: float = 0.9
     remove: float = 0.97
 
@@ -118,7 +120,7 @@ def base_spans(text: Column) -> Column:
 
 
 def _contexts(found: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, entity, term, start, end: the words near each mention. ``found``: doc_id, text, base."""
+    """doc_id, entity, term: the words near each mention, or a null term where it has none. ``found``: doc_id, text, base."""
     reach, window = settings.reach, settings.window
     word = r"[^\p{L}\p{N}]+"
     mention = found.select("doc_id", "text", F.explode("base").alias("s")).select(
@@ -142,29 +144,52 @@ def _contexts(found: DataFrame, settings: Settings) -> DataFrame:
     before = F.filter(words(F.col("before"), F.col("from")), lambda w: (w["start"] > F.col("from")) | (F.col("from") == 0))
     after = F.filter(words(F.col("after"), F.col("end")), lambda w: w["end"] < F.col("end") + reach)
     near = F.concat(F.slice(F.reverse(before), F.lit(1), F.lit(window)), F.slice(after, F.lit(1), F.lit(window)))
-    return (mention.select("doc_id", "entity", F.explode(near).alias("w"))
-            .select("doc_id", "entity", F.lower("w.word").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end")))
+    return (mention.select("doc_id", "entity", F.explode_outer(near).alias("w"))
+            .select("doc_id", "entity", F.lower("w.word").alias("term")).distinct())
 
 
-def disclosing_terms(docs: DataFrame, contexts: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
+def _pairs(mentioned: DataFrame, contexts: DataFrame, settings: Settings) -> DataFrame:
+    """doc_id, entity, n_entity (its documents), term, near: the words of each document with each of
+    its entities that enough documents mention."""
+    entities = contexts.groupBy("doc_id", "entity").agg(F.collect_set("term").alias("close"))
+    n_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    words = F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))
+    texts = mentioned.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(words))).alias("words"))
+    return (entities.join(n_entity.filter(F.col("n_entity") >= settings.support), "entity").join(texts, "doc_id")
+            .select("doc_id", "entity", "n_entity", "close", F.explode("words").alias("term")).filter("term <> ''")
+            .select("doc_id", "entity", "n_entity", "term", F.array_contains("close", F.col("term")).alias("near")))
+
+
+def disclosing_terms(docs: DataFrame, pairs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
     """entity, term and share (PMI / IC) of the terms above the lower threshold."""
-    near = contexts.groupBy("entity", "term").agg(F.countDistinct("doc_id").alias("documents"),
-                                                  F.countDistinct("doc_id", "start").alias("near"))
-    near = near.filter(F.col("documents") >= settings.support)
-    words = F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+")
-    every = docs.select(F.explode(words).alias("term")).filter("term <> ''")
-    total = docs.select(F.sum(F.size(words)).alias("n"))
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.max("n_entity").alias("n_entity"))
+    both = both.filter(F.col("n_both") >= settings.support)
+    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"))
     # Counted before the join, so that no word is shuffled more than once for each task.
-    counts = every.groupBy("term").agg(F.count("*").alias("n_term"))
-    by_entity = contexts.groupBy("entity").agg(F.countDistinct("doc_id", "start").alias("n_entity"))
-    n = total.first()["n"] or 1
+    counts = docs.select(F.explode(words).alias("term")).filter("term <> ''").groupBy("term").agg(F.count("*").alias("n_term"))
+    n = docs.count() or 1
     p_entity = F.col("n_entity") / F.lit(n)
-    given = F.least(F.col("near") / F.col("n_term"), F.lit(1.0))
-    return (near.join(counts, "term").join(by_entity, "entity")
-            .select("entity", "term", (F.log2(given / p_entity) / -F.log2(p_entity)).alias("share"))
+    # An entity of all documents has no information to disclose.
+    both = both.filter(F.col("n_entity") < n)
+    given = F.least((F.col("n_both") + settings.prior * p_entity) / (F.col("n_term") + settings.prior), F.lit(1.0))
+    return (both.join(counts, "term").select("entity", "term", (F.log2(given / p_entity) / -F.log2(p_entity)).alias("share"))
             .filter(F.col("share") > settings.generalise))
 
 
+def _term_spans(text: Column, terms: Column) -> Column:
+    """Spans of all words of a text that are keys of the map ``terms``, in any case; its values are theirs."""
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys(terms), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+
+    def placed(found):
+        between = F.split(text, pattern, -1)
+        ends = _running(F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda b, m: F.length(b) + F.length(m)))
+        return F.zip_with(ends, found, lambda e, m: F.struct(
+            (e - F.length(m)).alias("start"), F.lit(KINDS.index("term")).alias("nth"), e.alias("end"),
+            F.coalesce(F.element_at(terms, F.lower(m)), F.lit("[WORD]")).alias("value")))
+
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)), placed)
+
+
 def find(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``row`` (all columns of ``docs``), ``base`` and ``spans``: arrays of (start, nth kind, end,
     value) by start, then kind; a term's value is what it becomes."""
@@ -174,19 +199,17 @@ def find(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
     mentioned = stored(based.filter((F.size("base") > 0) & F.col("id").isNotNull())
                        .select(F.col("id").alias("doc_id"), F.col(f"row.{text_col}").alias("text"), "base"), "mentions")
     contexts = _contexts(mentioned, settings)
-    shared = contexts.groupBy("entity").agg(F.countDistinct("doc_id").alias("n")).filter(F.col("n") >= settings.support)
-    contexts = stored(contexts.join(shared.select("entity"), "entity", "left_semi"), "contexts")
-    terms = disclosing_terms(docs, contexts, settings, text_col)
+    pairs = stored(_pairs(mentioned, stored(contexts, "contexts"), settings), "pairs")
+    terms = disclosing_terms(docs, pairs, settings, text_col)
     shape = F.when(F.col("share") > settings.remove, "").when(F.col("term").rlike("^[0-9]+$"), "[NUMBER]").otherwise("[WORD]")
-    marked = stored(contexts.join(terms, ["entity", "term"])
-                    .groupBy("doc_id", "start", "end").agg(F.min(shape).alias("value"))
-                    .groupBy("doc_id").agg(F.collect_list(F.struct(
-                        F.col("start").cast("int").alias("start"), F.lit(KINDS.index("term")).alias("nth"),
-                        F.col("end").cast("int").alias("end"), F.col("value"))).alias("terms")), "terms")
+    marked = (pairs.join(terms, ["entity", "term"]).groupBy("doc_id", "term").agg(F.min(shape).alias("value"))
+              .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("terms")))
+    marked = stored(marked, "terms")
     free = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    terms_here = F.coalesce(F.filter("terms", free), F.array().cast("array<struct<start:int,nth:int,end:int,value:string>>"))
+    empty = F.array().cast("array<struct<start:int,nth:int,end:int,value:string>>")
+    terms_here = F.when(F.col("terms").isNotNull(), F.filter(_term_spans(F.col(f"row.{text_col}"), F.col("terms")), free)).otherwise(empty)
     return (based.join(marked, based["id"] == marked["doc_id"], "left")
-            .select("row", "base", F.array_sort(F.concat("base", terms_here)).alias("spans")))
+            .select("row", "base", F.array_sort(F.concat("base", F.coalesce(terms_here, empty))).alias("spans")))
 
 
 def spans_text(spans: str) -> Column:

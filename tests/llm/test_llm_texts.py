@@ -253,3 +253,16 @@ def test_whole_long_licences_and_their_headers_are_known(spark):
     rest = {r["doc_id"]: r for r in licenses.scan(docs).collect() if r["doc_id"] >= 8}
     assert [rest[i]["text_license"] for i in (8, 9, 10, 11)] == ["Apache-2.0", "MPL-2.0", "Apache-2.0", None]
     assert rest[9]["line_licenses"] == "MPL-2.0"  # on one line
+
+
+def test_disclosing_terms_are_marked_wherever_they_stand_in_the_entitys_documents(spark):
+    rows = [(i, f"{words(500 + i, 30)} write Zorblatt77x at jane.doe@example.org {words(600 + i, 30)} "
+                + f"zorblatt77x, {words(700 + i, 6)} ZORBLATT77X " * 4 + f"xZorblatt77x{i} {words(800 + i, 5)}") for i in range(6)]
+    rows += [(6 + i, f"Quux88y {words(900 + i, 40)} max.doe@example.org {words(950 + i, 30)}") for i in range(6)]  # never near
+    rows += [(i, words(1000 + i, 60)) for i in range(12, 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.sanitise(docs).collect():
+        found = re.findall(r"\bzorblatt77x\b|\bquux88y\b", r["text"].lower())
+        assert not found, (r["doc_id"], found)
+        assert r["doc_id"] >= 6 or f"xZorblatt77x{r['doc_id']}" in r["text"]
+        assert r["doc_id"] < 12 or r["text"] == dict(rows)[r["doc_id"]]
