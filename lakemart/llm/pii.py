@@ -4,8 +4,8 @@ Base spans are e-mail addresses, IP addresses, card and phone numbers. Their val
 protected entities. The corpus then tells how strongly a term reveals the entity: with P(e)
 the share of documents that mention e, and P(e|t) the share of t's documents that do, the term
 discloses PMI(t; e) = log2(P(e|t) / P(e)) of the entity's information IC(e) = -log2 P(e). P(e|t)
-is drawn to P(e) as by one more document. A term whose share PMI / IC exceeds a threshold, in
-enough documents, is a span of kind ``term`` wherever it stands in the documents that mention the
+is drawn to P(e) as by one more document, so that few documents say less. A term whose share
+PMI / IC exceeds a threshold, and that stands near e or is in several documents of it, is a span of kind ``term`` wherever it stands in the documents that mention the
 entity: sanitising generalises it to its shape, and removes it above a second threshold. In
 documents without the entity the term stays.
 
@@ -46,7 +46,7 @@ CHUNK = 256
 @dataclass(frozen=True)
 class Settings:
     """``window``: words on either side of a mention, at most ``reach`` characters away. ``support``:
-    documents that must hold both a term and an entity. ``prior``: documents that the entity's own
+    documents that must hold both an entity and a term that never stands near it. ``prior``: documents that the entity's own
     probability counts as in a term's. ``generalise``, ``remove``: shares of the entity's
     information that a term may disclose."""
     window: int = 3
@@ -150,20 +150,23 @@ def _contexts(found: DataFrame, settings: Settings) -> DataFrame:
 
 def _pairs(mentioned: DataFrame, contexts: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, entity, n_entity (its documents), term, near: the words of each document with each of
-    its entities that enough documents mention."""
+    its entities; with an entity of one document, only the words near it."""
     entities = contexts.groupBy("doc_id", "entity").agg(F.collect_set("term").alias("close"))
     n_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
     words = F.array_distinct(F.split(F.lower(F.col("text")), r"[^\p{L}\p{N}]+"))
     texts = mentioned.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(words))).alias("words"))
-    return (entities.join(n_entity.filter(F.col("n_entity") >= settings.support), "entity").join(texts, "doc_id")
-            .select("doc_id", "entity", "n_entity", "close", F.explode("words").alias("term")).filter("term <> ''")
+    words_of = F.when(F.col("n_entity") < F.least(F.lit(2), F.lit(settings.support)), F.col("close")).otherwise(F.col("words"))
+    return (entities.join(n_entity, "entity").join(texts, "doc_id")
+            .select("doc_id", "entity", "n_entity", "close", F.explode(words_of).alias("term")).filter("term <> ''")
             .select("doc_id", "entity", "n_entity", "term", F.array_contains("close", F.col("term")).alias("near")))
 
 
 def disclosing_terms(docs: DataFrame, pairs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
     """entity, term and share (PMI / IC) of the terms above the lower threshold."""
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.max("n_entity").alias("n_entity"))
-    both = both.filter(F.col("n_both") >= settings.support)
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.max("n_entity").alias("n_entity"),
+                                               F.max("near").alias("near"))
+    # Fewer documents do not tell a disclosing word from any rare word of theirs, unless it stands near the entity.
+    both = both.filter(F.col("near") | (F.col("n_both") >= settings.support))
     words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"))
     # Counted before the join, so that no word is shuffled more than once for each task.
     counts = docs.select(F.explode(words).alias("term")).filter("term <> ''").groupBy("term").agg(F.count("*").alias("n_term"))

@@ -266,3 +266,14 @@ def test_disclosing_terms_are_marked_wherever_they_stand_in_the_entitys_document
         assert not found, (r["doc_id"], found)
         assert r["doc_id"] >= 6 or f"xZorblatt77x{r['doc_id']}" in r["text"]
         assert r["doc_id"] < 12 or r["text"] == dict(rows)[r["doc_id"]]
+
+
+def test_terms_of_rare_entities_are_marked(spark):
+    rows = [(0, f"{words(1, 30)} write Zorblatt77x at jane.doe@example.org {words(2, 30)} zorblatt77x"),
+            (1, f"{words(3, 30)} ask Quux88y for 4111 1111 1111 1111 {words(4, 30)}"), (2, f"{words(5, 30)} quux88y 4111111111111111 please")]
+    rows += [(i, f"write ask at for please {words(1, 30)} {words(i, 40)}") for i in range(10, 5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).filter("doc_id < 20").collect()}
+    assert not re.search("zorblatt77x|quux88y", " ".join(clean.values()).lower()), clean
+    assert "write [WORD] at" in clean[0] and words(1, 30) in clean[0] and "please" in clean[2]
+    assert all(clean[i] == dict(rows)[i] for i in range(10, 20))
