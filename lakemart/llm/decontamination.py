@@ -13,7 +13,8 @@ signature hits are joined with the signature table to candidate pairs, and these
 verified by counting the exact shingles that they share.
 
 Texts are lower-cased and cut at everything but letters and digits. A text of fewer than
-five words is one shingle of all its words; null, empty or wordless texts have none and never
+five words is one shingle of all its words, and an item that short is looked for by the runs of
+as many words of a document, which may be longer; null, empty or wordless texts have none and never
 match. Repeated items are reported each; repeated rows of a document count once. Empty tables
 give an empty result. Only the id and text columns are read.
 """
@@ -88,10 +89,12 @@ def contained_items(docs: DataFrame, items: DataFrame, words_each: int = WORDS,
         so_far = so_far | bitmap
         classes.append((1 << size_class, so_far))  # what a document of that many shingles may hold
     every = _bitmaps(shingles.withColumn("one", F.lit(0)), "one").get(0)
-    known = spark.sparkContext.broadcast((classes, every))
+    # Items of fewer words than a shingle, by their number of words.
+    short = _bitmaps(shingles.withColumn("k", F.size(F.split("shingle", " "))).filter(F.col("k") < words_each), "k")
+    known = spark.sparkContext.broadcast((classes, every, short))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, every = known.value
+        classes, every, short = known.value
         digest = xxhash.xxh64_intdigest
         for batch in batches:
             out: list[tuple] = []
@@ -99,19 +102,26 @@ def contained_items(docs: DataFrame, items: DataFrame, words_each: int = WORDS,
                 words = text.as_py().encode().split()
                 if not words or not classes:
                     continue
-                joined, k = b" ".join(words), min(words_each, len(words))
-                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-                begins = np.append(0, ends[:-1] + 1)[:len(words) - k + 1]
-                ends = ends[k - 1:]
-                h = np.array([digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends.tolist())], np.uint64)
+                joined = b" ".join(words)
+                stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+                starts = np.append(0, stops[:-1] + 1)
+
+                def runs(k):
+                    begins, ends = starts[:len(words) - k + 1], stops[k - 1:]
+                    return begins, ends, np.array(
+                        [digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends.tolist())], np.uint64)
+
+                begins, ends, h = runs(min(words_each, len(words)))
                 size = len(np.unique(h))
                 fitting = [bitmap for smallest, bitmap in classes if smallest <= size]
-                if not fitting:
-                    continue
-                hit = _has(fitting[-1], h)
-                if hit.any():
-                    seen = np.flatnonzero(_has(every, h))
-                    out += [(doc, size, joined[begins[i]:ends[i]].decode(), bool(hit[i])) for i in seen.tolist()]
+                if fitting:
+                    hit = _has(fitting[-1], h)
+                    if hit.any():
+                        seen = np.flatnonzero(_has(every, h))
+                        out += [(doc, size, joined[begins[i]:ends[i]].decode(), bool(hit[i])) for i in seen.tolist()]
+                for k in (k for k in short if k < len(words)):
+                    begins, ends, h = runs(k)
+                    out += [(doc, size, joined[begins[i]:ends[i]].decode(), True) for i in np.flatnonzero(_has(short[k], h)).tolist()]
             cols = list(zip(*set(out))) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),

@@ -201,3 +201,12 @@ def test_queries_equal_their_sql(spark, name):
     cols = sorted(got.columns)
     rows = lambda df: sorted(map(tuple, df[cols].astype(object).where(df[cols].notna(), None).values.tolist()), key=str)
     assert rows(got) == rows(want)
+
+
+def test_short_items_are_found_inside_longer_documents(spark):
+    items = spark.createDataFrame([(1, "Blue whale?"), (2, "zebra"), (3, "one two three four"), (4, "a b c d e f")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the answer is a blue, WHALE or some other thing"), (2, "zebra"), (3, "zero one two three four five six"),
+                                  (4, "whale blue whales"), (5, "blue whale zebra"), (6, "one two three"), (7, "x a b c d e f")],
+                                 "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["shared"]) for r in decontamination.contained_items(docs, items).collect()}
+    assert got == {(1, 1, 1), (2, 2, 1), (3, 3, 1), (5, 1, 1), (5, 2, 1), (7, 4, 2)}
