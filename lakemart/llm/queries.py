@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import ann, decontamination, language, licenses, packing, pii, simhash, token_store, toxicity, warc
-from lakemart.llm.common import crc_bucket, read, tokenizer_path, workspace
+from lakemart.llm import (ann, decontamination, embedding_dedup, fill_middle, language, licenses, packing, pii, runs, simhash,
+                          token_store, toxicity, warc)
+from lakemart.llm.common import crc_bucket, let, read, tokenizer_path, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +108,83 @@ def op5_license_digest(spark, sf_dir):
 @register("op1_graph_neighbours")
 def op1_graph_neighbours(spark, sf_dir):
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units FROM documents
+), numbers AS (
+  SELECT *, len(units) AS n, [('0x' || d[8 * k + 1 : 8 * k + 8])::BIGINT FOR k IN range(4)] AS h FROM drawn
+), cuts AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+), parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN len(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN len(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+@register("op11_fill_in_middle", OP11_SQL)
+def op11_fill_in_middle(spark, sf_dir):
+    mixed = fill_middle.restore(fill_middle.fill_in_middle(read(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth document by crc32 of its id, from word a = g % n on, repeats its next p words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def tail(words):
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        repeated = F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(words, (a + i % p).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), repeated), " "))
+
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return docs.withColumn("text", F.when(h % 10 == 0, let(words, tail)).otherwise(F.col("text")))
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    found = runs.periodic_runs(with_periodic_tails(read(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    better = lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    best = found.withColumn("best", F.aggregate("runs", none, better))
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                       F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+OP13_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reached AS (SELECT u, w FROM links UNION SELECT r.u, l.w FROM reached r JOIN links l ON r.w = l.u),
+least_reached AS (SELECT u, min(w) AS w FROM reached GROUP BY u),
+degree AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(w, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(w, vec_id)) AS kept
+FROM embeddings LEFT JOIN least_reached r ON vec_id = r.u LEFT JOIN degree d ON vec_id = d.u
+"""
+
+
+@register("op13_embedding_near_dedup", OP13_SQL)
+def op13_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
