@@ -65,8 +65,9 @@ def dim_payroll_gold(stg_payroll: DataFrame) -> DataFrame:
     return stg_payroll.select("employee_id", "monthly_salary", "payroll_month")
 
 
-def fact_orders_gold(stg_orders: DataFrame, stg_products: DataFrame) -> DataFrame:
-    """Order grain. Orders with an unknown product keep NULL money columns."""
+def fact_orders_gold(stg_orders: DataFrame, stg_products: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Order grain. Orders with an unknown product keep NULL money columns. ``carry`` names
+    further columns of the orders to keep."""
     p = stg_products.select("product_id", F.col("base_price").alias("_price"))
     j = stg_orders.join(p, "product_id", "left")
     revenue = F.col("quantity") * F.col("_price")
@@ -78,7 +79,7 @@ def fact_orders_gold(stg_orders: DataFrame, stg_products: DataFrame) -> DataFram
         revenue.alias("product_revenue"),
         F.col("service_price").alias("addon_revenue"),
         (revenue + F.col("service_price")).alias("total_order_value"),
-        "service_type", "city", "review",
+        "service_type", "city", "review", *carry,
     )
 
 

@@ -11,19 +11,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.functions.exprs import trunc_ts
 from lakemart.operators import gold
+from lakemart.operators import intervals as IV
 from lakemart.operators import hr as H
 from lakemart.operators import ml as ML
 from lakemart.operators import orders as OR
 from lakemart.operators import quality as Q
 from lakemart.operators import reports as RP
+from lakemart.operators import seasonal as SE
 from lakemart.plans import oracle as O
 from lakemart.plans import runs as R
 from lakemart.plans.models import Models
+from lakemart.plans.pipeline import Pipeline
 from lakemart.sources.files import FLOAT_IDS, read_csv
 from lakemart.sources.fixtures import RawTables
 from lakemart.sources.sinks import write_csv
 from lakemart.streaming import hourly as ST
+from lakemart.streaming import stateful as SF
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +111,29 @@ def active_staff_per_order(spark, sf_dir):
     return OR.active_staff_per_order(m.stg_orders, m.stg_employees)
 
 
+def _staff_instants(m: Models) -> DataFrame:
+    """Employment that begins and ends within a day, at seconds that the employee's number gives."""
+    at = lambda day, k: (F.col(day).cast("timestamp_ntz") + F.make_dt_interval(
+        secs=((F.col("employee_id") * k) % 86400).cast("decimal(18,6)")))
+    return m.stg_employees.select("employee_id", at("hire_date", 3607).alias("hire_at"), at("exit_date", 7919).alias("exit_at"))
+
+
+@register("order_rosters", O.with_models(f"SELECT * FROM ({O.ORDER_ROSTERS_SQL.strip()})"))
+def order_rosters(spark, sf_dir):
+    """Roster class, active staff and the sum of their ids for every order, at its instant."""
+    m = Models(spark, sf_dir)
+    return IV.rosters_of_orders(m.stg_orders, _staff_instants(m), start="hire_at", end="exit_at")
+
+
+@register("staff_of_last_orders", O.with_models(f"SELECT * FROM ({O.STAFF_OF_LAST_ORDERS_SQL.strip()})"))
+def staff_of_last_orders(spark, sf_dir):
+    """The staff list of the last order of each month."""
+    m = Models(spark, sf_dir)
+    last = (m.stg_orders.filter("order_timestamp IS NOT NULL").groupBy(F.trunc("order_timestamp", "MM").alias("month"))
+            .agg(F.max(F.struct("order_timestamp", "order_id")).alias("o")).select("o.order_id", "o.order_timestamp"))
+    return IV.staff_at(last, _staff_instants(m), start="hire_at", end="exit_at")
+
+
 @register("addon_eligibility", O.with_models(O.ADDON_SQL))
 def addon_eligibility(spark, sf_dir):
     m = Models(spark, sf_dir)
@@ -136,6 +164,22 @@ def traffic_forecast(spark, sf_dir):
     return ML.traffic_forecast(hourly, as_of)
 
 
+@register("seasonal_revenue_forecast", O.with_recursive(O.SEASONAL_REVENUE_SQL, O.SEASONAL_REVENUE_CTES))
+def seasonal_revenue_forecast(spark, sf_dir):
+    """Trend with changepoints and yearly Fourier terms for each category."""
+    sales = Models(spark, sf_dir).mart_monthly_product_sales
+    as_of = sales.agg(F.max("sales_month")).scalar()
+    return SE.revenue_forecast(ML.category_month_revenue(sales), as_of)
+
+
+@register("seasonal_traffic_forecast", O.with_recursive(O.SEASONAL_TRAFFIC_SQL, O.SEASONAL_TRAFFIC_CTES))
+def seasonal_traffic_forecast(spark, sf_dir):
+    """Trend with changepoints, yearly and weekly Fourier terms over daily visits."""
+    hourly = Models(spark, sf_dir, traffic="raw_traffic_hist").mart_hourly_traffic_conversion
+    as_of = hourly.agg(F.max("event_date")).scalar()
+    return SE.traffic_forecast(ML.daily_visits(hourly), as_of)
+
+
 @register("hour_weekday_ridge", O.with_models(f"SELECT * FROM ({O.RIDGE_SQL.strip()})"))
 def hour_weekday_ridge(spark, sf_dir):
     return ML.hour_weekday_ridge(Models(spark, sf_dir, traffic="raw_traffic").mart_hourly_traffic_conversion)
@@ -181,10 +225,10 @@ def rpt_review_distribution(spark, sf_dir):
 
 # -- the stored pipeline -------------------------------------------------------
 
-def _stored(name: str) -> QueryFn:
+def _stored(name: str, runs: Callable[[SparkSession, str], Pipeline] = R.stored_pipeline) -> QueryFn:
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return R.stored_pipeline(spark, sf_dir).gold(name)
-    fn.__name__ = f"pipeline_late_{name}"
+        return runs(spark, sf_dir).gold(name)
+    fn.__name__ = f"{runs.__name__}_{name}"
     return fn
 
 
@@ -196,6 +240,13 @@ register("pipeline_late_ml_revenue_forecast", O.with_models(f"SELECT * FROM ({O.
     _stored("ml_revenue_forecast"))
 
 
+# Warehouses whose runs broke off, and whose source was corrected: they must equal a full run too.
+for _name in ("fact_orders_gold", "dim_products_gold", "dim_date", "mart_monthly_product_sales", "mart_hourly_traffic_conversion",
+              "mart_traffic_conversion_by_product", "mart_city_sales", "mart_product_reviews", "mart_employee_addon_performance"):
+    for _kind, _runs in (("crash", R.crashed_pipeline), ("corrected", R.corrected_pipeline)):
+        register(f"pipeline_{_kind}_{_name}", O.with_models(f"SELECT * FROM {O.STORED_AS.get(_name, _name)}"))(_stored(_name, _runs))
+
+
 register("upsert_stored_orders", O.with_models(O.UPSERT_SQL))(R.upsert_stored)
 register("append_load_orders", O.with_models("SELECT * FROM raw_orders"))(R.append_load_orders)
 
@@ -239,6 +290,30 @@ def stream_hourly_traffic(spark, sf_dir):
     return ST.read_hourly_mart(spark, f"{root}/mart")
 
 
+def stateful_runs(traffic: DataFrame, root: str) -> None:
+    """The stateful hourly stream over four deliveries, restarted for each: rows up to the cut, newer
+    ones, rows that were held back, and one far in the future that closes all hours."""
+    spark = traffic.sparkSession
+    early, held = F.col("event_time") <= F.lit(R.TRAFFIC_CUT).cast("timestamp_ntz"), F.substring("traffic_id", -1, 1) == "7"
+    last = traffic.agg((F.max("event_time") + F.expr("INTERVAL 10 DAYS")).alias("event_time"))
+    end = last.select(*(F.col(f.name) if f.name == "event_time" else F.lit(None).cast(f.dataType).alias(f.name) for f in traffic.schema))
+    for k, rows in enumerate((traffic.filter(early & ~held), traffic.filter(~early & ~held), traffic.filter(held), end)):
+        rows.write.parquet(f"{root}/in/{k}")
+        src = spark.readStream.schema(traffic.schema).option("recursiveFileLookup", True).parquet(f"{root}/in")
+        SF.stateful_hourly_stream(spark, src, f"{root}/hours", f"{root}/late", f"{root}/_checkpoint").awaitTermination()
+
+
+@register("stream_stateful_hourly", O.with_models(f"SELECT * FROM ({O.STATEFUL_HOURLY_SQL.strip()})"))
+def stream_stateful_hourly(spark, sf_dir):
+    """Hours closed by event-time timers over four restarted runs, and the number of rows that came
+    after their hour was closed and left by the side output."""
+    root = R.scratch(spark, "stateful")
+    stateful_runs(RawTables(spark, sf_dir).raw_traffic, root)
+    late = SF.read_late(spark, f"{root}/late").groupBy(trunc_ts("hour", "event_time").alias("event_hour")).agg(F.count("*").alias("late_rows"))
+    return SF.read_hours(spark, f"{root}/hours").join(late, "event_hour", "full").select(
+        "event_hour", "total_visits", "total_carts", "total_orders", F.coalesce("late_rows", F.lit(0)).alias("late_rows"))
+
+
 # -- CSV landing round trip (sources) ----------------------------------------------
 
 

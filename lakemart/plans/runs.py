@@ -9,6 +9,8 @@ together cover every row of the source.
 
 ``stored_pipeline`` plays the whole pipeline in storage: a history run, a
 delta run, and a run in which the rows that were held back arrive late.
+``crashed_pipeline`` breaks a first and a delta run off, ``corrected_pipeline``
+first loads rows that the source then corrects, trades, moves and deletes.
 """
 
 from __future__ import annotations
@@ -174,24 +176,101 @@ def _before(ts_col: str, cut: _dt.datetime) -> Column:
     return F.col(ts_col).isNull() | (F.col(ts_col) <= F.lit(cut).cast("timestamp_ntz"))
 
 
-# Stored pipelines of this application: they are built once and read by several queries.
-_STORED: dict[tuple[str, str], Pipeline] = {}
+# Stored pipelines of this application: each is built once and read by several queries, so the
+# first of them carries the time of all its runs.
+_STORED: dict[tuple[str, str, str], Pipeline] = {}
+
+
+def _once(kind: str, spark: SparkSession, sf_dir: str, build) -> Pipeline:
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = build(RawTables(spark, sf_dir), scratch(spark, kind))
+    return _STORED[key]
+
+
+def _event_number() -> Column:
+    return F.regexp_replace("traffic_id", "T-", "").cast("bigint")
 
 
 def stored_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     """A warehouse after three runs: history up to the cuts, then newer rows, then the rows that had
     been held back (late, tied with the newest stored time, without a time). It must equal a full run."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        raw = RawTables(spark, sf_dir)
-        late_event = (F.regexp_replace("traffic_id", "T-", "").cast("bigint") % 7) == 3
-        p = Pipeline(spark, scratch(spark, "pipeline"))
+    def build(raw, folder):
+        late_event = _event_number() % 7 == 3
+        p = Pipeline(spark, folder)
         p.run(_Arrived(raw, raw_orders=_before("order_date", ORDERS_CUT) & ~late_order(),
                        raw_traffic=_before("event_time", TRAFFIC_CUT) & ~late_event))
         p.run(_Arrived(raw, raw_orders=~late_order(), raw_traffic=~late_event))
         p.run(raw)
-        _STORED[key] = p
-    return _STORED[key]
+        return p
+    return _once("pipeline", spark, sf_dir, build)
+
+
+class BrokenOff(RuntimeError):
+    """A run that ended on purpose."""
+
+
+def broken_run(spark: SparkSession, folder: str, raw, after: str) -> None:
+    """A run whose driver is lost after the step ``after``."""
+    def stop(step: str) -> None:
+        if step == after:
+            raise BrokenOff(step)
+    try:
+        Pipeline(spark, folder, stop).run(raw)
+    except BrokenOff:
+        return
+    raise ValueError(f"no step {after}")
+
+
+def crashed_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """A warehouse whose first run was lost after the fact was stored, whose delta run was lost
+    between two marts and again between the two traffic marts, and then ran through."""
+    def build(raw, folder):
+        history = _Arrived(raw, raw_orders=_before("order_date", ORDERS_CUT), raw_traffic=_before("event_time", TRAFFIC_CUT))
+        broken_run(spark, folder, history, "fact_orders_gold")
+        Pipeline(spark, folder).run(history)
+        broken_run(spark, folder, raw, "mart_city_sales")
+        broken_run(spark, folder, raw, "mart_hourly_traffic_conversion")
+        p = Pipeline(spark, folder)
+        p.run(raw)
+        return p
+    return _once("crashed", spark, sf_dir, build)
+
+
+def corrected_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """A warehouse that was loaded from rows with faults, then from the tables as they are: values
+    corrected in place, values that two rows of a day trade, orders moved back in time, orders and
+    events deleted, others that had been missing. Counts and times tell hardly any of it."""
+    class Faulty:
+        def __init__(self, raw):
+            self.raw = raw
+
+        def __getattr__(self, name: str) -> DataFrame:
+            return getattr(self.raw, name)
+
+        @property
+        def raw_orders(self) -> DataFrame:
+            o, n = self.raw.raw_orders, F.col("order_id")
+            wrong = (o.withColumn("quantity", F.when(n % 13 == 1, F.col("quantity") + 1).otherwise(F.col("quantity")))
+                     .withColumn("review", F.when(n % 14 == 2, F.lit(None)).otherwise(F.col("review")).cast("int"))
+                     .withColumn("order_date", F.when(n % 31 == 4, F.col("order_date") + F.expr("INTERVAL 40 DAYS"))
+                                 .otherwise(F.col("order_date")).cast("timestamp_ntz")))
+            deleted = o.filter(n % 29 == 3).withColumn("order_id", n + 1_000_000_000)
+            return wrong.filter(n % 37 != 5).unionByName(deleted)
+
+        @property
+        def raw_traffic(self) -> DataFrame:
+            t, cart = self.raw.raw_traffic, F.col("item_in_cart")
+            traded = t.withColumn("item_in_cart", F.when(_event_number() % 11 == 2, F.when(cart == "yes", "no").otherwise("yes")).otherwise(cart))
+            return traded.filter(_event_number() % 23 != 1).unionByName(t.filter(_event_number() % 19 == 4).withColumn(
+                "traffic_id", F.concat("traffic_id", F.lit("0"))))
+
+    def build(raw, folder):
+        p = Pipeline(spark, folder)
+        p.run(Faulty(raw))
+        p.run(raw)
+        return p
+    return _once("corrected", spark, sf_dir, build)
 
 
 def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:

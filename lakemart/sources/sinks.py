@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.operators.incremental import latest_per_key, unstored_rows, upsert
+from lakemart.operators.incremental import latest_per_key, unstored_rows
 from lakemart.session import materialize
 
 # Fixed value: the folder name Spark gives to a NULL partition value.
@@ -100,7 +101,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", proper
     w.save()
 
 
-class _Files:
+class Files:
     """Moves and deletes on the table's own file system (any that Spark reads)."""
 
     def __init__(self, spark: SparkSession, path: str):
@@ -122,9 +123,12 @@ class _Files:
         return [f.getPath().getName() for f in self.fs.listStatus(self.path(path))] if self.exists(path) else []
 
     def write(self, path: str, text: str) -> None:
-        out = self.fs.create(self.path(path), True)
+        """Beside, then renamed: a reader sees the whole file or none."""
+        beside = f"{path}.{uuid.uuid4().hex}.tmp"
+        out = self.fs.create(self.path(beside), True)
         out.write(text.encode())
         out.close()
+        self.move(beside, path)
 
     def read(self, path: str) -> str:
         stream = self.fs.open(self.path(path))
@@ -141,7 +145,7 @@ def _journal(path: str) -> str:
 def recover(spark: SparkSession, path: str) -> None:
     """Complete a swap that a lost driver left half done. Every move is repeatable: a staged
     folder that is gone has been moved already."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     if not files.exists(_journal(path)):
         return
     plan = json.loads(files.read(_journal(path)))
@@ -157,7 +161,7 @@ def recover(spark: SparkSession, path: str) -> None:
 
 
 def _swap(spark: SparkSession, path: str, staging: str, parts: list[str], emptied: list[str]) -> None:
-    _Files(spark, path).write(_journal(path), json.dumps({"staging": staging, "parts": parts, "emptied": emptied}))
+    Files(spark, path).write(_journal(path), json.dumps({"staging": staging, "parts": parts, "emptied": emptied}))
     recover(spark, path)
     spark.catalog.refreshByPath(path)
 
@@ -178,7 +182,7 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: list) -> N
     """
     spark = df.sparkSession
     recover(spark, path)
-    files = _Files(spark, path)
+    files = Files(spark, path)
     staging = f"{path.rstrip('/').rpartition('/')[0]}/_staged-{uuid.uuid4().hex}"
     df.write.partitionBy(column).parquet(staging)
     wanted = {NULL_PARTITION if v is None else str(v) for v in values}
@@ -188,9 +192,12 @@ def replace_partitions(df: DataFrame, path: str, column: str, values: list) -> N
     _swap(spark, path, staging, parts, emptied)
 
 
-def _replace_table(df: DataFrame, path: str) -> None:
+def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Make ``df`` the whole table: staged beside it and swapped in, so that a reader and a run
+    that breaks off find the old table or the new one, and ``df`` may read the table itself."""
+    recover(df.sparkSession, path)
     staging = f"{path.rstrip('/').rpartition('/')[0]}/_staged-{uuid.uuid4().hex}"
-    df.write.parquet(staging)
+    write_table(df, staging, "errorifexists", partition_by)
     _swap(df.sparkSession, path, staging, [""], [])
 
 
@@ -201,7 +208,8 @@ def distinct_values(df: DataFrame, column: str) -> list:
 
 def upsert_table(spark: SparkSession, path: str, delta: DataFrame, keys: list[str],
                  partition_col: str | None = None, order_cols: list[str] | None = None,
-                 keys_fixed_to_partition: bool = True, dedupe: bool = True) -> list:
+                 keys_fixed_to_partition: bool = True, dedupe: bool = True, replaced: DataFrame | None = None,
+                 before_swap: Callable[[list | None], None] | None = None) -> list:
     """MERGE ``delta`` into the parquet table at ``path`` by ``keys`` (NULL-safe).
 
     * first run (no table): the de-duplicated delta is written;
@@ -214,35 +222,53 @@ def upsert_table(spark: SparkSession, path: str, delta: DataFrame, keys: list[st
     at last with one): the partitions still holding an older version of a
     delta key are found with a semi join over the key and partition columns
     only, and are merged and rewritten too. ``dedupe=False`` is for deltas
-    that have one row per key already (aggregates). Returns the touched
-    partition values.
+    that have one row per key already (aggregates). ``replaced`` names keys
+    whose stored rows go even where the delta has none for them (deletions).
+    ``before_swap`` is told the touched partition values (None: all) before
+    the table changes. Returns them.
     """
     delta = latest_per_key(delta, keys, order_cols) if dedupe else delta
+    tell = before_swap or (lambda touched: None)
     if not table_exists(spark, path):
-        write_table(delta, path, "overwrite", [partition_col] if partition_col else None)
+        tell(None)
+        replace_table(delta, path, [partition_col] if partition_col else None)
         return distinct_values(spark.read.parquet(path), partition_col) if partition_col and table_exists(spark, path) else []
     # The delta is computed once and kept in the checkpoint folder (its size
     # is the delta's, not the table's); an empty delta ends the step.
     delta = materialize(delta)
-    if delta.isEmpty():
+    gone = delta.select(*keys)
+    if replaced is not None:
+        gone = materialize(gone.unionByName(replaced.select(*keys)).distinct())
+    if gone.isEmpty():
         return []
     touched = distinct_values(delta, partition_col) if partition_col else []
     target = spark.read.parquet(path)
     if not partition_col:
-        _replace_table(upsert(target, delta.select(*target.columns), keys, dedupe=False), path)
+        tell(None)
+        replace_table(_merged(target, delta, gone, keys), path)
         return []
     if not keys_fixed_to_partition:
-        dk = delta.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+        dk = gone.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         probe = target.select(*keys, partition_col)
         if len(keys) == 1:
             # The delta's key range reaches the parquet reader: row groups whose
             # key statistics lie outside it are skipped.
-            lo, hi = delta.agg(F.min(keys[0]), F.max(keys[0])).first()
+            lo, hi = gone.agg(F.min(keys[0]), F.max(keys[0])).first()
             k = F.col(keys[0])
             probe = probe.filter(k.isNull() if lo is None else k.between(lo, hi) | k.isNull())
         cond = [probe[k].eqNullSafe(dk[f"_k_{k}"]) for k in keys]
         held = distinct_values(probe.join(dk, cond, "left_semi"), partition_col)
         touched += [v for v in held if v not in touched]
+    if not touched:
+        return []
+    tell(touched)
     target = target.filter(one_of(partition_col, touched))
-    replace_partitions(upsert(target, delta.select(*target.columns), keys, dedupe=False), path, partition_col, touched)
+    replace_partitions(_merged(target, delta, gone, keys), path, partition_col, touched)
     return touched
+
+
+def _merged(target: DataFrame, delta: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """``target`` without the keys of ``gone``, and the delta."""
+    named = gone.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    kept = target.join(named, [target[k].eqNullSafe(named[f"_k_{k}"]) for k in keys], "left_anti")
+    return kept.unionByName(delta.select(*target.columns))
