@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from lakemart.session import apply_defaults, checkpoint_dir, materialize
 
-__all__ = ["bounded_batches", "checkpoint_dir", "crc_bucket", "filesystem", "let", "materialize", "read", "stored",
-           "tokenizer_path", "workspace"]
+__all__ = ["bounded_batches", "checkpoint_dir", "crc_bucket", "filesystem", "let", "materialize", "read", "small", "stored",
+           "text_key", "tokenizer_path", "workspace"]
+
+#: Rows of some numbers each that may be broadcast; a larger table is shuffled.
+BROADCAST_ROWS = 500_000
 
 #: Rows of an Arrow batch sent to Python. Texts may be very long, so a batch is kept
 #: well below Spark's default of 10,000 rows.
@@ -64,6 +67,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, marked for broadcast if it is small enough to be."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """Arrow file system and path for a folder that tasks write raw files to or read them from."""
     if "://" in uri or uri.startswith("file:"):
@@ -76,6 +84,12 @@ def crc_bucket(col, n: int):
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
 
 
+def text_key(col: str) -> list[Column]:
+    """t1, t2: two numbers that stand for a text in joins; null and empty are one text."""
+    text = F.coalesce(F.col(col), F.lit(""))
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("text"), text).alias("t2")]
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once. An expression that a lambda uses is
     otherwise computed again for every element."""

@@ -1,11 +1,13 @@
 """Whole-text token ids from the tokenizers library, at corpus speed.
 
 The library spends most of its time on words it has met before and on building one
-result object per text. :class:`Encoder` cuts a text at white space and looks each word's
-ids up; a new word is cut into the units on which the tokenizer works, and the library is
-asked only for units that are new. The ids are the library's own, and equal to encoding the
-text whole. Texts with characters on whose class regex libraries may differ are given to
-the library whole.
+result object per text. :class:`Encoder` works on a batch: one scan over its bytes cuts all
+texts into pieces, words with the blank before them and other white space; Arrow numbers the
+distinct ones; and the ids of all occurrences are gathered from those of the distinct pieces.
+A new piece is cut into the units on which the tokenizer works, and the library is asked
+only for units that are new. The ids are the library's own, and equal to encoding the text
+whole. Texts with characters on whose class regex libraries may differ are given to the
+library whole.
 """
 
 from __future__ import annotations
@@ -16,11 +18,14 @@ import re
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 
 #: Words and units whose ids a worker keeps; later new ones are encoded per batch and not kept.
 KEPT_WORDS = 500_000
 #: Units that are joined into one text for the library.
 JOINED = 1_000
+#: Bytes of the texts that are cut together (or one longer text).
+TOGETHER = 8 << 20
 
 # The published split patterns of the two tokenizers.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -32,10 +37,28 @@ LETTER, NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
 _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\xa1-įı-ſ‐-‧‰-⁞]*").fullmatch
 
 
-_BYTE_WORD = re.compile(r" ?\S+|\s+(?!\S)|\s+").findall
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 13, 32]] = True  # the white space among plain characters
 _END_MARKS = frozenset(".,;:!?)")
 
 
+def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """First bytes of the pieces of plain texts (``bounds`` in their joined bytes), as
+    `` ?\\S+|\\s+(?!\\S)|\\s+`` finds them: a word takes one blank before it along, other
+    white space before it is a piece, and of that its last character is one of its own."""
+    n = len(data)
+    starts = np.zeros(n + 1, bool)
+    starts[bounds[:-1]] = True
+    blank = _BLANK[data]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1  # where words begin or end
+    begins = edge[~blank[edge]]
+    starts[edge[blank[edge]]] = True
+    inside = ~starts[begins]  # the byte before belongs to the same text
+    starts[begins[inside] - 1] = True
+    starts[begins[inside & (data[begins - 1] != 32)]] = True
+    return np.flatnonzero(starts[:n])
+
+
 def _plain_pattern(split: str) -> re.Pattern:
     for old, new in (("[\\p{L}]", "\\p{L}"), ("[\\p{N}]", "\\p{N}"), ("[^\\s\\p{L}\\p{N}]", f"[^\\s{LETTER}{NUMBER}]"),
                      ("\\p{L}", f"[{LETTER}]"), ("\\p{N}", f"[{NUMBER}]")):
@@ -67,18 +90,17 @@ class Encoder:
             self.kind, self.units = "word", _plain_pattern(WORD_SPLIT).findall
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def _direct(self, texts: Sequence[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tok.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-    def _words(self, text: str) -> list[str] | None:
-        if not _PLAIN(text):
-            return None
-        return _BYTE_WORD(text) if self.kind == "byte" else text.lower().split()
-
     def _units(self, word: str) -> tuple[str, ...] | list[str]:
+        if self.kind == "word":
+            word = word.strip()
+            if not word:
+                return ()
         body = word[1:] if word[0] == " " else word
         if body.isalpha():
             return (word,)
@@ -86,25 +108,24 @@ class Encoder:
             return word[:-1], word[-1]
         return self.units(word)
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words not met before."""
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces not met before; these and their units' are kept while there is room."""
+        split = {p: [u.encode() for u in self._units(p.decode())] for p in pieces}
         known = self.known
-        split = {w: self._units(w) for w in words}
-        made = self._encode_units({u for units in split.values() for u in units if u not in known})
+        made = self._encode_units({u.decode() for units in split.values() for u in units if u not in known})
         ids = lambda u: made[u] if u in made else known[u]
-        made.update({w: ids(u[0]) + ids(u[1]) if len(u) == 2 else b"".join(map(ids, u))
-                     for w, u in split.items() if w not in made})
+        learnt = {p: ids(units[0]) if len(units) == 1 else b"".join(map(ids, units)) for p, units in split.items()}
         if len(known) < KEPT_WORDS:
             known.update(made)
-            return known
-        return made
+            known.update(learnt)
+        return learnt
 
-    def _encode_units(self, units: set[str]) -> dict[str, bytes]:
+    def _encode_units(self, units: set[str]) -> dict[bytes, bytes]:
         """Ids of units, many joined in a call. Byte-level units are told apart by the line
         feed between them, word-level ones by the tokens that end a word."""
         blank = [u for u in units if u.isspace()]
-        made = dict(zip(blank, self._direct(blank)))
-        rest = list(units - made.keys())
+        made = {u.encode(): ids for u, ids in zip(blank, self._direct(blank))}
+        rest = list(units.difference(blank))
         joint = "\n" if self.kind == "byte" else " "
         groups = [rest[i:i + JOINED] for i in range(0, len(rest), JOINED)]
         for group, e in zip(groups, self.tok.encode_batch_fast([joint.join(g) for g in groups],
@@ -117,29 +138,56 @@ class Encoder:
                 hi = np.flatnonzero(self.ends[ids]) + 1
                 lo = np.append(0, hi[:-1])
             if len(hi) != len(group):
-                made.update(zip(group, self._direct(group)))
+                made.update({u.encode(): ids for u, ids in zip(group, self._direct(group))})
                 continue
             raw = ids.tobytes()
-            made.update({u: raw[a:b] for u, a, b in zip(group, (4 * lo).tolist(), (4 * hi).tolist())})
+            made.update({u.encode(): raw[a:b] for u, a, b in zip(group, (4 * lo).tolist(), (4 * hi).tolist())})
         return made
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         if self.kind == "whole":
             return self._direct(texts)
-        cut = [self._words(t) for t in texts]
-        new = set().union(*(c for c in cut if c)) - self.known.keys()
-        made = self._learn(new) if new else self.known
-        known, out = self.known, []
-        for text, words in zip(texts, cut):
-            if words is None:
-                out += self._direct([text])
-            elif made is known:
-                out.append(b"".join(map(known.__getitem__, words)))
-            else:
-                out.append(b"".join([known[w] if w in known else made[w] for w in words]))
+        out: list[bytes | None] = [None] * len(texts)
+        plain, size = [], 0
+        for i, t in enumerate(texts):
+            if not _PLAIN(t):
+                out[i], = self._direct([t])
+                continue
+            plain.append((i, (t.lower() if self.kind == "word" else t).encode()))
+            size += len(t)
+            if size >= TOGETHER:
+                self._encode_plain(plain, out)
+                plain, size = [], 0
+        self._encode_plain(plain, out)
         return out
 
+    def _encode_plain(self, plain: list[tuple[int, bytes]], out: list) -> None:
+        """Ids of plain texts, given with their places in ``out``."""
+        joined = b"".join(t for _, t in plain)
+        bounds = np.append(0, np.cumsum([len(t) for _, t in plain])).astype(np.int64)
+        starts = piece_starts(np.frombuffer(joined, np.uint8), bounds) if joined else np.zeros(0, np.int64)
+        offsets = np.append(starts, len(joined))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, distinct))
+        new = [k for k, found in enumerate(ids) if found is None]
+        if new:
+            learnt = self._learn([distinct[k] for k in new])
+            for k in new:
+                ids[k] = learnt[distinct[k]]
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(length) - length
+        code = coded.indices.to_numpy()
+        length = length[code]
+        before = np.append(0, np.cumsum(length))
+        gathered = flat[np.repeat(first[code] - before[:-1], length) + np.arange(before[-1])]
+        at = before[np.searchsorted(starts, bounds)]
+        for (i, _), lo, hi in zip(plain, at[:-1].tolist(), at[1:].tolist()):
+            out[i] = gathered[lo:hi].tobytes()
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
