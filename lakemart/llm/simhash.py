@@ -7,9 +7,10 @@ query on these bits add up, and a whole group is dropped as soon as they exceed
 
 On the cluster, the distinct fingerprints are cut at quantiles of the Gray rank into blocks;
 the blocks' own shared bits are the tree's upper nodes and rule out pairs of blocks. Each
-remaining pair of blocks is one group: it builds the lower tree over one block, searches it
-with the other, and returns a spanning forest of the links that it found, which has as many
-components as all links and at most one row per fingerprint. The number of blocks grows with
+remaining pair of blocks is one group, to which go those fingerprints of either block that
+differ little enough from the other's shared bits: it builds the lower tree over one side,
+searches it with the other, and returns a spanning forest of the links that it found, which
+has as many components as all links and at most one row per fingerprint. The number of blocks grows with
 the square root of the fingerprints, so a task's memory is two blocks.
 
 A null or empty text, or one without words, has the fingerprint zero and is linked like any
@@ -27,10 +28,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import bounded_batches, stored
+from lakemart.llm.common import bounded_batches, small, stored, text_key
 from lakemart.llm.components import components
 
 SEED = 42
@@ -77,8 +78,12 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _sortable(rank: np.ndarray) -> np.ndarray:
-    return (rank ^ np.uint64(1 << 63)).view(np.int64)
+def _gray_order(fp: str) -> Column:
+    """The Gray rank of a fingerprint (a signed long), in an order that signed longs have."""
+    rank = F.col(fp)
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank = rank.bitwiseXOR(F.shiftrightunsigned(rank, shift))
+    return rank.bitwiseXOR(F.lit(-2**63))
 
 
 class GrayTree:
@@ -164,49 +169,43 @@ def near_links(distinct: DataFrame, most: int = 4) -> DataFrame:
     fingerprints at most ``most`` bits apart. ``distinct`` (stored): fp, rep, one row each."""
     bounded_batches(distinct.sparkSession)
 
-    def ranked(batches):
-        for b in batches:
-            fp = b.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_sortable(gray_rank(fp)))],
-                                             names=["fp", "rep", "gray"])
-
-    sorted_in = distinct.select("fp", "rep").mapInArrow(ranked, "fp long, rep long, gray long")
+    sorted_in = distinct.select("fp", "rep", _gray_order("fp").alias("gray"))
     n = distinct.count()
     blocks = max(1, math.ceil(math.sqrt(n) / BLOCK))
     cuts = sorted_in.agg(F.percentile_approx("gray", [i / blocks for i in range(1, blocks)], F.lit(10_000)).alias("c")
                          ).first()["c"] if blocks > 1 else []
     cuts = sorted(set(cuts or []))  # one bound per block
 
-    def block_of(batches):
-        at = np.array(cuts, np.int64)
+    at, width = np.array(cuts, np.int64), len(cuts) + 1
+    block_of = lambda gray: np.searchsorted(at, gray.to_numpy(), side="left")
+
+    def shared_bits(batches):
+        """Of each block, what the batch's fingerprints share."""
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.searchsorted(at, b.column(2).to_numpy(), side="left").astype(np.int32))],
-                names=["fp", "rep", "gray", "block"])
+            fp, block = b.column(0).to_numpy(), block_of(b.column(1))
+            order = np.argsort(block, kind="stable")
+            ids, first = np.unique(block[order], return_index=True)
+            every, some = (f.reduceat(fp[order], first) if len(ids) else fp[:0] for f in (np.bitwise_and, np.bitwise_or))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(every), pa.array(some)], names=["block", "every", "some"])
 
-    in_blocks = sorted_in.mapInArrow(block_of, "fp long, rep long, gray long, block int")
     # The tree's upper nodes: one row per block, some thousands at the largest.
-    top = in_blocks.groupBy("block").agg(F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some")).collect()
-    ids = np.array([r["block"] for r in top], np.int64)
+    top = sorted(sorted_in.select("fp", "gray").mapInArrow(shared_bits, "block int, every long, some long").groupBy("block")
+                 .agg(F.bit_and("every").alias("every"), F.bit_or("some").alias("some")).collect())
     every, some = (np.array([r[c] for r in top], np.int64).view(np.uint64) for c in ("every", "some"))
-    mask = ~(every ^ some)
-    partners: dict[int, list[tuple[int, bool]]] = {}
-    width = len(cuts) + 1
-    for i in range(len(ids)):
-        apart = np.bitwise_count((every[i] ^ every) & mask[i] & mask)
-        for j in np.flatnonzero(apart <= most).tolist():
-            lo, hi = sorted((int(ids[i]), int(ids[j])))
-            partners.setdefault(int(ids[i]), []).append((lo * width + hi, int(ids[i]) == lo))
+    ids, mask = np.array([r["block"] for r in top], np.int64), ~(every ^ some)
 
     def spread(batches):
+        """Each fingerprint goes to the pairs of its block with those blocks whose shared bits it
+        differs from in no more than the limit: no other holds a neighbour of it."""
         for b in batches:
-            block = b.column(3).to_numpy()
-            for k in np.unique(block):
-                rows = b.filter(pa.array(block == k))
-                for pair, left in partners[int(k)]:
-                    yield pa.RecordBatch.from_arrays(
-                        [rows.column(0), rows.column(1), rows.column(2), pa.array([pair] * len(rows), pa.int64()),
-                         pa.array([left] * len(rows), pa.bool_())], names=["fp", "rep", "gray", "pair", "is_left"])
+            fp, block = b.column(0).to_numpy().view(np.uint64), block_of(b.column(2))
+            for i in range(0, len(fp), 1024):
+                row, other = np.nonzero(np.bitwise_count((fp[i:i + 1024, None] ^ every) & mask) <= most)
+                row, other = row + i, ids[other]
+                own = block[row]
+                pair = np.minimum(own, other) * width + np.maximum(own, other)
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row)) for c in b.columns), pa.array(pair), pa.array(own <= other)],
+                                                 names=["fp", "rep", "gray", "pair", "is_left"])
 
     def search(key, rows):
         lo, hi = divmod(int(key[0]), width)
@@ -214,7 +213,7 @@ def near_links(distinct: DataFrame, most: int = 4) -> DataFrame:
         left, right = rows[rows["is_left"]], rows[rows["is_left"] == (lo == hi)]
         return pd.DataFrame(_pair_links(left, right, lo == hi, most), columns=["u", "v"], dtype="int64")
 
-    return (in_blocks.mapInArrow(spread, "fp long, rep long, gray long, pair long, is_left boolean")
+    return (sorted_in.mapInArrow(spread, "fp long, rep long, gray long, pair long, is_left boolean")
             .groupBy("pair").applyInPandas(search, "u long, v long"))
 
 
@@ -234,11 +233,31 @@ def near_duplicates(docs: DataFrame, words_each: int = 4, most: int = 4, id_col:
 
 def drop_near_duplicates(docs: DataFrame, words_each: int = 4, most: int = 4, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """Keep, with all its columns, the document of the least id of each group; repeated rows of
-    that id count once, rows without an id all stay."""
-    groups = stored(near_duplicates(docs, words_each, most, id_col, text_col), "groups")
-    repeated = docs.groupBy(id_col).count().filter(f"`{id_col}` IS NOT NULL AND count > 1").select(id_col)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
-    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, id_col, "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+    """Keep, with all its columns, the first row of each group of near duplicates: that of the least
+    id, then of the least hash of its text. Every row is judged by its own text, also where rows
+    share an id. Rows of one id and text count once; rows without an id all stay."""
+    bounded_batches(docs.sparkSession)
+
+    @F.pandas_udf("long")
+    def fingerprint_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t, words_each) for t in texts], dtype="uint64").astype("int64")
+
+    row = F.struct(*docs.columns).alias("row")
+    rows = stored(docs.select(F.col(id_col).cast("long").alias("id"), *text_key(text_col), fingerprint_of(text_col).alias("fp"), row), "rows")
+    key = ["id", "t1", "t2"]
+    keys = stored(rows.filter("id IS NOT NULL").groupBy("fp", *key).agg(F.count("*").alias("n")), "keys")
+    distinct = stored(keys.select("fp", F.col("fp").alias("rep")).distinct(), "distinct")
+    comp = components(stored(near_links(distinct, most), "links"))
+    grouped = (keys.join(comp, keys["fp"] == comp["node"], "left")
+               .select(*key, "n", F.coalesce("component", "fp").alias("group"), F.struct(*key).alias("place")))
+    first = grouped.groupBy("group").agg(F.min("place").alias("first"))
+    judged = stored(grouped.join(first, "group").select(*key, "n", (F.col("place") == F.col("first")).alias("stays")), "judged")
+
+    def of(marks: DataFrame, how: str) -> DataFrame:
+        named = small(marks.select(*(F.col(k).alias(f"_{k}") for k in key)))
+        return rows.join(named, [rows[k].eqNullSafe(named[f"_{k}"]) for k in key], how)
+
+    repeated = judged.filter("stays AND n > 1")
+    kept = of(stored(judged.filter("NOT stays OR n > 1"), "not-single"), "left_anti").select("row.*")
+    once = of(repeated, "left_semi").groupBy(*key).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    return kept.unionByName(once)
