@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import apply_defaults, let, stored
+from lakemart.llm.common import apply_defaults, let, small, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -161,16 +161,31 @@ def _pairs(mentioned: DataFrame, contexts: DataFrame, settings: Settings) -> Dat
             .select("doc_id", "entity", "n_entity", "term", F.array_contains("close", F.col("term")).alias("near")))
 
 
-def disclosing_terms(docs: DataFrame, pairs: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
+def _document_counts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(term, n_term: documents that hold it) and the number of documents. Rows of one id are one
+    document, rows without an id one each. Words are counted before they are shuffled, so that
+    none moves more than once for each task; only those of repeated ids move by document."""
+    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.explode(words).alias("term")).filter("term <> ''")
+    ids = docs.select(F.col(id_col).cast("long").alias("_id"))
+    repeated = stored(ids.filter("_id IS NOT NULL").groupBy("_id").agg(F.count("*").alias("rows")).filter("rows > 1"), "repeated")
+    surplus = repeated.agg(F.sum(F.col("rows") - 1)).first()[0] or 0
+    n = (docs.count() - surplus) or 1
+    if surplus:
+        known = small(repeated.select("_id"))
+        again = rows.join(known, "_id", "left_semi").distinct()
+        rows = rows.join(known, "_id", "left_anti").unionByName(again)
+    return rows.groupBy("term").agg(F.count("*").alias("n_term")), n
+
+
+def disclosing_terms(docs: DataFrame, pairs: DataFrame, settings: Settings = Settings(), text_col: str = "text",
+                     id_col: str = "doc_id") -> DataFrame:
     """entity, term and share (PMI / IC) of the terms above the lower threshold."""
     both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.max("n_entity").alias("n_entity"),
                                                F.max("near").alias("near"))
     # Fewer documents do not tell a disclosing word from any rare word of theirs, unless it stands near the entity.
     both = both.filter(F.col("near") | (F.col("n_both") >= settings.support))
-    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"))
-    # Counted before the join, so that no word is shuffled more than once for each task.
-    counts = docs.select(F.explode(words).alias("term")).filter("term <> ''").groupBy("term").agg(F.count("*").alias("n_term"))
-    n = docs.count() or 1
+    counts, n = _document_counts(docs, id_col, text_col)
     p_entity = F.col("n_entity") / F.lit(n)
     # An entity of all documents has no information to disclose.
     both = both.filter(F.col("n_entity") < n)
@@ -203,7 +218,7 @@ def find(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
                        .select(F.col("id").alias("doc_id"), F.col(f"row.{text_col}").alias("text"), "base"), "mentions")
     contexts = _contexts(mentioned, settings)
     pairs = stored(_pairs(mentioned, stored(contexts, "contexts"), settings), "pairs")
-    terms = disclosing_terms(docs, pairs, settings, text_col)
+    terms = disclosing_terms(docs, pairs, settings, text_col, id_col)
     shape = F.when(F.col("share") > settings.remove, "").when(F.col("term").rlike("^[0-9]+$"), "[NUMBER]").otherwise("[WORD]")
     marked = (pairs.join(terms, ["entity", "term"]).groupBy("doc_id", "term").agg(F.min(shape).alias("value"))
               .groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "value"))).alias("terms")))
