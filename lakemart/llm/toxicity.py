@@ -40,6 +40,9 @@ SIGNS = {"@": "a", "$": "s"}
 #: Terms after which a toxic text counts as explained; new texts that a further term must explain.
 EXPLAINED, EXPLAINED_LEAST = 2, 3
 
+#: Hashes of a text's sketch, and the share of them that makes a near copy.
+SKETCH, SAME = 32, 0.7
+
 #: Phrases in which an insulting word is none.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "scum line", "moron test")
 
@@ -75,11 +78,23 @@ def folded(col: str):
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(text, r"[^\p{L}]+", " ")), F.lit(" "))
 
 
-def _least_pair(col: str):
-    """Least hash of two words in a row: near copies nearly always share it, and count once."""
-    return let(F.split(F.trim(F.col(col)), " "), lambda words: F.array_min(F.transform(
+def _sketch(col: str):
+    """The least hashes of the two-word runs of a folded text, ascending: near copies share most."""
+    return let(F.split(F.trim(F.col(col)), " "), lambda words: F.slice(F.array_sort(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))),
-        lambda i: F.xxhash64(F.array_join(F.slice(words, i, 2), " ")))))
+        lambda i: F.xxhash64(F.array_join(F.slice(words, i, 2), " "))))), 1, SKETCH))
+
+
+def _without_copies(texts: DataFrame) -> DataFrame:
+    """(label, folded) of ``texts`` with near copies once. Texts that share their least hash are
+    held against the first of them, and go only if most of both sketches is the same."""
+    sketched = stored(texts.distinct().withColumn("sketch", _sketch("folded")), "toxicity-sketches")
+    group = ["label", F.col("sketch")[0].alias("least")]
+    first = sketched.groupBy(*group).agg(F.min(F.struct("folded", "sketch")).alias("kept"))
+    both = sketched.select("label", "folded", "sketch", group[1]).join(first, ["label", "least"])
+    shared = F.size(F.array_intersect("sketch", "kept.sketch"))
+    of = F.greatest(F.size("sketch"), F.size("kept.sketch"))
+    return both.filter((F.col("folded") == F.col("kept.folded")) | (shared < SAME * of)).select("label", "folded")
 
 
 class Matcher:
@@ -137,8 +152,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), i
     chosen = [given.filter(F.col("label") == v).orderBy(order, id_col).limit(settings.sample) for v in (0, 1)]
     texts = stored(docs.select(id_col, text_col).join(chosen[0].union(chosen[1]), id_col)
                    .select("label", folded(text_col).alias("folded")), "toxicity-texts")
-    sample = stored(texts.groupBy("label", _least_pair("folded").alias("pair")).agg(F.min("folded").alias("folded"))
-                    .select("label", "folded"), "toxicity-sample")
+    sample = stored(_without_copies(texts), "toxicity-sample")
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return Model()
