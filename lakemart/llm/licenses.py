@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import apply_defaults, let
+from lakemart.llm.common import apply_defaults, let, small, stored, text_key
 from lakemart.llm.license_texts import HEADERS, KNOWN, LONG
 
 # Spellings that licence matching treats as one, each on whole words.
@@ -114,17 +114,19 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     if long is not None:
         known = known.unionByName(long)
     known = (known.groupBy("digest", "first").agg(F.min("license_id").alias("license_id")))
-    whole = docs.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("digest"))
-    # Only a line that begins as a licence does can be one; the others are not hashed.
-    lines = (docs.select(F.col(id_col).alias("doc_id"), F.explode(F.split(F.col(text_col), "\n")).alias("line"))
+    known = stored(known, "licences")
+    whole = docs.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("digest"), *text_key(text_col))
+    # Only a line that begins as a licence does can be one; the others are not hashed. What a line
+    # holds belongs to its text, so rows that share an id but not a text keep theirs apart.
+    lines = (docs.select(*text_key(text_col), F.explode(F.split(F.col(text_col), "\n")).alias("line"))
              .withColumn("first", first_word(F.col("line")))
-             .join(known.select("first").distinct(), "first", "left_semi")
-             .select("doc_id", digest(F.col("line")).alias("digest")))
-    held = (lines.join(known.select("digest", "license_id"), "digest").groupBy("doc_id")
+             .join(small(known.select("first").distinct()), "first", "left_semi")
+             .select("t1", "t2", digest(F.col("line")).alias("digest")))
+    held = (lines.join(small(known.select("digest", "license_id")), "digest").groupBy("t1", "t2")
             .agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("line_licenses")))
-    return (whole.join(known.select("digest", F.col("license_id").alias("text_license")), "digest", "left")
-            .join(held, whole["doc_id"].eqNullSafe(held["doc_id"]), "left")
-            .select(whole["doc_id"], "digest", "text_license", F.coalesce("line_licenses", F.lit("")).alias("line_licenses")))
+    return (whole.join(small(known.select("digest", F.col("license_id").alias("text_license"))), "digest", "left")
+            .join(held, ["t1", "t2"], "left")
+            .select("doc_id", "digest", "text_license", F.coalesce("line_licenses", F.lit("")).alias("line_licenses")))
 
 
 def scan_sql() -> str:
