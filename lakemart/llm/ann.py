@@ -194,7 +194,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    a, b = a.astype(np.float64), b.astype(np.float64)
+    a, b = (x.astype(np.float64) for x in (a, b))
+    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) for x in (a, b))  # exact, and neither overflows
     return np.einsum("xd,xd->x", a, b) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
 
 

@@ -1,9 +1,10 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
 A test item of q distinct five-word shingles is contained in a document that holds at least
-need = ceil(0.8 q) of them. The item's signature is its q - need + 1 least shingle hashes: a
-document that lacks all of these can hold at most need - 1 shingles, so a search of the
-signatures misses nothing, however long the document. Items are partitioned by the size they
+need = ceil(0.8 q) of them. The item's signature is q - need + 1 of its shingles, those that
+the fewest items hold and of these the least hashes: a document that lacks all of them can
+hold at most need - 1 shingles, so a search of the signatures misses nothing, however long
+the document, and boilerplate of many items leads to no candidates. Items are partitioned by the size they
 need, and a document is searched only for the partitions that it is large enough for.
 
 The signatures reach the document scan as bitmaps of fixed size (one per size class, built
@@ -15,8 +16,10 @@ verified by counting the exact shingles that they share.
 Texts are lower-cased and cut at everything but letters and digits. A text of fewer than
 five words is one shingle of all its words, and an item that short is looked for by the runs of
 as many words of a document, which may be longer; null, empty or wordless texts have none and never
-match. Repeated items are reported each; repeated rows of a document count once. Empty tables
-give an empty result. Only the id and text columns are read.
+match. Repeated items are reported each. What a document holds is found by its text, so copies are
+searched once in all joins, rows that share an id are judged each by their own text, and rows
+without an id are filtered like any other; the report names ids and has one row for each
+(id, item). Empty tables give an empty result. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import bounded_batches, let, stored
+from lakemart.llm.common import bounded_batches, let, small, stored, text_key
 
 WORDS, LEAST = 5, 0.8
 SEED = 42  # of Spark's xxhash64
@@ -48,12 +51,13 @@ def item_shingles(items: DataFrame, id_col: str, text_col: str, words_each: int,
         F.sequence(F.lit(1), F.greatest(F.size(words) - (words_each - 1), F.lit(1))),
         lambda i: F.array_join(F.slice(words, i, words_each), " ")))
     per_item = Window.partitionBy("item_id")
-    return (items.select(F.col(id_col).alias("item_id"), normal_text(text_col).alias("norm")).filter("norm <> ''")
-            .select("item_id", F.explode(F.array_distinct(grams)).alias("shingle")).distinct()
-            .withColumn("h", F.xxhash64("shingle"))
+    each = (items.select(F.col(id_col).alias("item_id"), normal_text(text_col).alias("norm")).filter("norm <> ''")
+            .select("item_id", F.explode(F.array_distinct(grams)).alias("shingle")).distinct())
+    held_by = each.groupBy("shingle").agg(F.count("*").alias("items"))
+    return (each.join(held_by, "shingle").withColumn("h", F.xxhash64("shingle"))
             .withColumn("q", F.count("*").over(per_item))
             .withColumn("need", F.ceil(F.col("q") * F.lit(least) - F.lit(1e-9)))
-            .withColumn("nth", F.row_number().over(per_item.orderBy("h", "shingle"))))
+            .withColumn("nth", F.row_number().over(per_item.orderBy("items", "h", "shingle"))))
 
 
 def _bitmaps(hashes: DataFrame, by: str) -> dict[int, np.ndarray]:
@@ -79,6 +83,16 @@ def contained_items(docs: DataFrame, items: DataFrame, words_each: int = WORDS,
                     item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, shared and item_shingles (counts), containment: all pairs whose
     document holds at least ``least`` of the item's shingles."""
+    found = stored(contained_in_texts(docs, items, words_each, least, text_col, item_id_col, item_text_col), "contained")
+    named = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), *text_key(text_col))
+    best = F.max_by(F.struct("shared", "item_shingles", "containment"), F.struct("shared", F.col("item_shingles") * -1))
+    return (named.join(small(found), ["t1", "t2"]).groupBy("doc_id", "item_id").agg(best.alias("b"))
+            .select("doc_id", "item_id", "b.shared", "b.item_shingles", "b.containment"))
+
+
+def contained_in_texts(docs: DataFrame, items: DataFrame, words_each: int = WORDS, least: float = LEAST, text_col: str = "text",
+                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The same for texts, named by their ``text_key`` (t1, t2) instead of an id."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shingles = stored(item_shingles(items, item_id_col, item_text_col, words_each, least), "item-shingles")
@@ -98,7 +112,7 @@ def contained_items(docs: DataFrame, items: DataFrame, words_each: int = WORDS,
         digest = xxhash.xxh64_intdigest
         for batch in batches:
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for *doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 words = text.as_py().encode().split()
                 if not words or not classes:
                     continue
@@ -118,29 +132,33 @@ def contained_items(docs: DataFrame, items: DataFrame, words_each: int = WORDS,
                     hit = _has(fitting[-1], h)
                     if hit.any():
                         seen = np.flatnonzero(_has(every, h))
-                        out += [(doc, size, joined[begins[i]:ends[i]].decode(), bool(hit[i])) for i in seen.tolist()]
+                        out += [(*doc, size, joined[begins[i]:ends[i]].decode(), bool(hit[i])) for i in seen.tolist()]
                 for k in (k for k in short if k < len(words)):
                     begins, ends, h = runs(k)
-                    out += [(doc, size, joined[begins[i]:ends[i]].decode(), True) for i in np.flatnonzero(_has(short[k], h)).tolist()]
-            cols = list(zip(*set(out))) if out else [[]] * 4
+                    out += [(*doc, size, joined[begins[i]:ends[i]].decode(), True) for i in np.flatnonzero(_has(short[k], h)).tolist()]
+            cols = list(zip(*set(out))) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()),
-                 pa.array(cols[3], pa.bool_())], names=["doc_id", "size", "shingle", "hit"])
+                [*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.bool_())],
+                names=["t1", "t2", "size", "shingle", "hit"])
 
-    held = stored(docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), normal_text(text_col))
-                  .mapInArrow(scan, "doc_id long, size long, shingle string, hit boolean"), "held").distinct()
+    doc = ["t1", "t2"]
+    held = stored(docs.select(*text_key(text_col), normal_text(text_col))
+                  .mapInArrow(scan, "t1 long, t2 long, size long, shingle string, hit boolean"), "held").distinct()
     candidates = (held.filter("hit").join(signature.select("shingle", "item_id", "need"), "shingle")
-                  .filter("need <= size").select("doc_id", "item_id").distinct())
-    shared = (held.select("doc_id", "shingle").distinct()
-              .join(shingles.select("shingle", "item_id", "q", "need"), "shingle")
-              .join(candidates, ["doc_id", "item_id"], "left_semi")
-              .groupBy("doc_id", "item_id", "q", "need").agg(F.count("*").alias("shared")))
+                  .filter("need <= size").select(*doc, "item_id").distinct())
+    # The candidates' own shingles meet those of their text: no other pair is ever formed.
+    shared = (candidates.join(shingles.select("shingle", "item_id", "q", "need"), "item_id")
+              .join(held.select(*doc, "shingle").distinct(), [*doc, "shingle"])
+              .groupBy(*doc, "item_id", "q", "need").agg(F.count("*").alias("shared")))
     return shared.filter("shared >= need").select(
-        "doc_id", "item_id", "shared", F.col("q").alias("item_shingles"), (F.col("shared") / F.col("q")).alias("containment"))
+        *doc, "item_id", "shared", F.col("q").alias("item_shingles"), (F.col("shared") / F.col("q")).alias("containment"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, words_each: int = WORDS, least: float = LEAST,
-                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents, with all their columns, that hold no item; rows without an id stay."""
-    bad = contained_items(docs, items, words_each, least, id_col, text_col)
-    return docs.join(bad.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti").select(*docs.columns)
+                      text_col: str = "text", least_words: int = 1, item_text_col: str = "text") -> DataFrame:
+    """Documents, with all their columns, that hold no item of at least ``least_words`` words: an
+    item of an everyday word or two tells nothing of where a text comes from."""
+    long = items.filter(F.size(F.split(normal_text(item_text_col), " ")) >= least_words)
+    bad = stored(contained_in_texts(docs, long, words_each, least, text_col, item_text_col=item_text_col).select("t1", "t2").distinct(), "bad")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *text_key(text_col))
+    return keyed.join(small(bad), ["t1", "t2"], "left_anti").select("row.*")

@@ -47,9 +47,14 @@ grams AS (
 shared AS (
   SELECT d.id AS doc_id, item_id, count(*) AS shared, q AS item_shingles
   FROM grams d JOIN items i ON d.g = i.g WHERE d.kind = 'd' GROUP BY ALL
-)
+), brief AS (SELECT id AS item_id, w, len(w) AS k FROM words WHERE kind = 'i' AND len(w) < 5),
+inside AS (
+  SELECT DISTINCT d.id AS doc_id, item_id, 1::BIGINT AS shared, 1::BIGINT AS item_shingles FROM words d JOIN brief b
+    ON d.kind = 'd' AND list_contains(
+      [array_to_string(d.w[j:j + b.k - 1], ' ') FOR j IN range(1, len(d.w) - b.k + 2)], array_to_string(b.w, ' '))
+), every AS (SELECT * FROM shared UNION SELECT * FROM inside)
 SELECT doc_id, item_id, shared, item_shingles, shared::DOUBLE / item_shingles AS containment
-FROM shared WHERE shared >= ceil(item_shingles * 0.8 - 1e-9)
+FROM every WHERE shared >= ceil(item_shingles * 0.8 - 1e-9)
 """
 
 
@@ -78,8 +83,9 @@ def op2_pii_disclosure(spark, sf_dir):
 @register("op10_token_store")
 def op10_token_store(spark, sf_dir):
     folder = workspace(spark, "tokens")
-    token_store.write(read(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
-    found = token_store.with_crc(token_store.lookup(token_store.directory(spark, folder), folder))
+    docs = read(spark, sf_dir, "documents")
+    token_store.write(docs, folder, tokenizer_path("byte_bpe_50k.json"))
+    found = token_store.with_crc(token_store.lookup(docs.select("doc_id").distinct(), folder))
     return (found.join(token_store.bases(spark, folder), "shard")
             .select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"))
 

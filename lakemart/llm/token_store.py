@@ -1,23 +1,28 @@
 """Token ids in binary shards with a minimal perfect hash index.
 
-A shard is two files of one contiguous range of document keys. ``.ids`` holds the ids of its
-documents one after another in ascending key order, and nothing else: little-endian,
-two bytes each if the vocabulary allows it, else four. ``.mph`` maps a key to its place: a
-cascade of bit arrays gives every key of the shard its own slot from 0 to n - 1 without
-storing keys (a key takes the first level where no other of the remaining keys meets it, and
-its slot is the number of set bits before), and the slot holds a 32-bit fingerprint of the
-key, which tells strangers apart, with the number of its first record and how many records
-share the key. A table of offsets leads from records to the payload. A lookup reads one
-slot and one range, whatever the corpus.
-
-Shards are written by range-partitioned tasks under names of their own, and only those count
-that the directory names, a table of (key, shard, ...) that Spark commits: a task that is
-lost and run again leaves an orphan file and no other trace. Folders may be any that
-pyarrow's file systems open and all executors share.
+A shard is two files of one contiguous range of documents in key order. ``.ids`` holds the ids
+of its documents one after another, and nothing else: little-endian, two bytes each if the
+vocabulary allows it, else four. ``.mph`` maps a key to its place: a cascade of bit arrays
+gives every key of the shard its own slot from 0 to n - 1 without storing keys (a key takes
+the first level where no other of the remaining keys meets it, and its slot is the number of
+set bits before), and the slot holds a 32-bit fingerprint of the key, which tells strangers
+apart, with the number of its first record and how many records share the key. Each word of
+a level stands beside the number of bits set before it, so that a slot is one read. A table
+of offsets leads from records to the payload.
+
+The directory has one row per shard: its least and greatest key and its number of ids. A key
+is routed to its shard by binary search over these, and looked up by reading the head, a word
+of each level that it passes, a table entry, two offsets and its own range of the payload.
+Lookups of many keys coalesce these reads, and read a section whole once that is less.
+
+Texts are encoded where they are read, and the ids, not the texts, are sorted by key and then
+by a hash of themselves; so equal keys, and rows without a key, may fill several shards.
+Shards are written under names of their own, and only those count that the directory names,
+which Spark commits: a task that is lost and run again leaves an orphan file and no other
+trace. Folders may be any that pyarrow's file systems open and all executors share.
 
 A null or empty text has only the end id. Rows without a key come first and are found as the
-null key; equal keys are stored in the order of their texts. An empty table gives an empty
-store. Only the key and text columns are read.
+null key. An empty table gives an empty store. Only the key and text columns are read.
 """
 
 from __future__ import annotations
@@ -30,10 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import bounded_batches, filesystem
+from lakemart.llm.common import bounded_batches, filesystem, stored
 from lakemart.llm.tokens import encoder
 
 MAGIC = b"TOKMPH1\n"
@@ -41,6 +47,9 @@ MAGIC = b"TOKMPH1\n"
 SPARSE = 2.0
 #: Ranges of the payload that lie this close, in bytes, are read at once, up to the most.
 READ_GAP, READ_MOST = 1 << 16, 1 << 23
+#: Bytes of ids of a shard, and the most shards; a larger store has larger shards.
+SHARD_BYTES, SHARDS_MOST = 1 << 24, 10_000
+DIRECTORY = "no int, shard string, low long, high long, n_ids long, nulls long"
 
 
 def _mix(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -92,72 +101,144 @@ def _fingerprints(keys: np.ndarray) -> np.ndarray:
     return (_mix(keys.view(np.uint64), 10_007) >> np.uint64(32)).astype(np.uint32)
 
 
+_WORD = np.dtype([("bits", "<u8"), ("before", "<u8")])
+_ENTRY = np.dtype([("fp", "<u4"), ("run", "<u4"), ("record", "<u8")])
+
+
 def _index_bytes(keys: np.ndarray, lengths: np.ndarray, nulls: int, width: int) -> bytes:
     """The index file. ``keys`` ascending, of the records after the ``nulls`` that have none."""
     distinct, first, run = np.unique(keys, return_index=True, return_counts=True)
     mph = PerfectHash.build(distinct)
     slot = mph.slots(distinct)
-    table = np.zeros(len(distinct), [("fp", "<u4"), ("run", "<u4"), ("record", "<u8")])
+    table = np.zeros(len(distinct), _ENTRY)
     table["fp"][slot], table["run"][slot], table["record"][slot] = _fingerprints(distinct), run, first + nulls
     head = json.dumps({"levels": [len(w) for w in mph.levels], "keys": len(distinct), "records": len(lengths),
                        "nulls": nulls, "width": width}).encode()
+    levels = [np.rec.fromarrays([w, b], dtype=_WORD).tobytes() for w, b in zip(mph.levels, mph.before)]
     offsets = np.append(0, np.cumsum(lengths)).astype("<u8")
-    return b"".join([MAGIC, struct.pack("<I", len(head)), head, *(w.astype("<u8").tobytes() for w in mph.levels),
-                     table.tobytes(), offsets.tobytes()])
+    return b"".join([MAGIC, struct.pack("<I", len(head)), head, *levels, table.tobytes(), offsets.tobytes()])
+
+
+class _Section:
+    """Items of one kind in a file. Some are read by coalesced ranges; once that has cost as much as
+    the whole section, it is read whole and kept."""
+
+    def __init__(self, file, at: int, kind, items: int):
+        self.file, self.at, self.kind, self.items = file, at, np.dtype(kind), items
+        self.end, self.spent, self.whole = at + items * self.kind.itemsize, 0, None
+
+    def take(self, numbers: np.ndarray) -> np.ndarray:
+        size = self.kind.itemsize
+        if self.whole is None and self.spent >= self.end - self.at:
+            self.whole = np.frombuffer(self.file.read_at(self.end - self.at, self.at), self.kind)
+        if self.whole is not None:
+            return self.whole[numbers]
+        wanted, place = np.unique(numbers, return_inverse=True)
+        out = np.empty(len(wanted), self.kind)
+        i = 0
+        while i < len(wanted):
+            j = i + 1
+            while j < len(wanted) and (wanted[j] - wanted[j - 1]) * size <= READ_GAP and (wanted[j] - wanted[i]) * size <= READ_MOST:
+                j += 1
+            first, last = int(wanted[i]), int(wanted[j - 1])
+            read = np.frombuffer(self.file.read_at((last - first + 1) * size, self.at + first * size), self.kind)
+            out[i:j] = read[wanted[i:j] - first]
+            self.spent += read.nbytes
+            i = j
+        return out[place]
 
 
 class Shard:
     """An open shard: places by key, and ids by place."""
 
     def __init__(self, folder: str, name: str):
-        self.fs, path = filesystem(folder)
-        raw = memoryview(self.fs.open_input_file(f"{path}/{name}.mph").read())
-        if bytes(raw[:8]) != MAGIC:
+        fs, path = filesystem(folder)
+        index = fs.open_input_file(f"{path}/{name}.mph")
+        start = index.read_at(12, 0)
+        if start[:8] != MAGIC:
             raise ValueError(f"{name}.mph is no index of this format")
-        size, = struct.unpack("<I", raw[8:12])
-        head = json.loads(bytes(raw[12:12 + size]))
-        at, levels = 12 + size, []
-        for n in head["levels"]:
-            levels.append(np.frombuffer(raw, "<u8", n, at))
-            at += 8 * n
-        self.mph = PerfectHash(levels)
-        self.table = np.frombuffer(raw, [("fp", "<u4"), ("run", "<u4"), ("record", "<u8")], head["keys"], at)
-        self.offsets = np.frombuffer(raw, "<u8", head["records"] + 1, at + 16 * head["keys"]).astype(np.int64)
-        self.nulls, self.width = head["nulls"], head["width"]
-        self.payload = self.fs.open_input_file(f"{path}/{name}.ids")
+        size, = struct.unpack("<I", start[8:])
+        head, at = json.loads(index.read_at(size, 12)), 12 + size
+        self.levels = []
+        for words in head["levels"]:
+            self.levels.append(_Section(index, at, _WORD, words))
+            at = self.levels[-1].end
+        self.table = _Section(index, at, _ENTRY, head["keys"])
+        self.offsets = _Section(index, self.table.end, "<u8", head["records"] + 1)
+        self.keys, self.nulls, self.width = head["keys"], head["nulls"], head["width"]
+        self.payload = fs.open_input_file(f"{path}/{name}.ids")
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        """Slot of each key; of a key that the shard lacks, any slot or -1."""
+        keys = keys.view(np.uint64)
+        out, left = np.full(len(keys), -1, np.int64), np.arange(len(keys))
+        for seed, level in enumerate(self.levels):
+            if not len(left):
+                break
+            at = _mix(keys[left], seed) % np.uint64(64 * level.items)
+            word, bit = level.take((at >> np.uint64(6)).astype(np.int64)), at & np.uint64(63)
+            here = (word["bits"] >> bit) & np.uint64(1) == 1
+            below = np.bitwise_count(word["bits"] & ((np.uint64(1) << bit) - np.uint64(1)))
+            out[left[here]] = (word["before"] + below)[here].astype(np.int64)
+            left = left[~here]
+        return out
 
     def records(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First record and number of records of each key; no records where the shard lacks it."""
-        if not len(self.table):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        slot = self.mph.slots(keys)
-        held = (slot >= 0) & (self.table["fp"][slot] == _fingerprints(keys))
-        return self.table["record"][slot].astype(np.int64), np.where(held, self.table["run"][slot], 0).astype(np.int64)
-
-    def ids(self, records: np.ndarray) -> Iterator[np.ndarray]:
-        """Ids of ascending records; ranges that lie close are read together."""
-        begin, end = self.offsets[records] * self.width, self.offsets[records + 1] * self.width
-        i = 0
-        while i < len(records):
-            j = i + 1
-            while j < len(records) and begin[j] - end[j - 1] <= READ_GAP and end[j] - begin[i] <= READ_MOST:
-                j += 1
-            raw = memoryview(self.payload.read_at(int(end[j - 1] - begin[i]), int(begin[i])))
-            for k in range(i, j):
-                yield np.frombuffer(raw[begin[k] - begin[i]:end[k] - begin[i]], f"<u{self.width}")
-            i = j
+        first, run = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        slot = self.slots(keys)
+        found = np.flatnonzero(slot >= 0)
+        if len(found):
+            entry = self.table.take(slot[found])
+            held = entry["fp"] == _fingerprints(keys[found])
+            first[found], run[found] = entry["record"].astype(np.int64), np.where(held, entry["run"], 0)
+        return first, run
+
+    def ids(self, records: np.ndarray) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+        """Place and ids of ascending records; ranges that lie close are read together."""
+        low = self.offsets.take(records).astype(np.int64)
+        high = self.offsets.take(records + 1).astype(np.int64)
+        begin, end = low * self.width, high * self.width
+
+        def read():
+            i = 0
+            while i < len(records):
+                j = i + 1
+                while j < len(records) and begin[j] - end[j - 1] <= READ_GAP and end[j] - begin[i] <= READ_MOST:
+                    j += 1
+                raw = memoryview(self.payload.read_at(int(end[j - 1] - begin[i]), int(begin[i])))
+                for k in range(i, j):
+                    yield np.frombuffer(raw[begin[k] - begin[i]:end[k] - begin[i]], f"<u{self.width}")
+                i = j
+
+        return low, read()
+
+
+def _encoded(docs: DataFrame, vocab: str, end_id: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id and the ids of the whole text with the end id, ``width`` bytes each."""
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, end = encoder(vocab), np.array([end_id], f"<u{width}").tobytes()
+        for b in batches:
+            ids = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() + end for x in enc.encode(b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(encode, "doc_id long, ids binary")
 
 
 def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
           shards: int | None = None) -> None:
     """Encode whole texts, append the end id, and write shards below ``folder`` in ascending key
-    order, with the directory in ``folder``/directory. Without ``shards`` Spark sizes them."""
+    order, with the directory in ``folder``/directory."""
     spark = docs.sparkSession
     bounded_batches(spark)
     width = 2 if _largest_id(vocab, end_id) < 1 << 16 else 4
+    # Stored, since the range exchange reads it twice: once for a sample of the keys.
+    encoded = stored(_encoded(docs, vocab, end_id, width, id_col, text_col), "ids")
+    if shards is None:
+        size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+        shards = max(1, min(SHARDS_MOST, -(-size // SHARD_BYTES)))
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocab), np.array([end_id], "<u4").tobytes()
         fs, path = filesystem(folder)
         name, out = uuid.uuid4().hex, None
         keys, lengths, nulls = [], [], 0
@@ -167,11 +248,11 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 0, id_col: str
             if out is None:
                 fs.create_dir(path, recursive=True)
                 out = fs.open_output_stream(f"{path}/{name}.ids", compression=None)
-            ids = [x + end for x in enc.encode(b.column(1).to_pylist())]
-            lengths += [len(x) // 4 for x in ids]
+            ids = b.column(1).to_pylist()
+            lengths += [len(x) // width for x in ids]
             keys.append(b.column(0).drop_null().to_numpy())
             nulls += b.column(0).null_count
-            out.write(np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}").tobytes())
+            out.write(b"".join(ids))
         if out is None:
             return
         out.close()
@@ -179,18 +260,14 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 0, id_col: str
         sizes = np.array(lengths, np.int64)
         with fs.open_output_stream(f"{path}/{name}.mph", compression=None) as index:
             index.write(_index_bytes(held, sizes, nulls, width))
-        distinct = np.unique(held)
-        total, rows = int(sizes.sum()), len(distinct) + (nulls > 0)
-        key = pa.concat_arrays([pa.nulls(int(nulls > 0), pa.int64()), pa.array(distinct)])
-        low = int(held[0]) if len(held) else None
-        yield pa.RecordBatch.from_arrays(
-            [key, pa.array([name] * rows), pa.array([low] * rows, pa.int64()), pa.array([total] * rows, pa.int64())],
-            names=["doc_id", "shard", "low", "n_ids"])
+        ends = [int(held[0]), int(held[-1])] if len(held) else [None, None]
+        row = [TaskContext.get().partitionId(), name, *ends, int(sizes.sum()), nulls]
+        kinds = [pa.int32(), pa.string(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[f.split()[0] for f in DIRECTORY.split(", ")])
 
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    dealt = keyed.repartitionByRange(shards, "doc_id") if shards else keyed.repartitionByRange("doc_id")
-    (dealt.sortWithinPartitions("doc_id", "text").mapInArrow(shard, "doc_id long, shard string, low long, n_ids long")
-     .write.parquet(f"{folder}/directory"))
+    tie = F.xxhash64("ids")
+    (encoded.withColumn("tie", tie).repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+     .select("doc_id", "ids").mapInArrow(shard, DIRECTORY).write.parquet(f"{folder}/directory"))
 
 
 def _largest_id(vocab: str, end_id: int) -> int:
@@ -198,45 +275,74 @@ def _largest_id(vocab: str, end_id: int) -> int:
 
 
 def directory(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, shard, low (the shard's least key) and n_ids (ids in the shard) of every key."""
-    return spark.read.schema("doc_id long, shard string, low long, n_ids long").parquet(f"{folder}/directory")
+    """One row per shard, at most ``SHARDS_MOST``: no (in key order), shard, low and high (its least
+    and greatest key), n_ids, nulls (records without a key)."""
+    return spark.read.schema(DIRECTORY).parquet(f"{folder}/directory")
+
 
+def route(keys: DataFrame, folder: str) -> DataFrame:
+    """doc_id and no of the shards that may hold each of the keys (column doc_id, null allowed),
+    by binary search over the shards' key ranges."""
+    spark = keys.sparkSession
+    bounded_batches(spark)
+    rows = sorted(directory(spark, folder).select("no", "low", "high", "nulls").collect())  # bounded, see above
+    blank = np.array([r["no"] for r in rows if r["nulls"]], np.int64)
+    keyed = [r for r in rows if r["low"] is not None]
+    no, low, high = (np.array([r[c] for r in keyed], np.int64) for c in ("no", "low", "high"))
 
-def lookup(places: DataFrame, folder: str) -> DataFrame:
-    """The stored documents of some keys: ``places`` has doc_id and shard, in runs of one shard
-    (any part of the directory does). Columns: doc_id, shard, start (in the shard), n_tokens,
-    ids (little-endian unsigned 32-bit)."""
-    bounded_batches(places.sparkSession)
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            null = b.column(0).is_null().to_numpy(zero_copy_only=False)
+            key = b.column(0).fill_null(0).to_numpy().astype(np.int64)
+            first = np.searchsorted(high, key, side="left")
+            count = np.where(null, len(blank), np.maximum(np.searchsorted(low, key, side="right") - first, 0))
+            first = np.where(null, 0, first)
+            row = np.repeat(np.arange(len(key)), count)
+            at = np.arange(len(row)) + np.repeat(first - np.cumsum(count) + count, count)
+            of = np.empty(len(row), np.int64)
+            of[null[row]], of[~null[row]] = blank[at[null[row]]], no[at[~null[row]]]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(of.astype(np.int32))], names=["doc_id", "no"])
+
+    return keys.select(F.col("doc_id").cast("long")).mapInArrow(find, "doc_id long, no int")
+
+
+def lookup(keys: DataFrame, folder: str) -> DataFrame:
+    """The stored documents of distinct ``keys`` (column doc_id): doc_id, shard, start (in the
+    shard), n_tokens, ids (little-endian unsigned 32-bit). Keys that the store lacks give no row."""
+    spark = keys.sparkSession
+    bounded_batches(spark)
+    shards = directory(spark, folder)
+    names = {r["no"]: r["shard"] for r in shards.select("no", "shard").collect()}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, shard = None, None
+        current, shard = None, None
         for b in batches:
-            names = b.column(1).to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), b.num_rows]
+            numbers = b.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), b.num_rows]
             for lo, hi in zip(cuts, cuts[1:]):
                 if lo == hi:
                     continue
-                if names[lo] != name:
-                    name = names[lo]
-                    shard = Shard(folder, name)
+                if numbers[lo] != current:
+                    current = numbers[lo]
+                    shard = Shard(folder, names[current])
                 part = b.column(0).slice(lo, hi - lo)
-                keys = part.fill_null(0).to_numpy().astype(np.int64)
                 absent = part.is_null().to_numpy(zero_copy_only=False)
-                first, run = shard.records(keys)
+                first, run = shard.records(part.fill_null(0).to_numpy().astype(np.int64))
                 first, run = np.where(absent, 0, first), np.where(absent, shard.nulls, run)
-                owner = np.repeat(np.arange(len(keys)), run)
+                owner = np.repeat(np.arange(hi - lo), run)
                 record = np.repeat(first - np.cumsum(run) + run, run) + np.arange(len(owner))
                 order = np.argsort(record, kind="stable")
                 owner, record = owner[order], record[order]
                 for i in range(0, len(record), 512):  # bounded memory for repeated keys
-                    some = record[i:i + 512]
-                    ids = [x.astype("<u4").tobytes() for x in shard.ids(some)]
+                    start, found = shard.ids(record[i:i + 512])
+                    ids = [x.astype("<u4").tobytes() for x in found]
                     yield pa.RecordBatch.from_arrays(
-                        [part.take(pa.array(owner[i:i + 512])), pa.array([name] * len(some)), pa.array(shard.offsets[some]),
+                        [part.take(pa.array(owner[i:i + 512])), pa.array([names[current]] * len(ids)), pa.array(start),
                          pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                         names=["doc_id", "shard", "start", "n_tokens", "ids"])
 
-    return places.select("doc_id", "shard").mapInArrow(read, "doc_id long, shard string, start long, n_tokens long, ids binary")
+    return (route(keys, folder).repartitionById(max(1, len(names)), "no").sortWithinPartitions("no", "doc_id")
+            .mapInArrow(read, "doc_id long, shard string, start long, n_tokens long, ids binary"))
 
 
 def with_crc(found: DataFrame) -> DataFrame:
@@ -246,6 +352,5 @@ def with_crc(found: DataFrame) -> DataFrame:
 
 def bases(spark: SparkSession, folder: str) -> DataFrame:
     """shard and base, the ids of all shards before it. One row per shard file."""
-    shards = directory(spark, folder).groupBy("shard").agg(F.min("low").alias("low"), F.max("n_ids").alias("n_ids"))
-    before = Window.orderBy(F.asc_nulls_first("low")).rowsBetween(Window.unboundedPreceding, -1)
-    return shards.select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
+    before = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    return directory(spark, folder).select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))

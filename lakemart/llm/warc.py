@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -34,9 +35,13 @@ from lakemart.llm.common import bounded_batches, filesystem
 ARCHIVE_BYTES = 1 << 28
 #: Ranges that lie this close, in bytes, are read at once, up to the most.
 READ_GAP, READ_MOST = 1 << 16, 1 << 23
+#: Bytes of an archive that one task reads.
+TASK_BYTES = 1 << 23
 #: Records that a batch returns.
 RETURNED = 256
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+PAYLOAD = ", payload binary"
 INDEX = "page_id long, url string, digest string, record_type string, archive string, offset long, length long"
 
 
@@ -84,6 +89,34 @@ def _base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
+def archive_batches(batches: Iterator[pa.RecordBatch], folder: str, date: str, level: int) -> Iterator[pa.RecordBatch]:
+    """A task's archives: writes the records of batches and yields their index rows."""
+    fs, path = filesystem(folder)
+    out, name, at = None, "", 0
+    for b in batches:
+        notes: list[tuple] = []
+        for page_id, url, html, sha1, refers_to in zip(*(c.to_pylist() for c in b.columns)):
+            if out is None or at >= ARCHIVE_BYTES:
+                if out is not None:
+                    out.close()
+                fs.create_dir(path, recursive=True)
+                name, at = f"{uuid.uuid4().hex}.warc.gz", 0
+                out = fs.open_output_stream(f"{path}/{name}", compression=None)
+            digest = _base32(bytes.fromhex(sha1))
+            member = zlib.compressobj(level, zlib.DEFLATED, 31)
+            raw = record(page_id, url, html.encode(), digest, refers_to, date)
+            packed = member.compress(raw) + member.flush()
+            out.write(packed)
+            notes.append((page_id, url, digest, "response" if refers_to is None else "revisit", name, at, len(packed)))
+            at += len(packed)
+        cols = list(zip(*notes)) if notes else [[]] * 7
+        kinds = [pa.int64(), *[pa.string()] * 4, pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                         names=[f.split()[0] for f in INDEX.split(", ")])
+    if out is not None:
+        out.close()
+
+
 def write(pages: DataFrame, folder: str, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
           html_col: str = "html", date: str = "2000-01-01T00:00:00Z", level: int = 1) -> DataFrame:
     """Write archives and their index below ``folder``; returns the index as stored."""
@@ -97,33 +130,7 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, id_col: str = "pa
     known = rows.join(again, "sha1", "left").select(
         "page_id", "url", "html", "sha1", F.when(F.col("page_id") != F.col("kept"), F.col("kept")).alias("refers_to"))
 
-    def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, path = filesystem(folder)
-        out, name, at = None, "", 0
-        for b in batches:
-            notes: list[tuple] = []
-            for page_id, url, html, sha1, refers_to in zip(*(c.to_pylist() for c in b.columns)):
-                if out is None or at >= ARCHIVE_BYTES:
-                    if out is not None:
-                        out.close()
-                    fs.create_dir(path, recursive=True)
-                    name, at = f"{uuid.uuid4().hex}.warc.gz", 0
-                    out = fs.open_output_stream(f"{path}/{name}", compression=None)
-                digest = _base32(bytes.fromhex(sha1))
-                member = zlib.compressobj(level, zlib.DEFLATED, 31)
-                raw = record(page_id, url, html.encode(), digest, refers_to, date)
-                packed = member.compress(raw) + member.flush()
-                out.write(packed)
-                notes.append((page_id, url, digest, "response" if refers_to is None else "revisit", name, at, len(packed)))
-                at += len(packed)
-            cols = list(zip(*notes)) if notes else [[]] * 7
-            kinds = [pa.int64(), *[pa.string()] * 4, pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=[f.split()[0] for f in INDEX.split(", ")])
-        if out is not None:
-            out.close()
-
-    known.mapInArrow(archive, INDEX).write.parquet(f"{folder}/index")
+    known.mapInArrow(lambda batches: archive_batches(batches, folder, date, level), INDEX).write.parquet(f"{folder}/index")
     return index(spark, folder)
 
 
@@ -131,38 +138,41 @@ def index(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
+def record_batches(batches: Iterator[pa.RecordBatch], folder: str, with_payload: bool) -> Iterator[pa.RecordBatch]:
+    """The records at (archive, offset, length), sorted; ranges that lie close are read together."""
+    names = [f.split()[0] for f in (RECORD + PAYLOAD * with_payload).split(", ")]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()][:len(names)]
+    fs, path = filesystem(folder)
+    name, source = None, None
+    for b in batches:
+        files = b.column(0).to_pylist()
+        begin = b.column(1).to_numpy()
+        end = begin + b.column(2).to_numpy()
+        found: list[dict] = []
+        i = 0
+        while i < len(files):
+            j = i + 1
+            while j < len(files) and files[j] == files[i] and begin[j] - end[j - 1] <= READ_GAP and end[j] - begin[i] <= READ_MOST:
+                j += 1
+            if files[i] != name:
+                name, source = files[i], fs.open_input_file(f"{path}/{files[i]}")
+            raw = memoryview(source.read_at(int(end[i:j].max() - begin[i]), int(begin[i])))
+            for k in range(i, j):
+                found.append(parse(zlib.decompress(raw[begin[k] - begin[i]:end[k] - begin[i]], 31)))
+                if len(found) == RETURNED:
+                    yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], t) for n, t in zip(names, kinds)], names=names)
+                    found = []
+            i = j
+        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], t) for n, t in zip(names, kinds)], names=names)
+
+
 def read(selected: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """The records that rows of the index select: page_id, url, payload_bytes, payload_digest,
     record_type, refers_to and, if asked for, payload (null for a revisit)."""
     bounded_batches(selected.sparkSession)
-    schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-              + ", payload binary" * with_payload)
-    names = [f.split()[0] for f in schema.split(", ")]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()][:len(names)]
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, path = filesystem(folder)
-        name, source = None, None
-        for b in batches:
-            files = b.column(0).to_pylist()
-            begin = b.column(1).to_numpy()
-            end = begin + b.column(2).to_numpy()
-            found: list[dict] = []
-            i = 0
-            while i < len(files):
-                j = i + 1
-                while j < len(files) and files[j] == files[i] and begin[j] - end[j - 1] <= READ_GAP and end[j] - begin[i] <= READ_MOST:
-                    j += 1
-                if files[i] != name:
-                    name, source = files[i], fs.open_input_file(f"{path}/{files[i]}")
-                raw = memoryview(source.read_at(int(end[i:j].max() - begin[i]), int(begin[i])))
-                for k in range(i, j):
-                    found.append(parse(zlib.decompress(raw[begin[k] - begin[i]:end[k] - begin[i]], 31)))
-                    if len(found) == RETURNED:
-                        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], t) for n, t in zip(names, kinds)], names=names)
-                        found = []
-                i = j
-            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], t) for n, t in zip(names, kinds)], names=names)
-
-    return (selected.select("archive", "offset", "length").repartition("archive")
-            .sortWithinPartitions("archive", "offset").mapInArrow(fetch, schema))
+    # A task reads about TASK_BYTES of an archive, however small the index that names them.
+    wanted = selected.select("archive", "offset", "length", F.floor(F.col("offset") / TASK_BYTES).alias("part"))
+    tasks = math.ceil((wanted.agg(F.sum("length")).first()[0] or 0) / TASK_BYTES)
+    return (wanted.repartition(max(1, 2 * tasks), "archive", "part")
+            .sortWithinPartitions("archive", "offset").select("archive", "offset", "length")
+            .mapInArrow(lambda batches: record_batches(batches, folder, with_payload), RECORD + PAYLOAD * with_payload))
