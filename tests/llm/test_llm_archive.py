@@ -53,7 +53,42 @@ def test_damaged_payload_is_noticed(spark):
         warc.parse(raw.replace(b"hello", b"hallo"))
 
 
-def test_archives_roll_over_and_nothing_is_an_empty_index(spark, monkeypatch):
+def test_archives_roll_over_and_are_read_by_parts(tmp_path):
+    """Run in this process, where the sizes can be made small."""
+    import pyarrow as pa
+    from unittest import mock
+
+    rnd = __import__("random").Random(1)
+    pages = [(i, f"http://h/{i}", "".join(rnd.choices("abcdefgh", k=400))) for i in range(50)]
+    with mock.patch.object(warc, "ARCHIVE_BYTES", 2000), mock.patch.object(warc, "RETURNED", 7):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([p[0] for p in pages]), pa.array([p[1] for p in pages]), pa.array([p[2] for p in pages]),
+             pa.array([hashlib.sha1(p[2].encode()).hexdigest() for p in pages]), pa.nulls(50, pa.int64())],
+            names=["page_id", "url", "html", "sha1", "refers_to"])
+        notes = [r for b in warc.archive_batches(iter([batch]), str(tmp_path), "2000-01-01T00:00:00Z", 1) for r in b.to_pylist()]
+        assert len({n["archive"] for n in notes}) > 5
+        order = sorted(notes, key=lambda n: (n["archive"], n["offset"]))
+        wanted = pa.RecordBatch.from_pylist([{k: n[k] for k in ("archive", "offset", "length")} for n in order])
+        got = [r for b in warc.record_batches(iter([wanted]), str(tmp_path), True) for r in b.to_pylist()]
+    assert sorted((r["page_id"], r["url"], r["payload"].decode()) for r in got) == sorted(pages)
+    assert {n["page_id"]: n["url"] for n in notes} == {p[0]: p[1] for p in pages}
+
+
+def test_records_are_read_by_many_tasks(spark):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html"))
+    folder = workspace(spark, "warc-test")
+    index = warc.write(pages.withColumn("html", F.concat("html", F.repeat(F.sha2("html", 512), 3))), folder)
+    small = warc.TASK_BYTES
+    try:
+        warc.TASK_BYTES = 1 << 16
+        found = warc.read(index, folder, with_payload=False)
+        assert found.rdd.getNumPartitions() > 8 and found.count() == 3000
+        assert found.filter("url <> 'u'").isEmpty()
+    finally:
+        warc.TASK_BYTES = small
+
+
+def test_nothing_is_an_empty_index(spark):
     folder = workspace(spark, "warc-test")
     nothing = warc.write(spark.createDataFrame([], "page_id long, url string, html string"), folder)
     assert nothing.count() == 0 and warc.read(nothing, folder).count() == 0
@@ -94,7 +129,7 @@ def test_stages_take_awkward_and_empty_tables(spark):
 
 def test_entry_registers_them_and_does_without(spark, monkeypatch):
     names = entry.queries()
-    assert {"pipeline", *QUERIES} <= set(names) and all(f"op{n}_" in "".join(names) for n in range(1, 11))
+    assert {"pipeline", *QUERIES} <= set(names) and all(f"op{n}_" in "".join(names) for n in range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
     import sys
     monkeypatch.setitem(sys.modules, "lakemart.llm.queries", None)

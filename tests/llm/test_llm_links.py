@@ -176,7 +176,9 @@ def test_contained_items(spark):
     assert got == {**both, (6, 4): 1.0, (8, 4): 1.0}
     kept = decontamination.drop_contaminated(docs, items)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 3, 4, 5, 9]
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [3, 4, 5, 9]  # a row without an id is judged by its text too
+    kept = decontamination.drop_contaminated(docs, items, least_words=3)  # two words tell nothing
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [3, 4, 5, 6, 8, 9]
     assert decontamination.contained_items(empty_docs(spark), items).count() == 0
     assert decontamination.contained_items(docs, items.filter("item_id < 0")).count() == 0
 
@@ -193,7 +195,7 @@ def test_bitmaps_hold_exactly_their_hashes(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF01}/{t}.parquet'")
     want = con.execute(ORACLES[name]).df()
     got = QUERIES[name](spark, SF01).toPandas()
@@ -210,3 +212,56 @@ def test_short_items_are_found_inside_longer_documents(spark):
                                  "doc_id long, text string")
     got = {(r["doc_id"], r["item_id"], r["shared"]) for r in decontamination.contained_items(docs, items).collect()}
     assert got == {(1, 1, 1), (2, 2, 1), (3, 3, 1), (5, 1, 1), (5, 2, 1), (7, 4, 2)}
+
+
+def test_rows_of_one_id_are_judged_each_by_their_text(spark):
+    item = words(11, 20)
+    docs = spark.createDataFrame([(1, item), (1, "other words " * 9), (None, item), (None, "clean text " * 9), (2, item), (2, item)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontamination.drop_contaminated(docs, items).collect()
+    assert sorted(((r["doc_id"] or 0), r["text"][:5]) for r in kept) == [(0, "clean"), (1, "other")]
+    got = sorted(tuple(r) for r in decontamination.contained_items(docs, items).collect())
+    assert got == [(1, 1, 16, 16, 1.0), (2, 1, 16, 16, 1.0)]
+
+
+def test_boilerplate_of_all_items_makes_no_candidates(spark):
+    """The signature takes shingles that few items hold, so a shared preamble alone leads nowhere."""
+    preamble = words(50, 12)
+    items = spark.createDataFrame([(i, f"{preamble} {words(100 + i, 40)}") for i in range(20)], "item_id long, text string")
+    shingles = decontamination.item_shingles(items, "item_id", "text", 5, 0.8)
+    signature = shingles.filter("nth <= q - need + 1")
+    assert signature.filter("items > 1").isEmpty() and signature.select("item_id").distinct().count() == 20
+
+
+def test_decontamination_sql_states_the_rules_for_short_items(spark):
+    docs = spark.createDataFrame([(1, "the answer is a blue, WHALE or some other thing"), (2, "zebra"), (3, "zero one two three four five six"),
+                                  (5, "blue whale zebra"), (7, "x a b c d e f"), (8, None), (9, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Blue whale?"), (2, "zebra"), (3, "one two three four"), (4, "a b c d e f"), (5, None)],
+                                  "item_id long, text string")
+    con = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", items)):
+        con.register(name, df.toPandas())
+    want = sorted(con.execute(ORACLES["op7_decontamination"]).fetchall())
+    assert sorted(tuple(r) for r in decontamination.contained_items(docs, items).collect()) == want and len(want) == 6
+
+
+def test_near_duplicate_filter_decides_by_row(spark):
+    a, z, q, r = (words(60 + i, 40) for i in range(4))
+    rows = [(1, a, "x"), (2, a, "x"), (2, z, "x"), (3, q, "x"), (3, r, "x"), (4, z, "x"), (5, q, "one"), (5, q, "two"), (None, a, "x"),
+            (None, words(70, 40), "x"), (6, None, "x"), (7, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string").withColumn("group", F.lit(1)).withColumn("t1", F.lit(1))
+    for _ in range(2):
+        kept = simhash.drop_near_duplicates(docs.repartition(3))
+        assert kept.columns == docs.columns
+        assert sorted(((k["doc_id"] or 0), k["text"] or "") for k in kept.collect()) == sorted(
+            [(1, a), (2, z), (3, q), (3, r), (0, a), (0, words(70, 40)), (6, "")])
+    again = simhash.drop_near_duplicates(docs.filter("doc_id = 5").union(docs.filter("doc_id = 5"))).collect()
+    assert len(again) == 1
+
+
+def test_neighbours_of_very_large_and_very_small_components(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 0.0]), (2, [1e-300, 1e-300]), (3, [0.0, 5e-324]), (4, [1e308, 1e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], round(r["score"], 9)) for r in ann.nearest(df, F.col("vec_id") % 50 == 0).orderBy("rank").collect()]
+    assert got == [(2, 1.0), (4, 1.0), (1, round(math.sqrt(0.5), 9)), (3, round(math.sqrt(0.5), 9))]

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import xxhash
 from tokenizers import Tokenizer
 
 from lakemart.llm import packing, token_store
@@ -95,7 +96,9 @@ def test_empty_tables(spark):
     assert packing.pack(empty_docs(spark), tokenizer_path("word_bpe_49k.json")).count() == 0
     folder = workspace(spark, "tokens-test")
     token_store.write(empty_docs(spark), folder, tokenizer_path("byte_bpe_50k.json"))
-    assert token_store.lookup(token_store.directory(spark, folder), folder).count() == 0
+    assert token_store.directory(spark, folder).count() == 0
+    assert token_store.lookup(empty_docs(spark).select("doc_id"), folder).count() == 0
+    assert token_store.lookup(awkward_docs(spark).select("doc_id").distinct(), folder).count() == 0
 
 
 def test_packing_query(spark):
@@ -112,27 +115,55 @@ def test_perfect_hash(keys, stranger):
     assert mph.slots(np.array([stranger]))[0] < max(1, len(keys))
 
 
-def test_store_round_trip_and_keyed_access(spark):
-    docs = awkward_docs(spark)
-    folder = workspace(spark, "tokens-test")
-    token_store.write(docs, folder, tokenizer_path("byte_bpe_50k.json"), shards=3)
-    places = token_store.directory(spark, folder)
-    assert places.select("shard").distinct().count() > 1
-    bases = {r["shard"]: r["base"] for r in token_store.bases(spark, folder).collect()}
-    found = token_store.lookup(places, folder).collect()
+def expected_store(docs):
+    """(doc_id, ids) of all rows in the store's order: by key, null first, then by hash of the ids."""
     tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
     ids = lambda t: np.array(tok.encode(t or "", add_special_tokens=False).ids + [0], "<u4").tobytes()
-    order = sorted(docs.collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] is not None, r["text"] or ""))
+    tie = lambda raw: np.array([xxhash.xxh64_intdigest(np.frombuffer(raw, "<u4").astype("<u2").tobytes(), 42)], np.uint64).view(np.int64)[0]
+    rows = [(r["doc_id"], ids(r["text"])) for r in docs.select("doc_id", "text").collect()]
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1])))
+
+
+@pytest.mark.parametrize("shards", [1, 3, 7])
+def test_store_round_trip_and_keyed_access(spark, shards):
+    hot = spark.createDataFrame([(4, f"text number {i}") for i in range(40)] + [(None, f"other {i}") for i in range(20)], "doc_id long, text string")
+    docs = awkward_docs(spark).unionByName(hot, allowMissingColumns=True)
+    folder = workspace(spark, "tokens-test")
+    token_store.write(docs, folder, tokenizer_path("byte_bpe_50k.json"), shards=shards)
+    rows = token_store.directory(spark, folder).orderBy("no").collect()
+    assert len(rows) <= shards and sum(r["nulls"] for r in rows) == 22
+    if shards == 7:  # one key, and the rows without one, fill several shards
+        assert sum(r["low"] is not None and r["low"] <= 4 <= r["high"] for r in rows) > 1
+    bases = {r["shard"]: r["base"] for r in token_store.bases(spark, folder).collect()}
+    found = token_store.lookup(docs.select("doc_id").distinct(), folder).collect()
     got = sorted(((bases[r["shard"]] + r["start"], r["doc_id"], bytes(r["ids"])) for r in found))
     at = 0
-    for r, (start, doc_id, raw) in zip(order, got, strict=True):
-        assert (start, doc_id, raw) == (at, r["doc_id"], ids(r["text"]))
+    for (doc_id, raw), (start, found_id, found_raw) in zip(expected_store(docs), got, strict=True):
+        assert (start, found_id, found_raw) == (at, doc_id, raw)
         at += len(raw) // 4
-    row = places.filter("doc_id = 9").first()
-    shard = token_store.Shard(folder, row["shard"])
-    first, run = shard.records(np.array([9, 10**12]))
-    assert run.tolist() == [1, 0]
-    assert next(shard.ids(first[:1])).astype("<u4").tobytes() == ids(docs.filter("doc_id = 9").first()["text"])
+    some = spark.createDataFrame([(9,), (10**12,), (-5,), (3,)], "doc_id long")
+    assert sorted(r["doc_id"] for r in token_store.lookup(some, folder).collect()) == [3, 9]
+
+
+def test_a_key_is_read_by_ranges_not_by_the_whole_index(tmp_path, monkeypatch):
+    """One key of 200,000 costs the head, some words of levels, an entry, two offsets and its ids."""
+    n, folder = 200_000, str(tmp_path)
+    keys = np.arange(n) * 7 - 1000
+    lengths = np.full(n, 3)
+    with open(f"{folder}/x.mph", "wb") as f:
+        f.write(token_store._index_bytes(keys, lengths, 0, 2))
+    with open(f"{folder}/x.ids", "wb") as f:
+        f.write(np.arange(3 * n).astype("<u2").tobytes())
+    assert token_store.Shard(folder, "x").records(np.array([5]))[1].tolist() == [0]
+    shard = token_store.Shard(folder, "x")
+    first, run = shard.records(keys[123_456:123_457])
+    assert run.tolist() == [1] and first[0] == 123_456
+    start, ids = shard.ids(first[:1])
+    assert start.tolist() == [3 * 123_456] and next(ids).tolist() == (np.arange(3 * 123_456, 3 * 123_456 + 3) % 65536).tolist()
+    spent = sum(s.spent for s in (*shard.levels, shard.table, shard.offsets))
+    assert spent < 2_000
+    first, run = shard.records(keys)  # all keys: sections are read whole
+    assert (first == np.arange(n)).all() and (run == 1).all()
 
 
 def test_store_query(spark):
