@@ -24,8 +24,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontamination.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
+    """Documents that hold no benchmark item of at least three words."""
+    return decontamination.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), least_words=3)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
