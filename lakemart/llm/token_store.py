@@ -35,11 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import bounded_batches, filesystem, stored
+from lakemart.llm.common import bounded_batches, filesystem
 from lakemart.llm.tokens import encoder
 
 MAGIC = b"TOKMPH1\n"
@@ -214,15 +215,50 @@ class Shard:
         return low, read()
 
 
-def _encoded(docs: DataFrame, vocab: str, end_id: int, width: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id and the ids of the whole text with the end id, ``width`` bytes each."""
+class Ranges:
+    """Which shard a document goes to, by key and tie (a signed 64-bit hash of its ids). ``cuts`` are
+    the greatest keys of all keyed shards but the last; a cut that is there several times is a key
+    that fills as many shards, dealt by their ties, as are the first ``blank`` shards to rows
+    without a key."""
+
+    def __init__(self, blank: int, cuts: list[int]):
+        self.blank, self.cuts = blank, np.array(cuts, np.int64)
+        self.shards = blank + len(cuts) + 1
+
+    def of(self, keys: np.ndarray, null: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        first = np.searchsorted(self.cuts, keys, side="left")
+        several = np.maximum(np.searchsorted(self.cuts, keys, side="right") - first, 1)
+        first, several = np.where(null, -self.blank, first), np.where(null, max(1, self.blank), several)
+        share = ties.astype(np.float64) / 2.0 ** 64 + 0.5  # ascending with the tie
+        return self.blank + first + np.minimum((share * several).astype(np.int64), several - 1)
+
+
+def _ranges(docs: DataFrame, shards: int | None, id_col: str, text_col: str) -> Ranges:
+    """About equal numbers of rows for each shard; from keys and lengths alone, so that no text is
+    encoded for it."""
+    key = F.col(id_col).cast("long")
+    rows, keyed, size = docs.agg(F.count(F.lit(1)), F.count(key), F.sum(F.octet_length(F.coalesce(F.col(text_col), F.lit(""))))).first()
+    if shards is None:
+        shards = max(1, min(SHARDS_MOST, -(-(size or 0) // (2 * SHARD_BYTES))))  # two bytes for about four of text
+    blank = max(1, round(shards * (rows - keyed) / rows)) if rows > keyed else 0
+    parts = max(1, shards - blank)
+    cuts = docs.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], F.lit(20 * parts))).first()[0] if keyed and parts > 1 else []
+    return Ranges(blank, sorted(cuts))
+
+
+def _encoded(docs: DataFrame, ranges: Ranges, vocab: str, end_id: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """no, doc_id, tie and the ids of the whole text with the end id, ``width`` bytes each."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocab), np.array([end_id], f"<u{width}").tobytes()
         for b in batches:
             ids = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() + end for x in enc.encode(b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            tie = np.array([xxhash.xxh64_intdigest(x, 42) for x in ids], np.uint64).view(np.int64)
+            null = b.column(0).is_null().to_numpy(zero_copy_only=False)
+            no = ranges.of(b.column(0).fill_null(0).to_numpy().astype(np.int64), null, tie)
+            yield pa.RecordBatch.from_arrays([pa.array(no.astype(np.int32)), b.column(0), pa.array(tie), pa.array(ids, pa.binary())],
+                                             names=["no", "doc_id", "tie", "ids"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(encode, "doc_id long, ids binary")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(encode, "no int, doc_id long, tie long, ids binary")
 
 
 def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
@@ -232,11 +268,7 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 0, id_col: str
     spark = docs.sparkSession
     bounded_batches(spark)
     width = 2 if _largest_id(vocab, end_id) < 1 << 16 else 4
-    # Stored, since the range exchange reads it twice: once for a sample of the keys.
-    encoded = stored(_encoded(docs, vocab, end_id, width, id_col, text_col), "ids")
-    if shards is None:
-        size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-        shards = max(1, min(SHARDS_MOST, -(-size // SHARD_BYTES)))
+    ranges = _ranges(docs, shards, id_col, text_col)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = filesystem(folder)
@@ -265,9 +297,8 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 0, id_col: str
         kinds = [pa.int32(), pa.string(), *[pa.int64()] * 4]
         yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[f.split()[0] for f in DIRECTORY.split(", ")])
 
-    tie = F.xxhash64("ids")
-    (encoded.withColumn("tie", tie).repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-     .select("doc_id", "ids").mapInArrow(shard, DIRECTORY).write.parquet(f"{folder}/directory"))
+    (_encoded(docs, ranges, vocab, end_id, width, id_col, text_col).repartitionById(ranges.shards, "no")
+     .sortWithinPartitions("doc_id", "tie").select("doc_id", "ids").mapInArrow(shard, DIRECTORY).write.parquet(f"{folder}/directory"))
 
 
 def _largest_id(vocab: str, end_id: int) -> int:

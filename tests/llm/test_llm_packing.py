@@ -131,7 +131,7 @@ def test_store_round_trip_and_keyed_access(spark, shards):
     folder = workspace(spark, "tokens-test")
     token_store.write(docs, folder, tokenizer_path("byte_bpe_50k.json"), shards=shards)
     rows = token_store.directory(spark, folder).orderBy("no").collect()
-    assert len(rows) <= shards and sum(r["nulls"] for r in rows) == 22
+    assert len(rows) <= shards + 1 and sum(r["nulls"] for r in rows) == 22
     if shards == 7:  # one key, and the rows without one, fill several shards
         assert sum(r["low"] is not None and r["low"] <= 4 <= r["high"] for r in rows) > 1
     bases = {r["shard"]: r["base"] for r in token_store.bases(spark, folder).collect()}
@@ -145,6 +145,17 @@ def test_store_round_trip_and_keyed_access(spark, shards):
     assert sorted(r["doc_id"] for r in token_store.lookup(some, folder).collect()) == [3, 9]
 
 
+def test_ranges_keep_the_order_and_split_hot_keys():
+    rng = np.random.default_rng(2)
+    keys, null = rng.choice([1, 5, 5, 5, 5, 9, -(2**63), 2**63 - 1], 4000), rng.random(4000) < 0.3
+    ties = rng.integers(-2**63, 2**63 - 1, 4000)
+    ranges = token_store.Ranges(3, [1, 5, 5, 5, 8])
+    no = ranges.of(keys, null, ties)
+    assert no.min() == 0 and no.max() < ranges.shards == 9 and set(no[null]) == {0, 1, 2} and set(no[~null & (keys == 5)]) == {4, 5, 6}
+    order = np.lexsort((ties, np.where(null, 0, keys), ~null))
+    assert (np.diff(no[order]) >= 0).all()
+
+
 def test_a_key_is_read_by_ranges_not_by_the_whole_index(tmp_path, monkeypatch):
     """One key of 200,000 costs the head, some words of levels, an entry, two offsets and its ids."""
     n, folder = 200_000, str(tmp_path)
