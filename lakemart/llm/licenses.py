@@ -142,11 +142,11 @@ def scan_sql() -> str:
     return f"""
 WITH given(license_id, body) AS (VALUES {quoted}),
 known AS (SELECT {form('body')} AS digest, min(license_id) AS license_id FROM given GROUP BY 1),
-lines AS (SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+lines AS (SELECT DISTINCT text, unnest(string_split(text, chr(10))) AS line FROM documents),
 held AS (
-  SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS line_licenses
+  SELECT text, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS line_licenses
   FROM lines JOIN known ON {form('line')} = digest GROUP BY 1
-), whole AS (SELECT doc_id, {form('text')} AS digest FROM documents)
+), whole AS (SELECT doc_id, text, {form('text')} AS digest FROM documents)
 SELECT w.doc_id, w.digest, k.license_id AS text_license, coalesce(h.line_licenses, '') AS line_licenses
-FROM whole w LEFT JOIN known k ON w.digest = k.digest LEFT JOIN held h ON w.doc_id IS NOT DISTINCT FROM h.doc_id
+FROM whole w LEFT JOIN known k ON w.digest = k.digest LEFT JOIN held h ON w.text = h.text
 """

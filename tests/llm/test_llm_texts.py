@@ -144,7 +144,7 @@ def test_license_scan(spark):
                                   (5, MIT + " and more"), (2, "other"), (None, "Licensed under CC BY-NC 4.0"), (6, LONG)],
                                  "doc_id long, text string").withColumn("digest", F.lit("x")).withColumn("line", F.lit(1))
     got = [(r["doc_id"], r["text_license"], r["line_licenses"]) for r in licenses.scan(docs).collect()]
-    want = [(1, "MIT", ""), (2, None, "MIT"), (2, None, "MIT"), (3, None, ""), (4, None, ""), (5, None, ""), (6, None, ""),
+    want = [(1, "MIT", ""), (2, None, "MIT"), (2, None, ""), (3, None, ""), (4, None, ""), (5, None, ""), (6, None, ""),
             (None, "CC-BY-NC-4.0", "CC-BY-NC-4.0")]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert licenses.scan(empty_docs(spark)).count() == 0
@@ -277,3 +277,59 @@ def test_terms_of_rare_entities_are_marked(spark):
     assert not re.search("zorblatt77x|quux88y", " ".join(clean.values()).lower()), clean
     assert "write [WORD] at" in clean[0] and words(1, 30) in clean[0] and "please" in clean[2]
     assert all(clean[i] == dict(rows)[i] for i in range(10, 20))
+
+
+def test_repeated_rows_do_not_hide_disclosing_terms(spark):
+    """Rows of one id are one document on both sides of the estimate."""
+    rows = [(i, f"{words(500 + i, 30)} write Zorblatt77x at jane.doe@example.org {words(600 + i, 30)}") for i in range(6)]
+    rows += [(i, words(1000 + i, 60)) for i in range(12, 80)]
+    nameless = [(None, words(2000 + i, 20)) for i in range(3)]
+    for repeated in ([], [rows[0]] * 40, [rows[20]] * 40, [(0, "other text of the same id with zorblatt77x")]):
+        docs = spark.createDataFrame(rows + repeated + nameless, "doc_id long, text string")
+        texts = [r["text"].lower() for r in pii.sanitise(docs).filter("doc_id < 6").collect()]
+        assert len(texts) == 6 + sum(r[0] < 6 for r in repeated) and not any("zorblatt77x" in t for t in texts), repeated[:1]
+    counts, n = pii._document_counts(spark.createDataFrame([(1, "a b"), (1, "a c"), (1, "a b"), (2, "a"), (None, "a"), (None, "a"), (3, None)],
+                                                           "doc_id long, text string"), "doc_id", "text")
+    assert n == 5 and {r["term"]: r["n_term"] for r in counts.collect()} == {"a": 4, "b": 1, "c": 1}
+
+
+def test_only_near_copies_are_merged_in_the_learning_sample(spark):
+    shared, rnd = words(1, 3), random.Random(3)
+    base = words(2, 200).split()
+    near = [" ".join(w if rnd.random() > 0.01 else "changed" for w in base) for _ in range(3)]
+    apart = [f"{shared} {words(10 + i, 120)} {shared}" for i in range(40)]  # some pairs of words in common
+    rows = [(1, f" {t} ") for t in [" ".join(base), *near, *apart, apart[0]]]
+    kept = [r["folded"].strip() for r in toxicity._without_copies(spark.createDataFrame(rows, "label int, folded string")).collect()]
+    assert sorted(t for t in kept if t in apart) == sorted(apart)
+    assert 1 <= len([t for t in kept if t not in apart]) < 4
+
+
+def plain_hits(folded, weights, exceptions):
+    """Start and weight of each lexicon term by str.find, without any automaton."""
+    at = lambda term: [i for i in range(len(folded)) if folded.startswith(term, i)]
+    best = {}
+    for term, weight in weights.items():
+        for i in at(term):
+            best[i] = max(best.get(i, 0.0), weight)
+    for phrase in exceptions:
+        for i in at(phrase):
+            best = {s: w for s, w in best.items() if not i <= s < i + len(phrase) - 1}
+    return sorted(best.items())
+
+
+def test_toxicity_scores_equal_a_plain_matcher_and_recall_held_out_texts(spark):
+    import math
+    rows = toxic_corpus()
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i < 450], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels)
+    folded = {r["doc_id"]: r["f"] for r in docs.select("doc_id", toxicity.folded("text").alias("f")).collect()}
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    for i, f in folded.items():
+        hits = plain_hits(f, model.weights, model.exceptions)
+        total, n = sum(w for _, w in hits), f.count(" ") - 1
+        z = sum(b * x for b, x in zip(model.curve, (1.0, math.log1p(total), total / math.sqrt(max(n, 1)))))
+        assert got[i]["n_hits"] == len(hits) and got[i]["score"] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))))
+    held = [(i, y) for i, _, y in rows if i >= 450]
+    found = [i for i, y in held if y and got[i]["score"] >= 0.5]
+    assert len(found) >= 0.9 * sum(y for _, y in held) and not any(got[i]["score"] >= 0.5 for i, y in held if not y)
