@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.exprs import col
@@ -52,7 +52,7 @@ class Basis:
         return F.array(F.lit(1.0), t, *bent, *waves)
 
 
-MONTHLY = Basis(hinges=3, yearly=4)
+MONTHLY = Basis(hinges=3, yearly=4, hinge_ridge=0.1, season_ridge=0.1)
 DAILY = Basis(hinges=8, yearly=6, weekly=3, season_ridge=10.0)
 
 
@@ -67,15 +67,13 @@ def moments(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def fit(series: DataFrame, keys: Sequence[str], basis: Basis, least: int = 12) -> DataFrame:
     """keys, first, last, beta (array) and sigma (residual spread) of every series with at least
     ``least`` rows. ``series``: keys, ds (date), y."""
-    given = series.filter(F.col("ds").isNotNull() & F.col("y").isNotNull())
-    spans = given.groupBy(*keys).agg(F.min("ds").alias("first"), F.max("ds").alias("last"), F.count("y").alias("n")).filter(F.col("n") >= least)
-    named = spans.select(*(F.col(k).alias(f"_{k}") for k in keys), "first", "last")
-    cond = [given[k].eqNullSafe(named[f"_{k}"]) for k in keys]
-    # One row per series: joined like any small table, AQE decides how.
-    rows = given.join(named, cond).select(
-        *keys, F.array_append(basis.terms(F.col("ds"), F.col("first"), F.col("last")), F.col("y").cast("double")).alias("z"))
+    w = Window.partitionBy(*keys)  # a series has one row a day at most
+    rows = (series.filter(F.col("ds").isNotNull() & F.col("y").isNotNull())
+            .withColumns({"first": F.min("ds").over(w), "last": F.max("ds").over(w), "n": F.count("y").over(w)}).filter(F.col("n") >= least)
+            .select(*keys, "first", "last", F.array_append(basis.terms(F.col("ds"), F.col("first"), F.col("last")), F.col("y").cast("double")).alias("z")))
+    keys = [*keys, "first", "last"]
     ridge = np.array(basis.ridge)
-    p, keys = len(ridge), list(keys)
+    p = len(ridge)
 
     def solve(m: pd.DataFrame) -> pd.DataFrame:
         a = np.zeros((p + 1, p + 1))
@@ -87,11 +85,9 @@ def fit(series: DataFrame, keys: Sequence[str], basis: Basis, least: int = 12) -
         rest = max(0.0, a[p, p] - 2 * beta @ y + beta @ x @ beta)
         return pd.DataFrame({**{k: [m[k].iloc[0]] for k in keys}, "beta": [beta.tolist()], "sigma": [np.sqrt(rest / max(1.0, x[0, 0] - 1))]})
 
-    kinds = dict(series.dtypes)
+    kinds = dict(rows.dtypes)
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "beta array<double>", "sigma double"])
-    solved = moments(rows, keys).groupBy(*keys).applyInPandas(solve, schema)
-    again = [solved[k].eqNullSafe(named[f"_{k}"]) for k in keys]
-    return solved.join(named, again).select(*(solved[k] for k in keys), "first", "last", "beta", "sigma")
+    return moments(rows, keys).groupBy(*keys).applyInPandas(solve, schema)
 
 
 def predict(models: DataFrame, keys: Sequence[str], basis: Basis, days: Column, as_of: Column, digits: int, ds: str, names: Sequence[str]) -> DataFrame:

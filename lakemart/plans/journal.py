@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -26,7 +27,7 @@ class Journal:
     """Pending periods by table: a list of dates (NULL as None), or ``WHOLE``."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.files, self.folder = Files(spark, folder), folder.rstrip("/")
+        self.files, self.folder, self.lock = Files(spark, folder), folder.rstrip("/"), threading.Lock()
         states = self._states()
         self.number = max(states, default=0)
         raw = json.loads(self.files.read(self._path(self.number))) if states else {}
@@ -63,5 +64,6 @@ class Journal:
         return bool(held), None if held == WHOLE else held
 
     def done(self, table: str) -> None:
-        if self.pending.pop(table, None) is not None:
-            self._store()
+        with self.lock:  # tables are rebuilt at the same time
+            if self.pending.pop(table, None) is not None:
+                self._store()

@@ -603,7 +603,7 @@ SELECT g, sqrt(sum(power(y - list_dot_product(x, beta), 2)) / greatest(1, count(
 
 
 SEASONAL_REVENUE_CTES = seasonal_sql(
-    f"SELECT category AS g, sales_month AS ds, total_revenue AS y FROM ({CATEGORY_MONTH_REVENUE_SQL})", 3, 4, 0, 10.0, 1.0, "last")
+    f"SELECT category AS g, sales_month AS ds, total_revenue AS y FROM ({CATEGORY_MONTH_REVENUE_SQL})", 3, 4, 0, 0.1, 0.1, "last")
 SEASONAL_REVENUE_SQL = """
 SELECT g AS category, ds AS forecast_date, round(greatest(yhat, 0.0), 0) AS revenue_forecast,
        round(greatest(yhat - 1.96 * sigma, 0.0), 0) AS revenue_lower, round(greatest(yhat + 1.96 * sigma, 0.0), 0) AS revenue_upper

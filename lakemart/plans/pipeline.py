@@ -28,6 +28,7 @@ from __future__ import annotations
 import contextlib
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +68,8 @@ ORDER_TABLES = ("mart_monthly_product_sales", "review_totals", "mart_city_sales"
                 "mart_employee_addon_performance", "dim_date")
 HOURLY, FUNNEL = "mart_hourly_traffic_conversion", "mart_traffic_conversion_by_product"
 FACT = "fact_orders_gold"
+#: Tables that are rebuilt at the same time.
+TOGETHER = 4
 #: Outputs that are derived whole from marts, by the side of the run that changes those.
 ORDER_OUTPUTS, TRAFFIC_OUTPUTS = ("ml_anomaly_flags", "ml_revenue_forecast"), ("ml_anomaly_flags", "ml_traffic_prediction")
 
@@ -129,12 +132,18 @@ class Pipeline:
         with self._step(f"{name}_ledger"):
             replace_table(self.spark.read.parquet(self.path(f"{name}_ledger_next", "silver")), self.path(f"{name}_ledger", "silver"))
 
-    def _rebuild(self, journal: Journal, name: str, make: Callable[[list | None], DataFrame]) -> None:
-        """Rebuild what the journal asks of a table, and strike it out."""
-        wanted, periods = journal.todo(name)
-        if wanted:
-            self._put(name, make(periods), periods)
-            journal.done(name)
+    def _rebuild(self, journal: Journal, makers: dict[str, Callable[[list | None], DataFrame]]) -> None:
+        """Rebuild what the journal asks of some tables that do not depend on each other, together, and
+        strike them out one by one."""
+        def one(name: str) -> None:
+            wanted, periods = journal.todo(name)
+            if wanted:
+                self._put(name, makers[name](periods), periods)
+                journal.done(name)
+
+        with ThreadPoolExecutor(TOGETHER) as pool:  # the work is Spark's; a thread waits for a job
+            for done in [pool.submit(one, name) for name in makers]:
+                done.result()
 
     # -- orders ----------------------------------------------------------------
     @staticmethod
@@ -185,8 +194,7 @@ class Pipeline:
             "mart_employee_addon_performance": lambda m: gold.mart_employee_addon_performance(fact(m), dim_emp),
             "dim_date": lambda _: gold.dim_date_span(fact(None), "order_timestamp"),
         }
-        for name in ORDER_TABLES:
-            self._rebuild(journal, name, makers[name])
+        self._rebuild(journal, makers)
 
     # -- traffic ---------------------------------------------------------------
     def _traffic_marts(self, journal: Journal, s_traffic: DataFrame, s_products: DataFrame) -> None:
@@ -199,8 +207,9 @@ class Pipeline:
                     .withColumn("_period", stamp if unit == "day" else F.trunc(stamp, "MM"))
                     .filter(one_of("_period", periods)).drop("_period", "_day"))
 
-        self._rebuild(journal, HOURLY, lambda days: gold.mart_hourly_traffic_conversion(of(days, "day")))
-        self._rebuild(journal, FUNNEL, lambda months: gold.mart_traffic_conversion_by_product(of(months, "month"), s_products))
+        self._rebuild(journal, {
+            HOURLY: lambda days: gold.mart_hourly_traffic_conversion(of(days, "day")),
+            FUNNEL: lambda months: gold.mart_traffic_conversion_by_product(of(months, "month"), s_products)})
 
     @staticmethod
     def _on_days(ts_col: str, days: list) -> Column:
@@ -245,8 +254,7 @@ class Pipeline:
             as_of = newest(HOURLY, "event_date")
             return ml.traffic_forecast(self.gold(HOURLY), as_of, generated_at=as_of.cast("timestamp_ntz"))
 
-        for name, make in (("ml_anomaly_flags", flags), ("ml_revenue_forecast", revenue), ("ml_traffic_prediction", visits)):
-            self._rebuild(journal, name, make)
+        self._rebuild(journal, {"ml_anomaly_flags": flags, "ml_revenue_forecast": revenue, "ml_traffic_prediction": visits})
 
     # -- runs ------------------------------------------------------------------
     @staticmethod

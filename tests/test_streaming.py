@@ -79,3 +79,34 @@ def test_quarantine_takes_late_rows_that_are_not_stored_once(spark, scratch):
         keep = ST.quarantine_late_rows(spark, batch, f"{scratch}/t", "ts", ["id"], f"{scratch}/q", batch_id=7)
         assert [r.id for r in keep.collect()] == [3]
     assert sorted(r.id for r in spark.read.parquet(f"{scratch}/q").collect()) == [2, 5, 6]
+
+
+def test_stateful_hours_close_once_and_late_rows_leave_by_the_side(spark, scratch):
+    """Four deliveries, the query restarted for each; a repeated delivery of no files changes nothing."""
+    import datetime as dt
+
+    from lakemart import schemas as S
+    from lakemart.streaming import stateful
+
+    T = dt.datetime
+    src = lambda: spark.readStream.schema(S.RAW_TRAFFIC).option("recursiveFileLookup", True).parquet(f"{scratch}/in")
+
+    def deliver(k, rows):
+        if rows:
+            spark.createDataFrame(rows, S.RAW_TRAFFIC).write.parquet(f"{scratch}/in/{k}")
+        stateful.stateful_hourly_stream(spark, src(), f"{scratch}/hours", f"{scratch}/late", f"{scratch}/check").awaitTermination()
+        hours = {r.event_hour.hour: (r.total_visits, r.total_carts, r.total_orders) for r in stateful.read_hours(spark, f"{scratch}/hours").collect()}
+        return hours, sorted(r.traffic_id for r in stateful.read_late(spark, f"{scratch}/late").collect())
+
+    before = spark.conf.get(stateful.PROVIDER)
+    first = [(T(2024, 1, 1, 1, 5), "a", "yes", 1, None), (T(2024, 1, 1, 1, 6), "a", "no", 1, 7), (T(2024, 1, 1, 2, 5), "b", "yes", 1, None),
+             (None, "c", "yes", 1, None)]
+    assert deliver(0, first) == ({}, [])  # the watermark stands at 0:05
+    assert deliver(1, [(T(2024, 1, 1, 2, 9), "b", "yes", 1, 8), (T(2024, 1, 1, 9, 5), "a", "no", 1, None), (T(2024, 1, 1, 1, 30), "z", "yes", 1, 7)]) == (
+        {1: (2, 2, 1), 2: (1, 2, 1)}, [])
+    assert deliver(2, [(T(2024, 1, 1, 1, 7), "late", "yes", 1, None), (T(2024, 1, 1, 8, 7), "open", "no", 1, None)]) == (
+        {1: (2, 2, 1), 2: (1, 2, 1)}, ["late"])
+    done = ({1: (2, 2, 1), 2: (1, 2, 1), 8: (1, 0, 0), 9: (1, 0, 0)}, ["late"])
+    assert deliver(3, [(T(2024, 2, 1), "end", "no", 1, None)]) == done
+    assert deliver(4, []) == done
+    assert spark.conf.get(stateful.PROVIDER) == before
