@@ -37,6 +37,19 @@ def test_stream_hourly_mart_equals_batch(spark, scratch):
     assert _rows(got) == _rows(want)
 
 
+def test_stream_hourly_mart_takes_batches_without_rows(spark, scratch):
+    """A delivery whose files hold no rows, first or later, opens no day and ends no stream."""
+    rows = raw_traffic(spark, SF001)
+    src = lambda: (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+                   .option("recursiveFileLookup", True).parquet(f"{scratch}/in"))
+    for k, part in enumerate((rows.filter("false"), rows, rows.filter("false"))):
+        part.coalesce(1).write.parquet(f"{scratch}/in/{k}")
+        ST.hourly_mart_stream(spark, src(), f"{scratch}/silver", f"{scratch}/mart", f"{scratch}/ckpt").awaitTermination()
+        want = gold.mart_hourly_traffic_conversion(silver.stg_traffic(rows if k else part))
+        got = ST.read_hourly_mart(spark, f"{scratch}/mart")
+        assert got.schema.simpleString() == want.schema.simpleString() and _rows(got) == _rows(want)
+
+
 def test_stream_fact_upsert_equals_batch(spark, scratch):
     m = Models(spark, SF001)
     raw = m.raw.raw_orders
