@@ -123,3 +123,15 @@ def test_stateful_hours_close_once_and_late_rows_leave_by_the_side(spark, scratc
     assert deliver(3, [(T(2024, 2, 1), "end", "no", 1, None)]) == done
     assert deliver(4, []) == done
     assert spark.conf.get(stateful.PROVIDER) == before
+
+
+def test_a_delivery_of_many_files_is_one_micro_batch(spark, scratch):
+    """The number of batches, each of which rewrites what it touches, follows the deliveries, not the files."""
+    from lakemart.plans.catalog import _deliver
+
+    sizes = []
+    start = lambda src: (src.writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count()))
+                         .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
+    n = F.col("id")
+    _deliver(spark.range(0, 100, 1, 7), f"{scratch}/in", [n % 5 < 3, n % 5 == 3, n % 5 == 4], start)
+    assert sizes == [60, 20, 20]
