@@ -6,7 +6,9 @@ import io
 import pytest
 
 from conftest import SF001
+from lakemart.operators import gold
 from lakemart.plans.catalog import QUERIES
+from lakemart.plans.models import Models
 
 # Queries whose construction runs a job with side effects (a stream, a CSV landing write).
 SIDE_EFFECT_BUILDS = {"stream_hourly_traffic", "stream_stateful_hourly", "stream_fact_orders", "quarantine_late_orders",
@@ -92,3 +94,19 @@ def test_marts_aggregate_before_joining_products(spark):
     join_at = min(i for i, line in enumerate(tree.splitlines()) if "Join" in line)
     agg_at = [i for i, line in enumerate(tree.splitlines()) if "HashAggregate" in line]
     assert agg_at and max(agg_at) > join_at  # aggregates are children (lower) of the join
+
+
+def test_no_growing_side_of_a_join_is_broadcast(spark, scratch):
+    """Dimensions and key lists grow with the input: their joins pass nothing through the driver."""
+    from lakemart.operators import changes
+    from lakemart.sources import sinks
+
+    m = Models(spark, SF001)
+    keys = m.stg_orders.select("order_id").limit(5)
+    frames = [m.fact_orders_gold, m.dim_products_gold, m.mart_monthly_product_sales, m.mart_traffic_conversion_by_product, m.mart_city_sales,
+              m.mart_product_reviews, m.mart_employee_addon_performance,
+              gold.dim_products_from_totals(m.stg_products, gold.review_totals(m.fact_orders_gold)),
+              changes.rows_of_keys(m.stg_orders, keys, ["order_id"]), sinks._merged(m.stg_orders, m.stg_orders, keys, ["order_id"])]
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
