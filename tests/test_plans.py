@@ -110,3 +110,8 @@ def test_no_growing_side_of_a_join_is_broadcast(spark, scratch):
     for df in frames:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+
+
+def test_revenue_forecast_broadcasts_no_table_by_category(spark):
+    plan = QUERIES["revenue_forecast"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan

@@ -124,3 +124,16 @@ def test_publish_makes_a_catalog_table_of_stored_files(spark, scratch):
     path = f"{scratch}/pub"
     write_table(spark.createDataFrame([(1, D(2024, 1, 1)), (2, None)], "k long, m date"), path, partition_by=["m"])
     assert publish(spark, path, "gold", "t_pub") == "gold.t_pub" and spark.table("gold.t_pub").count() == 2
+
+
+def test_files_of_a_partitioned_write_do_not_grow_with_the_tasks(spark, scratch):
+    """Every task once opened a file in every partition, and each listing sent them all to the driver."""
+    path = f"{scratch}/t"
+    rows = spark.range(0, 400, 1, 8).select(F.col("id").alias("k"), F.when(F.col("id") % 4 > 0, F.date_add(F.lit(D(2024, 1, 1)), (F.col("id") % 4).cast("int"))).alias("m"))
+    write_table(rows, path, partition_by=["m"])
+    assert len(spark.read.parquet(path).inputFiles()) == 4
+    more = rows.withColumn("k", F.col("k") + 1)
+    replace_partitions(more.filter("m is null or m = '2024-01-02'"), path, "m", [None, D(2024, 1, 2)])
+    assert len(spark.read.parquet(path).inputFiles()) == 4
+    want = more.filter("m is null or m = '2024-01-02'").union(rows.filter("m > '2024-01-02'"))
+    assert sorted(spark.read.parquet(path).select("k", "m").collect(), key=str) == sorted(want.collect(), key=str)
