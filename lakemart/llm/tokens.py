@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Words and units whose ids a worker keeps; later new ones are encoded per batch and not kept.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 #: Units that are joined into one text for the library.
 JOINED = 1_000
 #: Bytes of the texts that are cut together (or one longer text).
@@ -40,6 +40,7 @@ _PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7e\xa1-įı-ſ‐-‧‰-⁞]*").fullmat
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 13, 32]] = True  # the white space among plain characters
 _END_MARKS = frozenset(".,;:!?)")
+_END_BYTES = frozenset(b".,;:!?)")
 
 
 def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -108,27 +109,39 @@ class Encoder:
             return word[:-1], word[-1]
         return self.units(word)
 
+    def _cut(self, piece: bytes) -> Sequence[bytes]:
+        """The units of a piece; plain words are told without decoding them."""
+        word = piece.strip() if self.kind == "word" else piece
+        body = word[1:] if word[:1] == b" " else word
+        if body.isalpha():
+            return (word,)
+        if body[:-1].isalpha() and word[-1] in _END_BYTES:
+            return word[:-1], word[-1:]
+        return [u.encode() for u in self._units(piece.decode())]
+
     def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of pieces not met before; these and their units' are kept while there is room."""
-        split = {p: [u.encode() for u in self._units(p.decode())] for p in pieces}
-        known = self.known
-        made = self._encode_units({u.decode() for units in split.values() for u in units if u not in known})
-        ids = lambda u: made[u] if u in made else known[u]
-        learnt = {p: ids(units[0]) if len(units) == 1 else b"".join(map(ids, units)) for p, units in split.items()}
+        known, several, wanted = self.known, {}, set()
+        for p in pieces:
+            units = self._cut(p)
+            if len(units) != 1 or units[0] != p:
+                several[p] = units
+            wanted.update(units)
+        made = self._encode_units([u for u in wanted if u not in known])
+        made.update([(p, b"".join([made[u] if u in made else known[u] for u in units])) for p, units in several.items()])
         if len(known) < KEPT_WORDS:
             known.update(made)
-            known.update(learnt)
-        return learnt
+        return made
 
-    def _encode_units(self, units: set[str]) -> dict[bytes, bytes]:
+    def _encode_units(self, units: list[bytes]) -> dict[bytes, bytes]:
         """Ids of units, many joined in a call. Byte-level units are told apart by the line
         feed between them, word-level ones by the tokens that end a word."""
         blank = [u for u in units if u.isspace()]
-        made = {u.encode(): ids for u, ids in zip(blank, self._direct(blank))}
-        rest = list(units.difference(blank))
-        joint = "\n" if self.kind == "byte" else " "
+        made = dict(zip(blank, self._direct([u.decode() for u in blank])))
+        rest = [u for u in units if not u.isspace()]
+        joint = b"\n" if self.kind == "byte" else b" "
         groups = [rest[i:i + JOINED] for i in range(0, len(rest), JOINED)]
-        for group, e in zip(groups, self.tok.encode_batch_fast([joint.join(g) for g in groups],
+        for group, e in zip(groups, self.tok.encode_batch_fast([joint.join(g).decode() for g in groups],
                                                                add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
             if self.kind == "byte":
@@ -138,10 +151,10 @@ class Encoder:
                 hi = np.flatnonzero(self.ends[ids]) + 1
                 lo = np.append(0, hi[:-1])
             if len(hi) != len(group):
-                made.update({u.encode(): ids for u, ids in zip(group, self._direct(group))})
+                made.update(zip(group, self._direct([u.decode() for u in group])))
                 continue
             raw = ids.tobytes()
-            made.update({u.encode(): raw[a:b] for u, a, b in zip(group, (4 * lo).tolist(), (4 * hi).tolist())})
+            made.update([(u, raw[a:b]) for u, a, b in zip(group, (4 * lo).tolist(), (4 * hi).tolist())])
         return made
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:

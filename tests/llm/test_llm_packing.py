@@ -185,3 +185,20 @@ def test_store_query(spark):
         ids = np.array(tok.encode(d["text"], add_special_tokens=False).ids + [0], "<u4")
         assert tuple(r) == (d["doc_id"], at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
+
+
+def test_encoder_keeps_the_words_of_a_large_vocabulary(monkeypatch):
+    """Words beyond those kept go to the library once for each batch."""
+    e = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    words = ["".join(chr(97 + i // 26 ** k % 26) for k in range(5)) for i in range(600_000)]
+    parts = [" ".join(words[i:i + 40_000]) for i in range(0, len(words), 40_000)]
+    first = [e.encode([part]) for part in parts]
+    monkeypatch.setattr(e, "_encode_units", lambda units: pytest.fail(f"{len(units)} units are encoded again"))
+    assert [e.encode([part]) for part in parts] == first
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_cuts_words_from_end_marks(name):
+    texts = ["a.", " a!", "a", ".", "!", " !", " ", "", "ab.c", "a1.", "1.", "don't, I'll.", "é. Àb) ſa: x²", "a.\n b;\t\r\nc?", "'s 's. s's"]
+    e = Encoder(tokenizer_path(name))
+    assert e.encode(texts) == e._direct(texts) == [e.encode([t])[0] for t in texts]
